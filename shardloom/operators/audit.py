@@ -8,6 +8,7 @@ import operator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shardloom.functions.text import count_of
 
@@ -44,7 +45,7 @@ def arithmetic(expression: str | None) -> str | None:
         return None
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _arithmetic_column(expressions: pa.Array) -> pa.Array:
     distinct = expressions.dictionary_encode()
     results = pa.array([arithmetic(e) for e in distinct.dictionary.to_pylist()], pa.string())

@@ -18,7 +18,7 @@ from shardloom.functions.text import (
     symbol_to_id,
 )
 from shardloom.operators.corpus import prepare_corpus
-from shardloom.session import materialize
+from shardloom.session import materialize, session_conf
 from shardloom.sources.shards import text_column
 
 # The special tokens, in id order.
@@ -36,7 +36,7 @@ SPECIAL_TOKENS = (
 N_BYTES = 256
 _TOP_PAIRS = 512
 _MAX_BATCH = 64
-_WRITE_EVERY = 96
+_WRITE_EVERY = 128
 
 
 @dataclass(frozen=True)
@@ -154,27 +154,42 @@ def train_merges(
     """Greedy merge rules from a word table (``syms``, ``cnt``).
 
     Each round ranks the pairs on the cluster and brings a few hundred of them
-    to the driver; all rules a round can prove are applied together. Rules run
-    as chained string replacements on the last written table, which is written
-    anew after every ``_WRITE_EVERY`` rules.
+    to the driver; all rules a round can prove are applied together. The words
+    stay cached between rounds (lost blocks are computed again), and are
+    written anew after every ``_WRITE_EVERY`` rules, which ends the lineage.
     """
     if N_BYTES + n_merges > MAX_TOKEN_ID:
         raise ValueError(f"at most {MAX_TOKEN_ID - N_BYTES} merges")
+    spark = words.sparkSession
     merges: list[tuple[int, int, int]] = []
-    written, pending = words, []
-    while len(merges) < n_merges:
-        current = written.withColumn("syms", merge_symbols(F.col("syms"), pending))
-        if len(pending) >= _WRITE_EVERY:
-            current = materialize(_spread(current.where(F.length("syms") > 1)), "words")
-            written, pending = current, []
-        top = _pair_totals(current).orderBy(F.desc("cnt"), "pair").limit(_TOP_PAIRS).collect()
-        room = min(max_batch, n_merges - len(merges))
-        run = independent_prefix([(r.pair, r.cnt) for r in top], room)
-        if not run:
-            break
-        for pair, count in run:
-            pending.append((pair, id_to_symbol(N_BYTES + len(merges))))
-            merges.append((symbol_to_id(pair[0]), symbol_to_id(pair[1]), count))
+    current, stale = words.persist(), None
+    unwritten = 0
+    try:
+        while len(merges) < n_merges:
+            ranked = _pair_totals(current).orderBy(F.desc("cnt"), "pair").limit(_TOP_PAIRS)
+            # Pair totals are small and even: runtime re-planning would only slow a round.
+            with session_conf(spark, spark_sql_adaptive_enabled="false"):
+                top = ranked.collect()  # also fills the cache of ``current``
+            if stale is not None:
+                stale.unpersist()
+            room = min(max_batch, n_merges - len(merges))
+            run = independent_prefix([(r.pair, r.cnt) for r in top], room)
+            if not run:
+                break
+            rules = []
+            for pair, count in run:
+                rules.append((pair, id_to_symbol(N_BYTES + len(merges))))
+                merges.append((symbol_to_id(pair[0]), symbol_to_id(pair[1]), count))
+            unwritten += len(rules)
+            merged = current.withColumn("syms", merge_symbols(F.col("syms"), rules))
+            if unwritten >= _WRITE_EVERY and len(merges) < n_merges:
+                merged = materialize(_spread(merged.where(F.length("syms") > 1)), "words")
+                unwritten = 0
+            stale, current = current, merged.persist()
+    finally:
+        for table in (stale, current):
+            if table is not None:
+                table.unpersist()
     return tuple(merges)
 
 
