@@ -101,15 +101,17 @@ def prompts_lm(items: DataFrame, delimiter: Column, pairs: DataFrame | None = No
 
 def common_length(seqs: Column, direction: str = "left") -> Column:
     """Length of the common prefix (``left``) or suffix (``right``) of id arrays."""
-    if direction == "right":
-        seqs = F.transform(seqs, F.reverse)
-    elif direction != "left":
+    if direction not in ("left", "right"):
         raise ValueError("direction must be left|right")
-    shortest = F.array_min(F.transform(seqs, F.size))
-    first = seqs[0]
-    places = F.when(shortest > 0, F.sequence(F.lit(0), shortest - 1)).otherwise(F.array().cast("array<int>"))
-    differs = F.filter(places, lambda i: F.exists(seqs, lambda s: F.get(s, i) != F.get(first, i)))
-    return F.coalesce(F.array_min(differs), shortest)
+    flip = F.reverse if direction == "right" else (lambda s: s)
+    first = flip(seqs[0])
+
+    def shared_with_first(seq: Column) -> Column:
+        same = F.zip_with(first, flip(seq), lambda x, y: F.coalesce(x == y, F.lit(False)))
+        first_difference = F.array_position(same, False)
+        return F.coalesce(F.nullif(first_difference, F.lit(0)) - 1, F.size(seq)).cast("int")
+
+    return F.array_min(F.transform(seqs, shared_with_first))
 
 
 def answer_spans(encoded: DataFrame, kind: str, keys: Sequence[str], ids: str = "ids") -> DataFrame:

@@ -1,0 +1,522 @@
+"""Few-shot prompts, spans, grading and checks over the given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from shardloom.functions.text import draw, seeded_hash
+from shardloom.operators import checks, evaluation as ev, tasks
+from shardloom.operators.tokens import compression_ratio, decode_ids, encode_corpus
+from shardloom.operators.vocabulary import Tokenizer, vocabulary_table
+from shardloom.plans import inputs
+from shardloom.plans import sqltext as sq
+from shardloom.plans.registry import query, table
+
+BASE = 256 + sq.N_MERGES
+K = 3
+_JOIN = lambda c: F.array_join(F.col(c).cast("array<string>"), " ")
+
+# --- prompts -----------------------------------------------------------------
+
+_SHOTS_SQL = f"""{inputs.EVAL_ITEMS_SQL},
+ring AS (SELECT task, idx, row_number() OVER (PARTITION BY task ORDER BY md5('ring|' || task || '|' || idx)) - 1 AS place, count(*) OVER (PARTITION BY task) AS n FROM halves),
+shots AS (SELECT r.task, r.idx, s.shot::INT AS shot, o.idx AS shot_idx FROM ring r CROSS JOIN range({K}) s(shot)
+ JOIN ring o ON o.task = r.task AND o.place = (r.place + 1 + ({sq.draw("'1234|' || r.idx", '(r.n - 1)')} + s.shot) % (r.n - 1)) % r.n WHERE s.shot < r.n - 1)"""
+_FEW = lambda solved: f"few AS (SELECT s.idx, string_agg({solved} || chr(10) || chr(10), '' ORDER BY s.shot) AS few FROM shots s JOIN items e ON e.idx = s.shot_idx GROUP BY s.idx)"
+_MC_PROMPTS_SQL = f"""{_SHOTS_SQL}, {_FEW("e.query || ' = ' || e.choices[e.gold + 1]")},
+prompts AS MATERIALIZED (SELECT idx, task, gold, p::INT AS option, few || query || ' = ' || choices[p + 1] AS prompt FROM items JOIN few USING (idx) CROSS JOIN range(4) t(p))"""
+_SCHEMA_PROMPTS_SQL = f"""{_SHOTS_SQL}, {_FEW("e.choices[e.gold + 1] || ' = ' || e.query")},
+prompts AS MATERIALIZED (SELECT idx, task, gold, p::INT AS option, few || choices[p + 1] || ' = ' || query AS prompt FROM items JOIN few USING (idx) CROSS JOIN range(4) t(p))"""
+_TRIM_SQL = lambda t: rf"regexp_replace(regexp_replace({t}, '^\s+', ''), '\s+$', '')"
+_LM_PROMPTS_SQL = f"""{_SHOTS_SQL}, {_FEW(f"{_TRIM_SQL('e.query')} || ' ' || e.ending")},
+prompts AS MATERIALIZED (SELECT idx, task, {_TRIM_SQL(f"few || {_TRIM_SQL('query')} || ' '")} AS prompt_without, few || {_TRIM_SQL('query')} || ' ' || ending AS prompt_with FROM items JOIN few USING (idx))"""
+
+
+def _mc_prompts(spark, sf_dir):
+    items = inputs.eval_items(spark, sf_dir).drop("ending")
+    return ev.prompts_mc(items, F.lit(" = "), ev.fewshot_pairs(items, K))
+
+
+def _schema_prompts(spark, sf_dir):
+    items = inputs.eval_items(spark, sf_dir).select(
+        "idx", "task", "gold", F.col("choices").alias("context_options"), F.col("query").alias("continuation")
+    )
+    return ev.prompts_schema(items, F.lit(" = "), ev.fewshot_pairs(items, K))
+
+
+def _lm_prompts(spark, sf_dir):
+    items = inputs.eval_items(spark, sf_dir).select("idx", "task", F.col("query").alias("context"), F.col("ending").alias("continuation"))
+    return ev.prompts_lm(items, F.lit(" "), ev.fewshot_pairs(items, K))
+
+
+@query("fewshot_sample", f"WITH {_SHOTS_SQL} SELECT task, idx, shot, shot_idx FROM shots")
+def fewshot_sample(spark, sf_dir):
+    items = inputs.eval_items(spark, sf_dir).select("task", "idx")
+    return ev.fewshot_pairs(items, K).select("task", "idx", "shot", "shot_idx")
+
+
+@query("prompts_mc", f"WITH {_MC_PROMPTS_SQL} SELECT idx, option, prompt FROM prompts")
+def prompts_mc(spark, sf_dir):
+    return _mc_prompts(spark, sf_dir).select("idx", "option", "prompt")
+
+
+@query("prompts_schema", f"WITH {_SCHEMA_PROMPTS_SQL} SELECT idx, option, prompt FROM prompts")
+def prompts_schema(spark, sf_dir):
+    return _schema_prompts(spark, sf_dir).select("idx", "option", "prompt")
+
+
+@query("prompts_lm", f"WITH {_LM_PROMPTS_SQL} SELECT idx, prompt_without, prompt_with FROM prompts")
+def prompts_lm(spark, sf_dir):
+    return _lm_prompts(spark, sf_dir).select("idx", "prompt_without", "prompt_with")
+
+
+# --- spans -------------------------------------------------------------------
+
+_PREFIX_SQL = lambda seqs: (
+    f"coalesce(list_min(list_filter(range(list_min(list_transform({seqs}, lambda s: len(s)))), "
+    f"lambda i: len(list_distinct(list_transform({seqs}, lambda s: s[i + 1]))) > 1)), list_min(list_transform({seqs}, lambda s: len(s))))"
+)
+_MC_ENC_SQL = f"""{sq.train()}, {_MC_PROMPTS_SQL},
+penc AS MATERIALIZED (SELECT idx, option, {sq.encoded('prompt')} AS syms FROM prompts),
+pids AS MATERIALIZED (SELECT idx, option, [{BASE}] || {sq.ids('syms')} AS ids FROM penc),
+mcspans AS MATERIALIZED (SELECT p.idx, p.option, p.ids, c.common AS start, len(p.ids) AS "end" FROM pids p
+ JOIN (SELECT idx, {_PREFIX_SQL('list(ids ORDER BY option)')} AS common FROM pids GROUP BY idx) c USING (idx))"""
+_SCHEMA_ENC_SQL = f"""{sq.train()}, {_SCHEMA_PROMPTS_SQL},
+penc AS MATERIALIZED (SELECT idx, option, {sq.encoded('prompt')} AS syms FROM prompts),
+pids AS MATERIALIZED (SELECT idx, option, [{BASE}] || {sq.ids('syms')} AS ids FROM penc),
+spans AS (SELECT p.idx, p.option, p.ids, len(p.ids) - c.common AS start, len(p.ids) AS "end" FROM pids p
+ JOIN (SELECT idx, {_PREFIX_SQL('list(list_reverse(ids) ORDER BY option)')} AS common FROM pids GROUP BY idx) c USING (idx))"""
+
+
+def _encoded_prompts(spark, sf_dir, prompts):
+    encoded = encode_corpus(prompts, inputs.tokenizer(spark, sf_dir), "prompt", prepend="<|bos|>")
+    return encoded.select("idx", "option", "ids")
+
+
+def _mc_spans(spark, sf_dir):
+    return ev.answer_spans(_encoded_prompts(spark, sf_dir, _mc_prompts(spark, sf_dir)), "multiple_choice", ["idx"])
+
+
+@query(
+    "common_length",
+    f"WITH {_MC_ENC_SQL} SELECT idx, {_PREFIX_SQL('list(ids ORDER BY option)')}::INT AS prefix, {_PREFIX_SQL('list(list_reverse(ids) ORDER BY option)')}::INT AS suffix FROM pids GROUP BY idx",
+)
+def common_length(spark, sf_dir):
+    encoded = _encoded_prompts(spark, sf_dir, _mc_prompts(spark, sf_dir))
+    grouped = encoded.groupBy("idx").agg(F.collect_list("ids").alias("seqs"))
+    return grouped.select(
+        "idx", ev.common_length(F.col("seqs")).alias("prefix"), ev.common_length(F.col("seqs"), "right").alias("suffix")
+    )
+
+
+@query(
+    "answer_spans",
+    f"""WITH {_MC_ENC_SQL} SELECT idx, option, start::INT AS start, "end"::INT AS "end", md5({sq.joined('ids')}) AS ids FROM mcspans""",
+)
+def answer_spans(spark, sf_dir):
+    return _mc_spans(spark, sf_dir).select("idx", "option", "start", "end", F.md5(_JOIN("ids")).alias("ids"))
+
+
+@query(
+    "answer_spans_schema",
+    f"""WITH {_SCHEMA_ENC_SQL} SELECT idx, option, start::INT AS start, "end"::INT AS "end", md5({sq.joined('ids')}) AS ids FROM spans""",
+)
+def answer_spans_schema(spark, sf_dir):
+    encoded = _encoded_prompts(spark, sf_dir, _schema_prompts(spark, sf_dir))
+    spans = ev.answer_spans(encoded, "schema", ["idx"])
+    return spans.select("idx", "option", "start", "end", F.md5(_JOIN("ids")).alias("ids"))
+
+
+@query(
+    "answer_spans_lm",
+    f"""WITH {sq.train()}, {_LM_PROMPTS_SQL},
+e0 AS MATERIALIZED (SELECT idx, {sq.encoded('prompt_without')} AS a, {sq.encoded('prompt_with')} AS b FROM prompts)
+SELECT idx, (length(a) + 1)::INT AS start, (length(b) + 1)::INT AS "end", (length(a) < length(b) AND substr(b, 1, length(a)) = a) AS valid FROM e0""",
+)
+def answer_spans_lm(spark, sf_dir):
+    both = _lm_prompts(spark, sf_dir).select("idx", F.posexplode(F.array("prompt_without", "prompt_with")).alias("option", "prompt"))
+    spans = ev.answer_spans(_encoded_prompts(spark, sf_dir, both), "language_modeling", ["idx"])
+    return spans.select("idx", "start", "end", "valid")
+
+
+@query(
+    "left_truncate",
+    f"""WITH {_MC_ENC_SQL}, c AS (SELECT *, greatest(len(ids) - 400, 0) AS crop FROM mcspans)
+SELECT idx, option, len(ids[crop + 1:])::INT AS n_tokens, (start - crop)::INT AS start, ("end" - crop)::INT AS "end", start - crop >= 0 AS valid, md5({sq.joined('ids[crop + 1:]')}) AS ids FROM c""",
+)
+def left_truncate(spark, sf_dir):
+    cut = ev.left_truncate(_mc_spans(spark, sf_dir), 400)
+    return cut.select("idx", "option", F.size("ids").alias("n_tokens"), "start", "end", "valid", F.md5(_JOIN("ids")).alias("ids"))
+
+
+@query(
+    "next_token",
+    f"""WITH {sq.train()}, enc AS MATERIALIZED (SELECT item_id, {sq.encoded('text')} AS syms FROM benchmark),
+t AS (SELECT item_id, unnest({sq.ids('syms')}) AS id, generate_subscripts(string_split(syms, ''), 1) - 1 AS pos FROM enc)
+SELECT item_id, pos::INT AS pos, id AS token_id, coalesce(lead(id) OVER (PARTITION BY item_id ORDER BY pos), -1) AS target_id FROM t""",
+)
+def next_token(spark, sf_dir):
+    encoded = encode_corpus(table(spark, sf_dir, "benchmark"), inputs.tokenizer(spark, sf_dir))
+    paired = F.arrays_zip(F.col("ids").alias("ids"), ev.next_tokens(F.col("ids")).alias("next"))
+    return encoded.select("item_id", F.posexplode(paired).alias("pos", "p")).select(
+        "item_id", "pos", F.col("p")["ids"].alias("token_id"), F.coalesce(F.col("p")["next"], F.lit(-1)).alias("target_id")
+    )
+
+
+# --- grading -----------------------------------------------------------------
+
+_MC_LOSS = lambda: draw(seeded_hash("mc", F.col("idx"), F.col("option"), F.col("pos")), 4096) / 1024.0
+
+
+@query(
+    "grade_choice",
+    f"""WITH {_MC_ENC_SQL}, l AS (SELECT idx, option, pos, {sq.draw("'mc|' || idx || '|' || option || '|' || pos", 4096)} / 1024.0::DOUBLE AS loss, start, "end"
+ FROM (SELECT idx, option, start, "end", unnest(range(len(ids))) AS pos FROM mcspans)),
+m AS (SELECT idx, option, avg(loss) AS mean_loss FROM l WHERE pos >= start - 1 AND pos < "end" - 1 GROUP BY idx, option),
+r AS (SELECT *, row_number() OVER (PARTITION BY idx ORDER BY mean_loss, option) AS k FROM m)
+SELECT r.idx, r.option AS predicted, round(mean_loss, 9) AS mean_loss, gold, r.option = gold AS correct FROM r JOIN halves USING (idx) WHERE k = 1""",
+)
+def grade_choice(spark, sf_dir):
+    spans = _mc_spans(spark, sf_dir)
+    losses = spans.select("idx", "option", F.explode(F.sequence(F.lit(0), F.size("ids") - 1)).alias("pos")).withColumn("loss", _MC_LOSS())
+    gold = inputs.eval_items(spark, sf_dir).select("idx", "gold")
+    return ev.grade_choice(losses, spans, gold, ["idx"]).withColumn("mean_loss", F.round("mean_loss", 9))
+
+
+@query(
+    "grade_lm",
+    f"""WITH {sq.train()}, enc AS MATERIALIZED (SELECT doc_id, {sq.encoded('text')} AS syms FROM documents),
+t AS (SELECT doc_id, unnest({sq.ids('syms')}) AS id, generate_subscripts(string_split(syms, ''), 1) - 1 AS pos, length(syms) AS n FROM enc)
+SELECT doc_id AS seq_id, bool_and({sq.draw("'lm|' || doc_id || '|' || (pos - 1)", 500)} <> 0) AS correct FROM t WHERE pos >= n - n // 4 AND pos >= 1 GROUP BY doc_id""",
+)
+def grade_lm(spark, sf_dir):
+    """The last quarter of every document; one prediction in 500 is wrong."""
+    encoded = encode_corpus(inputs.documents(spark, sf_dir), inputs.tokenizer(spark, sf_dir))
+    zipped = F.arrays_zip(F.col("ids").alias("a"), ev.next_tokens(F.col("ids")).alias("b"))
+    rows = encoded.select(F.col("doc_id").alias("seq_id"), F.posexplode(zipped).alias("pos", "p")).where(F.col("p")["b"].isNotNull())
+    wrong = draw(seeded_hash("lm", F.col("seq_id"), F.col("pos")), 500) == 0
+    target = F.col("p")["b"]
+    predictions = rows.select("seq_id", "pos", target.alias("target_id"), F.when(wrong, target + 1).otherwise(target).alias("pred_id"))
+    n = F.size("ids")
+    spans = encoded.select(F.col("doc_id").alias("seq_id"), (n - F.expr("size(ids) div 4")).cast("int").alias("start"), n.alias("end"))
+    return ev.grade_lm(predictions, spans, ["seq_id"])
+
+
+def _letter_grades(spark, sf_dir):
+    letters = F.array(*[F.lit(x) for x in tasks.MMLU_LETTERS])
+    predicted = F.get(letters, draw(seeded_hash("pred", F.col("idx")), 4))
+    rows = inputs.mmlu(spark, sf_dir).select("idx", "subject", F.get(letters, F.col("answer")).alias("answer"), predicted.alias("predicted"))
+    return rows.withColumn("correct", ev.grade_letter(F.col("predicted"), F.col("answer"), letters))
+
+
+_LETTER_SQL = f"""graded AS (SELECT doc_id AS idx, source AS subject, substr('ABCD', {sq.draw("'mmlu|' || doc_id", 4)}::INT + 1, 1) AS answer,
+substr('ABCD', {sq.draw("'pred|' || doc_id", 4)}::INT + 1, 1) AS predicted FROM documents)"""
+
+
+@query("grade_letter", f"WITH {_LETTER_SQL} SELECT *, answer = predicted AS correct FROM graded")
+def grade_letter(spark, sf_dir):
+    return _letter_grades(spark, sf_dir)
+
+
+@query(
+    "task_accuracy",
+    f"""WITH {_LETTER_SQL} SELECT coalesce(subject, 'all') AS subject, count(*) AS n, sum((answer = predicted)::INT)::BIGINT AS n_correct,
+sum((answer = predicted)::INT)::DOUBLE / count(*)::DOUBLE AS accuracy FROM graded GROUP BY ROLLUP(subject)""",
+)
+def task_accuracy(spark, sf_dir):
+    return ev.accuracy(_letter_grades(spark, sf_dir), "subject").withColumn("subject", F.coalesce("subject", F.lit("all")))
+
+
+@query(
+    "bits_per_byte",
+    f"""WITH {sq.train()}, {sq.token_bytes()}, enc AS MATERIALIZED (SELECT doc_id, lang, {sq.encoded('text')} AS syms FROM documents),
+t AS (SELECT doc_id, lang, unnest([{BASE}] || {sq.ids('syms')}) AS id, generate_subscripts([0] || {sq.ids('syms')}, 1) - 1 AS pos FROM enc),
+l AS (SELECT lang, {inputs.LOSS_SQL('doc_id', 'pos')} AS loss, n_bytes FROM t JOIN vocab ON id = token_id)
+SELECT lang, sum(loss) AS nats, sum(n_bytes)::BIGINT AS n_bytes, sum(loss) / ({sq.LN2}::DOUBLE * sum(n_bytes)::DOUBLE) AS bpb FROM l GROUP BY lang""",
+)
+def bits_per_byte(spark, sf_dir):
+    """Every token of every document, BOS among them, which does not count."""
+    tok = inputs.tokenizer(spark, sf_dir)
+    encoded = encode_corpus(inputs.documents(spark, sf_dir), tok, prepend="<|bos|>").select("doc_id", "lang", "ids")
+    losses = inputs.token_losses(encoded, "doc_id")
+    return ev.bits_per_byte(losses, vocabulary_table(spark, tok).select("token_id", "n_bytes"), "lang")
+
+
+@query(
+    "letter_argmax",
+    f"""WITH s AS (SELECT doc_id AS problem_id, k, substr('ABCD', k::INT + 1, 1) AS letter, {sq.draw("'score|' || doc_id || '|' || (65 + k)", 64)} / 8.0::DOUBLE AS score
+FROM documents CROSS JOIN range(4) t(k)), r AS (SELECT *, row_number() OVER (PARTITION BY problem_id ORDER BY score DESC, k) AS n FROM s)
+SELECT problem_id, letter AS predicted, score FROM r WHERE n = 1""",
+)
+def letter_argmax(spark, sf_dir):
+    """Scores of sixteen tokens at the answer position; ties are frequent."""
+    docs = inputs.documents(spark, sf_dir).select(F.col("doc_id").alias("problem_id"), (F.col("n_chars") % 100).cast("int").alias("answer_pos"))
+    scores = docs.select(
+        "problem_id", F.col("answer_pos").alias("pos"), F.explode(F.sequence(F.lit(60), F.lit(75))).alias("token_id")
+    ).withColumn("score", draw(seeded_hash("score", F.col("problem_id"), F.col("token_id")), 64) / 8.0)
+    letters = F.array(*[F.lit(x) for x in tasks.MMLU_LETTERS])
+    names = spark.range(1).select(F.explode(letters).alias("letter"))
+    ids = ev.single_token_letters(encode_corpus(names, inputs.tokenizer(spark, sf_dir), "letter"))
+    return ev.letter_argmax(docs.withColumn("letters", letters), scores, ids)
+
+
+# Two completions for each problem about an order: plain, with separators, wrong, none.
+_COMPLETIONS_SQL = f"""{inputs.GSM8K_SQL},
+comp AS (SELECT idx, answer, s::INT AS sample_id, CASE {sq.draw("'comp|' || idx || '|' || s", 4)} WHEN 0 THEN 'So #### ' || (a * b)
+ WHEN 1 THEN 'It is' || chr(10) || '#### ' || a || ',000.' WHEN 2 THEN '#### -' || (a * b) ELSE 'No number' END AS completion FROM gsm8k CROSS JOIN range(2) t(s)),
+ext AS (SELECT *, nullif(replace(regexp_extract(answer, '#### (\\-?[0-9\\.\\,]+)', 1), ',', ''), '') AS ref, nullif(replace(regexp_extract(completion, '#### (\\-?[0-9\\.\\,]+)', 1), ',', ''), '') AS pred FROM comp),
+num AS (SELECT *, (ref IS NOT DISTINCT FROM pred)::INT AS correct FROM ext)"""
+
+
+def _completions(spark, sf_dir):
+    kind = draw(seeded_hash("comp", F.col("idx"), F.col("sample_id")), 4)
+    product, a = F.expr("a * b").cast("string"), F.col("a").cast("string")
+    completion = (
+        F.when(kind == 0, F.concat(F.lit("So #### "), product))
+        .when(kind == 1, F.concat(F.lit("It is\n#### "), a, F.lit(",000.")))
+        .when(kind == 2, F.concat(F.lit("#### -"), product))
+        .otherwise("No number")
+    )
+    problems = inputs.gsm8k(spark, sf_dir)
+    samples = problems.select("idx", "a", "b", F.explode(F.sequence(F.lit(0), F.lit(1))).alias("sample_id"))
+    return samples.select("idx", "sample_id", completion.alias("completion"))
+
+
+def _joined_completions(spark, sf_dir):
+    problems = tasks.gsm8k_conversations(inputs.gsm8k(spark, sf_dir))
+    last = F.element_at(F.element_at("messages", -1)["parts"], -1)["text"]
+    return problems.select("idx", last.alias("reference")).join(_completions(spark, sf_dir), "idx")
+
+
+@query("grade_join", f"WITH {_COMPLETIONS_SQL} SELECT idx, sample_id, md5(regexp_replace(answer, '^.*>>', '', 's')) AS reference, completion FROM num")
+def grade_join(spark, sf_dir):
+    """Completions next to the last text part of their reference answer."""
+    return _joined_completions(spark, sf_dir).select("idx", "sample_id", F.md5("reference").alias("reference"), "completion")
+
+
+@query("extract_answer", f"WITH {_COMPLETIONS_SQL} SELECT idx, sample_id, coalesce(pred, 'none') AS answer FROM num")
+def extract_answer(spark, sf_dir):
+    answer = F.coalesce(ev.extract_answer(F.col("completion")), F.lit("none"))
+    return _completions(spark, sf_dir).select("idx", "sample_id", answer.alias("answer"))
+
+
+def _numeric_grades(spark, sf_dir):
+    graded = ev.grade_numeric(F.col("reference"), F.col("completion"))
+    return _joined_completions(spark, sf_dir).select("idx", "sample_id", graded.alias("correct"))
+
+
+@query("grade_numeric", f"WITH {_COMPLETIONS_SQL} SELECT idx, sample_id, correct, correct::DOUBLE AS reward FROM num")
+def grade_numeric(spark, sf_dir):
+    return _numeric_grades(spark, sf_dir).withColumn("reward", ev.reward(F.col("correct")))
+
+
+@query("pass_any", f"WITH {_COMPLETIONS_SQL} SELECT idx, bool_or(correct = 1) AS passed, count(*) AS n_samples FROM num GROUP BY idx")
+def pass_any(spark, sf_dir):
+    return ev.pass_any(_numeric_grades(spark, sf_dir).withColumn("correct", F.col("correct") == 1), "idx")
+
+
+@query(
+    "program_assemble",
+    f"""WITH {inputs.HUMANEVAL_SQL} SELECT idx, 'import math' || chr(10) || 'from typing import List' || chr(10) || chr(10) || code || chr(10) || chr(10)
+|| test || chr(10) || 'check(' || entry_point || ')' AS program FROM humaneval""",
+)
+def program_assemble(spark, sf_dir):
+    program = ev.assemble_program(F.col("prompt"), F.col("completion"), F.col("test"), F.col("entry_point"))
+    return inputs.humaneval(spark, sf_dir).select("idx", program.alias("program"))
+
+
+def _suite_results(spark, sf_dir):
+    """Graded results of three tasks under their registered names."""
+    letter = _letter_grades(spark, sf_dir).select(F.lit("MMLU").alias("task"), "idx", "correct")
+    numeric = pass_any(spark, sf_dir).select(F.lit("GSM8K").alias("task"), "idx", F.col("passed").alias("correct"))
+    easy = inputs.arc(spark, sf_dir).select(
+        F.lit("ARC-Easy").alias("task"), "idx",
+        (F.get(F.col("choices")["label"], draw(seeded_hash("arcpred", F.col("idx")), 4)) == F.col("answer_key")).alias("correct"),
+    )
+    for name in ("MMLU", "GSM8K", "ARC-Easy"):
+        tasks.find_task(name)
+    return letter.unionByName(numeric).unionByName(easy)
+
+
+_SUITE_SQL = f"""{_LETTER_SQL}, {_COMPLETIONS_SQL}, {inputs.ARC_SQL},
+suite AS (SELECT 'MMLU' AS task, idx, answer = predicted AS correct FROM graded UNION ALL SELECT 'GSM8K', idx, bool_or(correct = 1) FROM num GROUP BY idx
+UNION ALL SELECT 'ARC-Easy', idx, labels[{sq.draw("'arcpred|' || idx", 4)} + 1] = answer_key FROM arc)"""
+
+
+@query(
+    "eval_suite",
+    f"""WITH {_SUITE_SQL} SELECT task, CASE task WHEN 'GSM8K' THEN 'generative' ELSE 'categorical' END AS eval_type, 'test' AS split,
+count(*) AS n, sum(correct::INT)::BIGINT AS n_correct, sum(correct::INT)::DOUBLE / count(*)::DOUBLE AS accuracy FROM suite GROUP BY task""",
+)
+def eval_suite(spark, sf_dir):
+    results = ev.accuracy(_suite_results(spark, sf_dir), "task").where(F.col("task").isNotNull())
+    return results.join(F.broadcast(tasks.task_table(spark)), "task").select("task", "eval_type", "split", "n", "n_correct", "accuracy")
+
+
+# --- completions as tokens ---------------------------------------------------
+
+_GENERATED_SQL = f"""{sq.train()}, enc AS MATERIALIZED (SELECT conv_id * 100 + turn AS row_id, text, {sq.encoded('text')} AS syms FROM conversations),
+gen AS (SELECT row_id, unnest({sq.ids('syms')}) AS id, generate_subscripts(string_split(syms, ''), 1) - 1 AS step, length(syms) AS n FROM enc),
+rows0 AS (SELECT row_id, step, CASE WHEN {sq.draw("'end|' || row_id || '|' || step", 200)} = 0 THEN {BASE + 4} ELSE id END AS token_id FROM gen),
+ends AS (SELECT row_id, min(step) AS e FROM rows0 WHERE token_id IN ({BASE}, {BASE + 4}) GROUP BY row_id),
+kept AS (SELECT r.row_id, r.step, r.token_id FROM rows0 r LEFT JOIN ends USING (row_id) WHERE e IS NULL OR step < e)"""
+
+
+def _generated(spark, sf_dir):
+    """Turn texts as sampled tokens; an assistant end appears now and then."""
+    tok = inputs.tokenizer(spark, sf_dir)
+    turns = table(spark, sf_dir, "conversations").select((F.col("conv_id") * 100 + F.col("turn")).alias("row_id"), "text")
+    rows = encode_corpus(turns, tok).select("row_id", F.posexplode("ids").alias("step", "id"))
+    ends = draw(seeded_hash("end", F.col("row_id"), F.col("step")), 200) == 0
+    return rows.select("row_id", "step", F.when(ends, F.lit(tok.special_id("<|assistant_end|>"))).otherwise(F.col("id")).alias("token_id"))
+
+
+@query("completion_cut", f"WITH {_GENERATED_SQL} SELECT row_id, step::INT AS step, token_id FROM kept")
+def completion_cut(spark, sf_dir):
+    tok = inputs.tokenizer(spark, sf_dir)
+    terminals = [tok.special_id("<|bos|>"), tok.special_id("<|assistant_end|>")]
+    return ev.cut_completions(_generated(spark, sf_dir), terminals)
+
+
+@query(
+    "response_shape",
+    f"""WITH {_GENERATED_SQL}, {sq.token_bytes()},
+g AS (SELECT row_id, min(CASE WHEN token_id = {BASE + 4} THEN step END) AS e, max(step) + 1 AS n FROM rows0 GROUP BY row_id),
+k AS (SELECT row_id, string_agg(hx, '' ORDER BY step) AS h, count(*) AS c FROM kept JOIN vocab USING (token_id) GROUP BY row_id)
+SELECT row_id, octet_length(unhex(h))::INT AS n_bytes, c::INT AS tokens_generated,
+CASE WHEN c >= 256 THEN 'max_tokens' WHEN e IS NOT NULL THEN 'eos' ELSE 'stop' END AS finish_reason FROM g JOIN k USING (row_id)""",
+)
+def response_shape(spark, sf_dir):
+    """Generated tokens as responses: count, bytes and the reason to stop."""
+    tok = inputs.tokenizer(spark, sf_dir)
+    end = tok.special_id("<|assistant_end|>")
+    raw = _generated(spark, sf_dir).groupBy("row_id").agg(
+        F.array_sort(F.collect_list(F.struct("step", "token_id"))).alias("t")
+    )
+    ids = F.transform("t", lambda x: x["token_id"])
+    first_end = F.array_position(ids, F.lit(end)).cast("int")
+    new = F.when(first_end > 0, F.slice(ids, F.lit(1), first_end - 1)).otherwise(ids)
+    shaped = raw.select("row_id", ids.alias("raw"), new.alias("new"), (first_end > 0).alias("ended")).where(F.size("new") > 0)
+    last = F.when(F.col("ended"), F.lit(end)).otherwise(F.element_at("raw", -1))
+    reason = ev.finish_reason(F.size("new"), F.lit(256), last, end)
+    hexes = F.array_join(F.transform("new", lambda i: F.get(ev_token_hex(tok), i)), "")
+    return shaped.select(
+        "row_id", (F.length(hexes) / 2).cast("int").alias("n_bytes"), F.size("new").alias("tokens_generated"), reason.alias("finish_reason")
+    )
+
+
+def ev_token_hex(tok):
+    from shardloom.operators.tokens import token_hex
+
+    return token_hex(tok)
+
+
+@query(
+    "response_text",
+    r"""SELECT conv_id, turn, regexp_replace(regexp_replace(text, '^\s+', ''), '\s+$', '') AS response FROM conversations""",
+)
+def response_text(spark, sf_dir):
+    """Decoded turns wrapped in markers and blanks come out clean."""
+    tok = inputs.tokenizer(spark, sf_dir)
+    encoded = encode_corpus(table(spark, sf_dir, "conversations"), tok, prepend="<|assistant_start|>", append="<|assistant_end|>")
+    text = F.concat(F.lit(" \n"), decode_ids(tok, F.col("ids")), F.lit("\n"))
+    return encoded.select("conv_id", "turn", ev.shape_response(text).alias("response"))
+
+
+# --- checks ------------------------------------------------------------------
+
+
+def _shown(check, *metadata):
+    return check.select("check_name", "passed", "blocking", "severity", *[F.col("metadata")[m].alias(m) for m in metadata])
+
+
+def _tokenizer_check(spark, sf_dir):
+    tok = inputs.tokenizer(spark, sf_dir)
+    return checks.check_tokenizer(vocabulary_table(spark, tok), tok.base_size)
+
+
+@query(
+    "check_tokenizer",
+    f"""WITH {sq.train()}, {sq.token_bytes()} SELECT 'tokenizer_file_valid' AS check_name, count(*) = {BASE} AND max(token_id) = {BASE} - 1 AS passed, true AS blocking, 'INFO' AS severity,
+'{BASE}' AS declared, count(*)::VARCHAR AS actual, (count(*) - count(DISTINCT hx))::VARCHAR AS duplicate_bytes FROM vocab""",
+)
+def check_tokenizer(spark, sf_dir):
+    return _shown(_tokenizer_check(spark, sf_dir), "declared", "actual", "duplicate_bytes")
+
+
+def _roundtrip(spark, sf_dir):
+    tok = inputs.tokenizer(spark, sf_dir)
+    return checks.check_roundtrip(encode_corpus(inputs.documents(spark, sf_dir), tok), "text", decode_ids(tok, F.col("ids")))
+
+
+@query(
+    "check_roundtrip",
+    "SELECT 'tokenizer_encode_decode' AS check_name, true AS passed, false AS blocking, 'INFO' AS severity, '0' AS bad, count(*)::VARCHAR AS n FROM documents",
+)
+def check_roundtrip(spark, sf_dir):
+    return _shown(_roundtrip(spark, sf_dir), "bad", "n")
+
+
+def _compression(spark, sf_dir):
+    encoded = encode_corpus(inputs.documents(spark, sf_dir), inputs.tokenizer(spark, sf_dir))
+    return checks.check_compression(compression_ratio(encoded, "lang"), "lang")
+
+
+@query(
+    "check_compression",
+    f"""WITH {sq.train()}, s AS (SELECT sum(octet_length(encode(text)))::BIGINT AS b, sum(length({sq.encoded('text')}))::BIGINT AS t FROM documents)
+SELECT 'tokenizer_compression_ratio' AS check_name, b::DOUBLE / t::DOUBLE >= 1.5 AS passed, false AS blocking,
+CASE WHEN b::DOUBLE / t::DOUBLE >= 1.5 THEN 'INFO' ELSE 'WARN' END AS severity, b::VARCHAR AS n_bytes, t::VARCHAR AS n_tokens FROM s""",
+)
+def check_compression(spark, sf_dir):
+    return _shown(_compression(spark, sf_dir), "n_bytes", "n_tokens")
+
+
+@query(
+    "compare_tokenizers",
+    f"""WITH {sq.train()}, e AS (SELECT lang, octet_length(encode(text)) AS b, length({sq.encoded('text')}) AS ours, length({sq.encoded('text', 16)}) AS base FROM documents),
+s AS (SELECT lang, sum(b)::BIGINT AS n_bytes, sum(ours)::BIGINT AS our_tokens, sum(base)::BIGINT AS base_tokens FROM e GROUP BY lang)
+SELECT *, n_bytes::DOUBLE / our_tokens::DOUBLE AS our_ratio, n_bytes::DOUBLE / base_tokens::DOUBLE AS base_ratio,
+(our_tokens - base_tokens)::DOUBLE / base_tokens::DOUBLE * 100::DOUBLE AS extra_pct, (our_tokens - base_tokens)::DOUBLE / base_tokens::DOUBLE * 100 <= 30 AS passed FROM s""",
+)
+def compare_tokenizers(spark, sf_dir):
+    """Our vocabulary against one of half as many rules."""
+    ours = inputs.tokenizer(spark, sf_dir)
+    base = Tokenizer(ours.merges[: len(ours.merges) // 2], ours.pattern)
+    docs = inputs.documents(spark, sf_dir).select("lang", "text")
+    both = encode_corpus(encode_corpus(docs, ours, out="a"), base, out="b")
+    counts = both.select(
+        "lang", F.octet_length("text").alias("n_bytes"), F.size("a").alias("our_tokens"), F.size("b").alias("base_tokens")
+    )
+    return checks.compare_tokenizers(counts, "lang")
+
+
+def _accuracy_checks(spark, sf_dir):
+    results = _suite_results(spark, sf_dir).where(F.col("idx") < checks.CHECKED_PROBLEMS)
+    return checks.check_accuracy(ev.accuracy(results, "task"))
+
+
+@query(
+    "check_accuracy",
+    f"""WITH {_SUITE_SQL}, a AS (SELECT task, count(*) AS n, sum(correct::INT)::BIGINT AS c FROM suite WHERE idx < 256 GROUP BY task),
+l AS (SELECT 'MMLU' AS task, 0.28::DOUBLE AS lim UNION ALL SELECT 'ARC-Easy', 0.30::DOUBLE)
+SELECT 'sft_accuracy_' || task AS check_name, c::DOUBLE / n::DOUBLE >= lim AS passed, false AS blocking, CASE WHEN c::DOUBLE / n::DOUBLE >= lim THEN 'INFO' ELSE 'WARN' END AS severity,
+n::VARCHAR AS n, c::VARCHAR AS n_correct FROM a JOIN l USING (task)""",
+)
+def check_accuracy(spark, sf_dir):
+    """The limit of 256 problems belongs to the check."""
+    return _shown(_accuracy_checks(spark, sf_dir), "n", "n_correct")
+
+
+@query(
+    "check_gate",
+    f"""WITH {sq.train()}, {_SUITE_SQL}, s AS (SELECT sum(octet_length(encode(text)))::DOUBLE / sum(length({sq.encoded('text')}))::DOUBLE AS r FROM documents),
+a AS (SELECT task, avg(correct::INT) AS acc FROM suite WHERE idx < 256 GROUP BY task),
+f AS (SELECT ((SELECT r FROM s) < 1.5)::INT + (SELECT (acc < 0.28)::INT FROM a WHERE task = 'MMLU') + (SELECT (acc < 0.30)::INT FROM a WHERE task = 'ARC-Easy') AS n)
+SELECT 5::BIGINT AS n_checks, n::BIGINT AS n_failed, n::BIGINT AS n_warnings, false AS stop FROM f""",
+)
+def check_gate(spark, sf_dir):
+    every = checks.union_checks(
+        _tokenizer_check(spark, sf_dir), _roundtrip(spark, sf_dir), _compression(spark, sf_dir), _accuracy_checks(spark, sf_dir)
+    )
+    return checks.check_gate(every)

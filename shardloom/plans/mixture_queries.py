@@ -1,0 +1,250 @@
+"""Mixtures, packing and collation over the given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from shardloom.operators import chat, mix, pack, tasks
+from shardloom.operators.tokens import encode_corpus
+from shardloom.plans import inputs
+from shardloom.plans import sqltext as sq
+from shardloom.plans.chat_queries import _RENDERED_SQL, BASE, BEE_SQL, SPELL_SQL, rendered
+from shardloom.plans.registry import query, table
+from shardloom.session import materialize
+
+_JOIN = lambda c: F.array_join(F.col(c).cast("array<string>"), " ")
+
+
+# --- mixtures ----------------------------------------------------------------
+
+
+def _slim(df, task, key):
+    return df.select(F.lit(task).alias("task"), F.col(key).alias("idx"))
+
+
+@query("seeded_shuffle", "SELECT doc_id, row_number() OVER (ORDER BY md5('42|' || doc_id)) - 1 AS idx FROM documents")
+def seeded_shuffle(spark, sf_dir):
+    return mix.seeded_shuffle(inputs.documents(spark, sf_dir).select("doc_id"), "doc_id")
+
+
+_MEMBERS_SQL = """m AS (SELECT 0 AS member, 'docs' AS task, doc_id AS idx FROM documents
+UNION ALL SELECT 1, 'parts', p_partkey FROM part UNION ALL SELECT 2, 'parts', p_partkey FROM part
+UNION ALL SELECT 3, 'orders', o_orderkey FROM orders)"""
+
+
+def _three_members(spark, sf_dir):
+    parts = _slim(table(spark, sf_dir, "part"), "parts", "p_partkey")
+    return [
+        _slim(inputs.documents(spark, sf_dir), "docs", "doc_id"), parts, parts,
+        _slim(table(spark, sf_dir, "orders"), "orders", "o_orderkey"),
+    ]
+
+
+@query(
+    "mixture",
+    f"WITH {_MEMBERS_SQL} SELECT row_number() OVER (ORDER BY md5('42|' || member || '|' || idx)) - 1 AS pos, member, task, idx FROM m",
+)
+def mixture(spark, sf_dir):
+    """Four members, one of them listed twice."""
+    return mix.mixture(_three_members(spark, sf_dir)).select("pos", "member", "task", "idx")
+
+
+@query("oversample", "SELECT p_partkey AS idx, p_name, c::INT AS copy FROM part CROSS JOIN range(3) t(c)")
+def oversample(spark, sf_dir):
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("idx"), "p_name")
+    return mix.oversample(rows, 3)
+
+
+@query(
+    "sequence",
+    f"WITH {_MEMBERS_SQL} SELECT row_number() OVER (ORDER BY member, idx) - 1 AS pos, member, task, idx FROM m",
+)
+def sequence(spark, sf_dir):
+    return mix.sequence(_three_members(spark, sf_dir)).select("pos", "member", "task", "idx")
+
+
+def _conversation_tables(spark, sf_dir):
+    """All tasks of the presets, shuffled per benchmark, with dense idx."""
+    def shuffled(rows):
+        return mix.seeded_shuffle(rows.withColumnRenamed("idx", "_row"), "_row").drop("_row")
+
+    mmlu, gsm = inputs.mmlu(spark, sf_dir), inputs.gsm8k(spark, sf_dir).drop("a", "b", "kind")
+    arc, talks = inputs.arc(spark, sf_dir), inputs.chat(spark, sf_dir)
+    even, odd = F.col("idx") % 2 == 0, F.col("idx") % 2 == 1
+    n = inputs.documents(spark, sf_dir).agg(F.count("*")).first()[0]
+    bee_words = tasks.index_words(inputs.words(spark, sf_dir), "bee")
+    spell_words = tasks.index_words(inputs.words(spark, sf_dir), "spell")
+    return {
+        ("SmolTalk", "train"): tasks.chat_conversations(shuffled(talks.where(even))),
+        ("SmolTalk", "test"): tasks.chat_conversations(shuffled(talks.where(odd))),
+        ("CustomJSON", "train"): tasks.chat_conversations(shuffled(talks.where(odd)), "CustomJSON"),
+        ("MMLU", "auxiliary_train"): tasks.mmlu_conversations(shuffled(mmlu.where(even))),
+        ("MMLU", "test"): tasks.mmlu_conversations(shuffled(mmlu.where(odd))),
+        ("GSM8K", "train"): tasks.gsm8k_conversations(shuffled(gsm.where(even))),
+        ("GSM8K", "test"): tasks.gsm8k_conversations(shuffled(gsm.where(odd))),
+        ("ARC-Easy", "train"): tasks.arc_conversations(shuffled(arc.where(even))),
+        ("ARC-Challenge", "train"): tasks.arc_conversations(shuffled(arc.where(odd)), "ARC-Challenge"),
+        ("SimpleSpelling", "train"): tasks.spelling_conversations(spark, spell_words, n, "train"),
+        ("SpellingBee", "train"): tasks.letter_count_conversations(spark, bee_words, n, "train"),
+    }
+
+
+_SHUFFLED_SQL = lambda name, task, key, source, text, where: (
+    f"{name} AS (SELECT '{task}' AS task, row_number() OVER (ORDER BY md5('42|' || {key})) - 1 AS idx, {text} AS first_text FROM {source} WHERE {where})"
+)
+_CHAT_FIRST = "(SELECT conv_id, first(text ORDER BY turn) AS t FROM conversations GROUP BY conv_id)"
+_TASKS_SQL = f"""{inputs.MMLU_SQL}, {inputs.GSM8K_SQL}, {inputs.ARC_SQL}, {BEE_SQL},
+iw2 AS MATERIALIZED (SELECT word, row_number() OVER (ORDER BY md5('spell|' || word)) - 1 AS word_idx FROM words),
+{_SHUFFLED_SQL('talk0', 'SmolTalk', 'conv_id', _CHAT_FIRST, 'md5(t)', 'conv_id % 2 = 0')},
+{_SHUFFLED_SQL('talk1', 'CustomJSON', 'conv_id', _CHAT_FIRST, 'md5(t)', 'conv_id % 2 = 1')},
+{_SHUFFLED_SQL('mmlu0', 'MMLU', 'idx', 'mmlu', 'length(question)::VARCHAR', 'idx % 2 = 0')},
+{_SHUFFLED_SQL('gsm_train', 'GSM8K', 'idx', 'gsm8k', 'md5(question)', 'idx % 2 = 0')},
+{_SHUFFLED_SQL('arc0', 'ARC-Easy', 'idx', 'arc', 'idx::VARCHAR', 'idx % 2 = 0')},
+{_SHUFFLED_SQL('arc1', 'ARC-Challenge', 'idx', 'arc', 'idx::VARCHAR', 'idx % 2 = 1')},
+spell0 AS (SELECT 'SimpleSpelling' AS task, doc_id AS idx, word FROM documents
+ JOIN iw2 ON iw2.word_idx = {sq.draw("'spell|train|' || doc_id || '|word'", '(SELECT count(*) FROM iw2)')}),
+bee2 AS (SELECT 'SpellingBee' AS task, i AS idx, question FROM bee)"""
+
+
+def _shown_mixture(df):
+    return df.select("pos", "member", "task", "idx")
+
+
+@query(
+    "mid_mixture",
+    f"""WITH {_TASKS_SQL}, u AS (SELECT 0 AS member, task, idx FROM talk0 UNION ALL SELECT 1, task, idx FROM mmlu0
+UNION ALL SELECT 2, task, idx FROM gsm_train UNION ALL SELECT 3, task, idx FROM spell0 WHERE idx < 200000 UNION ALL SELECT 4, task, idx FROM bee2 WHERE idx < 80000)
+SELECT row_number() OVER (ORDER BY md5('42|' || member || '|' || idx)) - 1 AS pos, member, task, idx FROM u""",
+)
+def mid_mixture(spark, sf_dir):
+    """The full mid-training preset; the row limits are those of the preset."""
+    return _shown_mixture(mix.preset_mixture(_conversation_tables(spark, sf_dir), "mid", "full", "train"))
+
+
+@query(
+    "sft_mixture",
+    f"""WITH {_TASKS_SQL}, u AS (SELECT 0 AS member, task, idx FROM arc0 UNION ALL SELECT 1, task, idx FROM arc1 UNION ALL SELECT 2, task, idx FROM gsm_train
+UNION ALL SELECT 3, task, idx FROM talk0 WHERE idx < 10000 UNION ALL SELECT 4, task, idx FROM talk1
+UNION ALL SELECT 5, task, idx FROM spell0 WHERE idx < 300 UNION ALL SELECT 6, task, idx FROM bee2 WHERE idx < 300)
+SELECT row_number() OVER (ORDER BY md5('42|' || member || '|' || idx)) - 1 AS pos, member, task, idx FROM u""",
+)
+def sft_mixture(spark, sf_dir):
+    """The full fine-tuning preset; the row limits are those of the preset."""
+    return _shown_mixture(mix.preset_mixture(_conversation_tables(spark, sf_dir), "sft", "full", "train"))
+
+
+# --- packing -----------------------------------------------------------------
+
+_ENC_DOCS_SQL = f"""{sq.train()},
+enc AS MATERIALIZED (SELECT doc_id, {sq.encoded('text')} AS syms FROM documents)"""
+BATCH, LENGTH = 4, 256
+
+
+def _packed_sql(stream: str, batch: int, length: int, key: str) -> str:
+    """CTE ``packed`` from a CTE of (key, ids): one row per token, then windows."""
+    width = batch * length + 1
+    return f"""tok AS MATERIALIZED (SELECT {key} AS k, unnest(ids) AS id, generate_subscripts(ids, 1) AS j FROM {stream}),
+starts AS (SELECT {key} AS k, coalesce(sum(len(ids)) OVER (ORDER BY {key} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o FROM {stream}),
+win AS MATERIALIZED (SELECT (o + j - 1)::BIGINT // {width} AS batch_id, list(id ORDER BY o + j) AS w, max(k) AS last_key FROM tok JOIN starts USING (k) GROUP BY 1 HAVING count(*) = {width}),
+packed AS (SELECT batch_id, r::INT AS row_in_batch, last_key, w[r * {length} + 1 : r * {length} + {length}] AS inputs,
+ w[r * {length} + 2 : r * {length} + {length} + 1] AS targets FROM win CROSS JOIN range({batch}) t(r))"""
+
+
+@query(
+    "pack_pretrain",
+    f"""WITH {_ENC_DOCS_SQL}, s AS (SELECT doc_id, [{BASE}] || {sq.ids('syms')} AS ids FROM enc), {_packed_sql('s', BATCH, LENGTH, 'doc_id')}
+SELECT batch_id, row_in_batch, md5({sq.joined('inputs')}) AS inputs, md5({sq.joined('targets')}) AS targets FROM packed""",
+)
+def pack_pretrain(spark, sf_dir):
+    docs = inputs.documents(spark, sf_dir).select("doc_id", "text")
+    encoded = encode_corpus(docs, inputs.tokenizer(spark, sf_dir), prepend="<|bos|>").drop("text")
+    packed = pack.pack(materialize(encoded, "encoded"), "doc_id", BATCH, LENGTH)
+    return packed.select(
+        "batch_id", "row_in_batch", F.md5(_JOIN("inputs")).alias("inputs"), F.md5(_JOIN("targets")).alias("targets")
+    )
+
+
+@query(
+    "pack_pretrain_ranks",
+    f"""WITH {_ENC_DOCS_SQL}, s AS (SELECT doc_id, doc_id // 16 % 2 AS rank, [{BASE}] || {sq.ids('syms')} AS ids FROM enc),
+tok AS MATERIALIZED (SELECT doc_id, rank, unnest(ids) AS id, generate_subscripts(ids, 1) AS j FROM s),
+starts AS (SELECT doc_id, coalesce(sum(len(ids)) OVER (PARTITION BY rank ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o FROM s)
+SELECT rank::INT AS rank, (o + j - 1)::BIGINT // 1025 AS batch_id, md5(string_agg(id, ' ' ORDER BY o + j)) AS tokens FROM tok JOIN starts USING (doc_id) GROUP BY 1, 2 HAVING count(*) = 1025""",
+)
+def pack_pretrain_ranks(spark, sf_dir):
+    """Two workers, each with a stream of its own units of 16 documents."""
+    from shardloom.sources.shards import assign_ranks
+
+    docs = inputs.documents(spark, sf_dir).select("doc_id", "text", F.expr("doc_id div 16").alias("unit"))
+    encoded = encode_corpus(assign_ranks(docs, "unit", 2), inputs.tokenizer(spark, sf_dir), prepend="<|bos|>")
+    windows = pack.windows(materialize(encoded.select("doc_id", "rank", "ids"), "encoded"), "doc_id", BATCH * LENGTH + 1, ["rank"])
+    return windows.select("rank", F.col("window_id").alias("batch_id"), F.md5(_JOIN("tokens")).alias("tokens"))
+
+
+@query(
+    "pack_mid",
+    f"""WITH {_RENDERED_SQL}, n AS (SELECT count(*) AS n FROM rendered),
+placed AS (SELECT row_number() OVER (ORDER BY md5('42|' || conv_id)) - 1 AS pos, ids FROM rendered),
+s AS (SELECT e * (SELECT n FROM n) + pos AS k, ids FROM placed CROSS JOIN range(2) t(e)), {_packed_sql('s', 2, 128, 'k')}
+SELECT batch_id, row_in_batch, md5({sq.joined('inputs')}) AS inputs, md5({sq.joined('targets')}) AS targets,
+((last_key + 1) % (SELECT n FROM n))::DOUBLE / (SELECT n FROM n)::DOUBLE AS progress, last_key + 1 >= (SELECT n FROM n) AS last_step FROM packed""",
+)
+def pack_mid(spark, sf_dir):
+    """Rendered conversations in mixture order, read twice."""
+    convs = materialize(mix.seeded_shuffle(rendered(spark, sf_dir).select("conv_id", "ids"), "conv_id", out="pos"), "rendered")
+    packed = pack.pack_epochs(convs, "pos", convs.count(), 2, 128, epochs=2)
+    return packed.select(
+        "batch_id", "row_in_batch", F.md5(_JOIN("inputs")).alias("inputs"), F.md5(_JOIN("targets")).alias("targets"),
+        "progress", "last_step",
+    )
+
+
+_COLLATED_SQL = f"""{_RENDERED_SQL},
+placed AS (SELECT conv_id AS idx, (conv_id % 2)::INT AS rank, conv_id // 2 // 4 AS batch_id, (conv_id // 2 % 4)::INT AS row_in_batch, ids, mask FROM rendered),
+wide AS (SELECT *, max(len(ids) - 1) OVER (PARTITION BY rank, batch_id) AS w FROM placed),
+collated AS MATERIALIZED (SELECT rank, batch_id, row_in_batch, idx, w, ids[1:-2] || list_transform(range(w - len(ids) + 1), lambda i: {BASE + 4}) AS inputs,
+ list_transform(range(2, len(ids) + 1), lambda i: CASE WHEN mask[i] = 0 THEN -1 ELSE ids[i] END) || list_transform(range(w - len(ids) + 1), lambda i: -1) AS targets FROM wide)"""
+
+
+def _collated(spark, sf_dir):
+    tok = inputs.tokenizer(spark, sf_dir)
+    return pack.collate(rendered(spark, sf_dir), tok.special_id("<|assistant_end|>"), 4, "conv_id", world_size=2)
+
+
+@query(
+    "sft_collate",
+    f"""WITH {_COLLATED_SQL} SELECT rank, batch_id, row_in_batch, idx AS conv_id, w::INT AS width, md5({sq.joined('inputs')}) AS inputs, md5({sq.joined('targets')}) AS targets FROM collated""",
+)
+def sft_collate(spark, sf_dir):
+    return _collated(spark, sf_dir).select(
+        "rank", "batch_id", "row_in_batch", "conv_id", F.size("inputs").alias("width"),
+        F.md5(_JOIN("inputs")).alias("inputs"), F.md5(_JOIN("targets")).alias("targets"),
+    )
+
+
+@query(
+    "supervised_tokens",
+    f"WITH {_COLLATED_SQL} SELECT batch_id AS step, sum(len(list_filter(targets, lambda t: t >= 0)))::BIGINT AS n_supervised FROM collated GROUP BY 1",
+)
+def supervised_tokens(spark, sf_dir):
+    return pack.supervised_tokens(_collated(spark, sf_dir).withColumnRenamed("batch_id", "step"), "step")
+
+
+@query(
+    "pad_stack",
+    f"""WITH {_RENDERED_SQL}, g AS (SELECT conv_id, ids, max(len(ids)) OVER (PARTITION BY conv_id // 8) AS w FROM rendered)
+SELECT conv_id, w::INT AS width, md5({sq.joined(f'ids || list_transform(range(w - len(ids)), lambda i: {BASE})')}) AS padded FROM g""",
+)
+def pad_stack(spark, sf_dir):
+    """Groups of eight prompts padded to their longest with BOS."""
+    rows = rendered(spark, sf_dir).withColumn("batch", F.expr("conv_id div 8"))
+    padded = pack.pad_right(rows, "batch", inputs.tokenizer(spark, sf_dir).special_id("<|bos|>"))
+    return padded.select("conv_id", F.size("padded").alias("width"), F.md5(_JOIN("padded")).alias("padded"))
+
+
+@query(
+    "step_plan",
+    "SELECT count(*) AS train_size, 4 AS grad_accum_steps, ((count(*) // 16) * 3)::BIGINT AS num_iterations, 8192 AS tokens_per_step FROM documents",
+)
+def step_plan(spark, sf_dir):
+    return pack.step_plan(inputs.documents(spark, sf_dir), target=16, batch=4, epochs=3, seq_len=512)
