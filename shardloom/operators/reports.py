@@ -89,7 +89,7 @@ def wall_clock(sections: DataFrame, start: Column, *group: str) -> DataFrame:
     ends = sections.where(~F.contains("slug", F.lit("rl"))).groupBy(*group).agg(
         F.min(start).alias("_start"), F.max("ts").alias("_end")
     )
-    seconds = F.unix_timestamp("_end") - F.unix_timestamp("_start")
+    seconds = F.timestamp_diff("SECOND", F.col("_start"), F.col("_end"))
     text = F.concat(F.expr("seconds div 3600").cast("string"), F.lit("h"),
                     F.expr("(seconds % 3600) div 60").cast("string"), F.lit("m"))
     return ends.withColumn("seconds", seconds).select(*group, "seconds", text.alias("wall_clock"))

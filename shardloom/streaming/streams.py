@@ -72,16 +72,20 @@ def stream_pack(encoded: DataFrame, rank: str, order: str, batch: int, length: i
     )
 
 
-def run_to_table(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
+def run_to_table(
+    stream: DataFrame, name: str, mode: str = "append", out: str | None = None, progress: str | None = None
+) -> DataFrame:
     """Process everything available into parquet and read the result back.
 
-    Append output goes through the file sink; a complete result replaces the
-    table of its trigger, so the last trigger's table is the answer.
+    Append output goes through the file sink; a complete result is written per
+    trigger, and the last trigger's table is the answer. Passing the same
+    ``out`` and ``progress`` folders again continues where the last run ended.
     """
     spark = stream.sparkSession
-    out, checkpoint = scratch_path(spark, name), scratch_path(spark, f"{name}-progress")
+    out = out or scratch_path(spark, name)
+    progress = progress or scratch_path(spark, f"{name}-progress")
     schema = stream.schema
-    writer = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    writer = stream.writeStream.option("checkpointLocation", progress).trigger(availableNow=True)
     if mode == "append":
         writer.format("parquet").option("path", out).outputMode("append").start().awaitTermination()
         return spark.read.schema(schema).parquet(out)
