@@ -55,14 +55,6 @@ def split_pieces(text: Column, pattern: str = SPLIT_DIGITS_3) -> Column:
     return F.regexp_extract_all(text, F.lit("(?U)" + pattern), F.lit(0))
 
 
-def adjacent_pairs(symbols: Column) -> Column:
-    """All neighbouring symbol pairs of a string, as two-character strings."""
-    chars = F.split(symbols, "")
-    n = F.size(chars) - 1
-    return F.zip_with(
-        F.slice(chars, F.lit(1), n), F.slice(chars, F.lit(2), n), lambda l, r: F.concat(l, r))
-
-
 def cap_bytes(text: Column, cap: int) -> Column:
     """Longest prefix of at most ``cap`` bytes that ends on a whole character.
 

@@ -73,22 +73,18 @@ def call_result(df: DataFrame, call: str, out: str = "result") -> DataFrame:
 
 
 def tool_calls(conversations: DataFrame) -> DataFrame:
-    """Every call with the output part that follows it."""
-    message = conversations.select("task", "idx", F.explode("messages").alias("m"))
+    """Every call with the output part that follows it.
+
+    Outer generators: plain ones would make the optimizer build the messages a
+    second time just to skip empty arrays.
+    """
+    message = conversations.select("task", "idx", F.explode_outer("messages").alias("m"))
     parts = message.select("task", "idx", F.col("m")["parts"].alias("parts"))
-    pairs = F.filter(
-        F.transform(
-            "parts",
-            lambda p, i: F.struct(
-                p["type"].alias("type"), p["text"].alias("call"),
-                F.get(F.col("parts"), i + 1).alias("next"), i.alias("at"),
-            ),
-        ),
-        lambda p: p["type"] == "python",
-    )
-    return parts.select("task", "idx", F.explode(pairs).alias("p")).select(
-        "task", "idx", F.col("p")["at"].alias("part_no"), F.col("p")["call"].alias("call"),
-        F.when(F.col("p")["next"]["type"] == "python_output", F.col("p")["next"]["text"]).alias("recorded"),
+    placed = parts.select("task", "idx", "parts", F.posexplode_outer("parts").alias("part_no", "part"))
+    after = F.get("parts", F.col("part_no") + 1)
+    return placed.where(F.col("part")["type"] == "python").select(
+        "task", "idx", "part_no", F.col("part")["text"].alias("call"),
+        F.when(after["type"] == "python_output", after["text"]).alias("recorded"),
     )
 
 

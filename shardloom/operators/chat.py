@@ -234,5 +234,26 @@ def completion_prompts(df: DataFrame, tok: Tokenizer, max_tokens: int = MAX_TOKE
     return prompts.withColumn("ids", F.concat("ids", start)).drop("mask", "messages")
 
 
+def completion_prompts_of_turns(
+    turns: DataFrame, tok: Tokenizer, conv: str = "conv_id", max_tokens: int = MAX_TOKENS
+) -> DataFrame:
+    """The same prompts from turn rows.
+
+    The last turn is found by a partial aggregate and only turns that can reach
+    the prompt are gathered, however long a conversation is.
+    """
+    closing = turns.groupBy(conv).agg(
+        F.max("turn").alias("_last"), F.max_by("role", "turn").alias("_last_role")
+    )
+    kept = (
+        first_turns(turns, max_tokens)
+        .join(closing.where(F.col("_last_role") == "assistant"), conv)
+        .where(F.col("turn") < F.col("_last"))
+    )
+    start = F.array(F.lit(tok.special_id("<|assistant_start|>")))
+    prompts = render(assemble(kept, conv), tok, max_tokens)
+    return prompts.withColumn("ids", F.concat("ids", start)).drop("mask", "messages")
+
+
 def open_conversations(df: DataFrame) -> DataFrame:
     return df.where(F.element_at("messages", -1)["role"] != "assistant")

@@ -73,6 +73,8 @@ def slice_view(
         raise ValueError(f"stop {stop} lies before start {start}")
     if step < 1:
         raise ValueError(f"step must be positive, got {step}")
+    if (start, stop, step) == (0, None, 1):
+        return df
     at = F.col(idx)
     keep = (at >= start) & (F.pmod(at - start, F.lit(step)) == 0)
     if stop is not None:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from shardloom.functions.text import draw, py_strip, seeded_hash
 from shardloom.operators.ordered import shuffled_positions
+from shardloom.session import materialize
 
 # Fixed value: seed added to the item number when few-shot examples are drawn.
 FEWSHOT_SEED = 1234
@@ -29,11 +30,10 @@ def fewshot_pairs(items: DataFrame, k: int, task: str = "task", idx: str = "idx"
     meets itself. Places are found by an equi-join, so the work is k rows per
     item, whatever the size of a task.
     """
-    ring = shuffled_positions(
-        items.select(task, idx), seeded_hash("ring", F.col(task), F.col(idx)), "place", [task]
-    )
+    digest = seeded_hash("ring", F.col(task), F.col(idx))
+    ring = materialize(shuffled_positions(items.select(task, idx), digest, "place", [task]), "ring")
     sizes = ring.groupBy(task).agg(F.count("*").alias("n"))
-    seats = ring.join(F.broadcast(sizes), task)  # one row per task
+    seats = ring.join(sizes, task)
     start = draw(seeded_hash(FEWSHOT_SEED, F.col(idx)), F.col("n") - 1)
     shots = F.sequence(F.lit(0), F.least(F.lit(k), F.col("n") - 1) - 1)
     wanted = (
@@ -251,7 +251,7 @@ def letter_argmax(items: DataFrame, scores: DataFrame, letters: DataFrame, key:
     """
     wanted = (
         items.select(key, "answer_pos", F.posexplode("letters").alias("place", "letter"))
-        .join(F.broadcast(letters), "letter")
+        .join(letters, "letter")
         .withColumnRenamed("answer_pos", "pos")
     )
     found = wanted.join(scores, [key, "pos", "token_id"])

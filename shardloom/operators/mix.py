@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shardloom.functions.text import seeded_hash
@@ -48,13 +48,8 @@ def sequence(tasks: list[DataFrame]) -> DataFrame:
     """
     union = _members(tasks)
     sizes = union.groupBy("member").agg(F.count("*").alias("size"))
-    earlier = F.broadcast(sizes.select(F.col("member").alias("other"), "size"))
-    starts = (
-        sizes.select("member")
-        .join(earlier, F.col("other") < F.col("member"), "left")
-        .groupBy("member")
-        .agg(F.coalesce(F.sum("size"), F.lit(0)).alias("start"))
-    )
+    before = Window.partitionBy().orderBy("member").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("member", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
     return (
         union.join(F.broadcast(starts), "member")
         .withColumn("pos", F.col("start") + F.col("idx"))

@@ -88,7 +88,7 @@ def pack_epochs(
     describe the reader after it has fetched what the batch needs.
     """
     repeated = encoded.withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1)))).withColumn(
-        "_stream_pos", F.col("_epoch") * F.lit(size) + F.col(pos)
+        "_stream_pos", F.col("_epoch").cast("bigint") * F.lit(size) + F.col(pos)
     )
     packed = pack(repeated, "_stream_pos", batch, length, ids=ids)
     fetched = F.col("last_key") + 1

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shardloom.functions.text import count_of, draw, seeded_hash
 from shardloom.operators.ordered import shuffled_positions
+from shardloom.session import materialize
 from shardloom.sources.conversations import parts_message, plain_message
 
 # Answer letters, MMLU subjects.
@@ -210,8 +211,12 @@ def chat_conversations(rows: DataFrame, task: str = "SmolTalk") -> DataFrame:
 
 
 def index_words(words: DataFrame, order: str = "bee") -> DataFrame:
-    """Distinct words with a dense index in a hash order named ``order``."""
-    return shuffled_positions(words.select("word").distinct(), seeded_hash(order, F.col("word")), "word_idx")
+    """Distinct words with a dense index in a hash order named ``order``.
+
+    Written once: generators look words up and need their number.
+    """
+    distinct = words.select("word").distinct()
+    return materialize(shuffled_positions(distinct, seeded_hash(order, F.col("word")), "word_idx"), "words")
 
 
 def _pick_words(spark: SparkSession, words: DataFrame, size: int, split: str, salt: str) -> DataFrame:

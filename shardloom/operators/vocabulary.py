@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from shardloom.functions.text import (
     MAX_TOKEN_ID,
     SPLIT_DIGITS_3,
-    adjacent_pairs,
     byte_symbols,
     id_to_symbol,
     split_pieces,
@@ -91,9 +90,14 @@ def with_symbols(counts: DataFrame) -> DataFrame:
 
 
 def _pair_totals(words: DataFrame) -> DataFrame:
+    """One compiled stage: characters, pairs and partial sums. The outer form of
+    the generator keeps the optimizer from splitting each word twice."""
+    chars = words.where(F.length("syms") > 1).select(F.split("syms", "").alias("chars"), "cnt")
+    placed = chars.select("cnt", "chars", F.posexplode_outer("chars").alias("pos", "left"))
+    pair = F.concat("left", F.get("chars", F.col("pos") + 1))
     return (
-        words.where(F.length("syms") > 1)
-        .select(F.explode(adjacent_pairs(F.col("syms"))).alias("pair"), "cnt")
+        placed.where(F.col("pos") < F.size("chars") - 1)
+        .select(pair.alias("pair"), "cnt")
         .groupBy("pair")
         .agg(F.sum("cnt").alias("cnt"))
     )

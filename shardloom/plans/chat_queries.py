@@ -119,8 +119,7 @@ SELECT conv_id, md5({sq.joined(f"([{BASE}] || flatten(list(ids ORDER BY turn)))[
 FROM parts JOIN lastturn USING (conv_id) WHERE r = 'assistant' AND turn < t GROUP BY conv_id""",
 )
 def completion_prompt(spark, sf_dir):
-    rows = chat.assemble(_turns(spark, sf_dir))
-    prompts = chat.completion_prompts(rows, inputs.tokenizer(spark, sf_dir))
+    prompts = chat.completion_prompts_of_turns(_turns(spark, sf_dir), inputs.tokenizer(spark, sf_dir))
     return prompts.select("conv_id", F.md5(_JOIN(F.col("ids"))).alias("ids"))
 
 

@@ -15,6 +15,7 @@ from shardloom.operators.vocabulary import Tokenizer, train_tokenizer
 from shardloom.plans.registry import table
 from shardloom.plans.sqltext import N_MERGES
 from shardloom.plans.sqltext import draw as sql_draw
+from shardloom.session import materialize, spread
 
 _TOKENIZERS: dict[tuple, Tokenizer] = {}
 
@@ -23,7 +24,7 @@ def tokenizer(spark: SparkSession, sf_dir: str, n_merges: int = N_MERGES) -> Tok
     """The tokenizer trained on ``documents``, trained once per session and folder."""
     key = (spark.sparkContext.applicationId, sf_dir, n_merges)
     if key not in _TOKENIZERS:
-        docs = table(spark, sf_dir, "documents")
+        docs = heavy_documents(spark, sf_dir)
         _TOKENIZERS[key] = train_tokenizer(docs, 256 + n_merges, "doc_id")
     return _TOKENIZERS[key]
 
@@ -32,9 +33,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def heavy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` on all cores, for splitting and encoding."""
+    return spread(documents(spark, sf_dir))
+
+
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = F.regexp_extract_all("text", F.lit("[a-z]+"), F.lit(0))
-    return documents(spark, sf_dir).select(F.explode(found).alias("word")).distinct()
+    return heavy_documents(spark, sf_dir).select(F.explode(found).alias("word")).distinct()
 
 
 WORDS_SQL = "words AS MATERIALIZED (SELECT DISTINCT unnest(regexp_extract_all(text, '[a-z]+')) AS word FROM documents)"
@@ -48,7 +54,7 @@ def chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mmlu(spark: SparkSession, sf_dir: str) -> DataFrame:
     quarter = F.expr("length(text) div 4").cast("int")
     cut = lambda i: F.substring(F.col("text"), quarter * i + 1, quarter if i < 3 else F.length("text"))
-    return documents(spark, sf_dir).select(
+    return heavy_documents(spark, sf_dir).select(
         F.col("doc_id").alias("idx"),
         F.col("text").alias("question"),
         F.array(*[cut(i) for i in range(4)]).alias("choices"),
@@ -99,7 +105,7 @@ def gsm8k(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.lit("I cannot tell."))
     )
     return (
-        table(spark, sf_dir, "orders")
+        spread(table(spark, sf_dir, "orders"))
         .select(
             F.col("o_orderkey").alias("idx"),
             (F.col("o_custkey") % 97 + 1).alias("a"),
@@ -177,7 +183,7 @@ def eval_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("idx")
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "ending"))), lambda c: c["ending"]).alias("choices"))
     )
-    return halves.join(choices, "idx")
+    return materialize(halves.join(choices, "idx"), "items")
 
 
 EVAL_ITEMS_SQL = f"""halves AS (SELECT item_id AS idx, 'task' || (item_id % 3) AS task, substr(text, 1, length(text) // 2) AS query,
@@ -190,9 +196,11 @@ items AS (SELECT h.idx, h.task, h.query, h.ending, h.gold,
 
 def token_losses(encoded: DataFrame, key: str) -> DataFrame:
     """One row per token with a reproducible loss (multiples of 1/4096)."""
-    rows = encoded.select("*", F.posexplode("ids").alias("pos", "target_id")).drop("ids")
-    loss = draw(seeded_hash("loss", F.col(key), F.col("pos")), 65536) / 4096.0
+    # The outer form: a plain one would make the optimizer encode twice.
+    rows = encoded.select("*", F.posexplode_outer("ids").alias("pos", "target_id")).drop("ids")
+    rows = rows.where(F.col("pos").isNotNull())
+    loss = ((F.col(key) * 7919 + F.col("pos").cast("bigint") * 104729) % 65536) / 4096.0
     return rows.withColumn("loss", loss)
 
 
-LOSS_SQL = lambda key, pos: f"({sql_draw(chr(39) + 'loss|' + chr(39) + ' || ' + key + ' || ' + chr(39) + '|' + chr(39) + ' || ' + pos, 65536)} / 4096.0::DOUBLE)"
+LOSS_SQL = lambda key, pos: f"((({key} * 7919 + {pos} * 104729) % 65536) / 4096.0::DOUBLE)"

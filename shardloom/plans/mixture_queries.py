@@ -8,7 +8,7 @@ from shardloom.operators import chat, mix, pack, tasks
 from shardloom.operators.tokens import encode_corpus
 from shardloom.plans import inputs
 from shardloom.plans import sqltext as sq
-from shardloom.plans.chat_queries import _RENDERED_SQL, BASE, BEE_SQL, SPELL_SQL, rendered
+from shardloom.plans.chat_queries import _MC_SQL, _RENDERED_SQL, BASE, BEE_SQL, SPELL_SQL, rendered
 from shardloom.plans.registry import query, table
 from shardloom.session import materialize
 
@@ -63,74 +63,96 @@ def sequence(spark, sf_dir):
     return mix.sequence(_three_members(spark, sf_dir)).select("pos", "member", "task", "idx")
 
 
-def _conversation_tables(spark, sf_dir):
-    """All tasks of the presets, shuffled per benchmark, with dense idx."""
+def _conversation_tables(spark, sf_dir, members):
+    """The task tables that ``members`` name, each shuffled and with dense idx.
+
+    A shuffled benchmark is written once: mixtures read it more than once.
+    """
     def shuffled(rows):
-        return mix.seeded_shuffle(rows.withColumnRenamed("idx", "_row"), "_row").drop("_row")
-
-    mmlu, gsm = inputs.mmlu(spark, sf_dir), inputs.gsm8k(spark, sf_dir).drop("a", "b", "kind")
-    arc, talks = inputs.arc(spark, sf_dir), inputs.chat(spark, sf_dir)
-    even, odd = F.col("idx") % 2 == 0, F.col("idx") % 2 == 1
-    n = inputs.documents(spark, sf_dir).agg(F.count("*")).first()[0]
-    bee_words = tasks.index_words(inputs.words(spark, sf_dir), "bee")
-    spell_words = tasks.index_words(inputs.words(spark, sf_dir), "spell")
-    return {
-        ("SmolTalk", "train"): tasks.chat_conversations(shuffled(talks.where(even))),
-        ("SmolTalk", "test"): tasks.chat_conversations(shuffled(talks.where(odd))),
-        ("CustomJSON", "train"): tasks.chat_conversations(shuffled(talks.where(odd)), "CustomJSON"),
-        ("MMLU", "auxiliary_train"): tasks.mmlu_conversations(shuffled(mmlu.where(even))),
-        ("MMLU", "test"): tasks.mmlu_conversations(shuffled(mmlu.where(odd))),
-        ("GSM8K", "train"): tasks.gsm8k_conversations(shuffled(gsm.where(even))),
-        ("GSM8K", "test"): tasks.gsm8k_conversations(shuffled(gsm.where(odd))),
-        ("ARC-Easy", "train"): tasks.arc_conversations(shuffled(arc.where(even))),
-        ("ARC-Challenge", "train"): tasks.arc_conversations(shuffled(arc.where(odd)), "ARC-Challenge"),
-        ("SimpleSpelling", "train"): tasks.spelling_conversations(spark, spell_words, n, "train"),
-        ("SpellingBee", "train"): tasks.letter_count_conversations(spark, bee_words, n, "train"),
+        placed = mix.seeded_shuffle(rows.withColumnRenamed("idx", "_row"), "_row").drop("_row")
+        return materialize(placed, "benchmark")
+
+    def half(rows, rest):
+        return shuffled(rows.where(F.col("idx") % 2 == rest))
+
+    def generated(make, salt):
+        n = inputs.documents(spark, sf_dir).agg(F.count("*")).first()[0]
+        return make(spark, tasks.index_words(inputs.words(spark, sf_dir), salt), n, "train")
+
+    gsm = lambda: inputs.gsm8k(spark, sf_dir).drop("a", "b", "kind")
+    makers = {
+        ("SmolTalk", "train"): lambda: tasks.chat_conversations(half(inputs.chat(spark, sf_dir), 0)),
+        ("SmolTalk", "test"): lambda: tasks.chat_conversations(half(inputs.chat(spark, sf_dir), 1)),
+        ("CustomJSON", "train"): lambda: tasks.chat_conversations(half(inputs.chat(spark, sf_dir), 1), "CustomJSON"),
+        ("MMLU", "auxiliary_train"): lambda: tasks.mmlu_conversations(half(inputs.mmlu(spark, sf_dir), 0)),
+        ("MMLU", "test"): lambda: tasks.mmlu_conversations(half(inputs.mmlu(spark, sf_dir), 1)),
+        ("GSM8K", "train"): lambda: tasks.gsm8k_conversations(half(gsm(), 0)),
+        ("GSM8K", "test"): lambda: tasks.gsm8k_conversations(half(gsm(), 1)),
+        ("ARC-Easy", "train"): lambda: tasks.arc_conversations(half(inputs.arc(spark, sf_dir), 0)),
+        ("ARC-Challenge", "train"): lambda: tasks.arc_conversations(half(inputs.arc(spark, sf_dir), 1), "ARC-Challenge"),
+        ("SimpleSpelling", "train"): lambda: generated(tasks.spelling_conversations, "spell"),
+        ("SpellingBee", "train"): lambda: generated(tasks.letter_count_conversations, "bee"),
     }
+    return {(m.task, m.split): makers[(m.task, m.split)]() for m in members}
+
+
+def _preset(spark, sf_dir, stage):
+    tables = _conversation_tables(spark, sf_dir, mix.PRESETS[(stage, "full", "train")])
+    return mix.preset_mixture(tables, stage, "full", "train").select("pos", "member", "task", "idx", "messages")
 
 
 _SHUFFLED_SQL = lambda name, task, key, source, text, where: (
-    f"{name} AS (SELECT '{task}' AS task, row_number() OVER (ORDER BY md5('42|' || {key})) - 1 AS idx, {text} AS first_text FROM {source} WHERE {where})"
+    f"{name} AS (SELECT '{task}' AS task, row_number() OVER (ORDER BY md5('42|' || {key})) - 1 AS idx, md5({text}) AS first FROM {source} WHERE {where})"
 )
 _CHAT_FIRST = "(SELECT conv_id, first(text ORDER BY turn) AS t FROM conversations GROUP BY conv_id)"
+_MMLU_FIRST = _MC_SQL("question", "['A', 'B', 'C', 'D']", "choices")
+_ARC_FIRST = _MC_SQL("question", "labels", "texts")
 _TASKS_SQL = f"""{inputs.MMLU_SQL}, {inputs.GSM8K_SQL}, {inputs.ARC_SQL}, {BEE_SQL},
 iw2 AS MATERIALIZED (SELECT word, row_number() OVER (ORDER BY md5('spell|' || word)) - 1 AS word_idx FROM words),
-{_SHUFFLED_SQL('talk0', 'SmolTalk', 'conv_id', _CHAT_FIRST, 'md5(t)', 'conv_id % 2 = 0')},
-{_SHUFFLED_SQL('talk1', 'CustomJSON', 'conv_id', _CHAT_FIRST, 'md5(t)', 'conv_id % 2 = 1')},
-{_SHUFFLED_SQL('mmlu0', 'MMLU', 'idx', 'mmlu', 'length(question)::VARCHAR', 'idx % 2 = 0')},
-{_SHUFFLED_SQL('gsm_train', 'GSM8K', 'idx', 'gsm8k', 'md5(question)', 'idx % 2 = 0')},
-{_SHUFFLED_SQL('arc0', 'ARC-Easy', 'idx', 'arc', 'idx::VARCHAR', 'idx % 2 = 0')},
-{_SHUFFLED_SQL('arc1', 'ARC-Challenge', 'idx', 'arc', 'idx::VARCHAR', 'idx % 2 = 1')},
-spell0 AS (SELECT 'SimpleSpelling' AS task, doc_id AS idx, word FROM documents
+{_SHUFFLED_SQL('talk0', 'SmolTalk', 'conv_id', _CHAT_FIRST, 't', 'conv_id % 2 = 0')},
+{_SHUFFLED_SQL('talk1', 'CustomJSON', 'conv_id', _CHAT_FIRST, 't', 'conv_id % 2 = 1')},
+{_SHUFFLED_SQL('mmlu0', 'MMLU', 'idx', 'mmlu', _MMLU_FIRST, 'idx % 2 = 0')},
+{_SHUFFLED_SQL('gsm_train', 'GSM8K', 'idx', 'gsm8k', 'question', 'idx % 2 = 0')},
+{_SHUFFLED_SQL('arc0', 'ARC-Easy', 'idx', 'arc', _ARC_FIRST, 'idx % 2 = 0')},
+{_SHUFFLED_SQL('arc1', 'ARC-Challenge', 'idx', 'arc', _ARC_FIRST, 'idx % 2 = 1')},
+spell0 AS (SELECT 'SimpleSpelling' AS task, doc_id AS idx, md5('Spell the word: ' || word) AS first FROM documents
  JOIN iw2 ON iw2.word_idx = {sq.draw("'spell|train|' || doc_id || '|word'", '(SELECT count(*) FROM iw2)')}),
-bee2 AS (SELECT 'SpellingBee' AS task, i AS idx, question FROM bee)"""
+bee2 AS (SELECT 'SpellingBee' AS task, i AS idx, md5(question) AS first FROM bee)"""
+
+
+def _preset_sql(members: list[tuple[str, int | None]]) -> str:
+    union = " UNION ALL ".join(
+        f"SELECT {i} AS member, task, idx, first FROM {name}" + (f" WHERE idx < {stop}" if stop else "")
+        for i, (name, stop) in enumerate(members)
+    )
+    return (
+        f"WITH {_TASKS_SQL}, u AS ({union}) "
+        "SELECT row_number() OVER (ORDER BY md5('42|' || member || '|' || idx)) - 1 AS pos, member, task, idx, first FROM u"
+    )
 
 
 def _shown_mixture(df):
-    return df.select("pos", "member", "task", "idx")
+    """Positions with a digest of the first message."""
+    first = F.md5(F.col("messages")[0]["parts"][0]["text"])
+    return df.select("pos", "member", "task", "idx", first.alias("first"))
 
 
 @query(
     "mid_mixture",
-    f"""WITH {_TASKS_SQL}, u AS (SELECT 0 AS member, task, idx FROM talk0 UNION ALL SELECT 1, task, idx FROM mmlu0
-UNION ALL SELECT 2, task, idx FROM gsm_train UNION ALL SELECT 3, task, idx FROM spell0 WHERE idx < 200000 UNION ALL SELECT 4, task, idx FROM bee2 WHERE idx < 80000)
-SELECT row_number() OVER (ORDER BY md5('42|' || member || '|' || idx)) - 1 AS pos, member, task, idx FROM u""",
+    _preset_sql([("talk0", None), ("mmlu0", None), ("gsm_train", None), ("spell0", 200_000), ("bee2", 80_000)]),
 )
 def mid_mixture(spark, sf_dir):
     """The full mid-training preset; the row limits are those of the preset."""
-    return _shown_mixture(mix.preset_mixture(_conversation_tables(spark, sf_dir), "mid", "full", "train"))
+    return _shown_mixture(_preset(spark, sf_dir, "mid"))
 
 
 @query(
     "sft_mixture",
-    f"""WITH {_TASKS_SQL}, u AS (SELECT 0 AS member, task, idx FROM arc0 UNION ALL SELECT 1, task, idx FROM arc1 UNION ALL SELECT 2, task, idx FROM gsm_train
-UNION ALL SELECT 3, task, idx FROM talk0 WHERE idx < 10000 UNION ALL SELECT 4, task, idx FROM talk1
-UNION ALL SELECT 5, task, idx FROM spell0 WHERE idx < 300 UNION ALL SELECT 6, task, idx FROM bee2 WHERE idx < 300)
-SELECT row_number() OVER (ORDER BY md5('42|' || member || '|' || idx)) - 1 AS pos, member, task, idx FROM u""",
+    _preset_sql([("arc0", None), ("arc1", None), ("gsm_train", None), ("talk0", 10_000), ("talk1", None), ("spell0", 300), ("bee2", 300)]),
 )
 def sft_mixture(spark, sf_dir):
     """The full fine-tuning preset; the row limits are those of the preset."""
-    return _shown_mixture(mix.preset_mixture(_conversation_tables(spark, sf_dir), "sft", "full", "train"))
+    return _shown_mixture(_preset(spark, sf_dir, "sft"))
 
 
 # --- packing -----------------------------------------------------------------
@@ -156,7 +178,7 @@ packed AS (SELECT batch_id, r::INT AS row_in_batch, last_key, w[r * {length} + 1
 SELECT batch_id, row_in_batch, md5({sq.joined('inputs')}) AS inputs, md5({sq.joined('targets')}) AS targets FROM packed""",
 )
 def pack_pretrain(spark, sf_dir):
-    docs = inputs.documents(spark, sf_dir).select("doc_id", "text")
+    docs = inputs.heavy_documents(spark, sf_dir).select("doc_id", "text")
     encoded = encode_corpus(docs, inputs.tokenizer(spark, sf_dir), prepend="<|bos|>").drop("text")
     packed = pack.pack(materialize(encoded, "encoded"), "doc_id", BATCH, LENGTH)
     return packed.select(
@@ -175,7 +197,7 @@ def pack_pretrain_ranks(spark, sf_dir):
     """Two workers, each with a stream of its own units of 16 documents."""
     from shardloom.sources.shards import assign_ranks
 
-    docs = inputs.documents(spark, sf_dir).select("doc_id", "text", F.expr("doc_id div 16").alias("unit"))
+    docs = inputs.heavy_documents(spark, sf_dir).select("doc_id", "text", F.expr("doc_id div 16").alias("unit"))
     encoded = encode_corpus(assign_ranks(docs, "unit", 2), inputs.tokenizer(spark, sf_dir), prepend="<|bos|>")
     windows = pack.windows(materialize(encoded.select("doc_id", "rank", "ids"), "encoded"), "doc_id", BATCH * LENGTH + 1, ["rank"])
     return windows.select("rank", F.col("window_id").alias("batch_id"), F.md5(_JOIN("tokens")).alias("tokens"))
@@ -237,7 +259,7 @@ SELECT conv_id, w::INT AS width, md5({sq.joined(f'ids || list_transform(range(w
 )
 def pad_stack(spark, sf_dir):
     """Groups of eight prompts padded to their longest with BOS."""
-    rows = rendered(spark, sf_dir).withColumn("batch", F.expr("conv_id div 8"))
+    rows = materialize(rendered(spark, sf_dir).select("conv_id", "ids", F.expr("conv_id div 8").alias("batch")), "prompts")
     padded = pack.pad_right(rows, "batch", inputs.tokenizer(spark, sf_dir).special_id("<|bos|>"))
     return padded.select("conv_id", F.size("padded").alias("width"), F.md5(_JOIN("padded")).alias("padded"))
 

@@ -18,7 +18,7 @@ DOC_SCHEMA = "doc_id bigint, text string, lang string"
 
 def _doc_files(spark, sf_dir):
     path = scratch_path(spark, "docs")
-    docs = inputs.documents(spark, sf_dir).select("doc_id", "text", "lang")
+    docs = inputs.heavy_documents(spark, sf_dir).select("doc_id", "text", "lang")
     docs.repartitionByRange(8, "doc_id").write.parquet(path)
     return path
 
@@ -48,7 +48,7 @@ def stream_pack(spark, sf_dir):
     """Shards land in three steps; the remainder of each rank is carried over."""
     tok = inputs.tokenizer(spark, sf_dir)
     source, out, progress = (scratch_path(spark, f"pack-{part}") for part in ("in", "out", "progress"))
-    docs = inputs.documents(spark, sf_dir).select("doc_id", "text", F.expr("doc_id div 16").alias("unit"))
+    docs = inputs.heavy_documents(spark, sf_dir).select("doc_id", "text", F.expr("doc_id div 16").alias("unit"))
     last = docs.agg(F.max("doc_id")).first()[0]
     encoded = encode_corpus(assign_ranks(docs, "unit", 2), tok, prepend="<|bos|>").select("doc_id", "rank", "ids")
     result = None

@@ -25,7 +25,7 @@ BOS = 256 + sq.N_MERGES
 FROM (SELECT doc_id, lang, {sq.pieces('text')} AS p FROM documents)""",
 )
 def pretokenize(spark, sf_dir):
-    split = inputs.documents(spark, sf_dir).select("doc_id", "lang", vb.split_pieces(F.col("text")).alias("p"))
+    split = inputs.heavy_documents(spark, sf_dir).select("doc_id", "lang", vb.split_pieces(F.col("text")).alias("p"))
     return split.select("doc_id", "lang", F.size("p").alias("n_pieces"), F.md5(F.array_join("p", "\x1e")).alias("digest"))
 
 
@@ -34,11 +34,11 @@ def pretokenize(spark, sf_dir):
     f"SELECT piece, count(*) AS cnt FROM (SELECT unnest({sq.pieces('text', 2)}) AS piece FROM documents) GROUP BY piece",
 )
 def piece_counts(spark, sf_dir):
-    return vb.piece_counts(inputs.documents(spark, sf_dir), pattern=SPLIT_DIGITS_2)
+    return vb.piece_counts(inputs.heavy_documents(spark, sf_dir), pattern=SPLIT_DIGITS_2)
 
 
 def _words(spark, sf_dir):
-    return vb.with_symbols(vb.piece_counts(inputs.documents(spark, sf_dir)))
+    return vb.with_symbols(vb.piece_counts(inputs.heavy_documents(spark, sf_dir)))
 
 
 @query(
@@ -71,7 +71,7 @@ def merge_once(spark, sf_dir):
 @query("bpe_train", f"WITH {sq.train()} SELECT rank, l, r, token_id, cnt FROM merges")
 def bpe_train(spark, sf_dir):
     """Merge rules learnt from all documents; trains anew on every call."""
-    docs = inputs.documents(spark, sf_dir)
+    docs = inputs.heavy_documents(spark, sf_dir)
     tok = vb.train_tokenizer(docs, 256 + sq.N_MERGES, "doc_id")
     return vb.merge_table(spark, tok)
 
@@ -83,7 +83,7 @@ def bpe_train(spark, sf_dir):
 def bpe_train_specials_reserved(spark, sf_dir):
     """Room for the special tokens is taken off the size; digit runs of two."""
     tok = vb.train_tokenizer(
-        inputs.documents(spark, sf_dir), 256 + 16 + len(vb.SPECIAL_TOKENS), "doc_id",
+        inputs.heavy_documents(spark, sf_dir), 256 + 16 + len(vb.SPECIAL_TOKENS), "doc_id",
         pattern=SPLIT_DIGITS_2, reserve_specials=True,
     )
     return vb.merge_table(spark, tok)
@@ -135,7 +135,7 @@ def token_bytes(spark, sf_dir):
 def tokenizer_roundtrip(spark, sf_dir):
     """The artifact written and its JSON form read back."""
     tok = inputs.tokenizer(spark, sf_dir)
-    docs = inputs.documents(spark, sf_dir)
+    docs = inputs.heavy_documents(spark, sf_dir)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0]
     path = scratch_path(spark, "tokenizer")
     artifacts.write_tokenizer(spark, tok, path, 1, total)
@@ -148,7 +148,7 @@ def tokenizer_roundtrip(spark, sf_dir):
     f"WITH {sq.train()}, {_ENCODED_DOCS} SELECT doc_id, length(syms)::INT AS n_tokens, md5({sq.joined(sq.ids('syms'))}) AS ids FROM enc",
 )
 def encode_corpus(spark, sf_dir):
-    encoded = tk.encode_corpus(inputs.documents(spark, sf_dir), inputs.tokenizer(spark, sf_dir))
+    encoded = tk.encode_corpus(inputs.heavy_documents(spark, sf_dir), inputs.tokenizer(spark, sf_dir))
     return encoded.select("doc_id", F.size("ids").alias("n_tokens"), F.md5(_JOIN_IDS("ids")).alias("ids"))
 
 
@@ -159,7 +159,7 @@ md5('{BOS} ' || {sq.joined(sq.ids('syms'))} || ' {BOS + 4}') AS ids FROM enc""",
 )
 def encode_bos(spark, sf_dir):
     encoded = tk.encode_corpus(
-        inputs.documents(spark, sf_dir), inputs.tokenizer(spark, sf_dir), prepend="<|bos|>", append="<|assistant_end|>"
+        inputs.heavy_documents(spark, sf_dir), inputs.tokenizer(spark, sf_dir), prepend="<|bos|>", append="<|assistant_end|>"
     )
     return encoded.select(
         "doc_id", F.get("ids", F.lit(0)).alias("first_id"), F.element_at("ids", -1).alias("last_id"),
@@ -170,7 +170,7 @@ def encode_bos(spark, sf_dir):
 @query("decode_corpus", "SELECT doc_id, md5(text) AS digest, length(text)::INT AS n_chars FROM documents")
 def decode_corpus(spark, sf_dir):
     tok = inputs.tokenizer(spark, sf_dir)
-    encoded = tk.encode_corpus(inputs.documents(spark, sf_dir), tok)
+    encoded = tk.encode_corpus(inputs.heavy_documents(spark, sf_dir), tok)
     decoded = encoded.select("doc_id", tk.decode_ids(tok, F.col("ids")).alias("text"))
     return decoded.select("doc_id", F.md5("text").alias("digest"), F.length("text").alias("n_chars"))
 
@@ -206,5 +206,5 @@ def vocab_stats(spark, sf_dir):
 sum(length(syms))::BIGINT AS n_tokens, sum(octet_length(encode(text)))::DOUBLE / sum(length(syms))::DOUBLE AS ratio FROM enc GROUP BY ROLLUP(lang)""",
 )
 def compression_ratio(spark, sf_dir):
-    encoded = tk.encode_corpus(inputs.documents(spark, sf_dir), inputs.tokenizer(spark, sf_dir))
+    encoded = tk.encode_corpus(inputs.heavy_documents(spark, sf_dir), inputs.tokenizer(spark, sf_dir))
     return tk.compression_ratio(encoded, "lang").withColumn("lang", F.coalesce("lang", F.lit("all")))

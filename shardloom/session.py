@@ -50,6 +50,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """More partitions for a file scan that has fewer than there are cores.
+
+    For CPU-heavy work on one or two files. A scan of many files comes back
+    unchanged, so no shuffle is added where the data is large.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
