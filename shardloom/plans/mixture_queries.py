@@ -75,9 +75,11 @@ def _conversation_tables(spark, sf_dir, members):
     def half(rows, rest):
         return shuffled(rows.where(F.col("idx") % 2 == rest))
 
+    words = materialize(inputs.words(spark, sf_dir), "words")
+
     def generated(make, salt):
         n = inputs.documents(spark, sf_dir).agg(F.count("*")).first()[0]
-        return make(spark, tasks.index_words(inputs.words(spark, sf_dir), salt), n, "train")
+        return make(spark, tasks.index_words(words, salt), n, "train")
 
     gsm = lambda: inputs.gsm8k(spark, sf_dir).drop("a", "b", "kind")
     makers = {
