@@ -35,6 +35,7 @@ SPECIAL_TOKENS = (
 N_BYTES = 256
 _TOP_PAIRS = 512
 _MAX_BATCH = 64
+_PAIR_TASKS = 64  # distinct pairs are few next to distinct pieces
 _WRITE_EVERY = 128
 
 
@@ -165,6 +166,7 @@ def train_merges(
     if N_BYTES + n_merges > MAX_TOKEN_ID:
         raise ValueError(f"at most {MAX_TOKEN_ID - N_BYTES} merges")
     spark = words.sparkSession
+    pair_tasks = str(min(_PAIR_TASKS, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     merges: list[tuple[int, int, int]] = []
     current, stale = words.persist(), None
     unwritten = 0
@@ -172,7 +174,9 @@ def train_merges(
         while len(merges) < n_merges:
             ranked = _pair_totals(current).orderBy(F.desc("cnt"), "pair").limit(_TOP_PAIRS)
             # Pair totals are small and even: runtime re-planning would only slow a round.
-            with session_conf(spark, spark_sql_adaptive_enabled="false"):
+            with session_conf(
+                spark, spark_sql_adaptive_enabled="false", spark_sql_shuffle_partitions=pair_tasks
+            ):
                 top = ranked.collect()  # also fills the cache of ``current``
             if stale is not None:
                 stale.unpersist()

@@ -11,7 +11,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from shardloom.functions.text import SPLIT_DIGITS_3, split_pieces
 from shardloom.operators.requests import validate_requests
-from shardloom.session import scratch_path
+from shardloom.session import scratch_path, session_conf
 
 
 def shard_stream(spark: SparkSession, path: str, schema: str, files_per_trigger: int = 64) -> DataFrame:
@@ -73,13 +73,19 @@ def stream_pack(encoded: DataFrame, rank: str, order: str, batch: int, length: i
 
 
 def run_to_table(
-    stream: DataFrame, name: str, mode: str = "append", out: str | None = None, progress: str | None = None
+    stream: DataFrame,
+    name: str,
+    mode: str = "append",
+    out: str | None = None,
+    progress: str | None = None,
+    state_partitions: int | None = None,
 ) -> DataFrame:
     """Process everything available into parquet and read the result back.
 
     Append output goes through the file sink; a complete result is written per
     trigger, and the last trigger's table is the answer. Passing the same
     ``out`` and ``progress`` folders again continues where the last run ended.
+    ``state_partitions`` fits the state to the number of keys at the first start.
     """
     spark = stream.sparkSession
     out = out or scratch_path(spark, name)
@@ -87,7 +93,9 @@ def run_to_table(
     schema = stream.schema
     writer = stream.writeStream.option("checkpointLocation", progress).trigger(availableNow=True)
     if mode == "append":
-        writer.format("parquet").option("path", out).outputMode("append").start().awaitTermination()
+        settings = {} if state_partitions is None else {"spark_sql_shuffle_partitions": str(state_partitions)}
+        with session_conf(spark, **settings):
+            writer.format("parquet").option("path", out).outputMode("append").start().awaitTermination()
         return spark.read.schema(schema).parquet(out)
     latest: dict[str, str] = {}
 
