@@ -15,8 +15,12 @@ def token_offsets(encoded: DataFrame, key: str, by: Sequence[str] = (), ids: str
     return running(encoded, key, F.size(ids).cast("bigint"), "offset", by)
 
 
-def windows(encoded: DataFrame, key: str, width: int, by: Sequence[str] = (), ids: str = "ids") -> DataFrame:
-    """Token stream cut into full windows of ``width`` tokens; the rest is left over.
+def windows(
+    encoded: DataFrame, key: str, width: int, by: Sequence[str] = (), ids: str = "ids", keep_rest: bool = False
+) -> DataFrame:
+    """Token stream cut into full windows of ``width`` tokens.
+
+    The rest at the end is left out, or kept as a shorter window with ``keep_rest``.
 
     Documents are sliced at window borders, so rows are document fragments, not
     single tokens; a window gathers ``width`` tokens at most, however long or
@@ -46,9 +50,8 @@ def windows(encoded: DataFrame, key: str, width: int, by: Sequence[str] = (), id
         F.max("_key").alias("last_key"),
     )
     tokens = F.flatten(F.transform("_parts", lambda p: p["_part"]))
-    return gathered.select(*by, "window_id", "last_key", tokens.alias("tokens")).where(
-        F.size("tokens") == width
-    )
+    cut = gathered.select(*by, "window_id", "last_key", tokens.alias("tokens"))
+    return cut if keep_rest else cut.where(F.size("tokens") == width)
 
 
 def pack(

@@ -26,7 +26,7 @@ def _written_shards(spark, sf_dir):
     """``documents`` written as shard files, plus a half-written leftover."""
     path = scratch_path(spark, "shards")
     files = _sharded(spark, sf_dir).select("text", "shard_id")
-    files.repartition("shard_id").write.partitionBy("shard_id").parquet(path)
+    files.write.partitionBy("shard_id").parquet(path)
     return path
 
 

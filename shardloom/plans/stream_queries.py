@@ -56,8 +56,7 @@ def stream_pack(spark, sf_dir):
         low, high = (last + 1) * step // 3, (last + 1) * (step + 1) // 3
         encoded.where((F.col("doc_id") >= low) & (F.col("doc_id") < high)).write.mode("append").parquet(source)
         stream = streams.shard_stream(spark, source, "doc_id bigint, rank int, ids array<int>", files_per_trigger=10_000)
-        packed = streams.stream_pack(stream, "rank", "doc_id", 4, 256)
-        result = streams.run_to_table(packed, "stream-pack", out=out, progress=progress, state_partitions=2)
+        result = streams.pack_stream(stream, "rank", "doc_id", 4, 256, out, progress)
     return result.select("rank", "window_id", F.md5(F.array_join(F.col("tokens").cast("array<string>"), " ")).alias("tokens"))
 
 

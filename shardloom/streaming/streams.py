@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from shardloom.functions.text import SPLIT_DIGITS_3, split_pieces
+from shardloom.operators.pack import windows
 from shardloom.operators.requests import validate_requests
-from shardloom.session import scratch_path, session_conf
+from shardloom.session import scratch_path
+
+_FIRST_KEY = -(2**62)  # order key of carried tokens: before every row
 
 
 def shard_stream(spark: SparkSession, path: str, schema: str, files_per_trigger: int = 64) -> DataFrame:
@@ -37,55 +36,69 @@ def stream_requests(stream: DataFrame, request: str = "request") -> DataFrame:
     return validate_requests(stream, request)
 
 
-def stream_pack(encoded: DataFrame, rank: str, order: str, batch: int, length: int, ids: str = "ids") -> DataFrame:
-    """Full windows per rank; the token remainder is carried to the next trigger.
-
-    A rank is the stream of one trainer, cut by ``assign_ranks`` beforehand.
-    State holds less than one window and the next window number. Within a
-    trigger rows follow ``order``; files must arrive in that order too.
+def pack_stream(
+    encoded: DataFrame, rank: str, order: str, batch: int, length: int, out: str, progress: str, ids: str = "ids"
+) -> DataFrame:
+    """Windows per rank, the token remainder carried from trigger to trigger.
+
+    A trigger packs its rows with the batch plan of ``windows``, so a rank with
+    most of the rows is still spread over tasks. What is carried is a table with
+    less than one window per rank and the next window number; it is written
+    next to the windows under the trigger number, so a repeated trigger
+    overwrites its own output and nothing is counted twice. Rows must arrive in
+    ``order``, trigger by trigger. Runs until everything available is packed.
     """
+    spark = encoded.sparkSession
     width = batch * length + 1
-
-    def cut(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        left, number = state.get if state.exists else ([], 0)
-        rows = pd.concat(list(frames)).sort_values(order)
-        buffer = list(left)
-        made = []
-        for tokens in rows[ids]:
-            buffer.extend(tokens)
-            start = 0
-            while len(buffer) - start >= width:
-                made.append((int(key[0]), number, buffer[start : start + width]))
-                start += width
-                number += 1
-            buffer = buffer[start:]
-        state.update(([int(t) for t in buffer], number))
-        yield pd.DataFrame(made, columns=["rank", "window_id", "tokens"])
-
-    slim = encoded.select(F.col(rank).cast("int").alias("rank"), order, ids)
-    return slim.groupBy("rank").applyInPandasWithState(
-        cut,
-        "rank int, window_id bigint, tokens array<int>",
-        "left array<int>, number bigint",
-        "append",
-        GroupStateTimeout.NoTimeout,
-    )
+    carried_schema = "rank int, next_window bigint, left array<int>"
+
+    def carried(trigger: int) -> DataFrame:
+        if trigger == 0:
+            return spark.createDataFrame([], carried_schema)
+        return spark.read.schema(carried_schema).parquet(f"{out}/carried/trigger={trigger - 1}")
+
+    def pack_trigger(df: DataFrame, trigger: int) -> None:
+        before = carried(trigger)
+        left = before.where(F.size("left") > 0).select(
+            "rank", F.lit(_FIRST_KEY).cast("bigint").alias("key"), F.col("left").alias("ids")
+        )
+        rows = df.select(F.col(rank).cast("int").alias("rank"), F.col(order).cast("bigint").alias("key"), F.col(ids).alias("ids"))
+        # Cached, not written: a trigger must not leave tables behind.
+        stream = left.unionByName(rows).persist()
+        cut = windows(stream, "key", width, ["rank"], keep_rest=True)
+        numbered = cut.join(before.select("rank", "next_window"), "rank", "left").withColumn(
+            "window_id", F.col("window_id") + F.coalesce("next_window", F.lit(0))
+        )
+        cut = numbered.select("rank", "window_id", "tokens").persist()
+        full = F.size("tokens") == width
+        cut.where(full).write.mode("overwrite").parquet(f"{out}/windows/trigger={trigger}")
+        ends = cut.groupBy("rank").agg(
+            (F.max("window_id") + 1).alias("end"),
+            F.max(F.when(~full, F.struct("window_id", "tokens"))).alias("rest"),
+        )
+        now = ends.select(
+            "rank",
+            F.coalesce(F.col("rest")["window_id"], F.col("end")).alias("next_window"),
+            F.coalesce(F.col("rest")["tokens"], F.array().cast("array<int>")).alias("left"),
+        )
+        idle = before.join(now.select("rank"), "rank", "left_anti")
+        now.unionByName(idle).write.mode("overwrite").parquet(f"{out}/carried/trigger={trigger}")
+        cut.unpersist()
+        stream.unpersist()
+
+    writer = encoded.writeStream.option("checkpointLocation", progress).trigger(availableNow=True)
+    writer.foreachBatch(pack_trigger).start().awaitTermination()
+    return spark.read.schema("rank int, window_id bigint, tokens array<int>").parquet(f"{out}/windows")
 
 
 def run_to_table(
-    stream: DataFrame,
-    name: str,
-    mode: str = "append",
-    out: str | None = None,
-    progress: str | None = None,
-    state_partitions: int | None = None,
+    stream: DataFrame, name: str, mode: str = "append", out: str | None = None, progress: str | None = None
 ) -> DataFrame:
     """Process everything available into parquet and read the result back.
 
     Append output goes through the file sink; a complete result is written per
     trigger, and the last trigger's table is the answer. Passing the same
     ``out`` and ``progress`` folders again continues where the last run ended.
-    ``state_partitions`` fits the state to the number of keys at the first start.
     """
     spark = stream.sparkSession
     out = out or scratch_path(spark, name)
@@ -93,9 +106,7 @@ def run_to_table(
     schema = stream.schema
     writer = stream.writeStream.option("checkpointLocation", progress).trigger(availableNow=True)
     if mode == "append":
-        settings = {} if state_partitions is None else {"spark_sql_shuffle_partitions": str(state_partitions)}
-        with session_conf(spark, **settings):
-            writer.format("parquet").option("path", out).outputMode("append").start().awaitTermination()
+        writer.format("parquet").option("path", out).outputMode("append").start().awaitTermination()
         return spark.read.schema(schema).parquet(out)
     latest: dict[str, str] = {}
 

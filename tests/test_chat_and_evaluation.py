@@ -240,12 +240,21 @@ def test_report_values(spark):
 
 
 def test_stream_pack_carries_the_remainder(spark, tmp_path):
-    df, total = stream_rows(spark, [5, 9, 11, 2, 30, 1])
-    df = df.withColumn("rank", F.lit(0))
+    df, _ = stream_rows(spark, [5, 9, 11, 2, 30, 1])
+    other = df.where("k = 10").select("k", "ids", F.lit(1).alias("rank"))
+    df = df.withColumn("rank", F.lit(0)).unionByName(other)
     source, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
     for low, high in ((0, 20), (20, 40), (40, 100)):
         df.where((F.col("k") >= low) & (F.col("k") < high)).write.mode("append").parquet(source)
         stream = streams.shard_stream(spark, source, "k bigint, ids array<int>, rank int")
-        result = streams.run_to_table(streams.stream_pack(stream, "rank", "k", 2, 3), "s", out=out, progress=progress)
+        result = streams.pack_stream(stream, "rank", "k", 2, 3, out, progress)
     batch = pack.windows(df, "k", 7, ["rank"])
-    assert {(r.window_id, tuple(r.tokens)) for r in result.collect()} == {(r.window_id, tuple(r.tokens)) for r in batch.collect()}
+    shown = lambda rows: {(r["rank"], r.window_id, tuple(r.tokens)) for r in rows.collect()}
+    assert shown(result) == shown(batch) and len(shown(batch)) == 9
+
+
+def test_written_batches(spark, tmp_path):
+    df, _ = stream_rows(spark, [20])
+    packed = pack.pack(df, "k", 2, 3).withColumn("split", F.lit("train")).withColumn("rank", F.col("batch_id") % 2)
+    pack.write_batches(packed, str(tmp_path / "b"), "split", "rank")
+    assert spark.read.parquet(str(tmp_path / "b")).where("rank = 1").count() == 2
