@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shardloom.functions.text import cap_bytes
 from shardloom.operators.ordered import RANGE, with_ranges
+from shardloom.session import materialize
 
 
 def drop_null_text(df: DataFrame, text: str = "text") -> DataFrame:
@@ -20,10 +21,12 @@ def cap_documents(df: DataFrame, cap: int, text: str = "text") -> DataFrame:
 def budget_cut(df: DataFrame, key: str, max_bytes: int, text: str = "text"):
     """First key whose preceding documents already fill the budget, or None.
 
-    Range totals (a few thousand numbers at most) name the range in which the
-    budget runs out; only that range is then ordered.
+    The texts are read once, for their sizes, which are written beside. Range
+    totals (a few thousand numbers at most) name the range in which the budget
+    runs out; only that range is then ordered.
     """
-    slim = with_ranges(df.select(key, F.octet_length(text).alias("_bytes")), key)
+    sizes = materialize(df.select(key, F.octet_length(text).alias("_bytes")), "sizes")
+    slim = with_ranges(sizes, key)
     totals = slim.groupBy(RANGE).agg(F.sum("_bytes").alias("n")).orderBy(RANGE).collect()
     filled = 0
     for row in totals:

@@ -10,13 +10,26 @@ from pyspark.sql import functions as F
 from shardloom.operators.ordered import running
 
 
-def token_offsets(encoded: DataFrame, key: str, by: Sequence[str] = (), ids: str = "ids") -> DataFrame:
-    """Offset of every document in the concatenated token stream."""
-    return running(encoded, key, F.size(ids).cast("bigint"), "offset", by)
+def token_offsets(
+    encoded: DataFrame, key: str, by: Sequence[str] = (), ids: str = "ids", sizes: str | None = None
+) -> DataFrame:
+    """Offset of every document in the concatenated token stream.
+
+    With a stored token count in column ``sizes`` the totals are taken without
+    reading the ids.
+    """
+    size = F.size(ids) if sizes is None else F.col(sizes)
+    return running(encoded, key, size.cast("bigint"), "offset", by)
 
 
 def windows(
-    encoded: DataFrame, key: str, width: int, by: Sequence[str] = (), ids: str = "ids", keep_rest: bool = False
+    encoded: DataFrame,
+    key: str,
+    width: int,
+    by: Sequence[str] = (),
+    ids: str = "ids",
+    keep_rest: bool = False,
+    sizes: str | None = None,
 ) -> DataFrame:
     """Token stream cut into full windows of ``width`` tokens.
 
@@ -27,7 +40,8 @@ def windows(
     frequent the documents are.
     """
     by = list(by)
-    placed = token_offsets(encoded.where(F.size(ids) > 0), key, by, ids).select(
+    filled = encoded.where((F.size(ids) if sizes is None else F.col(sizes)) > 0)
+    placed = token_offsets(filled, key, by, ids, sizes).select(
         *by, F.col(key).alias("_key"), "offset", F.col(ids).alias("_ids")
     )
     first = F.expr(f"offset div {width}")
@@ -55,7 +69,13 @@ def windows(
 
 
 def pack(
-    encoded: DataFrame, key: str, batch: int, length: int, by: Sequence[str] = (), ids: str = "ids"
+    encoded: DataFrame,
+    key: str,
+    batch: int,
+    length: int,
+    by: Sequence[str] = (),
+    ids: str = "ids",
+    sizes: str | None = None,
 ) -> DataFrame:
     """Training batches of ``batch`` rows and ``length`` columns, one row a sequence.
 
@@ -63,7 +83,7 @@ def pack(
     so windows do not overlap.
     """
     cells = batch * length
-    rows = windows(encoded, key, cells + 1, by, ids).select(
+    rows = windows(encoded, key, cells + 1, by, ids, sizes=sizes).select(
         *by, F.col("window_id").alias("batch_id"), "last_key", "tokens",
         F.explode(F.sequence(F.lit(0), F.lit(batch - 1))).alias("row_in_batch"),
     )

@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shardloom.functions.text import seeded_hash
 from shardloom.operators import audit, chat, tasks
 from shardloom.operators.requests import validate_requests
 from shardloom.plans import inputs
 from shardloom.plans import sqltext as sq
 from shardloom.plans.registry import query, table
-from shardloom.sources.conversations import plain_message
 
 BASE = 256 + sq.N_MERGES
 _JOIN = lambda c: F.array_join(c.cast("array<string>"), " ")

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shardloom.functions.text import draw, seeded_hash
-from shardloom.operators import corpus, mix
-from shardloom.operators.chat import split_valid
+from shardloom.operators import corpus, mix, tasks
 from shardloom.plans import inputs
 from shardloom.plans.registry import query, table
 from shardloom.plans.sqltext import draw as sql_draw
@@ -148,9 +147,7 @@ FROM conversations GROUP BY conv_id""",
 )
 def jsonl_sink(spark, sf_dir):
     """The lines of a written mixture."""
-    from shardloom.operators.tasks import chat_conversations
-
-    rows = chat_conversations(inputs.chat(spark, sf_dir))
+    rows = tasks.chat_conversations(inputs.chat(spark, sf_dir))
     path = conv_source.write_jsonl(rows, scratch_path(spark, "sink"), "sft", "d4", "train", order="idx")
     return spark.read.text(path).select(F.col("value").alias("line"))
 

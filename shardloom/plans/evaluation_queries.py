@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shardloom.functions.text import draw, seeded_hash
 from shardloom.operators import checks, evaluation as ev, tasks
-from shardloom.operators.tokens import compression_ratio, decode_ids, encode_corpus
+from shardloom.operators.tokens import compression_ratio, decode_ids, encode_corpus, token_hex
 from shardloom.operators.vocabulary import Tokenizer, vocabulary_table
 from shardloom.plans import inputs
 from shardloom.plans import sqltext as sq
@@ -403,18 +403,12 @@ def response_shape(spark, sf_dir):
     shaped = raw.select("row_id", ids.alias("raw"), new.alias("new"), (first_end > 0).alias("ended")).where(F.size("new") > 0)
     last = F.when(F.col("ended"), F.lit(end)).otherwise(F.element_at("raw", -1))
     reason = ev.finish_reason(F.size("new"), F.lit(256), last, end)
-    hexes = F.array_join(F.transform("new", lambda i: F.get(ev_token_hex(tok), i)), "")
+    hexes = F.array_join(F.transform("new", lambda i: F.get(token_hex(tok), i)), "")
     return shaped.select(
         "row_id", (F.length(hexes) / 2).cast("int").alias("n_bytes"), F.size("new").alias("tokens_generated"), reason.alias("finish_reason")
     )
 
 
-def ev_token_hex(tok):
-    from shardloom.operators.tokens import token_hex
-
-    return token_hex(tok)
-
-
 @query(
     "response_text",
     r"""SELECT conv_id, turn, regexp_replace(regexp_replace(text, '^\s+', ''), '\s+$', '') AS response FROM conversations""",

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shardloom.operators import chat, mix, pack, tasks
+from shardloom.operators import mix, pack, tasks
 from shardloom.operators.tokens import encode_corpus
 from shardloom.plans import inputs
 from shardloom.plans import sqltext as sq
-from shardloom.plans.chat_queries import _MC_SQL, _RENDERED_SQL, BASE, BEE_SQL, SPELL_SQL, rendered
+from shardloom.plans.chat_queries import _MC_SQL, _RENDERED_SQL, BASE, BEE_SQL, rendered
 from shardloom.plans.registry import query, table
 from shardloom.session import materialize
+from shardloom.sources.shards import assign_ranks
 
 _JOIN = lambda c: F.array_join(F.col(c).cast("array<string>"), " ")
 
@@ -181,8 +182,9 @@ SELECT batch_id, row_in_batch, md5({sq.joined('inputs')}) AS inputs, md5({sq.joi
 )
 def pack_pretrain(spark, sf_dir):
     docs = inputs.heavy_documents(spark, sf_dir).select("doc_id", "text")
-    encoded = encode_corpus(docs, inputs.tokenizer(spark, sf_dir), prepend="<|bos|>").drop("text")
-    packed = pack.pack(materialize(encoded, "encoded"), "doc_id", BATCH, LENGTH)
+    encoded = encode_corpus(docs, inputs.tokenizer(spark, sf_dir), prepend="<|bos|>")
+    stored = materialize(encoded.select("doc_id", "ids", F.size("ids").alias("n_tokens")), "encoded")
+    packed = pack.pack(stored, "doc_id", BATCH, LENGTH, sizes="n_tokens")
     return packed.select(
         "batch_id", "row_in_batch", F.md5(_JOIN("inputs")).alias("inputs"), F.md5(_JOIN("targets")).alias("targets")
     )
@@ -197,8 +199,6 @@ SELECT rank::INT AS rank, (o + j - 1)::BIGINT // 1025 AS batch_id, md5(string_ag
 )
 def pack_pretrain_ranks(spark, sf_dir):
     """Two workers, each with a stream of its own units of 16 documents."""
-    from shardloom.sources.shards import assign_ranks
-
     docs = inputs.heavy_documents(spark, sf_dir).select("doc_id", "text", F.expr("doc_id div 16").alias("unit"))
     encoded = encode_corpus(assign_ranks(docs, "unit", 2), inputs.tokenizer(spark, sf_dir), prepend="<|bos|>")
     windows = pack.windows(materialize(encoded.select("doc_id", "rank", "ids"), "encoded"), "doc_id", BATCH * LENGTH + 1, ["rank"])
