@@ -7,7 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shardloom.llm.common import read
+from shardloom.llm.language_id import identify
+from shardloom.llm.license_scan import scan_licenses
 from shardloom.llm.mixing import mix_plan
+from shardloom.llm.secret_scan import find_secrets
+from shardloom.llm.toxicity import detect
+from shardloom.llm.warc import round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,3 +58,40 @@ JOIN keys k ON s.source IS NOT DISTINCT FROM k.source AND s.key = k.key"""
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return mix_plan(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op2_secret_scan")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(read(spark, sf_dir, "documents"))
+
+
+@query("op3_language_id")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(read(spark, sf_dir, "documents"))
+
+
+WARC_SQL = """WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, body, strlen(body)::BIGINT AS n, sha1(body) AS hex FROM p),
+f AS (SELECT body, min(page_id) AS first FROM p GROUP BY body)
+SELECT d.page_id, d.n AS payload_bytes,
+    array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        ((('0x' || substr(d.hex, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT + 1, 1)), '') AS payload_digest,
+    CASE WHEN d.page_id = f.first THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN d.page_id <> f.first THEN f.first END AS refers_to
+FROM d JOIN f USING (body)"""
+
+
+@query("op7_warc_chunk_table", WARC_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = round_trip(read(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detect(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op9_license_scan")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read(spark, sf_dir, "documents")).drop("spans")
