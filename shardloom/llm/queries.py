@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shardloom.llm.common import read
+from shardloom.llm.jaccard_join import join_components
 from shardloom.llm.language_id import identify
 from shardloom.llm.license_scan import scan_licenses
 from shardloom.llm.mixing import mix_plan
@@ -95,3 +96,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_license_scan")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read(spark, sf_dir, "documents")).drop("spans")
+
+
+@query("op10_ngram_jaccard_join")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join_components(read(spark, sf_dir, "documents"))
