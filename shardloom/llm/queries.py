@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shardloom.llm.common import read
+from shardloom.llm.decontaminate import contaminated
 from shardloom.llm.jaccard_join import join_components
 from shardloom.llm.language_id import identify
 from shardloom.llm.license_scan import scan_licenses
@@ -101,3 +102,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_ngram_jaccard_join")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_components(read(spark, sf_dir, "documents"))
+
+
+@query("op5_decontaminate")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
