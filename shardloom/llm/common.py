@@ -56,10 +56,10 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-@lru_cache(maxsize=1)
-def _byte_values() -> np.ndarray:
+@lru_cache(maxsize=2)
+def _byte_values(lower: bool) -> np.ndarray:
     values = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64)
-    return values[_LOWER]  # capitals A-Z count as small letters
+    return values[_LOWER] if lower else values  # lower: A-Z count as small letters
 
 
 @lru_cache(maxsize=4)
@@ -98,6 +98,23 @@ def steps(limits: np.ndarray, size: int = STEP_BYTES) -> Iterator[tuple[int, int
         row = end
 
 
+class Rolling:
+    """Polynomial hashes of any stretches of a byte buffer; equal stretches hash alike."""
+
+    def __init__(self, data: np.ndarray, lower: bool = False) -> None:
+        self._room = 1 << max(21, len(data).bit_length())
+        self._sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_byte_values(lower)[data] * _powers(_BASE, self._room)[: len(data)], out=self._sums[1:])
+
+    def between(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return (self._sums[ends] - self._sums[starts]) * _powers(_INVERSE, self._room)[starts]
+
+    def windows(self, size: int) -> np.ndarray:
+        """The hashes of all stretches of ``size`` bytes."""
+        n = max(0, len(self._sums) - size)
+        return (self._sums[size : size + n] - self._sums[:n]) * _powers(_INVERSE, self._room)[:n]
+
+
 def _hash_run(data: np.ndarray, limits: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(data)
     if n == 0:
@@ -111,10 +128,8 @@ def _hash_run(data: np.ndarray, limits: np.ndarray, word: np.ndarray) -> tuple[n
     after[-1], after[:-1] = True, ~inside[1:]
     starts = np.flatnonzero(inside & (before | edge[:-1]))
     ends = np.flatnonzero(inside & (after | edge[1:])) + 1
-    room = 1 << max(21, int(n).bit_length())
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_byte_values()[data] * _powers(_BASE, room)[:n], out=sums[1:])
-    hashes = (sums[ends] - sums[starts]) * _powers(_INVERSE, room)[starts]
+    rolling = Rolling(data, lower=True)
+    hashes = rolling.between(starts, ends)
     return starts, mix(hashes + (ends - starts).astype(np.uint64))
 
 

@@ -13,6 +13,7 @@ from shardloom.llm.language_id import identify
 from shardloom.llm.license_scan import scan_licenses
 from shardloom.llm.mixing import mix_plan
 from shardloom.llm.secret_scan import find_secrets
+from shardloom.llm.suffix_dedup import remove_repeats
 from shardloom.llm.toxicity import detect
 from shardloom.llm.warc import round_trip
 
@@ -62,6 +63,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_plan(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op1_suffix_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read(spark, sf_dir, "documents"), text=False).drop("spans")
+
+
 @query("op2_secret_scan")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(read(spark, sf_dir, "documents"))
