@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shardloom.llm.common import read
 from shardloom.llm.decontaminate import contaminated
@@ -14,6 +15,7 @@ from shardloom.llm.license_scan import scan_licenses
 from shardloom.llm.mixing import mix_plan
 from shardloom.llm.secret_scan import find_secrets
 from shardloom.llm.suffix_dedup import remove_repeats
+from shardloom.llm.topk_search import search
 from shardloom.llm.toxicity import detect
 from shardloom.llm.warc import round_trip
 
@@ -113,3 +115,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_decontaminate")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+TOPK_SQL = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (SELECT q.vec_id AS query_id, c.vec_id,
+    list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+
+@query("op4_exact_topk", TOPK_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
