@@ -2,8 +2,8 @@
 
 Payloads travel as rows ``(rec, chunk_no, data)`` of at most ``CHUNK_BYTES``; the
 digest is carried from chunk to chunk and stands on the last one, so no step
-holds more than a chunk of a record. Archives are WARC/1.1 files, rolled at
-``ROLL_BYTES``, written by the tasks into the shared folder under names of their
+holds more than a chunk of a record. Archives are WARC/1.1 files, a gzip member a
+record, rolled at ``ROLL_BYTES``, written by the tasks into the shared folder under names of their
 own; the manifest that Spark commits lists the files of the attempts that
 succeeded, and only those are read. Reading streams a file record by record and
 gives the same chunk rows back.
@@ -19,8 +19,10 @@ other than page_id, url and html are not read.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -173,26 +175,29 @@ def write_archives(chunks: DataFrame, links: DataFrame, folder: str) -> DataFram
         store.create_dir(root, recursive=True)
 
         def files():
-            out, path, records, size, left = None, "", 0, 0, 0
+            out, path, records, size, left, member = None, "", 0, 0, 0, None
             for batch in batches:
                 for _, page_id, uri, chunk_no, data, n, digest, revisit, refers_to in zip(*(c.to_pylist() for c in batch.columns)):
+                    parts = []
                     if chunk_no == 0:
                         if out is not None and size >= ROLL_BYTES:
                             out.close()
                             yield path, records, size
                             out = None
                         if out is None:
-                            path, records, size = f"{root}/part-{uuid.uuid4().hex}.warc", 0, 0
-                            out = store.open_output_stream(path)
-                        head = _head(page_id, uri, revisit, refers_to, n, digest)
-                        out.write(head)
-                        records, size, left = records + 1, size + len(head), 0 if revisit else n
+                            path, records, size = f"{root}/part-{uuid.uuid4().hex}.warc.gz", 0, 0
+                            out = store.open_output_stream(path, compression=None)
+                        member = zlib.compressobj(6, zlib.DEFLATED, 31)
+                        parts.append(_head(page_id, uri, revisit, refers_to, n, digest))
+                        records, left = records + 1, 0 if revisit else n
                     if not revisit:
-                        out.write(data)
-                        size, left = size + len(data), left - len(data)
+                        parts.append(data)
+                        left -= len(data)
+                    packed = b"".join(member.compress(p) for p in parts)
                     if left == 0:
-                        out.write(b"\r\n\r\n")
-                        size += 4
+                        packed += member.compress(b"\r\n\r\n") + member.flush()
+                    out.write(packed)
+                    size += len(packed)
             if out is not None:
                 out.close()
                 yield path, records, size
@@ -247,8 +252,6 @@ def read_archives(manifest: DataFrame, folder: str, data: bool = True) -> DataFr
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import io
-
         from pyarrow import fs
 
         store, _ = fs.FileSystem.from_uri(folder)
@@ -256,8 +259,8 @@ def read_archives(manifest: DataFrame, folder: str, data: bool = True) -> DataFr
         def rows():
             for batch in batches:
                 for path in batch.column("path").to_pylist():
-                    with store.open_input_stream(path, buffer_size=CHUNK_BYTES) as raw:
-                        for row in parse_archive(io.BufferedReader(_Raw(raw), CHUNK_BYTES)):
+                    with store.open_input_stream(path, compression=None, buffer_size=CHUNK_BYTES) as raw, gzip.open(raw) as stream:
+                        for row in parse_archive(stream):
                             yield row if data else (*row[:5], None, *row[6:])
 
         return _batches(rows(), RECORD_SCHEMA)
@@ -265,20 +268,11 @@ def read_archives(manifest: DataFrame, folder: str, data: bool = True) -> DataFr
     return manifest.mapInArrow(read, RECORD_SCHEMA)
 
 
-def _Raw(stream):
-    """A pyarrow input stream as a raw Python stream, for buffered line reads."""
-    import io
-
-    class Raw(io.RawIOBase):
-        def readable(self) -> bool:
-            return True
-
-        def readinto(self, into) -> int:
-            got = stream.read(len(into))
-            into[: len(got)] = got
-            return len(got)
-
-    return Raw()
+def _stored(chunks: DataFrame) -> DataFrame:
+    """The chunk table on disk, packed more tightly than intermediate tables are."""
+    path = scratch_path(chunks.sparkSession, "chunks")
+    chunks.write.option("compression", "zstd").parquet(path)
+    return chunks.sparkSession.read.schema(chunks.schema).parquet(path)
 
 
 def round_trip(pages: DataFrame, min_revisit: int = 0) -> DataFrame:
@@ -290,7 +284,7 @@ def round_trip(pages: DataFrame, min_revisit: int = 0) -> DataFrame:
     folder = scratch_path(spark, "warc")
     # Chunks are large rows: few of them go to a worker at once.
     with session_conf(spark, spark_sql_execution_arrow_maxRecordsPerBatch="256"):
-        chunks = materialize(chunk_rows(pages), "chunks")
+        chunks = _stored(chunk_rows(pages))
         links = materialize(revisits(chunks, min_revisit), "revisits")
         manifest = materialize(write_archives(chunks, links, folder), "manifest")
     # One file a task: the manifest is a short list, its files are not.
