@@ -88,9 +88,9 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[limits[0] : limits[-1]], limits - limits[0]
 
 
-def steps(limits: np.ndarray, size: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``size`` bytes; a longer row is a range of its own."""
-    row, n = 0, len(limits) - 1
+def steps(limits: np.ndarray, size: int | None = None) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``size`` bytes (STEP_BYTES); a longer row is a range of its own."""
+    row, n, size = 0, len(limits) - 1, size or STEP_BYTES
     while row < n:
         end = int(np.searchsorted(limits, limits[row] + size, "right")) - 1
         end = min(n, max(row + 1, end))

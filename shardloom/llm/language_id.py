@@ -11,8 +11,9 @@ by two matrix products: presence by landmarks, kernel values by weights.
 Training reads a bounded sample: up to ``PER_LANG`` labelled texts of each language
 (``MAX_SAMPLE`` in all, of ``MAX_CHARS`` at most) with the smallest hash of their ids,
 the first ``LANDMARKS`` of them landmarks, and at most ``MAX_LANGS`` languages (those
-with most rows; ties by name). Prediction covers all documents and whole texts. Null texts and texts without letters are ``und`` with score 0, as is
-everything when there is nothing to learn from. Long texts are read whole.
+with most rows; ties by name). Prediction covers all documents and whole texts. Null
+texts and texts without letters are ``und`` with score 0, as is everything when there
+is nothing to learn from; rows without an id are not learned from.
 """
 
 from __future__ import annotations
@@ -126,7 +127,7 @@ def training_sample(docs: DataFrame, usable: Column, per_lang: int = PER_LANG) -
     first rows of each language before the shuffle); their texts are fetched after.
     """
     short = F.length("text").between(1, MAX_CHARS)
-    slim = docs.where(usable & F.col("lang").isNotNull() & short).select("doc_id", "lang")
+    slim = docs.where(usable & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & short).select("doc_id", "lang")
     counted = slim.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS)
     langs = [r["lang"] for r in counted.collect()]
     per_lang = min(per_lang, MAX_SAMPLE // max(1, len(langs)))
