@@ -17,7 +17,9 @@ UNSAFE_WORDS = (
     "__", "import", "exec", "eval", "compile", "open", "file", "input", "raw_input",
     "globals", "locals", "vars", "dir", "getattr", "setattr", "delattr", "hasattr",
 )
-_COUNT_CALL = r"""^\s*(?:'([^']*)'|"([^"]*)")\.count\(\s*(?:'([^']*)'|"([^"]*)")\s*\)\s*$"""
+# Plain counts of one literal in another stay in Spark; other string calls go through Arrow.
+_COUNT_CALL = r"""^\s*(?:'([^']*)'|"([^"]*)")\.count\(\s*(?:'([^']*)'|"([^"]*)")\s*\)\s*\z"""
+_STRING_METHODS = ("capitalize", "casefold", "count", "lower", "lstrip", "rstrip", "strip", "swapcase", "title", "upper")
 _OPERATIONS = {
     ast.Add: operator.add, ast.Sub: operator.sub, ast.Mult: operator.mul,
     ast.Div: operator.truediv, ast.FloorDiv: operator.floordiv,
@@ -45,30 +47,64 @@ def arithmetic(expression: str | None) -> str | None:
         return None
 
 
-@F.arrow_udf(T.StringType())
-def _arithmetic_column(expressions: pa.Array) -> pa.Array:
+def _text_value(node: ast.AST):
+    """A string literal, or a method of one; integers may be arguments."""
+    if isinstance(node, ast.Constant) and type(node.value) in (str, int):
+        return node.value
+    if isinstance(node, ast.Call) and isinstance(node.func, ast.Attribute) and not node.keywords:
+        owner = _text_value(node.func.value)
+        if node.func.attr in _STRING_METHODS and isinstance(owner, str):
+            return getattr(owner, node.func.attr)(*map(_text_value, node.args))
+    raise ValueError("not a string call")
+
+
+def string_call(expression: str | None) -> str | None:
+    """Result of methods on string literals, as text; null when malformed."""
+    if expression is None:
+        return None
+    try:
+        return str(_text_value(ast.parse(expression.strip(), mode="eval").body))
+    except (SyntaxError, ValueError, TypeError, RecursionError, MemoryError):
+        return None
+
+
+def _by_distinct(expressions: pa.Array, evaluate) -> pa.Array:
     distinct = expressions.dictionary_encode()
-    results = pa.array([arithmetic(e) for e in distinct.dictionary.to_pylist()], pa.string())
+    results = pa.array([evaluate(e) for e in distinct.dictionary.to_pylist()], pa.string())
     return results.take(distinct.indices)
 
 
+@F.arrow_udf(T.StringType())
+def _arithmetic_column(expressions: pa.Array) -> pa.Array:
+    return _by_distinct(expressions, arithmetic)
+
+
+@F.arrow_udf(T.StringType())
+def _string_column(expressions: pa.Array) -> pa.Array:
+    return _by_distinct(expressions, string_call)
+
+
 def call_result(df: DataFrame, call: str, out: str = "result") -> DataFrame:
     """Result of each call, null when it is not allowed or fails.
 
-    Letter counts stay in Spark expressions; only arithmetic goes through Arrow.
+    Plain letter counts stay in Spark expressions; arithmetic and other calls that
+    end in a count go through Arrow. Patterns hold to the very end of the text.
     """
     text = F.replace(F.col(call), F.lit(","), F.lit(""))
-    numeric = text.rlike(r"^[0-9*+\-/.() ]*$")
+    numeric = text.rlike(r"^[0-9*+\-/.() ]*\z")
     unsafe = F.lit(False)
     for word in UNSAFE_WORDS:
         unsafe = unsafe | F.contains(F.lower(text), F.lit(word))
-    countable = text.rlike(r"""^[a-zA-Z0-9'"()._ ]*$""") & ~unsafe & text.rlike(_COUNT_CALL)
+    allowed = text.rlike(r"""^[a-zA-Z0-9'"()._ ]*\z""") & ~unsafe & F.contains(text, F.lit(".count("))
+    countable = allowed & text.rlike(_COUNT_CALL)
     group = lambda i: F.regexp_extract(text, _COUNT_CALL, i)
     counted = count_of(F.concat(group(1), group(2)), F.concat(group(3), group(4))).cast("string")
     to_compute = F.when(numeric & ~F.contains(text, F.lit("**")), text)
     return df.withColumn(
         out,
-        F.when(numeric, _arithmetic_column(to_compute)).when(countable, counted),
+        F.when(numeric, _arithmetic_column(to_compute))
+        .when(countable, counted)
+        .when(allowed, _string_column(F.when(allowed & ~countable, text))),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shardloom.functions.text import split_pieces
@@ -26,31 +26,45 @@ def assemble(turns: DataFrame, conv: str = "conv_id") -> DataFrame:
     return turns.groupBy(conv).agg(F.transform(ordered, lambda t: t["message"]).alias("messages"))
 
 
-def first_turns(turns: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
+def positions(turns: DataFrame, conv: str = "conv_id", out: str = "position") -> DataFrame:
+    """Place of every turn in its conversation, counted from 0 in turn order.
+
+    Turn numbers may start anywhere and have gaps. The window carries one
+    counter, so a long conversation costs time but no memory.
+    """
+    order = Window.partitionBy(conv).orderBy("turn", "role", "text")
+    return turns.withColumn(out, (F.row_number().over(order) - 1).cast("bigint"))
+
+
+def first_turns(turns: DataFrame, max_tokens: int = MAX_TOKENS, conv: str = "conv_id") -> DataFrame:
     """Turns that can reach the rendered result.
 
     Every turn renders to two tokens at least, and a system turn joins the next
-    one, so later turns lie past ``max_tokens`` for certain. Turn numbers are dense.
+    one, so turns after that many lie past ``max_tokens`` for certain. Turns are
+    counted in order, whatever their numbers; the limit on the counter lets every
+    task drop later turns before the shuffle.
     """
-    return turns.where(F.col("turn") <= max_tokens // 2 + 1)
+    placed = positions(turns, conv, "_position")
+    return placed.where(F.col("_position") <= max_tokens // 2 + 1).drop("_position")
 
 
 def validate_turns(turns: DataFrame, conv: str = "conv_id") -> DataFrame:
     """Validity and reasons per conversation, from plain sums over its turns.
 
-    The expected role follows from the parity of the turn number, counted with
-    and without a leading system turn: no sort, no window, and partial sums
-    keep a huge conversation off a single task.
+    The expected role follows from the parity of the turn's place in the
+    conversation, counted with and without a leading system turn.
     """
+    turns = positions(turns, conv, "_position")
+
     def misplaced(first_user_turn: int) -> Column:
-        user_turn = F.pmod(F.col("turn") - first_user_turn, F.lit(2)) == 0
+        user_turn = F.pmod(F.col("_position") - first_user_turn, F.lit(2)) == 0
         expected = F.when(user_turn, "user").otherwise("assistant")
-        counted = F.col("turn") >= first_user_turn
+        counted = F.col("_position") >= first_user_turn
         return F.sum((counted & ~F.col("role").eqNullSafe(expected)).cast("int"))
 
     sums = turns.groupBy(conv).agg(
         F.count("*").alias("n"),
-        F.max((F.col("turn") == 0) & F.col("role").eqNullSafe(F.lit("system"))).alias("has_system"),
+        F.max((F.col("_position") == 0) & F.col("role").eqNullSafe(F.lit("system"))).alias("has_system"),
         misplaced(0).alias("bad_plain"),
         misplaced(1).alias("bad_system"),
         F.sum(F.col("role").isNull().cast("int")).alias("no_role"),
@@ -132,8 +146,12 @@ def merge_system(messages: Column) -> Column:
 
 
 def merge_system_turns(turns: DataFrame, conv: str = "conv_id") -> DataFrame:
-    """System merge on turn rows: only turns 0 and 1 of a conversation meet."""
-    is_system = (F.col("turn") == 0) & (F.col("role") == "system")
+    """System merge on turn rows: only the first two turns of a conversation meet.
+
+    Turns are counted in order; the result numbers them from 0.
+    """
+    turns = positions(turns, conv).withColumn("turn", F.col("position"))
+    is_system = F.coalesce((F.col("turn") == 0) & (F.col("role") == "system"), F.lit(False))
     system = turns.where(is_system).select(conv, F.col("text").alias("system_text"))
     merged = turns.where(~is_system).join(system, conv, "left")
     has_system = F.col("system_text").isNotNull()
@@ -246,7 +264,7 @@ def completion_prompts_of_turns(
         F.max("turn").alias("_last"), F.max_by("role", "turn").alias("_last_role")
     )
     kept = (
-        first_turns(turns, max_tokens)
+        first_turns(turns, max_tokens, conv)
         .join(closing.where(F.col("_last_role") == "assistant"), conv)
         .where(F.col("turn") < F.col("_last"))
     )

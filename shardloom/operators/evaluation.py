@@ -22,22 +22,27 @@ FEWSHOT_SEED = 1234
 # --- few-shot examples and prompts -------------------------------------------
 
 
-def fewshot_pairs(items: DataFrame, k: int, task: str = "task", idx: str = "idx") -> DataFrame:
+def fewshot_pairs(
+    items: DataFrame, k: int, task: str = "task", idx: str = "idx", strict: bool = False
+) -> DataFrame:
     """``k`` other items of the task for every item: ``(task, idx, shot, shot_idx)``.
 
     Items of a task lie on a ring in hash order. An item takes k different
     places of the ring, counted from a start drawn from its number; it never
     meets itself. Places are found by an equi-join, so the work is k rows per
-    item, whatever the size of a task.
+    item, whatever the size of a task. Items of a task with fewer than k others
+    take all of them (``short_tasks`` lists such tasks); ``strict`` fails instead.
     """
     digest = seeded_hash("ring", F.col(task), F.col(idx))
     ring = materialize(shuffled_positions(items.select(task, idx), digest, "place", [task]), "ring")
     sizes = ring.groupBy(task).agg(F.count("*").alias("n"))
     seats = ring.join(sizes, task)
-    start = draw(seeded_hash(FEWSHOT_SEED, F.col(idx)), F.col("n") - 1)
-    shots = F.sequence(F.lit(0), F.least(F.lit(k), F.col("n") - 1) - 1)
+    start = draw(seeded_hash(FEWSHOT_SEED, F.col(idx)), F.greatest(F.col("n") - 1, F.lit(1)))
+    few = F.concat(F.lit("too few examples in task "), F.col(task).cast("string"))
+    fewer = F.raise_error(few).cast("int") if strict else (F.col("n") - 2).cast("int")
+    shots = F.sequence(F.lit(0), F.when(F.col("n") > k, F.lit(k - 1)).otherwise(fewer))
     wanted = (
-        seats.where((F.col("n") > 1) & (F.lit(k) > 0))
+        seats.where((F.lit(strict) | (F.col("n") > 1)) & (F.lit(k) > 0))
         .withColumn("start", start)
         .select("*", F.explode(shots).alias("shot"))
         .select(
@@ -49,6 +54,12 @@ def fewshot_pairs(items: DataFrame, k: int, task: str = "task", idx: str = "idx"
     return wanted.join(found, [task, "place"]).drop("place")
 
 
+def short_tasks(items: DataFrame, k: int, task: str = "task") -> DataFrame:
+    """Tasks whose items have fewer than ``k`` others: ``task, n, missing``."""
+    sizes = items.groupBy(task).agg(F.count("*").alias("n"))
+    return sizes.where(F.col("n") <= k).select(task, "n", (F.lit(k + 1) - F.col("n")).alias("missing"))
+
+
 def fewshot_text(items: DataFrame, pairs: DataFrame, solved: Column, task: str = "task", idx: str = "idx") -> DataFrame:
     """The solved examples of every item as one text, each followed by a blank line.
 

@@ -25,12 +25,24 @@ def slugify(text: Column) -> Column:
     return F.replace(F.lower(text), F.lit(" "), F.lit("-"))
 
 
+def _to_even(number: Column) -> Column:
+    """A number whose fifth decimal is an exact half, moved towards the even fourth one.
+
+    Exact halves of a ten-thousandth are the odd multiples of 1/32; the formatter
+    would round them up.
+    """
+    steps = F.abs(number) * 32
+    half = (steps == F.floor(steps)) & (F.pmod(steps, F.lit(2.0)) == 1)
+    even_below = F.pmod(F.floor(F.abs(number) * 10_000), F.lit(2)) == 0
+    return F.when(half & even_below, number - F.signum(number) * 0.00001).otherwise(number)
+
+
 def format_value(kind: Column, value: Column) -> Column:
     """Floats with four decimals, integers from 10,000 with separators, else as is."""
     number = F.when(kind.isin("float", "int"), value.cast("double"))
     whole = F.when(kind == "int", value.cast("bigint"))
     return (
-        F.when(kind == "float", F.format_string("%.4f", number))
+        F.when(kind == "float", F.format_string("%.4f", _to_even(number)))
         .when((kind == "int") & (whole >= 10000), F.format_number(whole, 0))
         .otherwise(value)
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from heapq import heapify, heappop, heappush
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,24 +16,31 @@ _CACHE_LIMIT = 500_000  # pieces kept by one Python worker; only a speed matter
 
 
 def encode_piece(piece: str, ranks: dict[tuple[int, int], int]) -> list[int]:
-    """Ids of one piece: the lowest-ranked pair first, left to right."""
-    ids = list(piece.encode("utf-8"))
-    while len(ids) > 1:
-        new_id = min(
-            (ranks[p] for p in zip(ids, ids[1:]) if p in ranks), default=None
-        )
-        if new_id is None:
-            break
-        merged, i = [], 0
-        while i < len(ids):
-            if i + 1 < len(ids) and ranks.get((ids[i], ids[i + 1])) == new_id:
-                merged.append(new_id)
-                i += 2
-            else:
-                merged.append(ids[i])
-                i += 1
-        ids = merged
-    return ids
+    """Ids of one piece: the lowest-ranked pair first, left to right.
+
+    Symbols form a linked list and candidate pairs a heap of (rank, place), so a
+    piece of n bytes costs n log n, however many rules apply.
+    """
+    ids: list[int | None] = list(piece.encode("utf-8"))
+    n = len(ids)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(ranks[pair], i) for i, pair in enumerate(zip(ids, ids[1:])) if pair in ranks]
+    heapify(heap)
+    while heap:
+        new_id, i = heappop(heap)
+        j = after[i]
+        # A pair that has changed since it was put on the heap is out of date.
+        if ids[i] is None or j >= n or ranks.get((ids[i], ids[j])) != new_id:
+            continue
+        ids[i], ids[j] = new_id, None
+        after[i] = k = after[j]
+        if k < n:
+            before[k] = i
+            if (rank := ranks.get((new_id, ids[k]))) is not None:
+                heappush(heap, (rank, i))
+        if (h := before[i]) >= 0 and (rank := ranks.get((ids[h], new_id))) is not None:
+            heappush(heap, (rank, h))
+    return [i for i in ids if i is not None]
 
 
 def piece_encoder(spark: SparkSession, tok: Tokenizer, nested: bool = False):

@@ -33,23 +33,27 @@ def conv_assemble(spark, sf_dir):
 
 
 def _damaged(spark, sf_dir):
-    """Every fifth conversation with one role changed, every seventh cut to one turn."""
+    """Faults without dropped turns: one role changed, a text emptied, roles missing.
+
+    Turn numbers start at 3 and leave gaps, so only their order counts.
+    """
     turns = _turns(spark, sf_dir)
     role = F.when((F.col("conv_id") % 5 == 0) & (F.col("turn") == 2), "assistant").otherwise(F.col("role"))
     text = F.when((F.col("conv_id") % 11 == 0) & (F.col("turn") == 1), F.lit(None)).otherwise(F.col("text"))
-    return turns.where((F.col("conv_id") % 7 != 0) | (F.col("turn") == 0)).select("conv_id", "turn", role.alias("role"), text.alias("text"))
+    role = F.when((F.col("conv_id") % 7 == 0) & (F.col("turn") == 1), F.lit(None)).otherwise(role)
+    return turns.select("conv_id", (F.col("turn") * 5 + 3).alias("turn"), role.alias("role"), text.alias("text"))
 
 
 @query(
     "conv_validate",
-    """WITH t AS (SELECT conv_id, turn, CASE WHEN conv_id % 5 = 0 AND turn = 2 THEN 'assistant' ELSE role END AS role,
-CASE WHEN conv_id % 11 = 0 AND turn = 1 THEN NULL ELSE text END AS text FROM conversations WHERE conv_id % 7 <> 0 OR turn = 0),
+    """WITH t AS (SELECT conv_id, turn, CASE WHEN conv_id % 7 = 0 AND turn = 1 THEN NULL WHEN conv_id % 5 = 0 AND turn = 2 THEN 'assistant' ELSE role END AS role,
+CASE WHEN conv_id % 11 = 0 AND turn = 1 THEN NULL ELSE text END AS text FROM conversations),
 s AS (SELECT *, max(CASE WHEN turn = 0 AND role = 'system' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id) AS sys,
 row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS rn FROM t),
-g AS (SELECT conv_id, count(*) AS n, max(sys) AS sys, bool_or(rn >= sys AND role <> CASE WHEN (rn - sys) % 2 = 0 THEN 'user' ELSE 'assistant' END) AS bad,
-bool_or(text IS NULL) AS hole FROM s GROUP BY conv_id)
+g AS (SELECT conv_id, count(*) AS n, max(sys) AS sys, bool_or(rn >= sys AND role IS DISTINCT FROM CASE WHEN (rn - sys) % 2 = 0 THEN 'user' ELSE 'assistant' END) AS bad,
+bool_or(role IS NULL) AS nobody, bool_or(text IS NULL) AS hole FROM s GROUP BY conv_id)
 SELECT conv_id, n AS n_messages, NOT (n - sys < 2 OR bad OR hole) AS valid,
-concat_ws(',', CASE WHEN n - sys < 2 THEN 'too_few_messages' END, CASE WHEN bad THEN 'role_order' END, CASE WHEN hole THEN 'missing_content' END) AS reasons FROM g""",
+concat_ws(',', CASE WHEN n - sys < 2 THEN 'too_few_messages' END, CASE WHEN bad THEN 'role_order' END, CASE WHEN nobody THEN 'missing_role' END, CASE WHEN hole THEN 'missing_content' END) AS reasons FROM g""",
 )
 def conv_validate(spark, sf_dir):
     checked = chat.validate_turns(_damaged(spark, sf_dir))

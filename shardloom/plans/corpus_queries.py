@@ -22,19 +22,18 @@ def _sharded(spark, sf_dir):
 
 
 def _written_shards(spark, sf_dir):
-    """``documents`` written as shard files, plus a half-written leftover."""
+    """``documents`` written as numbered shard files, plus a half-written leftover."""
     path = scratch_path(spark, "shards")
-    files = _sharded(spark, sf_dir).select("text", "shard_id")
-    files.write.partitionBy("shard_id").parquet(path)
+    docs = _sharded(spark, sf_dir)
+    shards.export_shards(docs.select("doc_id", "text", "shard_id"), path)
+    docs.select("text").write.text(f"{path}/shard_99999.parquet.tmp")
     return path
 
 
 @query("shard_scan", "SELECT doc_id // 64 AS shard_id, count(*) AS n_rows, sum(octet_length(encode(text)))::BIGINT AS n_bytes FROM documents GROUP BY 1")
 def shard_scan(spark, sf_dir):
     """A folder of shards read back with its shard numbers."""
-    path = _written_shards(spark, sf_dir)
-    df = spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
-    shards.text_column(df)
+    df = shards.scan_shards(spark, _written_shards(spark, sf_dir))
     return df.groupBy(F.col("shard_id").cast("bigint").alias("shard_id")).agg(
         F.count("*").alias("n_rows"), F.sum(F.octet_length("text")).alias("n_bytes")
     )
@@ -44,18 +43,21 @@ def shard_scan(spark, sf_dir):
     "split_scan",
     """WITH s AS (SELECT doc_id, doc_id // 64 AS shard_id, text FROM documents), l AS (SELECT max(shard_id) AS last FROM s)
 SELECT CASE WHEN shard_id = last THEN 'val' ELSE 'train' END AS split, count(*) AS n_docs, sum(length(text))::BIGINT AS n_chars,
-min(doc_id) AS first_doc FROM s, l GROUP BY 1""",
+min(shard_id)::INT AS first_shard FROM s, l GROUP BY 1""",
 )
 def split_scan(spark, sf_dir):
-    """The last shard is the validation split."""
+    """The last shard lies in a folder of its own and is the validation split."""
     docs = _sharded(spark, sf_dir)
     last = docs.agg(F.max("shard_id")).first()[0]
+    folders = {split: scratch_path(spark, split) for split in ("train", "val")}
+    for split, path in folders.items():
+        shards.export_shards(shards.split_by_shard(docs, split, last).select("text", "shard_id"), path)
     parts = [
-        shards.split_by_shard(docs, split, last).select(F.lit(split).alias("split"), "doc_id", "text")
-        for split in ("train", "val")
+        shards.scan_split(spark, split, folders["train"], folders["val"]).withColumn("split", F.lit(split))
+        for split in folders
     ]
     return parts[0].unionByName(parts[1]).groupBy("split").agg(
-        F.count("*").alias("n_docs"), F.sum(F.length("text")).alias("n_chars"), F.min("doc_id").alias("first_doc")
+        F.count("*").alias("n_docs"), F.sum(F.length("text")).alias("n_chars"), F.min("shard_id").alias("first_shard")
     )
 
 
@@ -88,7 +90,10 @@ def shard_land(spark, sf_dir):
     "SELECT (doc_id // 64)::INT AS shard_id, count(*) AS n_rows, sum(octet_length(encode(text)))::BIGINT AS n_bytes FROM documents GROUP BY 1",
 )
 def shard_inventory(spark, sf_dir):
-    return shards.shard_inventory(_sharded(spark, sf_dir))
+    """Shards by the numbers in their file names, with what the files hold."""
+    path = _written_shards(spark, sf_dir)
+    held = shards.shard_inventory(shards.scan_shards(spark, path))
+    return shards.shard_ids(spark, path).join(held, "shard_id")
 
 
 @query(

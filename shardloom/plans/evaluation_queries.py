@@ -35,25 +35,25 @@ prompts AS MATERIALIZED (SELECT idx, task, {_TRIM_SQL(f"few || {_TRIM_SQL('query
 
 def _mc_prompts(spark, sf_dir):
     items = inputs.eval_items(spark, sf_dir).drop("ending")
-    return ev.prompts_mc(items, F.lit(" = "), ev.fewshot_pairs(items, K))
+    return ev.prompts_mc(items, F.lit(" = "), ev.fewshot_pairs(items, K, strict=True))
 
 
 def _schema_prompts(spark, sf_dir):
     items = inputs.eval_items(spark, sf_dir).select(
         "idx", "task", "gold", F.col("choices").alias("context_options"), F.col("query").alias("continuation")
     )
-    return ev.prompts_schema(items, F.lit(" = "), ev.fewshot_pairs(items, K))
+    return ev.prompts_schema(items, F.lit(" = "), ev.fewshot_pairs(items, K, strict=True))
 
 
 def _lm_prompts(spark, sf_dir):
     items = inputs.eval_items(spark, sf_dir).select("idx", "task", F.col("query").alias("context"), F.col("ending").alias("continuation"))
-    return ev.prompts_lm(items, F.lit(" "), ev.fewshot_pairs(items, K))
+    return ev.prompts_lm(items, F.lit(" "), ev.fewshot_pairs(items, K, strict=True))
 
 
 @query("fewshot_sample", f"WITH {_SHOTS_SQL} SELECT task, idx, shot, shot_idx FROM shots")
 def fewshot_sample(spark, sf_dir):
     items = inputs.eval_items(spark, sf_dir).select("task", "idx")
-    return ev.fewshot_pairs(items, K).select("task", "idx", "shot", "shot_idx")
+    return ev.fewshot_pairs(items, K, strict=True).select("task", "idx", "shot", "shot_idx")
 
 
 @query("prompts_mc", f"WITH {_MC_PROMPTS_SQL} SELECT idx, option, prompt FROM prompts")
@@ -387,11 +387,14 @@ def completion_cut(spark, sf_dir):
     f"""WITH {_GENERATED_SQL}, {sq.token_bytes()},
 g AS (SELECT row_id, min(CASE WHEN token_id = {BASE + 4} THEN step END) AS e, max(step) + 1 AS n FROM rows0 GROUP BY row_id),
 k AS (SELECT row_id, string_agg(hx, '' ORDER BY step) AS h, count(*) AS c FROM kept JOIN vocab USING (token_id) GROUP BY row_id)
-SELECT row_id, octet_length(unhex(h))::INT AS n_bytes, c::INT AS tokens_generated,
-CASE WHEN c >= 256 THEN 'max_tokens' WHEN e IS NOT NULL THEN 'eos' ELSE 'stop' END AS finish_reason FROM g JOIN k USING (row_id)""",
+SELECT row_id, octet_length(unhex(coalesce(h, '')))::INT AS n_bytes, coalesce(c, 0)::INT AS tokens_generated,
+CASE WHEN c >= 256 THEN 'max_tokens' WHEN e IS NOT NULL THEN 'eos' ELSE 'stop' END AS finish_reason FROM g LEFT JOIN k USING (row_id)""",
 )
 def response_shape(spark, sf_dir):
-    """Generated tokens as responses: count, bytes and the reason to stop."""
+    """Generated tokens as responses: count, bytes and the reason to stop.
+
+    A response that ends at once has no tokens and the reason ``eos``.
+    """
     tok = inputs.tokenizer(spark, sf_dir)
     end = tok.special_id("<|assistant_end|>")
     raw = _generated(spark, sf_dir).groupBy("row_id").agg(
@@ -400,7 +403,7 @@ def response_shape(spark, sf_dir):
     ids = F.transform("t", lambda x: x["token_id"])
     first_end = F.array_position(ids, F.lit(end)).cast("int")
     new = F.when(first_end > 0, F.slice(ids, F.lit(1), first_end - 1)).otherwise(ids)
-    shaped = raw.select("row_id", ids.alias("raw"), new.alias("new"), (first_end > 0).alias("ended")).where(F.size("new") > 0)
+    shaped = raw.select("row_id", ids.alias("raw"), new.alias("new"), (first_end > 0).alias("ended"))
     last = F.when(F.col("ended"), F.lit(end)).otherwise(F.element_at("raw", -1))
     reason = ev.finish_reason(F.size("new"), F.lit(256), last, end)
     hexes = F.array_join(F.transform("new", lambda i: F.get(token_hex(tok), i)), "")

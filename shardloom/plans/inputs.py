@@ -39,11 +39,14 @@ def heavy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = F.regexp_extract_all("text", F.lit("[a-z]+"), F.lit(0))
-    return heavy_documents(spark, sf_dir).select(F.explode(found).alias("word")).distinct()
+    """Distinct whole words in small letters; words with other letters than a-z stay out."""
+    found = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))
+    every = heavy_documents(spark, sf_dir).select(F.explode_outer(found).alias("word"))
+    return every.where(F.col("word").rlike(r"^[a-z]+\z")).distinct()
 
 
-WORDS_SQL = "words AS MATERIALIZED (SELECT DISTINCT unnest(regexp_extract_all(text, '[a-z]+')) AS word FROM documents)"
+WORDS_SQL = r"""words AS MATERIALIZED (SELECT DISTINCT word FROM (SELECT unnest(regexp_extract_all(lower(text), '\p{L}+')) AS word
+FROM documents) WHERE regexp_full_match(word, '[a-z]+'))"""
 
 
 def chat(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,16 +82,51 @@ def missing_shards(manifest: DataFrame, landed: DataFrame) -> DataFrame:
     return manifest.join(landed.select("shard_id").distinct(), "shard_id", "left_anti")
 
 
+def _folder_ids(spark: SparkSession, target: str) -> list[int]:
+    """Numbers of the shard folders in ``target``; no file is opened."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/shard_id=*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    return [int(status.getPath().getName().split("=")[1]) for status in found]
+
+
 def land_shards(rows: DataFrame, target: str) -> DataFrame:
     """Append the shards that ``target`` lacks; returns what was landed.
 
     Spark's commit protocol makes the new files visible together. ``shard_id``
-    is the partition column, so the present set comes from folder names.
+    is the partition column, so the present set comes from folder names. Rows are
+    dealt by shard first: a shard is one file, not one for each task.
     """
     spark = rows.sparkSession
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(target)
-    present = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+    present = _folder_ids(spark, target)
     if present:
-        rows = missing_shards(rows, spark.read.parquet(target))
-    rows.write.mode("append").partitionBy("shard_id").parquet(target)
+        landed = spark.createDataFrame([(i,) for i in present], "shard_id int")
+        rows = missing_shards(rows, landed)
+    rows.repartition("shard_id").write.mode("append").partitionBy("shard_id").parquet(target)
     return spark.read.schema(rows.schema).parquet(target)
+
+
+def export_shards(rows: DataFrame, path: str) -> None:
+    """Write ``rows`` as ``shard_00012.parquet`` files by their ``shard_id``, which is not stored.
+
+    Files are written by the tasks and then renamed, a call for each shard.
+    """
+    spark = rows.sparkSession
+    staged = f"{path}/_staged"
+    rows.repartition("shard_id").write.partitionBy("shard_id").parquet(staged)
+    as_path = spark._jvm.org.apache.hadoop.fs.Path
+    store = as_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in store.globStatus(as_path(f"{staged}/shard_id=*/*.parquet")) or []:
+        shard = int(status.getPath().getParent().getName().split("=")[1])
+        store.rename(status.getPath(), as_path(f"{path}/shard_{shard:05d}.parquet"))
+    store.delete(as_path(staged), True)
+
+
+def shard_ids(spark: SparkSession, path: str) -> DataFrame:
+    """Numbers of the shard files of a folder, from their names; none is an error."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/*.parquet")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    names = [re.search(_SHARD_NAME, status.getPath().getName()) for status in found]
+    numbers = sorted(int(name.group(1)) for name in names if name)
+    if not numbers:
+        raise FileNotFoundError(f"no shards in {path}")
+    return spark.createDataFrame([(n,) for n in numbers], "shard_id int")

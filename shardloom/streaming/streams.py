@@ -46,11 +46,13 @@ def pack_stream(
     less than one window per rank and the next window number; it is written
     next to the windows under the trigger number, so a repeated trigger
     overwrites its own output and nothing is counted twice. Rows must arrive in
-    ``order``, trigger by trigger. Runs until everything available is packed.
+    ``order``, trigger by trigger: the last key of each rank is carried too, and a
+    row that comes after a larger key of an earlier trigger fails the stream. Runs
+    until everything available is packed.
     """
     spark = encoded.sparkSession
     width = batch * length + 1
-    carried_schema = "rank int, next_window bigint, left array<int>"
+    carried_schema = "rank int, next_window bigint, left array<int>, last_key bigint"
 
     def carried(trigger: int) -> DataFrame:
         if trigger == 0:
@@ -63,6 +65,11 @@ def pack_stream(
             "rank", F.lit(_FIRST_KEY).cast("bigint").alias("key"), F.col("left").alias("ids")
         )
         rows = df.select(F.col(rank).cast("int").alias("rank"), F.col(order).cast("bigint").alias("key"), F.col(ids).alias("ids"))
+        newest = rows.groupBy("rank").agg(F.max("key").alias("last_key"))
+        seen = before.select("rank", F.col("last_key").alias("_seen"))
+        late = F.concat(F.lit("out of order in rank "), F.col("rank").cast("string"), F.lit(": "), F.col("key").cast("string"))
+        stop = F.when(F.col("key") <= F.col("_seen"), F.raise_error(late).cast("bigint")).otherwise(F.col("key"))
+        rows = rows.join(F.broadcast(seen), "rank", "left").select("rank", stop.alias("key"), "ids")  # a row per rank
         # Cached, not written: a trigger must not leave tables behind.
         stream = left.unionByName(rows).persist()
         cut = windows(stream, "key", width, ["rank"], keep_rest=True)
@@ -81,6 +88,8 @@ def pack_stream(
             F.coalesce(F.col("rest")["window_id"], F.col("end")).alias("next_window"),
             F.coalesce(F.col("rest")["tokens"], F.array().cast("array<int>")).alias("left"),
         )
+        now = now.join(newest, "rank", "left").join(before.select("rank", F.col("last_key").alias("_seen")), "rank", "left")
+        now = now.select("rank", "next_window", "left", F.coalesce("last_key", "_seen").alias("last_key"))
         idle = before.join(now.select("rank"), "rank", "left_anti")
         now.unionByName(idle).write.mode("overwrite").parquet(f"{out}/carried/trigger={trigger}")
         cut.unpersist()
@@ -97,8 +106,9 @@ def run_to_table(
     """Process everything available into parquet and read the result back.
 
     Append output goes through the file sink; a complete result is written per
-    trigger, and the last trigger's table is the answer. Passing the same
-    ``out`` and ``progress`` folders again continues where the last run ended.
+    trigger, and the newest trigger's table in ``out`` is the answer, older ones
+    are removed. Passing the same ``out`` and ``progress`` folders again continues
+    where the last run ended; without new input the stored result comes back.
     """
     spark = stream.sparkSession
     out = out or scratch_path(spark, name)
@@ -108,14 +118,29 @@ def run_to_table(
     if mode == "append":
         writer.format("parquet").option("path", out).outputMode("append").start().awaitTermination()
         return spark.read.schema(schema).parquet(out)
-    latest: dict[str, str] = {}
 
     def replace(df: DataFrame, trigger: int) -> None:
-        path = f"{out}/{trigger}"
-        df.write.mode("overwrite").parquet(path)
-        latest["path"] = path
+        df.write.mode("overwrite").parquet(f"{out}/{trigger}")
+        # A repeated trigger may still need the one before it.
+        for old in written_triggers(spark, out):
+            if old < trigger - 1:
+                remove_folder(spark, f"{out}/{old}")
 
     writer.outputMode(mode).foreachBatch(replace).start().awaitTermination()
-    if "path" not in latest:
+    done = written_triggers(spark, out)
+    if not done:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(latest["path"])
+    return spark.read.schema(schema).parquet(f"{out}/{max(done)}")
+
+
+def written_triggers(spark: SparkSession, out: str) -> list[int]:
+    """Numbers of the trigger folders in ``out`` that were written to the end."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(out)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = store.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{out}/*/_SUCCESS")) or []
+    return sorted(int(status.getPath().getParent().getName()) for status in found)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

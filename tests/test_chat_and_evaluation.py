@@ -88,6 +88,7 @@ def test_tool_parts(spark):
 def test_calculator(spark):
     cases = {
         "1+2*3": "7", "(1+2)*3": "9", "12/60": "0.2", "1,000+1": "1001", "2**3": None, "7//2": "3", "1/0": None, "007": None,
+        "'Abc'.lower().count('a')": "1", "('aab').count('a')": "2", "1+1\n": None, "'a'.join('b')": None, "'abc'.upper()": None,
         "'strawberry'.count('r')": "3", '"aaa".count("aa")': "1", "'import'.count('i')": None, "len('a')": None, "-5": "-5", "": None, "abc": None,
     }
     df = spark.createDataFrame([(k,) for k in cases], "c string")
@@ -258,3 +259,40 @@ def test_written_batches(spark, tmp_path):
     packed = pack.pack(df, "k", 2, 3).withColumn("split", F.lit("train")).withColumn("rank", F.col("batch_id") % 2)
     pack.write_batches(packed, str(tmp_path / "b"), "split", "rank")
     assert spark.read.parquet(str(tmp_path / "b")).where("rank = 1").count() == 2
+
+
+def test_turns_count_in_order_whatever_their_numbers(spark):
+    gapped = [(0, n, r, f"{r}{n}") for n, r in ((0, "user"), (1000, "assistant"), (2000, "user"), (3000, "assistant"))]
+    one_based = [(1, n, r, f"{r}{n}") for n, r in ((1, "system"), (2, "user"), (3, "assistant"))]
+    wrong = [(2, 4, "user", "a"), (2, 9, "user", "b"), (2, 12, None, "c")]
+    df = spark.createDataFrame(gapped + one_based + wrong, "conv_id bigint, turn bigint, role string, text string")
+    assert chat.first_turns(df).count() == 10 and chat.first_turns(df, 2).where("conv_id = 0").count() == 3
+    checked = {r.conv_id: r.reasons for r in chat.validate_turns(df).collect()}
+    assert checked == {0: [], 1: [], 2: ["role_order", "missing_role"]}
+    merged = {(r.conv_id, r.turn): r.text for r in chat.merge_system_turns(df).collect() if r.conv_id == 1}
+    assert merged == {(1, 0): "system1\n\nuser2", (1, 1): "assistant3"}
+
+
+def test_too_few_examples_fail(spark):
+    items = spark.createDataFrame([("t", 0), ("t", 1)], "task string, idx bigint")
+    assert ev.fewshot_pairs(items, 1, strict=True).count() == 2
+    assert [tuple(r) for r in ev.short_tasks(items, 2).collect()] == [("t", 2, 1)] and ev.short_tasks(items, 1).count() == 0
+    with pytest.raises(Exception, match="too few examples"):
+        ev.fewshot_pairs(items, 2, strict=True).collect()
+
+
+def test_exact_halves_round_to_even(spark):
+    from shardloom.operators.reports import format_value
+
+    values = [0.03125, 0.09375, -0.03125, 0.15625, 0.12345, 2.5, 1 / 3, 1234567.96875]
+    df = spark.createDataFrame([(str(v),) for v in values], "v string")
+    got = {r.v: r.f for r in df.select("v", format_value(F.lit("float"), F.col("v")).alias("f")).collect()}
+    assert got == {str(v): f"{v:.4f}" for v in values}
+
+
+def test_long_pieces_encode_quickly():
+    import time
+
+    start = time.perf_counter()
+    ids = tk.encode_piece("ab" * 500_000, {(97, 98): 256, (256, 256): 257})
+    assert ids == [257] * 250_000 and time.perf_counter() - start < 30

@@ -167,3 +167,58 @@ def test_generators_differ_by_split(spark):
     assert all("{" not in r.question for r in rows["train"])
     with pytest.raises(ValueError):
         tasks.letter_count_rows(spark, words, 5, "val")
+
+
+def test_exported_shards_have_numbers(spark, tmp_path):
+    from shardloom.sources import shards
+
+    rows = spark.createDataFrame([(i, f"text {i}", i % 3) for i in range(30)], "doc_id bigint, text string, shard_id int")
+    path = str(tmp_path / "out")
+    shards.export_shards(rows.repartition(5), path)
+    (tmp_path / "out" / "shard_00007.parquet.tmp").write_text("half")
+    assert sorted(p.name for p in (tmp_path / "out").glob("shard_*.parquet")) == [f"shard_0000{i}.parquet" for i in range(3)]
+    assert {(r.shard_id, r.text) for r in shards.scan_shards(spark, path).collect()} == {(i % 3, f"text {i}") for i in range(30)}
+    assert [r.shard_id for r in shards.shard_ids(spark, path).orderBy("shard_id").collect()] == [0, 1, 2]
+    with pytest.raises(FileNotFoundError):
+        shards.shard_ids(spark, str(tmp_path))
+
+
+def test_landing_writes_a_file_a_shard(spark, tmp_path):
+    from shardloom.sources import shards
+
+    rows = spark.createDataFrame([(i, i % 4) for i in range(400)], "doc_id bigint, shard_id int").repartition(8)
+    target = str(tmp_path / "landed")
+    shards.land_shards(rows.where("shard_id < 2"), target)
+    assert shards.land_shards(rows, target).count() == 400
+    assert len(list((tmp_path / "landed").glob("shard_id=*/*.parquet"))) == 4
+
+
+def test_complete_stream_comes_back_without_new_input(spark, tmp_path):
+    from shardloom.streaming import streams
+
+    source, out, progress = (str(tmp_path / x) for x in ("in", "out", "progress"))
+    run = lambda: streams.run_to_table(
+        streams.stream_piece_counts(streams.shard_stream(spark, source, "text string", 1)), "x", "complete", out, progress
+    )
+    for k in range(4):
+        spark.createDataFrame([("a b a",)], "text string").coalesce(1).write.mode("append").parquet(source)
+        first = {r.piece: r.cnt for r in run().collect()}
+        assert first == {"a": k + 1, " b": k + 1, " a": k + 1} == {r.piece: r.cnt for r in run().collect()}
+    assert len(streams.written_triggers(spark, out)) <= 3
+
+
+def test_rows_out_of_order_fail_the_packing(spark, tmp_path):
+    from shardloom.streaming import streams
+
+    source, out, progress = (str(tmp_path / x) for x in ("in", "out", "progress"))
+
+    def land(keys):
+        rows = [(k, 0, [k] * 3) for k in keys]
+        spark.createDataFrame(rows, "doc_id bigint, rank int, ids array<int>").coalesce(1).write.mode("append").parquet(source)
+        stream = streams.shard_stream(spark, source, "doc_id bigint, rank int, ids array<int>")
+        return streams.pack_stream(stream, "rank", "doc_id", 1, 3, out, progress)
+
+    assert land([1, 2, 3]).count() == 2
+    assert land([4, 6]).count() == 3
+    with pytest.raises(Exception, match="out of order"):
+        land([5])
