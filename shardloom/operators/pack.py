@@ -62,10 +62,12 @@ def windows(
     gathered = fragments.groupBy(*by, "window_id").agg(
         F.array_sort(F.collect_list(F.struct("_start", "_part"))).alias("_parts"),
         F.max("_key").alias("last_key"),
+        F.sum(F.size("_part")).alias("_n"),
     )
+    # Full windows are told by their counted tokens, so the arrays are joined once.
+    kept = gathered if keep_rest else gathered.where(F.col("_n") == width)
     tokens = F.flatten(F.transform("_parts", lambda p: p["_part"]))
-    cut = gathered.select(*by, "window_id", "last_key", tokens.alias("tokens"))
-    return cut if keep_rest else cut.where(F.size("tokens") == width)
+    return kept.select(*by, "window_id", "last_key", tokens.alias("tokens"))
 
 
 def pack(

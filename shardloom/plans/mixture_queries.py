@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import functions as F
 
 from shardloom.operators import mix, pack, tasks
@@ -76,11 +78,13 @@ def _conversation_tables(spark, sf_dir, members):
     def half(rows, rest):
         return shuffled(rows.where(F.col("idx") % 2 == rest))
 
-    words = materialize(inputs.words(spark, sf_dir), "words")
+    @lru_cache(maxsize=1)
+    def words():
+        return materialize(inputs.words(spark, sf_dir), "words")
 
     def generated(make, salt):
         n = inputs.documents(spark, sf_dir).agg(F.count("*")).first()[0]
-        return make(spark, tasks.index_words(words, salt), n, "train")
+        return make(spark, tasks.index_words(words(), salt), n, "train")
 
     gsm = lambda: inputs.gsm8k(spark, sf_dir).drop("a", "b", "kind")
     makers = {
@@ -99,9 +103,9 @@ def _conversation_tables(spark, sf_dir, members):
     return {(m.task, m.split): makers[(m.task, m.split)]() for m in members}
 
 
-def _preset(spark, sf_dir, stage):
-    tables = _conversation_tables(spark, sf_dir, mix.PRESETS[(stage, "full", "train")])
-    return mix.preset_mixture(tables, stage, "full", "train").select("pos", "member", "task", "idx", "messages")
+def _preset(spark, sf_dir, stage, tier="full", split="train"):
+    tables = _conversation_tables(spark, sf_dir, mix.PRESETS[(stage, tier, split)])
+    return mix.preset_mixture(tables, stage, tier, split).select("pos", "member", "task", "idx", "messages")
 
 
 _SHUFFLED_SQL = lambda name, task, key, source, text, where: (
@@ -116,6 +120,9 @@ iw2 AS MATERIALIZED (SELECT word, row_number() OVER (ORDER BY md5('spell|' || wo
 {_SHUFFLED_SQL('talk1', 'CustomJSON', 'conv_id', _CHAT_FIRST, 't', 'conv_id % 2 = 1')},
 {_SHUFFLED_SQL('mmlu0', 'MMLU', 'idx', 'mmlu', _MMLU_FIRST, 'idx % 2 = 0')},
 {_SHUFFLED_SQL('gsm_train', 'GSM8K', 'idx', 'gsm8k', 'question', 'idx % 2 = 0')},
+{_SHUFFLED_SQL('talk_test', 'SmolTalk', 'conv_id', _CHAT_FIRST, 't', 'conv_id % 2 = 1')},
+{_SHUFFLED_SQL('mmlu1', 'MMLU', 'idx', 'mmlu', _MMLU_FIRST, 'idx % 2 = 1')},
+{_SHUFFLED_SQL('gsm_test', 'GSM8K', 'idx', 'gsm8k', 'question', 'idx % 2 = 1')},
 {_SHUFFLED_SQL('arc0', 'ARC-Easy', 'idx', 'arc', _ARC_FIRST, 'idx % 2 = 0')},
 {_SHUFFLED_SQL('arc1', 'ARC-Challenge', 'idx', 'arc', _ARC_FIRST, 'idx % 2 = 1')},
 spell0 AS (SELECT 'SimpleSpelling' AS task, doc_id AS idx, md5('Spell the word: ' || word) AS first FROM documents
@@ -158,6 +165,23 @@ def sft_mixture(spark, sf_dir):
     return _shown_mixture(_preset(spark, sf_dir, "sft"))
 
 
+def _register_preset(name: str, stage: str, tier: str, split: str, members: list[tuple[str, int | None]]) -> None:
+    @query(name, _preset_sql(members))
+    def preset(spark, sf_dir):
+        return _shown_mixture(_preset(spark, sf_dir, stage, tier, split))
+
+
+_register_preset("mid_small", "mid", "small", "train", [("talk0", 1000), ("mmlu0", 500)])
+_register_preset("mid_small_val", "mid", "small", "val", [("talk_test", 100), ("mmlu1", 100)])
+_register_preset("mid_val", "mid", "full", "val", [("talk_test", None), ("mmlu1", 5200), ("gsm_test", 420)])
+_register_preset(
+    "sft_small", "sft", "small", "train",
+    [("arc0", 50), ("arc1", 30), ("gsm_train", 100), ("talk0", 200), ("talk1", None), ("spell0", 20), ("bee2", 20)],
+)
+_register_preset("sft_small_val", "sft", "small", "val", [("talk_test", 100)])
+_register_preset("sft_val", "sft", "full", "val", [("talk_test", 1000)])
+
+
 # --- packing -----------------------------------------------------------------
 
 _ENC_DOCS_SQL = f"""{sq.train()},
