@@ -1,4 +1,4 @@
-"""Every registered query against its SQL twin on the smallest data set."""
+"""Every query of the library against its SQL twin on the smallest data set."""
 
 import glob
 import os
@@ -6,8 +6,11 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
 from check_oracle import rows_of
+from shardloom.plans import load_all
+from shardloom.plans.registry import ORACLES, QUERIES
+
+load_all()
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
@@ -22,14 +25,14 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    df = entry.queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     got = [tuple(r) for r in df.collect()]
-    result = con.execute(entry.oracle_sql()[name])
+    result = con.execute(ORACLES[name])
     names = [d[0] for d in result.description]
     assert sorted(df.columns) == sorted(names)
     assert rows_of(df.columns, got) == rows_of(names, result.fetchall())
