@@ -3,13 +3,14 @@
 A text is the set of its word n-grams, kept as 64-bit hashes. Two sets with
 ``100 * common >= percent * union`` share an n-gram among the first
 ``n - ceil(percent * n / 100) + 1`` of each in any common order; the order here
-is rare first, by counts of all n-grams of all texts in ``COUNT_BINS`` hash bins
-(ties by hash). Sets that are equal are one representative.
+is rare first: an n-gram is as frequent as its rarest word at most, and as its own hash
+bin, by counts over all texts in ``WORD_BINS`` and ``GRAM_BINS`` bins (ties by hash).
+Sets that are equal are one representative.
 
 Prefix n-grams held by several representatives give candidate pairs in two steps, so that a
 group of near copies never becomes all its pairs. First every member is
-compared with one pivot of its n-gram and length class (a row per member), and the
-links found are contracted to components. Then only members whose components still
+compared with two of the pivots of its n-grams (the smallest member of an n-gram and
+length class is its pivot), and the links found are contracted to components. Then only members whose components still
 differ are paired, where length, position and the pivot's distance (a metric:
 two texts differ at least by the difference of their distances) leave a link possible. Pairs are
 made distinct, pass a suffix filter on set profiles (counts by ``PROFILE`` hash
@@ -30,64 +31,73 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shardloom.llm.common import hashed_words, if_small, mix, not_white
 from shardloom.llm.components import components
 from shardloom.session import materialize, session_conf
 
-COUNT_BINS = 1 << 18
+WORD_BINS = 1 << 18
+GRAM_BINS = 1 << 16
 PROFILE = 64
 _STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
-def gram_sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
-    """The sorted distinct n-gram hashes of every row of a text column."""
+def _bins(hashes: np.ndarray, bins: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - bins.bit_length() + 1)).astype(np.int64)
+
+
+def _gram_runs(column: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows, word limits, word hashes and the n-gram hash that starts at each word, by row range."""
     for lo, hi, limits, hashes in hashed_words(column, not_white()):
-        grams = np.zeros(0, np.uint64)
-        if len(hashes) >= n:
-            grams = hashes[: len(hashes) - n + 1].copy()
-            for i in range(1, n):
-                grams = mix(grams * _STEPS[0] + hashes[i : len(hashes) - n + 1 + i] + np.uint64(i))
-        for i in range(hi - lo):
-            a, b = int(limits[i]), int(limits[i + 1])
-            if b - a >= n:
-                yield np.unique(grams[a : b - n + 1])
+        grams = hashes[: max(0, len(hashes) - n + 1)].copy()
+        for i in range(1, n):
+            grams = mix(grams * _STEPS[0] + hashes[i : len(grams) + i] + np.uint64(i))
+        yield hi - lo, limits, hashes, grams
+
+
+def gram_sets(column: pa.Array, n: int, counts: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For every row of a text column its sorted distinct n-gram hashes and, with counts, how frequent each can be."""
+    for rows, limits, hashes, grams in _gram_runs(column, n):
+        most = np.zeros(len(hashes), np.int64) if counts is None else counts[_bins(hashes, WORD_BINS)]
+        least = most[: len(grams)]
+        for i in range(1, n):
+            least = np.minimum(least, most[i : len(grams) + i])
+        if counts is not None:
+            least = np.minimum(least, counts[WORD_BINS + _bins(grams, GRAM_BINS)])
+        for a, b in zip(limits[:rows].tolist(), limits[1:].tolist()):
+            if b - a >= n and counts is None:
+                yield np.unique(grams[a : b - n + 1]), most[:0]
+            elif b - a >= n:
+                found, first = np.unique(grams[a : b - n + 1], return_index=True)
+                yield found, least[a + first]
             elif b > a:
-                whole = np.uint64(b - a)
+                whole = np.array([b - a], np.uint64)
                 for h in hashes[a:b]:
-                    whole = mix(np.array([whole], np.uint64) * _STEPS[1] + h)[0]
-                yield np.array([whole], np.uint64)
+                    whole = mix(whole * _STEPS[1] + h)
+                yield whole, most[a:b].min(keepdims=True)
             else:
-                yield grams[:0]
-
-
-def _bins(grams: np.ndarray) -> np.ndarray:
-    return (grams >> np.uint64(64 - COUNT_BINS.bit_length() + 1)).astype(np.int64)
+                yield hashes[:0], most[:0]
 
 
 def bin_counts(docs: DataFrame, n: int) -> np.ndarray:
-    """How many n-grams of all texts fall into each hash bin."""
+    """How many words and n-grams of all texts fall into each hash bin (words first)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, held, size = np.zeros(COUNT_BINS, np.int64), [], 0
+        total = np.zeros(WORD_BINS + GRAM_BINS, np.int64)
         for batch in batches:
-            for grams in gram_sets(batch.column(0), n):
-                held.append(_bins(grams))
-                size += len(grams)
-                if size >= COUNT_BINS:
-                    total += np.bincount(np.concatenate(held), minlength=COUNT_BINS)
-                    held, size = [], 0
-        if held:
-            total += np.bincount(np.concatenate(held), minlength=COUNT_BINS)
+            for _, limits, hashes, grams in _gram_runs(batch.column(0), n):
+                total[:WORD_BINS] += np.bincount(_bins(hashes, WORD_BINS), minlength=WORD_BINS)
+                # N-grams that cross texts only raise what is an upper bound.
+                total[WORD_BINS:] += np.bincount(_bins(grams, GRAM_BINS), minlength=GRAM_BINS)
         full = np.flatnonzero(total)
         for at in range(0, len(full), 1 << 16):
             part = full[at : at + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], names=["bin", "n"])
 
     counted = docs.select(F.col("text").cast("string")).mapInArrow(count, "bin bigint, n bigint")
-    out = np.zeros(COUNT_BINS, np.int64)
+    out = np.zeros(WORD_BINS + GRAM_BINS, np.int64)
     found = counted.groupBy("bin").agg(F.sum("n").alias("n")).toArrow()
     out[found["bin"].to_numpy()] = found["n"].to_numpy()
     return out
@@ -108,10 +118,10 @@ def prefixes(docs: DataFrame, n: int, percent: int, counts: np.ndarray) -> DataF
     ratio = math.log(100 / percent)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row, rarity = TaskContext.get().partitionId() << 40, shared.value
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
             sizes, digests, classes, profiles, cuts = [], [], [], [], []
-            for grams in gram_sets(batch.column(1), n):
+            for grams, rarity in gram_sets(batch.column(1), n, shared.value):
                 size = len(grams)
                 sizes.append(size)
                 digests.append(_digests(grams))
@@ -119,7 +129,7 @@ def prefixes(docs: DataFrame, n: int, percent: int, counts: np.ndarray) -> DataF
                 spread = np.bincount((grams >> np.uint64(64 - PROFILE.bit_length() + 1)).astype(np.int64), minlength=PROFILE)
                 profiles.append(spread.astype(np.uint32).tobytes())
                 keep = size - -(-percent * size // 100) + 1 if size else 0
-                order = np.lexsort((grams, rarity[_bins(grams)]))[:keep]
+                order = np.lexsort((grams, rarity))[:keep]
                 cuts.append(grams[order].view(np.int64))
             rows = np.arange(row, row + batch.num_rows)
             row += batch.num_rows
@@ -142,10 +152,16 @@ def _lengths_fit(a: Column, b: Column, percent: int) -> Column:
     return (a * percent <= b * 100) & (b * percent <= a * 100)
 
 
-def _positions_fit(n: Column, pos: Column, n2: Column, pos2: Column, percent: int) -> Column:
-    """The n-grams after a common one can still make the overlap that a link needs."""
-    most = F.least(n - pos, n2 - pos2) + F.least(pos, pos2)
-    return most * (100 + percent) >= (n + n2) * percent
+def _overlap_fits(x: dict[str, Column], y: dict[str, Column], percent: int) -> Column:
+    """What is known of two prefixes leaves the overlap that a link needs.
+
+    Common are at most the n-grams from this one on and those that anyone shares
+    before it; n-grams that a row has for itself are all in the symmetric difference.
+    """
+    both = x["n"] + y["n"]
+    here = F.least(x["n"] - x["pos"], y["n"] - y["pos"]) + F.least(x["before"], y["before"])
+    apart = both - x["own"] - y["own"]
+    return (here * (100 + percent) >= both * percent) & (apart * (100 + percent) >= both * percent * 2)
 
 
 def suffix_bound(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
@@ -178,12 +194,12 @@ def suffix_bound(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
 def gram_table(docs: DataFrame, rows: DataFrame, n: int) -> DataFrame:
     """``row, grams`` (sorted hashes as bytes) of the texts of ``rows`` (``row, doc_id, d1, d2``).
 
-    Texts are found by id and digest; several rows of one id and digest give one.
+    Texts are found by id and digest; several rows of one id and digest give the set again.
     """
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = list(gram_sets(batch.column(1), n))
+            found = [grams for grams, _ in gram_sets(batch.column(1), n)]
             digests = [_digests(g) for g in found]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -199,7 +215,7 @@ def gram_table(docs: DataFrame, rows: DataFrame, n: int) -> DataFrame:
     found = wanted.mapInArrow(sets, "doc_id bigint, d1 bigint, d2 bigint, grams binary").alias("f")
     rows = if_small(rows).alias("r")
     same = (F.col("f.d1") == F.col("r.d1")) & (F.col("f.d2") == F.col("r.d2")) & F.col("f.doc_id").eqNullSafe(F.col("r.doc_id"))
-    return found.join(rows, same).select("r.row", "f.grams").dropDuplicates(["row"])
+    return found.join(rows, same).select("r.row", "f.grams")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -231,7 +247,7 @@ def _checked(docs: DataFrame, pairs: DataFrame, facts: DataFrame, n: int, percen
     sets = materialize(gram_table(docs, wanted, n), "sets")
     exact = verify(hopeful, sets, percent)
     rest = bounded.where(~F.col("possible")).select("a", "b", F.col("least_far").alias("least"), F.lit(1.0).alias("most"), F.lit(False).alias("linked"))
-    return materialize(exact.select("a", "b", F.col("far").alias("least"), F.col("far").alias("most"), "linked").union(rest), "checked")
+    return materialize(exact.select("a", "b", F.col("far").alias("least"), F.col("far").alias("most"), "linked").union(rest).distinct(), "checked")
 
 
 def similar_groups(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
@@ -247,25 +263,21 @@ def similar_groups(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
         key = ["n", "d1", "d2"]
         heads = table.where("n > 0").groupBy(*key).agg(F.min("row").alias("rep"), F.count("*").alias("copies"))
         heads = materialize(heads, "heads")
-        facts = materialize(table.join(heads.select(F.col("rep").alias("row")), "row", "left_semi"), "facts")
+        several = if_small(materialize(heads.where("copies > 1").select(*key, "rep"), "several"))
+        copies = table.select("row", *key).join(several, key).where("row <> rep").select("row")
+        facts = table.where("n > 0").join(if_small(materialize(copies, "copies")), "row", "left_anti")
         slim = facts.select("row", "doc_id", "n", "d1", "d2", "profile")
+        # One shuffle of the prefixes; n-grams with a single holder go at once.
         grams = facts.select("row", "n", "class", F.posexplode("prefix").alias("pos", "gram"))
-        shared = grams.groupBy("gram").agg(F.count("*").alias("held")).where("held > 1").select("gram")
-        members = materialize(grams.join(if_small(materialize(shared, "shared")), "gram"), "members")
-        # First step: a pivot for each n-gram and length class, and for the next class its pivot.
-        pivots = members.groupBy("gram", "class").agg(F.min("row").alias("pivot"), F.min_by("n", "row").alias("pivot_n"))
+        held = grams.withColumn("held", F.count("*").over(Window.partitionBy("gram"))).where("held > 1").drop("held")
+        members = materialize(_with_own(held, percent), "members")
+        # The pivot is the member with the fewest n-grams of its own: the likeliest centre.
+        best = F.struct("own", "row")
+        pivots = members.groupBy("gram", "class").agg(F.min_by("row", best).alias("pivot"), F.min_by("n", best).alias("pivot_n"))
         pivots = materialize(pivots, "pivots")
-        members = members.join(pivots, ["gram", "class"])
-        fit = _lengths_fit(F.col("n"), F.col("pivot_n"), percent)
-        stars = members.where((F.col("row") != F.col("pivot")) & fit).select(F.col("pivot").alias("a"), F.col("row").alias("b"))
-        above = pivots.select("gram", (F.col("class") - 1).alias("class"), F.col("pivot").alias("up"), F.col("pivot_n").alias("up_n"))
-        near = pivots.join(above, ["gram", "class"]).where(_lengths_fit(F.col("pivot_n"), F.col("up_n"), percent))
-        ordered = near.select(F.least("pivot", "up").alias("a"), F.greatest("pivot", "up").alias("b")).where("a <> b")
-        first = materialize(stars.union(ordered).distinct(), "stars")
+        first = materialize(_first_pairs(members, pivots, percent), "first")
         checked = _checked(docs, first, slim, n, percent)
-        links = checked.where("linked").select("a", "b")
-        found = materialize(components(links), "components")
-        # Second step: pairs of an n-gram whose components differ.
+        found = materialize(components(checked.where("linked").select("a", "b")), "components")
         left = _second_pairs(members, checked, found, percent)
         left = materialize(left.join(first, ["a", "b"], "left_anti"), "left")
         more = _checked(docs, left, slim, n, percent).where("linked").select("a", "b")
@@ -277,16 +289,45 @@ def similar_groups(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
         return materialize(table.join(roots, key, "left").select("row", "doc_id", "text_key", "n", "root"), "groups")
 
 
+def _with_own(held: DataFrame, percent: int) -> DataFrame:
+    """Adds ``own``, how many prefix n-grams of the row no other row holds, and ``before``, its held ones before this."""
+    mine = Window.partitionBy("row")
+    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    return held.withColumn("own", length - F.count("*").over(mine)).withColumn(
+        "before", F.row_number().over(mine.orderBy("pos")) - 1
+    )
+
+
+def _first_pairs(members: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
+    """Two pivots for each member, and for each pivot that of the next length class of its n-gram."""
+    fit = (F.col("row") != F.col("pivot")) & _lengths_fit(F.col("n"), F.col("pivot_n"), percent)
+    near = members.join(pivots, ["gram", "class"]).where(fit)
+    # The smallest pivot gathers a group in one star; the one by hash joins stars.
+    two = near.groupBy("row").agg(F.min("pivot").alias("low"), F.min_by("pivot", F.xxhash64("pivot")).alias("other"))
+    two = two.select(F.explode(F.array("low", "other")).alias("pivot"), "row")
+    stars = two.select(F.least("pivot", "row").alias("a"), F.greatest("pivot", "row").alias("b"))
+    above = pivots.select("gram", (F.col("class") - 1).alias("class"), F.col("pivot").alias("up"), F.col("pivot_n").alias("up_n"))
+    steps = pivots.join(above, ["gram", "class"]).where(_lengths_fit(F.col("pivot_n"), F.col("up_n"), percent))
+    steps = steps.groupBy("pivot").agg(F.min("up").alias("up"))
+    ordered = steps.select(F.least("pivot", "up").alias("a"), F.greatest("pivot", "up").alias("b")).where("a <> b")
+    return stars.union(ordered).distinct()
+
+
 def _second_pairs(members: DataFrame, checked: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    known = checked.select(F.col("a").alias("pivot"), F.col("b").alias("row"), "least", "most")
-    own = F.col("row") == F.col("pivot")
+    # What is known of each row's distance to its smallest partner, a centre it may share with others.
+    # The centre that gathers most rows is the one whose distances say most.
+    both = checked.select("a", "b", "least", "most").union(checked.select("b", "a", "least", "most"))
+    size = Window.partitionBy("a")
+    known = both.withColumn("size", F.count("*").over(size)).groupBy(F.col("b").alias("row"))
+    best = F.struct("size", "a")
+    known = known.agg(F.max_by("a", best).alias("centre"), F.max_by("least", best).alias("least"), F.max_by("most", best).alias("most"))
+    alone = F.col("centre").isNull()
     told = (
-        members.join(known, ["pivot", "row"], "left")
+        members.alias("members").join(known, "row", "left")
         .join(found.withColumnRenamed("node", "row"), "row", "left")
         .select(
-            "gram", "row", "n", "pos", "class", F.coalesce("root", "row").alias("root"),
-            F.when(own, 0.0).otherwise(F.coalesce("least", F.lit(0.0))).alias("least"),
-            F.when(own, 0.0).otherwise(F.coalesce("most", F.lit(1.0))).alias("most"),
+            "gram", "row", "n", "pos", "before", F.col("members.own").alias("own"), F.coalesce("root", "row").alias("root"), F.coalesce("centre", "row").alias("centre"),
+            F.when(alone, 0.0).otherwise(F.col("least")).alias("least"), F.when(alone, 0.0).otherwise(F.col("most")).alias("most"),
         )
     )
     told = materialize(told, "told")
@@ -296,7 +337,7 @@ def _second_pairs(members: DataFrame, checked: DataFrame, found: DataFrame, perc
     x, y = open_.alias("x"), open_.alias("y")
     limit = F.lit((100 - percent) / 100 + 1e-9)
     col = lambda side, name: F.col(f"{side}.{name}")
-    apart = (col("x", "class") == col("y", "class")) & (
+    apart = (col("x", "centre") == col("y", "centre")) & (
         (col("x", "least") - col("y", "most") > limit) | (col("y", "least") - col("x", "most") > limit)
     )
     pairs = x.join(
@@ -305,7 +346,7 @@ def _second_pairs(members: DataFrame, checked: DataFrame, found: DataFrame, perc
         & (col("x", "row") < col("y", "row"))
         & (col("x", "root") != col("y", "root"))
         & _lengths_fit(col("x", "n"), col("y", "n"), percent)
-        & _positions_fit(col("x", "n"), col("x", "pos"), col("y", "n"), col("y", "pos"), percent)
+        & _overlap_fits(*({name: col(side, name) for name in ("n", "pos", "before", "own")} for side in "xy"), percent)
         & ~apart,
     )
     return pairs.select(col("x", "row").alias("a"), col("y", "row").alias("b")).distinct()
