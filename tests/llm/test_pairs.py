@@ -113,7 +113,7 @@ def brute_repeats(rows, min_len, keep):
             if count[piece] > 1 and (keep == "none" or first[piece] != (i, s)):
                 mask[s : s + min_len] = b"\1" * min_len
         kept = bytes(x for x, m in zip(b, mask) if not m)
-        runs = len(re.findall(rb"\1+", bytes(mask)))
+        runs = len(re.findall(rb"\x01+", bytes(mask)))
         out.append((rows[i][0], len(b), sum(mask), runs, hashlib.sha256(kept).hexdigest()))
     return out
 
