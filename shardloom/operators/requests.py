@@ -22,6 +22,7 @@ def validate_requests(df: DataFrame, request: str = "request") -> DataFrame:
     messages = F.col("_input")["messages"]
     incomplete = lambda m: m["role"].isNull() | m["content"].isNull()
     # Messages are looked at in order: whichever fault comes first is reported.
+    # The error texts.
     faults = F.filter(
         F.transform(
             messages,

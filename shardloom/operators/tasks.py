@@ -87,6 +87,7 @@ COUNT_TEMPLATES = (
     "{word}の中に{letter}がいくつ",
     "{word}に{letter}が何回出てくる",
 )
+# Fixed value: letters that the letter-count task draws from.
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -117,6 +118,7 @@ def conversation_columns(
 
 def render_mc(question: Column, letters: Column, choices: Column) -> Column:
     """The multiple-choice prompt: the letter follows its choice without a blank."""
+    # The texts around question and choices.
     line = lambda choice, letter: F.concat(F.lit("- "), choice, F.lit("="), letter, F.lit("\n"))
     n = F.least(F.size(choices), F.size(letters))
     options = F.zip_with(F.slice(choices, F.lit(1), n), F.slice(letters, F.lit(1), n), line)
@@ -144,6 +146,12 @@ def mmlu_conversations(rows: DataFrame, task: str = "MMLU") -> DataFrame:
     )
 
 
+def unknown_subjects(rows: DataFrame) -> DataFrame:
+    """Subjects of MMLU rows that the benchmark does not have, with their numbers of rows; null counts as one."""
+    known = F.coalesce(F.col("subject").isin(*MMLU_SUBJECTS), F.lit(False))
+    return rows.where(~known).groupBy("subject").agg(F.count("*").alias("n"))
+
+
 def arc_conversations(rows: DataFrame, task: str = "ARC-Easy") -> DataFrame:
     """Rows ``idx, question, choices{text, label}, answer_key``; labels come from the row."""
     labels = F.col("choices")["label"]
@@ -270,6 +278,7 @@ def letter_count_conversations(
             char == letter, F.concat(place, F.lit(" hit! count="), so_far, F.lit("\n"))
         ).otherwise(F.concat(place, F.lit("\n")))
 
+    # The texts of the worked answer.
     manual = F.concat(
         F.lit("We are asked to find the number '"), letter, F.lit("' in the word '"), word,
         F.lit("'. Let me try a manual approach first.\n\nFirst spell the word out:\n"),

@@ -296,3 +296,8 @@ def test_long_pieces_encode_quickly():
     start = time.perf_counter()
     ids = tk.encode_piece("ab" * 500_000, {(97, 98): 256, (256, 256): 257})
     assert ids == [257] * 250_000 and time.perf_counter() - start < 30
+
+
+def test_unknown_subjects_are_listed(spark):
+    rows = spark.createDataFrame([("anatomy",), ("x",), ("x",), (None,)], "subject string")
+    assert {(r.subject, r.n) for r in tasks.unknown_subjects(rows).collect()} == {("x", 2), (None, 1)}
