@@ -7,8 +7,8 @@ only need to be compared within an owner's group. A run of starts with one owner
 is a region; regions equal in bytes are one representative with a count, so exact copies and the
 insides of near copies cost one row.
 
-Where a group has several different regions, their suffixes are put in order, and the
-longest previous factor of each start follows from the nearest smaller positions before
+Where a group has several different regions, the suffixes at equal distance from the
+owner are put in order, and the longest previous factor of each start follows from the nearest smaller positions before
 and after it in that order: a start with a factor of ``min_len`` has an earlier
 match, and its source has a later one. ``keep="first"`` removes later copies only and keeps
 the first (documents in order of id, then position); ``keep="none"`` removes every copy. Lengths below
@@ -38,9 +38,9 @@ MIN_LEN = 400
 #: Share of ``min_len`` that an anchor's gram takes: the rest is its window.
 GRAM_SHARE = 0.36
 #: Different regions of a group that are put in suffix order together.
-HOT = 512
+HOT = 16_384
 
-ANCHORS = "doc_id bigint, k1 bigint, k2 bigint, h bigint, g bigint, lo bigint, hi bigint"
+ANCHORS = "doc_id bigint, k1 bigint, k2 bigint, h bigint, g bigint, lo bigint, hi bigint, at int"
 
 
 def _sliding_least(values: np.ndarray, window: int) -> np.ndarray:
@@ -53,12 +53,12 @@ def _sliding_least(values: np.ndarray, window: int) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, limits: np.ndarray, min_len: int) -> tuple[np.ndarray, ...]:
-    """Anchors of the texts between ``limits``: text, owner hash, region hash, first and last start.
+    """Anchors of the texts between ``limits``: text, owner hash, region hash, first and last start, owner.
 
-    Starts count from the beginning of ``data``.
+    Starts count from the beginning of ``data``, the owner from the first start.
     """
     gram = max(1, int(min_len * GRAM_SHARE))
-    none = tuple(np.zeros(0, t) for t in (np.int64, np.uint64, np.uint64, np.int64, np.int64))
+    none = tuple(np.zeros(0, t) for t in (np.int64, np.uint64, np.uint64, np.int64, np.int64, np.int32))
     if len(data) < min_len:
         return none
     rolling = Rolling(data)
@@ -77,7 +77,7 @@ def anchors(data: np.ndarray, limits: np.ndarray, min_len: int) -> tuple[np.ndar
     at = np.flatnonzero(first)
     lo, hi = starts[at], starts[np.concatenate((at[1:] - 1, [len(starts) - 1]))]
     region = rolling.between(lo, hi + min_len) + mix((own[at] - lo).astype(np.uint64)) + mix((hi - lo).astype(np.uint64) << np.uint64(20))
-    return of[at], hashes[own[at]], mix(region), lo, hi
+    return of[at], hashes[own[at]], mix(region), lo, hi, (own[at] - lo).astype(np.int32)
 
 
 def anchor_table(docs: DataFrame, min_len: int) -> DataFrame:
@@ -92,12 +92,12 @@ def anchor_table(docs: DataFrame, min_len: int) -> DataFrame:
                 for at in range(begin, max(end, begin + 1), 2 * STEP_BYTES):
                     to = min(end, at + 2 * STEP_BYTES + min_len - 1)
                     own = np.clip(limits[a : b + 1], at, to) - at
-                    text, h, g, lo, hi = anchors(data[at:to], own, min_len)
+                    text, h, g, lo, hi, owner = anchors(data[at:to], own, min_len)
                     offset = at - limits[a + text]
                     rows = pa.array(a + text)
                     yield pa.RecordBatch.from_arrays(
-                        [*(batch.column(k).take(rows) for k in range(3)), pa.array(h.view(np.int64)), pa.array(g.view(np.int64)), pa.array(lo + offset), pa.array(hi + offset)],
-                        names=["doc_id", "k1", "k2", "h", "g", "lo", "hi"],
+                        [*(batch.column(k).take(rows) for k in range(3)), pa.array(h.view(np.int64)), pa.array(g.view(np.int64)), pa.array(lo + offset), pa.array(hi + offset), pa.array(owner)],
+                        names=["doc_id", "k1", "k2", "h", "g", "lo", "hi", "at"],
                     )
 
     return docs.mapInArrow(find, ANCHORS)
@@ -130,23 +130,29 @@ def longest_previous_factors(order: list[int], lcp: list[int]) -> tuple[list[int
     return length, source
 
 
-def group_marks(regions: list[bytes], min_len: int) -> tuple[list[set[int]], list[set[int]]]:
-    """For each region (in document order) its starts with an earlier match, and those with any."""
+def group_marks(regions: list[bytes], owners: list[int], min_len: int) -> tuple[list[set[int]], list[set[int]]]:
+    """For each region (in document order) its starts with an earlier match, and those with any.
+
+    ``owners`` are the places of the common owner in the regions: only starts at
+    equal distance from it can match, so suffixes are put in order distance by distance.
+    """
     later: list[set[int]] = [set() for _ in regions]
     every: list[set[int]] = [set() for _ in regions]
-    places = [(k, s) for k, text in enumerate(regions) for s in range(len(text) - min_len + 1)]
-    suffixes = [regions[k][s : s + min_len] for k, s in places]
-    order = sorted(range(len(places)), key=suffixes.__getitem__)
-    equal = [i > 0 and suffixes[order[i - 1]] == suffixes[order[i]] for i in range(len(order))]
-    # Suffixes that share min_len bytes with no neighbour have no factor of that length.
-    near = [i for i in range(len(order)) if equal[i] or (i + 1 < len(order) and equal[i + 1])]
-    length, source = longest_previous_factors([order[i] for i in near], [min_len if equal[i] else 0 for i in near])
-    for i, n, earlier in zip(near, length, source):
-        if n >= min_len:
-            for place, sets in ((order[i], (later, every)), (earlier, (every,))):
-                k, s = places[place]
-                for found in sets:
-                    found[k].add(s)
+    lasts = [len(text) - min_len for text in regions]
+    for distance in range(min(o - last for o, last in zip(owners, lasts)), max(owners) + 1):
+        held = [(k, o - distance) for k, (o, last) in enumerate(zip(owners, lasts)) if 0 <= o - distance <= last]
+        suffixes = [regions[k][s : s + min_len] for k, s in held]
+        order = sorted(range(len(held)), key=suffixes.__getitem__)
+        equal = [i > 0 and suffixes[order[i - 1]] == suffixes[order[i]] for i in range(len(order))]
+        # Suffixes that share min_len bytes with no neighbour have no factor of that length.
+        near = [i for i in range(len(order)) if equal[i] or (i + 1 < len(order) and equal[i + 1])]
+        length, source = longest_previous_factors([order[i] for i in near], [min_len if equal[i] else 0 for i in near])
+        for i, n, earlier in zip(near, length, source):
+            if n >= min_len:
+                (k, s), (first, t) = held[order[i]], held[earlier]
+                later[k].add(s)
+                every[k].add(s)
+                every[first].add(t)
     return later, every
 
 
@@ -164,12 +170,12 @@ MARKS = "h bigint, g bigint, later boolean, first bigint, last bigint"
 
 
 def _suffix_marks(regions: DataFrame, min_len: int) -> DataFrame:
-    """Marks of the regions (``h, g, place, bytes``) by LPF arrays, a group at a time."""
+    """Marks of the regions (``h, g, place, bytes, at``) by LPF arrays, a group at a time."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def settle(h: int, held: dict[int, tuple]) -> list[tuple]:
             ranked = sorted(held.items(), key=lambda x: x[1][0])
-            later, every = group_marks([v[1] for _, v in ranked], min_len)
+            later, every = group_marks([v[1] for _, v in ranked], [v[2] for _, v in ranked], min_len)
             return [
                 (h, g, kind, a, b)
                 for (g, _), early, all_ in zip(ranked, later, every)
@@ -180,12 +186,12 @@ def _suffix_marks(regions: DataFrame, min_len: int) -> DataFrame:
         def rows() -> Iterator[list[tuple]]:
             last, held = None, {}
             for batch in batches:
-                for h, g, place, text in zip(*(c.to_pylist() for c in batch.columns)):
+                for h, g, place, text, owner in zip(*(c.to_pylist() for c in batch.columns)):
                     if h != last:
                         if len(held) > 1:
                             yield settle(last, held)
                         last, held = h, {}
-                    held.setdefault(g, (place, text))
+                    held.setdefault(g, (place, text, owner))
             if len(held) > 1:
                 yield settle(last, held)
 
@@ -199,7 +205,7 @@ def _suffix_marks(regions: DataFrame, min_len: int) -> DataFrame:
             yield _mark_batch(out)
 
     dealt = regions.repartition("h").sortWithinPartitions("h")
-    return dealt.select("h", "g", "place", "bytes").mapInArrow(mark, MARKS)
+    return dealt.select("h", "g", "place", "bytes", "at").mapInArrow(mark, MARKS)
 
 
 def _mark_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -231,8 +237,8 @@ def _digest_marks(regions: DataFrame, min_len: int) -> DataFrame:
 
 
 def _cut_regions(docs: DataFrame, wanted: DataFrame, min_len: int) -> DataFrame:
-    """``h, g, place, hot, bytes`` of the wanted regions (``doc_id, k1, k2, lo, hi, h, g, place, hot``)."""
-    asked = wanted.groupBy("doc_id", "k1", "k2").agg(F.collect_list(F.struct("h", "g", "place", "hot", "lo", "hi")).alias("asked"))
+    """``h, g, place, hot, at, bytes`` of the wanted regions (``doc_id, k1, k2, lo, hi, h, g, place, hot, at``)."""
+    asked = wanted.groupBy("doc_id", "k1", "k2").agg(F.collect_list(F.struct("h", "g", "place", "hot", "at", "lo", "hi")).alias("asked"))
     asked = if_small(materialize(asked, "asked"))
     same = docs["doc_id"].eqNullSafe(asked["doc_id"]) & (docs["k1"] == asked["k1"]) & (docs["k2"] == asked["k2"])
     found = docs.join(asked, same).select("text", "asked")
@@ -243,10 +249,10 @@ def _cut_regions(docs: DataFrame, wanted: DataFrame, min_len: int) -> DataFrame:
             for i, some in enumerate(batch.column(1).to_pylist()):
                 base = int(limits[i])
                 texts = [data[base + r["lo"] : base + r["hi"] + min_len].tobytes() for r in some]
-                columns = [pa.array([r[k] for r in some], t) for k, t in (("h", pa.int64()), ("g", pa.int64()), ("place", pa.int64()), ("hot", pa.bool_()))]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.binary())], names=["h", "g", "place", "hot", "bytes"])
+                columns = [pa.array([r[k] for r in some], t) for k, t in (("h", pa.int64()), ("g", pa.int64()), ("place", pa.int64()), ("hot", pa.bool_()), ("at", pa.int32()))]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.binary())], names=["h", "g", "place", "hot", "at", "bytes"])
 
-    return found.mapInArrow(cut, "h bigint, g bigint, place bigint, hot boolean, bytes binary")
+    return found.mapInArrow(cut, "h bigint, g bigint, place bigint, hot boolean, at int, bytes binary")
 
 
 RESULT = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
@@ -269,8 +275,8 @@ def repeat_marks(texts: DataFrame, min_len: int = MIN_LEN, keep: str = "none") -
     again = table.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
     shared = materialize(table.join(if_small(materialize(again, "again")), "h"), "shared")
     place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "k1", "k2", "lo", "hi")
-    regions = shared.groupBy("h", "g").agg(F.count("*").alias("n"), F.min(place).alias("rep"))
-    regions = materialize(regions.select("h", "g", "n", "rep.*"), "regions")
+    regions = shared.groupBy("h", "g").agg(F.count("*").alias("n"), F.min(place).alias("rep"), F.min("at").alias("at"))
+    regions = materialize(regions.select("h", "g", "n", "at", "rep.*"), "regions")
     groups = regions.groupBy("h").agg(F.count("*").alias("m")).where("m > 1")
     open_ = regions.join(if_small(materialize(groups, "groups")), "h")
     # Places in document order within a group; crowded groups are ranked by key alone.
@@ -279,7 +285,7 @@ def repeat_marks(texts: DataFrame, min_len: int = MIN_LEN, keep: str = "none") -
     crowd = open_.where(F.col("m") > HOT).withColumn("place", F.lit(0).cast("bigint")).withColumn("hot", F.lit(True))
     if keep == "first":
         crowd = crowd.withColumn("place", F.row_number().over(order).cast("bigint"))
-    columns = ["doc_id", "k1", "k2", "lo", "hi", "h", "g", "place", "hot"]
+    columns = ["doc_id", "k1", "k2", "lo", "hi", "h", "g", "place", "hot", "at"]
     cut = materialize(_cut_regions(texts, few.select(*columns).union(crowd.select(*columns)), min_len), "cut")
     marks = _suffix_marks(cut.where("NOT hot"), min_len)
     crowded = cut.where("hot")
