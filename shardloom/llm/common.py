@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Rows of a table that may be broadcast; larger tables are joined by shuffle.
 BROADCAST_ROWS = 500_000
+#: Array elements of such a table, in all its rows.
+BROADCAST_VALUES = 3_000_000
 #: Bytes of text that one vectorised step works on.
 STEP_BYTES = 1 << 20
 
@@ -20,13 +22,16 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+def if_small(df: DataFrame, rows: int = BROADCAST_ROWS, values: str | None = None) -> DataFrame:
     """``df`` marked for broadcast when it is counted to have at most ``rows`` rows.
 
-    Only for written, slim tables: the count reads them. Above the bound no hint
-    is given and Spark joins by shuffle.
+    Only for written, slim tables: the count reads them. ``values`` names an array
+    column, whose elements are counted too (BROADCAST_VALUES). Above a bound no
+    hint is given and Spark joins by shuffle.
     """
-    return F.broadcast(df) if df.count() <= rows else df
+    total = F.coalesce(F.sum(F.size(values)), F.lit(0)) if values else F.lit(0)
+    n, held = df.agg(F.count("*"), total).first()
+    return F.broadcast(df) if n <= rows and held <= BROADCAST_VALUES else df
 
 
 def held_out(doc_id: str = "doc_id"):
