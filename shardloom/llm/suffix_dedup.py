@@ -239,7 +239,7 @@ def _digest_marks(regions: DataFrame, min_len: int) -> DataFrame:
 def _cut_regions(docs: DataFrame, wanted: DataFrame, min_len: int) -> DataFrame:
     """``h, g, place, hot, at, bytes`` of the wanted regions (``doc_id, k1, k2, lo, hi, h, g, place, hot, at``)."""
     asked = wanted.groupBy("doc_id", "k1", "k2").agg(F.collect_list(F.struct("h", "g", "place", "hot", "at", "lo", "hi")).alias("asked"))
-    asked = if_small(materialize(asked, "asked"))
+    asked = if_small(materialize(asked, "asked"), values="asked")
     same = docs["doc_id"].eqNullSafe(asked["doc_id"]) & (docs["k1"] == asked["k1"]) & (docs["k2"] == asked["k2"])
     found = docs.join(asked, same).select("text", "asked")
 
@@ -316,7 +316,7 @@ def remove_repeats(docs: DataFrame, min_len: int = MIN_LEN, keep: str = "none",
     texts = keyed(docs)
     with session_conf(docs.sparkSession, spark_sql_execution_arrow_maxRecordsPerBatch="2000"):
         marks = repeat_marks(texts, min_len, keep)
-    marks = if_small(marks, 200_000).alias("m")
+    marks = if_small(marks, 200_000, values="marks").alias("m")
     t = texts.alias("t")
     same = (F.col("t.k1") == F.col("m.k1")) & (F.col("t.k2") == F.col("m.k2"))
     if keep == "first":
