@@ -331,9 +331,11 @@ def _second_pairs(members: DataFrame, checked: DataFrame, found: DataFrame, perc
         )
     )
     told = materialize(told, "told")
-    # N-grams whose holders are all in one component have nothing left to find.
-    mixed = told.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    open_ = materialize(told.join(if_small(materialize(mixed.select("gram"), "mixed")), "gram"), "open")
+    # N-grams whose holders are all in one component have nothing left to find. Window
+    # and join are both by n-gram: one shuffle serves both sides.
+    every = Window.partitionBy("gram")
+    low, high = F.min("root").over(every), F.max("root").over(every)
+    open_ = told.withColumn("low", low).withColumn("high", high).where("low < high").drop("low", "high")
     x, y = open_.alias("x"), open_.alias("y")
     limit = F.lit((100 - percent) / 100 + 1e-9)
     col = lambda side, name: F.col(f"{side}.{name}")
