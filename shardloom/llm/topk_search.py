@@ -33,9 +33,9 @@ from pyspark.sql import functions as F
 from shardloom.session import materialize
 
 LEVELS = 32
-BLOCK = 8192
+BLOCK = 32_768
 QUERIES = 512
-ROUNDS = 12
+ROUNDS = 10
 #: A block is left when at most this share of its vectors can still be members.
 FEW = 0.25
 
@@ -66,7 +66,7 @@ def build_block(rows: np.ndarray, ids: np.ndarray, x: np.ndarray) -> Block:
     sizes = np.stack([np.bincount(level[:, j], minlength=LEVELS) for j in range(x.shape[1])]) if x.size else np.zeros((x.shape[1], LEVELS), int)
     # Falling levels: a level begins after all higher ones.
     starts = np.concatenate((np.cumsum(sizes[:, ::-1], axis=1)[:, ::-1], np.zeros((len(sizes), 1), int)), axis=1)
-    levels = np.take_along_axis(level.T, postings, axis=1).astype(np.int8)
+    levels = np.take_along_axis(level.T, postings, axis=1)
     return Block(rows, ids, x, step, low, np.ascontiguousarray(postings), levels, starts)
 
 
