@@ -35,9 +35,9 @@ from shardloom.session import materialize
 LEVELS = 32
 BLOCK = 32_768
 QUERIES = 512
-ROUNDS = 10
+ROUNDS = 8
 #: A block is left when at most this share of its vectors can still be members.
-FEW = 0.25
+FEW = 0.5
 
 
 @dataclass
