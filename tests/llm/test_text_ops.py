@@ -220,6 +220,23 @@ def test_toxic_texts_are_found(spark, toxic_docs, edge_docs, no_docs):
     assert detect(no_docs, labels).count() == 0
 
 
+def test_words_of_abuse_of_a_small_language_are_learned(spark):
+    rng = random.Random(8)
+    rows, labels = [], []
+    for i in range(1200):
+        small, bad = i % 8 == 0, i // 8 % 3 == 0
+        words = prose(rng, 30, "stuvwxyz" if small else "abcdefgh").split(" ")
+        if bad:  # each of the small language's in far less than MIN_SHARE of all texts
+            words[rng.randrange(30)] = ["vilo", "awfulo", "nasto"][i // 24 % 3] if small else rng.choice(["nasty", "vile", "awful"])
+        rows.append((i, " ".join(words), "ss" if small else "ll"))
+        labels.append((i, 1, int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = {r["doc_id"]: r for r in detect(docs, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")).collect()}
+    for part in ([i for i in got if i % 8 == 0], [i for i in got if i % 8 != 0]):
+        assert np.mean([got[i]["predicted"] for i in part if i // 8 % 3 == 0]) > 0.9
+        assert np.mean([got[i]["predicted"] for i in part if i // 8 % 3 != 0]) < 0.05
+
+
 def test_long_texts_are_pooled_in_parts(monkeypatch):
     rng = np.random.default_rng(0)
     words = [rng.integers(0, 1 << 63, 30, dtype=np.uint64) for _ in range(40)]
