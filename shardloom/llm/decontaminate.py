@@ -3,9 +3,9 @@
 A seed is the hash of the words that a fixed mask keeps out of a window; words at
 ignored positions may differ. Seeds of all test items are joined with the seeds of
 all document positions; each hit names a diagonal (document position less item
-position). On a diagonal the whole item is compared word by word, and the segment
-with the best score (a match counts 1, a substitution costs ``COST``) is the
-overlap. An overlap is verified with ``MIN_WORDS`` matching words, or ``SHARE`` of
+position). On a diagonal the whole item is compared word by word, and of all segments
+that score 0 or more (a match counts 1, a substitution costs ``COST``) the one with
+most matches is the overlap. An overlap is verified with ``MIN_WORDS`` matching words, or ``SHARE`` of
 the item if that is less; by the cost at least 0.8 of its words match.
 
 Words are runs of letters and digits of the lowered text. Any such overlap whose
@@ -17,6 +17,8 @@ give one row. Empty tables give no rows. Extra columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,37 +86,58 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.col("t.words"), lambda w, i: F.get(F.col("d.words"), F.col("h.diagonal") + i).eqNullSafe(w)
     )
     compared = joined.select("d.doc_id", "d.text_key", "t.item_id", "h.diagonal", F.size("t.words").alias("n_words"), cut.alias("same"))
-    best = best_segment(F.col("same"))
-    scored = compared.select("doc_id", "text_key", "item_id", "diagonal", "n_words", best.alias("s"))
     need = F.least(F.lit(MIN_WORDS), F.ceil(F.col("n_words") * SHARE))
+    # A diagonal with fewer matches in all holds no such segment.
+    compared = compared.where(F.size(F.filter("same", lambda hit: hit)) >= need)
+    scored = best_segment(compared, "same", "s")
     kept = scored.where(F.col("s.matched") >= need).groupBy("doc_id", "text_key", "item_id", "n_words")
     top = F.max(F.struct(F.col("s.matched").alias("matched"), (-(F.col("diagonal") + F.col("s.first"))).alias("place"))).alias("top")
     out = kept.agg(top)
     return materialize(out.select("doc_id", "text_key", "item_id", "n_words", F.col("top.matched").alias("matched"), (-F.col("top.place")).alias("start")), "overlaps")
 
 
-def best_segment(same: Column) -> Column:
-    """``matched, first`` of the best-scoring run of an array of matches (the first of equals)."""
-    zero = F.lit(0)
-    start = F.struct(
-        zero.alias("i"), zero.alias("score"), zero.alias("hits"), zero.alias("from"),
-        zero.alias("best"), zero.alias("matched"), zero.alias("first"),
-    )
+def best_segment(table: DataFrame, same: str, out: str) -> DataFrame:
+    """``table`` with the column ``out`` for ``same``: ``matched, first`` of the segment of an array of
+    matches that has most matches among those scoring 0 or more (the first of equals).
+
+    With the places of the substitutions, and the array's ends, as borders, the segment between
+    borders ``i < k`` has ``(k's place - k) - (i's place - i)`` matches and scores 0 or more where
+    ``i's place - (COST + 1) i <= k's place - (COST + 1) k + COST``. In order of these values the
+    least ``i`` so far is the best start of ``k``. Starts before another substitution are left out.
+    """
+    places = F.filter(F.transform(same, lambda hit, i: F.when(~hit, i)), lambda i: i.isNotNull())
+    table = table.withColumn("_borders", F.concat(F.array(F.lit(-1)), places, F.array(F.size(same))))
 
-    def step(acc: Column, hit: Column) -> Column:
-        fresh = acc["score"] <= 0
-        score = F.when(fresh, zero).otherwise(acc["score"]) + F.when(hit, 1).otherwise(-COST)
-        hits = F.when(fresh, zero).otherwise(acc["hits"]) + hit.cast("int")
-        begin = F.when(fresh, acc["i"]).otherwise(acc["from"])
-        better = score > acc["best"]
+    # The next border comes by a zip: an array named in a function of its own elements is computed for each of them.
+    after = F.slice("_borders", F.lit(2), F.size("_borders"))
+    pairs = F.zip_with("_borders", after, lambda x, y: F.struct(x.alias("place"), (y > x + 1).alias("starts")))
+
+    def border(end: int) -> Callable[[Column, Column], Column]:
+        return lambda b, i: F.struct(
+            (b["place"] - (COST + 1) * i + COST * end).alias("level"), F.lit(end).alias("end"),
+            i.alias("i"), b["place"].alias("place"), b["starts"].alias("starts"),
+        )
+
+    starts = F.filter(F.transform(pairs, border(0)), lambda b: b["starts"])
+    table = table.withColumn("_events", F.sort_array(F.concat(starts, F.transform(pairs, border(1)))))
+    zero = F.lit(0)
+    begin = F.struct(F.lit(None).cast("int").alias("i"), zero.alias("place"), zero.alias("matched"), zero.alias("first"))
+
+    def step(acc: Column, b: Column) -> Column:
+        earlier = (b["end"] == 0) & (acc["i"].isNull() | (b["i"] < acc["i"]))
+        matched = (b["place"] - b["i"]) - (acc["place"] - acc["i"])
+        first = acc["place"] + 1
+        better = (b["end"] == 1) & (b["i"] > acc["i"])
+        better &= (matched > acc["matched"]) | ((matched == acc["matched"]) & (first < acc["first"]))
         return F.struct(
-            (acc["i"] + 1).alias("i"), score.alias("score"), hits.alias("hits"), begin.alias("from"),
-            F.greatest(score, acc["best"]).alias("best"),
-            F.when(better, hits).otherwise(acc["matched"]).alias("matched"),
-            F.when(better, begin).otherwise(acc["first"]).alias("first"),
+            F.when(earlier, b["i"]).otherwise(acc["i"]).alias("i"),
+            F.when(earlier, b["place"]).otherwise(acc["place"]).alias("place"),
+            F.when(better, matched).otherwise(acc["matched"]).alias("matched"),
+            F.when(better, first).otherwise(acc["first"]).alias("first"),
         )
 
-    return F.aggregate(same, start, step, lambda acc: F.struct(acc["matched"].alias("matched"), acc["first"].alias("first")))
+    best = F.aggregate("_events", begin, step, lambda acc: F.struct(acc["matched"].alias("matched"), acc["first"].alias("first")))
+    return table.withColumn(out, best).drop("_borders", "_events")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

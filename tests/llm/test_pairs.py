@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shardloom.llm import suffix_dedup
 from shardloom.llm.components import components
-from shardloom.llm.decontaminate import contaminated, remove_contaminated
+from shardloom.llm.decontaminate import best_segment, contaminated, remove_contaminated
 from shardloom.llm.jaccard_join import join_components, keep_first
 from shardloom.llm.suffix_dedup import longest_previous_factors, remove_repeats
 
@@ -153,6 +153,32 @@ def test_longest_previous_factors_by_brute_force():
             assert n == 0 or (q < p and shared(p, q) == n)
 
 
+def test_best_segment_by_brute_force(spark):
+    rng = random.Random(10)
+    rows = [[rng.random() < share for _ in range(rng.randint(1, 30))] for share in (0.2, 0.5, 0.8, 0.9) for _ in range(40)]
+    table = best_segment(spark.createDataFrame([(r,) for r in rows], "same array<boolean>"), "same", "s")
+    for r in table.collect():
+        best = (0, 0)
+        for i in range(len(r["same"])):
+            for k in range(i + 1, len(r["same"]) + 1):
+                hits = sum(r["same"][i:k])
+                if r["same"][i] and 5 * hits >= 4 * (k - i):
+                    best = max(best, (hits, -i))
+        assert (r["s"]["matched"], r["s"]["first"]) == (best[0], -best[1]), r["same"]
+
+
+def test_overlaps_with_early_and_regular_substitutions(spark):
+    rng = random.Random(11)
+    cases = [(14, (4, 9)), (20, (4, 9, 14)), (20, (3, 7, 11)), (30, range(4, 30, 5)), (9, (4,))]
+    items = [[f"w{k}x{i}" for i in range(n)] for k, (n, _) in enumerate(cases)]
+    texts = [" ".join("other" if i in gone else w for i, w in enumerate(item)) for item, (_, gone) in zip(items, cases)]
+    docs = spark.createDataFrame([(k, prose(rng, 12) + " " + t) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    benchmark = spark.createDataFrame([(k, " ".join(item)) for k, item in enumerate(items)], "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["matched"], r["start"]) for r in contaminated(docs, benchmark).collect()}
+    assert got == {(k, k): (n - len(gone), 12) for k, (n, gone) in enumerate(cases)}
+    assert remove_contaminated(docs, benchmark).count() == 0
+
+
 def test_decontamination_tolerates_substitutions(spark, edge_docs, no_docs):
     rng = random.Random(9)
     item = prose(rng, 40).split(" ")
