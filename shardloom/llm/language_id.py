@@ -5,13 +5,13 @@ counts), hashed to ``DIM`` places; the kernel of two texts is the number of plac
 they share over the root of the product of their numbers. Landmarks are labelled
 texts; Nystrom maps a text to its kernel values with them times the inverse root
 of the landmarks' own kernel, and one ridge regression for each language (against
-the rest) is fitted on the mapped training texts in closed form. A batch of texts is scored
-by two matrix products: presence by landmarks, kernel values by weights.
+the rest) is fitted on the mapped training texts in closed form. Landmarks and weights are
+multiplied once, so a batch of texts is scored by one matrix product.
 
-Training reads a bounded sample: up to ``PER_LANG`` labelled texts of each language
-(``MAX_SAMPLE`` in all, of ``MAX_CHARS`` at most) with the smallest hash of their ids,
-the first ``LANDMARKS`` of them landmarks, and at most ``MAX_LANGS`` languages (those
-with most rows; ties by name). Prediction covers all documents and whole texts. Null
+Training reads up to ``PER_LANG`` labelled texts of every language with the smallest hash
+of their ids, the first ``LANDMARKS`` of them landmarks, so the sample grows with the
+number of languages and not with the rows. Texts of over ``MAX_CHARS`` are taken after
+all others of their language, and only their first ``MAX_CHARS``. Prediction covers all documents and whole texts. Null
 texts and texts without letters are ``und`` with score 0, as is everything when there
 is nothing to learn from; rows without an id are not learned from.
 """
@@ -33,14 +33,13 @@ ORDERS = (1, 2, 3, 4)
 DIM = 1 << 14
 PER_LANG = 160
 LANDMARKS = 24
-MAX_LANGS = 32
-MAX_SAMPLE = 2048
 MAX_CHARS = 20_000
 RIDGE = 1e-2
 SHARPNESS = 8.0
 UNKNOWN = "und"
 #: Rows scored by one matrix product, and bytes looked at in one step.
 ROWS = 64
+FIT_ROWS = 1024
 PART = 1 << 18
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -83,60 +82,62 @@ def presence(data: np.ndarray, limits: np.ndarray) -> np.ndarray:
 @dataclass
 class Model:
     langs: list[str]
-    landmarks: np.ndarray  # DIM x landmarks, scaled by the roots of their sizes
-    weights: np.ndarray  # landmarks x languages
-
-    def kernel(self, x: np.ndarray) -> np.ndarray:
-        sizes = np.maximum(x.sum(1, keepdims=True), 1.0)
-        return (x @ self.landmarks) / np.sqrt(sizes)
+    weights: np.ndarray  # DIM x languages: the landmarks times the weights of their kernel values
 
     def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Number and score of the best language for each row of presences."""
-        margins = SHARPNESS * (self.kernel(x) @ self.weights)
+        sizes = np.maximum(x.sum(1, keepdims=True), 1.0)
+        margins = SHARPNESS * (x @ self.weights) / np.sqrt(sizes)
         margins -= margins.max(1, keepdims=True)
         odds = np.exp(margins)
         best = odds.argmax(1)
         return best, odds[np.arange(len(x)), best] / odds.sum(1)
 
 
+def _scaled(texts: list[bytes]) -> np.ndarray:
+    """Presences of texts over the roots of their sizes."""
+    x = presence(np.frombuffer(b"".join(texts), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in texts]))))
+    return x / np.sqrt(np.maximum(x.sum(1, keepdims=True), 1.0))
+
+
 def fit(texts: list[bytes], langs: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
     """Fit on texts in a given order; each language's first ``landmarks`` are landmarks."""
     names = sorted(set(langs))
-    limits = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
-    x = presence(np.frombuffer(b"".join(texts), np.uint8), limits)
-    x /= np.sqrt(np.maximum(x.sum(1, keepdims=True), 1.0))
-    y = np.array([names.index(lang) for lang in langs])
+    number = {lang: k for k, lang in enumerate(names)}
+    y = np.array([number[lang] for lang in langs])
     chosen = np.concatenate([np.flatnonzero(y == k)[:landmarks] for k in range(len(names))])
-    k_xl, k_ll = x @ x[chosen].T, x[chosen] @ x[chosen].T
-    values, vectors = np.linalg.eigh(k_ll.astype(float))
+    marks = _scaled([texts[i] for i in chosen])
+    values, vectors = np.linalg.eigh((marks @ marks.T).astype(float))
     keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])  # Nystrom map: kernel values times this
-    z = k_xl @ root
-    targets = np.where(y[:, None] == np.arange(len(names)), 1.0, -1.0)
     # Every language weighs the same, however many texts it has.
     weight = 1.0 / np.bincount(y, minlength=len(names))[y]
-    zw = z * weight[:, None]
-    beta = np.linalg.solve(zw.T @ z + ridge * np.eye(z.shape[1]), zw.T @ targets)
-    return Model(names, np.ascontiguousarray(x[chosen].T), (root @ beta).astype(np.float32))
+    left, right = ridge * np.eye(root.shape[1]), np.zeros((root.shape[1], len(names)))
+    for a in range(0, len(texts), FIT_ROWS):
+        part = slice(a, a + FIT_ROWS)
+        z = (_scaled(texts[part]) @ marks.T) @ root
+        zw = z * weight[part, None]
+        left += zw.T @ z
+        right += zw.T @ np.where(y[part, None] == np.arange(len(names)), 1.0, -1.0)
+    beta = np.linalg.solve(left, right)
+    return Model(names, marks.T @ (root @ beta).astype(np.float32))
 
 
 def training_sample(docs: DataFrame, usable: Column, per_lang: int = PER_LANG) -> list[tuple[bytes, str]]:
-    """Texts and languages of the bounded sample, in a fixed order.
+    """Texts and languages of the sample, in a fixed order: ``per_lang`` for every language.
 
     The ids are chosen on slim rows (``row_number`` with a limit keeps only the
     first rows of each language before the shuffle); their texts are fetched after.
     """
-    short = F.length("text").between(1, MAX_CHARS)
-    slim = docs.where(usable & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & short).select("doc_id", "lang")
-    counted = slim.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS)
-    langs = [r["lang"] for r in counted.collect()]
-    per_lang = min(per_lang, MAX_SAMPLE // max(1, len(langs)))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ranked = slim.where(F.col("lang").isin(langs)).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_lang)
-    ids = sorted({r["doc_id"] for r in ranked.collect()})
-    rows = docs.where(usable & F.col("doc_id").isin(ids) & F.col("lang").isin(langs) & short).select("doc_id", "lang", "text").dropna()
+    long = F.length("text") > MAX_CHARS
+    held = docs.where(usable & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.length("text") >= 1))
+    held = held.select("doc_id", "lang", "text", long.alias("long"))
+    order = Window.partitionBy("lang").orderBy("long", F.xxhash64("doc_id"), "doc_id")
+    ranked = held.drop("text").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_lang)
+    rows = held.join(F.broadcast(ranked.drop("rank").distinct()), ["doc_id", "lang", "long"], "left_semi")
+    rows = rows.select("doc_id", "lang", F.substring("text", 1, MAX_CHARS).alias("text"))
     # An id may stand in several rows; the sample stays bounded and in a fixed order.
-    found = sorted(rows.dropDuplicates(["doc_id"]).collect(), key=lambda r: r["doc_id"])
+    found = sorted(rows.dropDuplicates(["doc_id", "lang"]).collect(), key=lambda r: (r["doc_id"], r["lang"]))
     return [(r["text"].encode(), r["lang"]) for r in found]
 
 

@@ -189,6 +189,18 @@ def test_languages_are_told_apart(spark, edge_docs, no_docs):
     assert identify(edge_docs).count() == len(edge_rows()) and identify(no_docs).count() == 0
 
 
+def test_every_language_is_learned(spark):
+    rng = random.Random(12)
+    rows = []
+    for k in range(40):  # the last ones have fewest rows, and the very last long texts only
+        letters = "".join(chr(0x4E00 + 8 * k + j) for j in range(8))
+        rows += [(1000 * k + i, prose(rng, 4500 if k == 39 else 20, letters), f"l{k:02}") for i in range(15 if k < 35 else 10)]
+    assert min(len(t) for _, t, lang in rows if lang == "l39") > 20_000
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in identify(docs).collect()}
+    assert all(got[i] == lang for i, _, lang in rows)
+
+
 @pytest.fixture(scope="module")
 def toxic_docs(spark):
     rng = random.Random(7)
