@@ -1,9 +1,9 @@
 """Secret scans: fixed patterns, and a randomness test battery over long tokens.
 
 Patterns give the base spans (``assign``, ``access``, ``hex``). Every other run of
-``MIN_TOKEN`` or more base64-like characters is a candidate: its encoding is
-inferred from its characters, and three tests ask whether it could be random in
-that alphabet: chi-squared uniformity, the runs test about the alphabet's middle,
+``MIN_TOKEN`` or more base64-like characters is a candidate, as is what base spans leave
+of one: its alphabet is the smallest of ``NARROW`` or else of the encodings that holds
+all its characters, and three tests ask whether it could be random in that alphabet: chi-squared uniformity, the runs test about the alphabet's middle,
 and the lag-1 serial correlation. Their p-values are combined by Fisher's method.
 Natural words fail the battery. In each length class the Benjamini-Hochberg step-up
 rule over all candidates of the corpus decides which of them are declared
@@ -56,6 +56,13 @@ _ALPHABETS = {
     "base32": _UPPER + "234567",
     "base64": _UPPER + _UPPER.lower() + _DIGITS + "+/",
 }
+#: Alphabets in which a token is tested if they hold it, the smallest first.
+NARROW = (
+    _DIGITS, _DIGITS + "abcdef", _DIGITS + "ABCDEF", _UPPER.lower(), _UPPER, _UPPER.lower() + "234567", _UPPER + "234567",
+    _DIGITS + _UPPER.lower(), _DIGITS + _UPPER, "".join(c for c in _DIGITS + _UPPER + _UPPER.lower() if c not in "0OIl"),
+    _DIGITS + _UPPER + _UPPER.lower(),
+)
+_NARROW = [{c: i for i, c in enumerate(chars)} for chars in NARROW]
 _INDEX = {name: {c: i for i, c in enumerate(chars)} for name, chars in _ALPHABETS.items()}
 _INDEX["base64"] |= {"-": 62, "_": 63}
 
@@ -71,6 +78,17 @@ def infer_encoding(token: str) -> tuple[str, list[int]]:
     return "base64", [index[c] for c in body if c in index]
 
 
+def smallest_alphabet(token: str) -> tuple[int, list[int]]:
+    """Size of the smallest alphabet that holds a token, and the token's symbol numbers in it."""
+    body = token.rstrip("=")
+    used = set(body)
+    for index in _NARROW:
+        if used <= index.keys():
+            return len(index), [index[c] for c in body]
+    name, symbols = infer_encoding(token)
+    return len(_ALPHABETS[name]), symbols
+
+
 def _two_sided(z: float) -> float:
     return max(math.erfc(abs(z) / math.sqrt(2)), 1e-300)
 
@@ -114,13 +132,26 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int, int]]:
-    """``(start, end, length class, p bin)`` of tokens that touch no base span."""
+    """``(start, end, length class, p bin)`` of tokens, without the base spans in them."""
     for m in TOKEN.finditer(text):
-        if any(s < m.end() and m.start() < e for s, _, e in base):
-            continue
-        name, symbols = infer_encoding(m.group())
-        p = battery(symbols, len(_ALPHABETS[name]))
-        yield m.start(), m.end(), length_class(m.end() - m.start()), p_bin(p)
+        for start, end in _outside(text, m.start(), m.end(), base):
+            size, symbols = smallest_alphabet(text[start:end])
+            yield start, end, length_class(end - start), p_bin(battery(symbols, size))
+
+
+def _outside(text: str, start: int, end: int, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """What base spans leave of a token, where it is long enough; signs next to a cut are left out."""
+    cuts = [(s, e) for s, _, e in base if s < end and start < e]
+    for s, e in [*cuts, (end, end)]:  # in order of their starts
+        left, right = start, min(s, end)
+        if cuts:
+            while left < right and text[left] in "+/_=-":
+                left += 1
+            while left < right and text[right - 1] in "+/_=-":
+                right -= 1
+        if right - left >= MIN_TOKEN:
+            yield left, right
+        start = max(start, e)
 
 
 _TOKEN_BYTE = np.array([chr(b) in _ALPHABETS["base64"] + "-_=" for b in range(256)])

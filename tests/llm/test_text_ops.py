@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from shardloom.llm import common, license_scan, secret_scan, toxicity
 from shardloom.llm.language_id import identify, presence
 from shardloom.llm.license_scan import SuffixAutomaton, scan_licenses
-from shardloom.llm.secret_scan import KINDS, base_spans, battery, find_secrets, infer_encoding, redact, step_up
+from shardloom.llm.secret_scan import KINDS, base_spans, battery, candidates, find_secrets, infer_encoding, redact, step_up
 from shardloom.llm.toxicity import detect, remove_toxic
 
 
@@ -120,6 +120,25 @@ def test_random_tokens_are_added_and_redacted(spark):
     assert all(out[i]["text"] == text and out[i]["n_chars"] == n for i, text, n in rows if i != 99)
 
 
+def test_random_tokens_of_every_alphabet_look_random():
+    rng = random.Random(13)
+    low, up, digits = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    for chars in (low, up, low + "234567", low + digits, up + digits, digits, low + up + digits, low + up + digits + "+/"):
+        for n in (20, 32, 64):
+            tokens = ["".join(rng.choices(chars, k=n)) for _ in range(200)]
+            p = [b for t in tokens for *_, b in candidates(t, [])]
+            assert len(p) == 200 and np.mean(np.array(p) >= 20) < 0.07, (chars, n)  # p <= 0.01
+
+
+def test_what_base_spans_leave_of_a_token_is_tested():
+    rng = random.Random(14)
+    key = "".join(rng.choices(string.ascii_lowercase[6:] + string.digits, k=30))
+    text = f"x {key}-{'0123456789abcdef' * 2}_{key.upper()} y"
+    base = base_spans(text)
+    assert base == [(33, 2, 65)]
+    assert [(s, e) for s, e, *_ in candidates(text, base)] == [(2, 32), (66, 96)]
+
+
 # -- licenses -----------------------------------------------------------------------
 
 
