@@ -163,3 +163,35 @@ def hashed_words(
             at = to
         hashes = np.concatenate(parts)
         yield lo, hi, np.array([0, len(hashes)]), hashes
+
+
+# -- filters of keys ----------------------------------------------------------------
+
+#: 64-bit words of a key filter at most (32 MB). Beyond, more keys pass it that are not held; none is lost.
+FILTER_WORDS = 1 << 22
+
+
+def key_filter(keys: DataFrame, column: str) -> np.ndarray:
+    """A Bloom filter of a column of 64-bit hashes, sized by their count and built by partial sums.
+
+    ``may_hold`` is true for every key and for few others: a false hit costs work, never a result.
+    """
+    wanted = max(1, keys.count() // 4)
+    bits = min(max(10, wanted.bit_length()), FILTER_WORDS.bit_length() - 1)
+    key = F.col(column)
+    one = F.lit(1).cast("bigint")
+    marks = [F.call_function("shiftleft", one, F.shiftright(key, 6 * k).bitwiseAND(63).cast("int")) for k in range(3)]
+    slots = keys.select(F.shiftrightunsigned(key, 64 - bits).alias("at"), marks[0].bitwiseOR(marks[1]).bitwiseOR(marks[2]).alias("marks"))
+    found = slots.groupBy("at").agg(F.bit_or("marks").alias("marks")).toArrow()
+    out = np.zeros(1 << bits, np.uint64)
+    out[found["at"].to_numpy()] = found["marks"].to_numpy().view(np.uint64)
+    return out
+
+
+def may_hold(held: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """For 64-bit keys whether a filter may hold them."""
+    one, bits = np.uint64(1), np.uint64(len(held).bit_length() - 1)
+    marks = np.zeros(len(keys), np.uint64)
+    for k in range(3):
+        marks |= one << ((keys >> np.uint64(6 * k)) & np.uint64(63))
+    return (held[(keys >> (np.uint64(64) - bits)).astype(np.int64)] & marks) == marks

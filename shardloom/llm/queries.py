@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shardloom.llm.collocations import collocations
 from shardloom.llm.common import read
 from shardloom.llm.decontaminate import contaminated
+from shardloom.llm.fill_in_middle import fill_in_middle, restore
 from shardloom.llm.jaccard_join import join_components
 from shardloom.llm.language_id import identify
 from shardloom.llm.license_scan import scan_licenses
@@ -130,3 +132,50 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
 @query("op4_exact_topk", TOPK_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+FIM_SQL = """WITH t AS (SELECT doc_id, coalesce(text, '') AS x, length(coalesce(text, ''))::BIGINT AS n,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS told FROM documents),
+h AS (SELECT *, ('0x' || substr(told, 1, 8))::BIGINT % (n + 1) AS c1, ('0x' || substr(told, 9, 8))::BIGINT % (n + 1) AS c2,
+    ('0x' || substr(told, 17, 8))::BIGINT AS h3, ('0x' || substr(told, 25, 8))::BIGINT AS h4 FROM t),
+f AS (SELECT *, least(c1, c2) AS a, greatest(c1, c2) AS b,
+    CASE WHEN x = '' OR contains(x, '<P>') OR contains(x, '<S>') OR contains(x, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+        WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, substr(x, 1, a) AS prefix, substr(x, a + 1, b - a) AS middle, substr(x, b + 1, n - b) AS suffix FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN x WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(x) AS restored_sha256 FROM p"""
+
+
+@query("op12_fill_in_middle", FIM_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = restore(fill_in_middle(read(spark, sf_dir, "documents")))
+    digests = [F.sha2(c, 256).alias(f"{name}_sha256") for c, name in (("output", "output"), ("restored", "restored"))]
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+COLLOCATION_SQL = r"""WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split),
+grams AS (SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3 FROM places),
+ones AS (SELECT lang, w1 AS p, count(*) AS f FROM grams GROUP BY lang, w1),
+twos AS (SELECT lang, w1, w2, w1 || ' ' || w2 AS p, count(*) AS f FROM grams WHERE w2 IS NOT NULL GROUP BY lang, w1, w2 HAVING count(*) >= 10),
+threes AS (SELECT lang, w1, w2, w3, w1 || ' ' || w2 || ' ' || w3 AS p, count(*) AS f FROM grams WHERE w3 IS NOT NULL GROUP BY lang, w1, w2, w3 HAVING count(*) >= 10),
+longer AS (SELECT lang, p, max(f) AS f FROM (SELECT lang, w1 || ' ' || w2 AS p, f FROM threes UNION ALL SELECT lang, w2 || ' ' || w3, f FROM threes) GROUP BY lang, p),
+cuts AS (SELECT t.lang, t.p, t.f AS a, 1 AS k, x.f AS l, y.f AS r FROM twos t JOIN ones x ON x.lang = t.lang AND x.p = t.w1
+        JOIN ones y ON y.lang = t.lang AND y.p = t.w2 LEFT JOIN longer o ON o.lang = t.lang AND o.p = t.p WHERE o.f IS NULL OR 100 * o.f < 50 * t.f
+    UNION ALL SELECT t.lang, t.p, t.f, 1, x.f, y.f FROM threes t JOIN ones x ON x.lang = t.lang AND x.p = t.w1
+        JOIN twos y ON y.lang = t.lang AND y.w1 = t.w2 AND y.w2 = t.w3
+    UNION ALL SELECT t.lang, t.p, t.f, 2, x.f, y.f FROM threes t JOIN twos x ON x.lang = t.lang AND x.w1 = t.w1 AND x.w2 = t.w2
+        JOIN ones y ON y.lang = t.lang AND y.p = t.w3),
+scored AS (SELECT *, ((1000000::HUGEINT * a::HUGEINT * a::HUGEINT) // (l::HUGEINT * r::HUGEINT))::BIGINT AS score FROM cuts),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, k) AS pick FROM scored),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank FROM best WHERE pick = 1),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM ones GROUP BY lang)
+SELECT lang, rank, p AS phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000"""
+
+
+@query("op13_collocations", COLLOCATION_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read(spark, sf_dir, "documents"))
