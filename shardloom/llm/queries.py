@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shardloom.llm.collocations import collocations
 from shardloom.llm.common import read
 from shardloom.llm.decontaminate import contaminated
+from shardloom.llm.embedding_dedup import near_duplicates
 from shardloom.llm.fill_in_middle import fill_in_middle, restore
 from shardloom.llm.jaccard_join import join_components
 from shardloom.llm.language_id import identify
@@ -179,3 +180,8 @@ SELECT lang, rank, p AS phrase, a, l, r, n, score FROM ranked JOIN total USING (
 @query("op13_collocations", COLLOCATION_SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(read(spark, sf_dir, "documents"))
+
+
+@query("op11_embedding_dedup")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "embeddings"))

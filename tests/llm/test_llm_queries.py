@@ -17,7 +17,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data"
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(ORACLES) <= set(entry.oracle_sql())
 
 
