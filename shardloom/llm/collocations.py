@@ -28,11 +28,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shardloom.llm.common import STEP_BYTES, Rolling, if_small, key_filter, may_hold, mix, steps, text_buffer
-from shardloom.session import materialize
+from shardloom.session import materialize, session_conf
 
 MIN_COUNT, TOP = 10, 2000
 #: A candidate goes if a longer one holds this share of its occurrences, in percent.
@@ -77,7 +78,7 @@ class Words:
         offsets = pa.array(limits, pa.int64()).buffers()[1]
         values = pa.LargeStringArray.from_buffers(len(at), offsets, pa.py_buffer(flat))
         words = values.cast(pa.string())
-        return pa.compute.if_else(pa.array(~none), words, pa.scalar(None, pa.string()))
+        return pc.if_else(pa.array(~none), words, pa.scalar(None, pa.string()))
 
 
 def _parts(data: np.ndarray, limits: np.ndarray, size: int) -> Iterator[tuple[int, Words, int]]:
@@ -151,9 +152,10 @@ def pair_sums(docs: DataFrame) -> DataFrame:
 
 
 def edge_sums(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """``lang, w1, w2, w3, n`` of every place: its edge, or as much of it as the graph holds.
+    """``gram, n`` of every place: its edge, or as much of it as the graph holds, summed by part of a task.
 
-    ``w3`` is null where no edge goes on from the pair, ``w2`` where the word begins no node.
+    A gram is one string, as that is what is shuffled: three words, two where no edge goes on from the
+    pair, one where the word begins no node, and after a tab the language.
     """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
@@ -183,15 +185,12 @@ def edge_sums(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                 new[1:] = (told[0][order][1:] != told[0][order][:-1]) | (told[1][order][1:] != told[1][order][:-1])
                 heads = np.flatnonzero(new)
                 at = order[heads]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        langs.take(pa.array(first + words.text[at])), words.take(at), words.take(np.where(pairs[at], at + 1, -1)),
-                        words.take(np.where(edges[at], at + 2, -1)), pa.array(np.diff(np.append(heads, n))),
-                    ],
-                    names=["lang", "w1", "w2", "w3", "n"],
-                )
+                words_of = [words.take(at), words.take(np.where(pairs[at], at + 1, -1)), words.take(np.where(edges[at], at + 2, -1))]
+                phrase = pc.binary_join_element_wise(*words_of, " ", null_handling="skip")
+                gram = pc.binary_join_element_wise(phrase, langs.take(pa.array(first + words.text[at])), "\t")
+                yield pa.RecordBatch.from_arrays([gram, pa.array(np.diff(np.append(heads, n)))], names=["gram", "n"])
 
-    return docs.mapInArrow(count, "lang string, w1 string, w2 string, w3 string, n bigint")
+    return docs.mapInArrow(count, "gram string, n bigint")
 
 
 def graph(docs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
@@ -199,7 +198,11 @@ def graph(docs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     slim = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     pairs = pair_sums(slim).groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
     frequent = key_filter(materialize(pairs.select("pair"), "pairs"), "pair")
-    return materialize(edge_sums(slim, frequent).groupBy("lang", "w1", "w2", "w3").agg(F.sum("n").alias("n")), "graph")
+    grams = edge_sums(slim, frequent).groupBy("gram").agg(F.sum("n").alias("n"))
+    # Words hold no blanks and no tabs; a language may.
+    parts, at = F.split(F.substring_index("gram", "\t", 1), " "), F.length(F.substring_index("gram", "\t", 1))
+    lang = F.substring(F.col("gram"), at + 2, F.length("gram"))
+    return materialize(grams.select(lang.alias("lang"), *(F.get(parts, F.lit(k)).alias(f"w{k + 1}") for k in range(3)), "n"), "graph")
 
 
 def flows(table: DataFrame, min_count: int = MIN_COUNT) -> tuple[DataFrame, DataFrame]:
@@ -207,8 +210,10 @@ def flows(table: DataFrame, min_count: int = MIN_COUNT) -> tuple[DataFrame, Data
 
     ``out`` and ``inward`` are the heaviest edges of a node, ``before`` is the word that the latter begins with.
     """
-    words = table.groupBy("lang", F.col("w1").alias("w")).agg(F.sum("n").alias("f"))
-    flow = table.where("w2 IS NOT NULL").groupBy("lang", "w1", "w2").agg(F.sum("n").alias("f"), F.max(F.when(F.col("w3").isNotNull(), F.col("n"))).alias("out"))
+    edge = F.when(F.col("w3").isNotNull(), F.col("n"))
+    flow = materialize(table.groupBy("lang", "w1", "w2").agg(F.sum("n").alias("f"), F.max(edge).alias("out")), "flow")
+    words = flow.groupBy("lang", F.col("w1").alias("w")).agg(F.sum("f").alias("f"))
+    flow = flow.where("w2 IS NOT NULL")
     inward = table.where(F.col("w3").isNotNull() & (F.col("n") >= min_count)).groupBy("lang", F.col("w2").alias("w1"), F.col("w3").alias("w2"))
     inward = inward.agg(F.max("n").alias("inward"), F.max_by("w1", F.struct("n", "w1")).alias("before"))
     return words, flow.where(F.col("f") >= min_count).join(inward, ["lang", "w1", "w2"], "left")
@@ -285,5 +290,8 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, in
     two = two.select("lang", F.concat_ws(" ", "w1", "w2").alias("phrase"), "a", F.col("f1").alias("l"), F.col("f2").alias("r"), _score("a", "f1", "f2").alias("score"))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     best = three.union(two).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # Every task keeps its first rows of a language before they are shuffled.
+    with session_conf(docs.sparkSession, spark_sql_optimizer_windowGroupLimitThreshold=str(top)):
+        best = materialize(best, "best")
     best = best.join(if_small(materialize(totals, "totals")), "lang")
     return best.select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("bigint").alias("score"))
