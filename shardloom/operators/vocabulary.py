@@ -17,7 +17,8 @@ from shardloom.functions.text import (
     symbol_to_id,
 )
 from shardloom.operators.corpus import prepare_corpus
-from shardloom.session import materialize, session_conf
+from shardloom.operators.merge_index import MergeIndex, plain_rounds
+from shardloom.session import materialize
 from shardloom.sources.shards import text_column
 
 # The special tokens, in id order.
@@ -35,8 +36,6 @@ SPECIAL_TOKENS = (
 N_BYTES = 256
 _TOP_PAIRS = 512
 _MAX_BATCH = 64
-_PAIR_TASKS = 64  # distinct pairs are few next to distinct pieces
-_WRITE_EVERY = 128
 
 
 @dataclass(frozen=True)
@@ -156,48 +155,28 @@ def independent_prefix(ranked: list[tuple[str, int]], limit: int) -> list[tuple[
 def train_merges(
     words: DataFrame, n_merges: int, max_batch: int = _MAX_BATCH
 ) -> tuple[tuple[int, int, int], ...]:
-    """Greedy merge rules from a word table (``syms``, ``cnt``).
+    """Greedy merge rules from a written word table (``syms``, ``cnt``).
 
-    Each round ranks the pairs on the cluster and brings a few hundred of them
-    to the driver; all rules a round can prove are applied together. The words
-    stay cached between rounds (lost blocks are computed again), and are
-    written anew after every ``_WRITE_EVERY`` rules, which ends the lineage.
+    All rules that a round can prove are applied together; a round reads only
+    words that hold one of its pairs (``merge_index``).
     """
     if N_BYTES + n_merges > MAX_TOKEN_ID:
         raise ValueError(f"at most {MAX_TOKEN_ID - N_BYTES} merges")
-    spark = words.sparkSession
-    pair_tasks = str(min(_PAIR_TASKS, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     merges: list[tuple[int, int, int]] = []
-    current, stale = words.persist(), None
-    unwritten = 0
-    try:
+    if n_merges <= 0:
+        return ()
+    index = MergeIndex(words, _pair_totals(words))
+    with plain_rounds(words.sparkSession):
         while len(merges) < n_merges:
-            ranked = _pair_totals(current).orderBy(F.desc("cnt"), "pair").limit(_TOP_PAIRS)
-            # Pair totals are small and even: runtime re-planning would only slow a round.
-            with session_conf(
-                spark, spark_sql_adaptive_enabled="false", spark_sql_shuffle_partitions=pair_tasks
-            ):
-                top = ranked.collect()  # also fills the cache of ``current``
-            if stale is not None:
-                stale.unpersist()
-            room = min(max_batch, n_merges - len(merges))
-            run = independent_prefix([(r.pair, r.cnt) for r in top], room)
+            run = independent_prefix(index.ranked(_TOP_PAIRS), min(max_batch, n_merges - len(merges)))
             if not run:
                 break
-            rules = []
+            chosen = []
             for pair, count in run:
-                rules.append((pair, id_to_symbol(N_BYTES + len(merges))))
+                chosen.append((pair, id_to_symbol(N_BYTES + len(merges))))
                 merges.append((symbol_to_id(pair[0]), symbol_to_id(pair[1]), count))
-            unwritten += len(rules)
-            merged = current.withColumn("syms", merge_symbols(F.col("syms"), rules))
-            if unwritten >= _WRITE_EVERY and len(merges) < n_merges:
-                merged = materialize(_spread(merged.where(F.length("syms") > 1)), "words")
-                unwritten = 0
-            stale, current = current, merged.persist()
-    finally:
-        for table in (stale, current):
-            if table is not None:
-                table.unpersist()
+            if len(merges) < n_merges:
+                index.merge(chosen)
     return tuple(merges)
 
 

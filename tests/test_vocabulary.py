@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shardloom.functions import text as tx
-from shardloom.operators import checks
+from shardloom.operators import checks, merge_index
 from shardloom.operators import tokens as tk
 from shardloom.operators import vocabulary as vb
 from shardloom.sources import artifacts
@@ -94,12 +94,60 @@ def test_training_on_spark_equals_greedy(spark, words):
     assert list(spark_rules(spark, words, 6)) == want
 
 
-def test_training_writes_the_words_again(spark, monkeypatch):
-    monkeypatch.setattr(vb, "_WRITE_EVERY", 2)
-    words = [("banana", 3), ("bandana", 2), ("cabana", 1), ("nab", 4)]
-    short = spark_rules(spark, words, 8)
-    monkeypatch.setattr(vb, "_WRITE_EVERY", 100)
-    assert short == spark_rules(spark, words, 8)
+def random_words(seed, n, letters="abcdefghij"):
+    rng = random.Random(seed)
+    found = {"".join(rng.choices(letters, weights=range(len(letters), 0, -1), k=rng.randint(1, 10))) for _ in range(n)}
+    return [(w, rng.randint(1, 6)) for w in sorted(found)]
+
+
+def expected_rules(words, n):
+    number = lambda s: ord(s) if ord(s) < 256 else ord(s) - 1000 + 256
+    return [(number(left), number(right), count) for left, right, count in greedy(words, n)]
+
+
+@pytest.mark.parametrize("window, fan_in", [(1 << 16, 3), (6, 2), (1, 12)])
+def test_long_training_equals_greedy(spark, monkeypatch, window, fan_in):
+    """Segments are rewritten over several levels; a small window is filled again and again."""
+    monkeypatch.setattr(merge_index, "WINDOW", window)
+    monkeypatch.setattr(merge_index, "FAN_IN", fan_in)
+    words = random_words(3, 150)
+    n = 60 if window > 6 else 14
+    assert list(spark_rules(spark, words, n)) == expected_rules(words, n)
+
+
+def test_a_round_reads_only_words_that_hold_a_chosen_pair(spark):
+    words = random_words(4, 300)
+    rows = [("".join(tx.id_to_symbol(ord(c)) for c in w), c) for w, c in words]
+    table = spark.createDataFrame(rows, "syms string, cnt bigint")
+    index = merge_index.MergeIndex(table, vb._pair_totals(table))
+    pair = index.ranked(1)[0][0]
+    entries = index._read([index.base]).where(F.col("pair") == pair)
+    assert {r.syms for r in entries.collect()} == {s for s, _ in rows if pair in s}
+    assert "PushedFilters: [IsNotNull(pair), EqualTo(pair," in entries._jdf.queryExecution().toString()
+    index.merge([(pair, tx.id_to_symbol(256))])
+    again = Counter()
+    for s, c in rows:
+        now = s.replace(pair, tx.id_to_symbol(256))
+        for p in merge_index.pairs_of(now):
+            again[p] += c
+    assert index.counts == dict(again)
+
+
+def test_words_are_brought_up_to_date():
+    rng = random.Random(6)
+    for _ in range(300):
+        rules = {}
+        letters = list("abc")
+        for rank in range(rng.randint(0, 8)):
+            pair = rng.choice(letters) + rng.choice(letters)
+            if pair not in rules:
+                rules[pair] = (rank, chr(1000 + rank))
+                letters.append(chr(1000 + rank))
+        word = "".join(rng.choices("abc", k=rng.randint(0, 14)))
+        want = word
+        for pair, (_, symbol) in rules.items():
+            want = want.replace(pair, symbol)
+        assert merge_index.current(word, rules) == want
 
 
 @pytest.fixture(scope="module")
