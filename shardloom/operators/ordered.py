@@ -14,7 +14,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_RANGES = 4096
+MAX_RANGES = 1 << 16  # boundaries that the driver holds
 RANGE = "_range"
 
 

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shardloom.operators.ordered import running
+from shardloom.operators.ordered import RANGE, range_count, running, with_ranges
+from shardloom.session import materialize
 
 
 def token_offsets(
@@ -22,6 +27,83 @@ def token_offsets(
     return running(encoded, key, size.cast("bigint"), "offset", by)
 
 
+class _Run:
+    """Tokens of one key range that no window border has closed yet, for every epoch."""
+
+    def __init__(self, name: int, starts: list[int]) -> None:
+        self.name, self.starts = name, starts
+        self.held = [np.empty(0, np.int32) for _ in starts]
+        self.tail: tuple = ()  # group columns and key of the last document
+
+    def add(self, epoch: int, tokens: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Adds tokens; gives the starts of the pieces that now end at a border, their ends, and their tokens."""
+        start = self.starts[epoch]
+        every = np.concatenate((self.held[epoch], tokens))
+        end = start + len(every)
+        borders = np.arange((start // width + 1) * width, end + 1, width)
+        done = int(borders[-1]) if len(borders) else start
+        self.starts[epoch], self.held[epoch] = done, every[done - start :].copy()
+        return np.concatenate(([start], borders))[:-1], borders, every[: done - start]
+
+
+def _cut(width: int, by: list[str], epochs: int, size: int):
+    """Cuts rows that come in stream order (``_run``, ``_at``, ``_all``, ``_key``, ``_ids``, group columns) at window borders.
+
+    ``_at`` is the offset at which the row's run of rows begins, ``_all`` the length of the whole stream. A
+    piece that begins or ends inside a window is where a run begins or ends.
+    """
+
+    def batch(groups: list, keys: pa.Array, starts: np.ndarray, limits: np.ndarray, tokens: np.ndarray) -> pa.RecordBatch:
+        lists = pa.ListArray.from_arrays(pa.array(limits.astype(np.int32)), pa.array(tokens))
+        return pa.RecordBatch.from_arrays(
+            [*groups, pa.array(starts // width), pa.array(starts), keys, lists], names=[*by, "window_id", "_start", "last_key", "tokens"]
+        )
+
+    def rest(run: _Run) -> Iterator[pa.RecordBatch]:
+        for epoch, held in enumerate(run.held):
+            if len(held):
+                *groups, key = run.tail
+                starts, limits = np.array([run.starts[epoch]]), np.array([0, len(held)])
+                yield batch(groups, _later(key, epoch * size), starts, limits, held)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run: _Run | None = None
+        for rows in batches:
+            if not rows.num_rows:
+                continue
+            names = rows.column("_run").to_numpy()
+            edges = [0, *(np.flatnonzero(names[1:] != names[:-1]) + 1).tolist(), rows.num_rows]
+            for a, b in zip(edges, edges[1:]):
+                some = rows.slice(a, b - a)
+                if run is None or run.name != names[a]:
+                    if run is not None:
+                        yield from rest(run)
+                    at, every = some.column("_at")[0].as_py(), some.column("_all")[0].as_py()
+                    run = _Run(names[a], [at + e * every for e in range(epochs)])
+                lists = some.column("_ids")
+                tokens = lists.flatten().to_numpy(zero_copy_only=False)
+                ends = np.cumsum(np.diff(lists.offsets.to_numpy()))
+                for epoch in range(epochs):
+                    before = run.starts[epoch] + len(run.held[epoch])
+                    starts, borders, done = run.add(epoch, tokens, width)
+                    if not len(borders):
+                        continue
+                    # The last document of a piece is the first that reaches its border.
+                    last = pa.array(np.searchsorted(ends, borders - before))
+                    limits = np.concatenate(([0], borders - starts[0]))
+                    groups = [some.column(name).take(last) for name in by]
+                    yield batch(groups, _later(some.column("_key").take(last), epoch * size), starts, limits, done)
+                run.tail = tuple(some.column(name).slice(b - a - 1) for name in [*by, "_key"])
+        if run is not None:
+            yield from rest(run)
+
+    return cut
+
+
+def _later(keys: pa.Array, shift: int) -> pa.Array:
+    return pc.add(keys, shift).cast(keys.type) if shift else keys
+
+
 def windows(
     encoded: DataFrame,
     key: str,
@@ -30,44 +112,49 @@ def windows(
     ids: str = "ids",
     keep_rest: bool = False,
     sizes: str | None = None,
+    epochs: int = 1,
+    size: int = 0,
 ) -> DataFrame:
     """Token stream cut into full windows of ``width`` tokens.
 
-    The rest at the end is left out, or kept as a shorter window with ``keep_rest``.
+    The rest at the end is left out, or kept as a shorter window with ``keep_rest``. With ``epochs`` the
+    stream is read several times in a row: offsets move on by its length and keys by ``size``, the rows stay single.
 
-    Documents are sliced at window borders, so rows are document fragments, not
-    single tokens; a window gathers ``width`` tokens at most, however long or
-    frequent the documents are.
+    A prefix scan in two passes. The first sums token counts by key range; the second deals the rows to their range,
+    once, and cuts them while they stream by in order, each range from the total of
+    those before it. Only the pieces at the ends of ranges are shuffled again, to be
+    joined. A task holds less than a window besides its batch, however long
+    documents are. Keys must be unique and not null; ``encoded`` is read three times, so pass a written table. The
+    result is a written table.
     """
     by = list(by)
-    filled = encoded.where((F.size(ids) if sizes is None else F.col(sizes)) > 0)
-    placed = token_offsets(filled, key, by, ids, sizes).select(
-        *by, F.col(key).alias("_key"), "offset", F.col(ids).alias("_ids")
+    count = (F.size(ids) if sizes is None else F.col(sizes)).cast("bigint")
+    ranged = with_ranges(encoded.where(count > 0), key)
+    totals = ranged.groupBy(*by, RANGE).agg(F.sum(count).alias("_n"))
+    # One row for each range (and group).
+    every = Window.partitionBy(*by)
+    before = every.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select(
+        *by, RANGE, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_at"), F.sum("_n").over(every).alias("_all")
     )
-    first = F.expr(f"offset div {width}")
-    last = F.expr(f"(offset + size(_ids) - 1) div {width}")
-    fragments = placed.withColumn("window_id", F.explode(F.sequence(first, last))).select(
-        *by, "window_id", "_key",
-        F.greatest(F.col("offset"), F.col("window_id") * width).alias("_start"),
-        F.slice(
-            "_ids",
-            F.greatest(F.col("window_id") * width - F.col("offset"), F.lit(0)).cast("int") + 1,
-            F.lit(width),
-        ).alias("_part"),
-        "offset",
+    placed = ranged.join(F.broadcast(carried), [*by, RANGE]).select(
+        *by, RANGE, F.xxhash64(*by, RANGE).alias("_run"), "_at", "_all", F.col(key).alias("_key"), F.col(ids).alias("_ids")
     )
-    # A fragment starting inside the window must not run past its end.
-    room = ((F.col("window_id") + 1) * width - F.col("_start")).cast("int")
-    fragments = fragments.withColumn("_part", F.slice("_part", F.lit(1), room))
-    gathered = fragments.groupBy(*by, "window_id").agg(
-        F.array_sort(F.collect_list(F.struct("_start", "_part"))).alias("_parts"),
-        F.max("_key").alias("last_key"),
-        F.sum(F.size("_part")).alias("_n"),
+    dealt = placed.repartitionById(range_count(encoded), RANGE).sortWithinPartitions(*by, "_key").drop(RANGE)
+    fields = [encoded.schema[name] for name in by]
+    kind = encoded.schema[key].dataType
+    schema = T.StructType(
+        [*fields, T.StructField("window_id", T.LongType()), T.StructField("_start", T.LongType()), T.StructField("last_key", kind), T.StructField("tokens", T.ArrayType(T.IntegerType()))]
     )
-    # Full windows are told by their counted tokens, so the arrays are joined once.
-    kept = gathered if keep_rest else gathered.where(F.col("_n") == width)
-    tokens = F.flatten(F.transform("_parts", lambda p: p["_part"]))
-    return kept.select(*by, "window_id", "last_key", tokens.alias("tokens"))
+    pieces = materialize(dealt.mapInArrow(_cut(width, by, epochs, size), schema), "windows")
+    names = [*by, "window_id", "last_key", "tokens"]
+    whole = pieces.where(F.size("tokens") == width).select(*names)
+    joined = pieces.where(F.size("tokens") < width).groupBy(*by, "window_id").agg(
+        F.max("last_key").alias("last_key"), F.array_sort(F.collect_list(F.struct("_start", "tokens"))).alias("_parts")
+    )
+    tokens = F.flatten(F.transform("_parts", lambda p: p["tokens"]))
+    joined = joined.select(*by, "window_id", "last_key", tokens.alias("tokens"))
+    return whole.union(joined if keep_rest else joined.where(F.size("tokens") == width))
 
 
 def pack(
@@ -78,6 +165,8 @@ def pack(
     by: Sequence[str] = (),
     ids: str = "ids",
     sizes: str | None = None,
+    epochs: int = 1,
+    size: int = 0,
 ) -> DataFrame:
     """Training batches of ``batch`` rows and ``length`` columns, one row a sequence.
 
@@ -85,7 +174,7 @@ def pack(
     so windows do not overlap.
     """
     cells = batch * length
-    rows = windows(encoded, key, cells + 1, by, ids, sizes=sizes).select(
+    rows = windows(encoded, key, cells + 1, by, ids, sizes=sizes, epochs=epochs, size=size).select(
         *by, F.col("window_id").alias("batch_id"), "last_key", "tokens",
         F.explode(F.sequence(F.lit(0), F.lit(batch - 1))).alias("row_in_batch"),
     )
@@ -106,16 +195,14 @@ def pack_epochs(
     epochs: int = 1,
     num_iterations: int = -1,
     ids: str = "ids",
+    sizes: str | None = None,
 ) -> DataFrame:
     """Packing of a mixture of ``size`` conversations read ``epochs`` times in a row.
 
-    The stream runs on over the end of an epoch. ``progress`` and ``last_step``
+    The stream runs on over the end of an epoch; rows are not repeated, each is cut at the borders of every epoch. ``progress`` and ``last_step``
     describe the reader after it has fetched what the batch needs.
     """
-    repeated = encoded.withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1)))).withColumn(
-        "_stream_pos", F.col("_epoch").cast("bigint") * F.lit(size) + F.col(pos)
-    )
-    packed = pack(repeated, "_stream_pos", batch, length, ids=ids)
+    packed = pack(encoded, pos, batch, length, ids=ids, sizes=sizes, epochs=epochs, size=size)
     fetched = F.col("last_key") + 1
     if num_iterations > 0:
         progress = (F.col("batch_id") + 1) / F.lit(num_iterations)
