@@ -12,6 +12,7 @@ from shardloom.plans.sqltext import draw as sql_draw
 from shardloom.session import scratch_path
 from shardloom.sources import conversations as conv_source
 from shardloom.sources import shards
+from shardloom.sources.row_groups import scan_row_groups
 
 SHARD_ROWS = 64  # documents per shard of the derived shard folders
 
@@ -68,17 +69,33 @@ def stride_assign(spark, sf_dir):
     return shards.assign_ranks(units, "unit", 4)
 
 
+@query(
+    "row_group_assign",
+    """SELECT doc_id, (doc_id // 64)::INT AS shard_id, (doc_id % 64 // 16)::INT AS row_group, (doc_id % 64 // 16 % 3)::INT AS rank, length(text)::INT AS n_chars
+FROM documents""",
+)
+def row_group_assign(spark, sf_dir):
+    """Row groups of written shards dealt to three workers; each worker reads its own alone."""
+    path = scratch_path(spark, "shards")
+    docs = _sharded(spark, sf_dir).select("doc_id", "text", "shard_id")
+    shards.export_shards(docs, path, order="doc_id", group_rows=16)
+    parts = [scan_row_groups(spark, path, ["doc_id", "text"], rank, 3) for rank in range(3)]
+    every = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    shard = F.regexp_extract("file_name", r"(\d+)", 1).cast("int")
+    return every.select("doc_id", shard.alias("shard_id"), "row_group", "rank", F.length("text").alias("n_chars"))
+
+
 @query(
     "shard_land",
     f"""SELECT doc_id // 64 AS shard_id, count(*) AS n_rows, ({sql_draw("'present|' || (doc_id // 64)", 2)} = 0) AS was_present
 FROM documents GROUP BY 1, 3""",
 )
 def shard_land(spark, sf_dir):
-    """Half of the shards are present; landing adds the others and repeats none."""
+    """Half of the shards are present, each fifth of them in part; landing adds and completes the others and repeats none."""
     target = scratch_path(spark, "landed")
     docs = _sharded(spark, sf_dir).select("doc_id", "text", "shard_id")
     present = draw(seeded_hash("present", F.col("shard_id")), 2) == 0
-    shards.land_shards(docs.where(present), target)
+    shards.land_shards(docs.where(present & ((F.col("shard_id") % 5 > 0) | (F.col("doc_id") % 2 == 0))), target)
     landed = shards.land_shards(docs, target)
     return landed.groupBy(F.col("shard_id").cast("bigint").alias("shard_id")).agg(F.count("*").alias("n_rows")).withColumn(
         "was_present", present

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shardloom.functions import text as tx
 from shardloom.operators import chat, corpus, mix, ordered, tasks
 from shardloom.sources import conversations as cs
+from shardloom.sources import row_groups as rg
 from shardloom.sources import shards
 
 
@@ -120,6 +121,84 @@ def test_landing_twice_adds_nothing(spark, tmp_path):
     assert shards.land_shards(df, target).count() == 30
 
 
+def test_a_shard_landed_in_part_is_replaced(spark, tmp_path):
+    target = str(tmp_path / "landed")
+    df = spark.range(100).select(F.col("id").cast("string").alias("text"), (F.col("id") % 2).cast("int").alias("shard_id"))
+    assert shards.land_shards(df.where("text < 20 and shard_id = 0"), target).count() == 10
+    landed = shards.land_shards(df, target, rows_per_file=15)
+    assert landed.count() == landed.distinct().count() == 100
+    # The first landing's files are gone, a large shard has several, and the log tells rows of both.
+    assert sorted((r.shard_id, r.n_rows) for r in shards.landed_log(spark, target).collect()) == [(0, 50), (1, 50)]
+    assert len(list((tmp_path / "landed" / "shard_id=0").glob("*.parquet"))) > 1
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "landed").rglob("*.parquet")}
+    shards.land_shards(df, target)
+    assert before == {p: p.stat().st_mtime_ns for p in (tmp_path / "landed").rglob("*.parquet")}
+
+
+def test_a_landing_that_ends_on_the_way_is_repaired(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "landed")
+    df = spark.range(60).select(F.col("id").cast("string").alias("text"), (F.col("id") % 3).cast("int").alias("shard_id"))
+    shards.land_shards(df.where("shard_id = 2 and text < 30"), target)
+    move, calls = shards._Store.move, []
+
+    def fail(self, source, place):
+        calls.append(place)
+        if len(calls) == 4:  # after the old folder of the last shard was put away
+            raise OSError("lost")
+        move(self, source, place)
+
+    monkeypatch.setattr(shards._Store, "move", fail)
+    with pytest.raises(OSError):
+        shards.land_shards(df, target)
+    monkeypatch.setattr(shards._Store, "move", move)
+    landed = shards.land_shards(df, target)
+    assert landed.count() == landed.distinct().count() == 60
+
+
+def test_exported_shards_of_several_files(spark, tmp_path):
+    df = spark.range(100).select(F.col("id").cast("string").alias("text"), (F.col("id") % 2).cast("int").alias("shard_id"))
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "10")
+    try:
+        shards.export_shards(df, str(tmp_path / "a"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    shards.export_shards(df, str(tmp_path / "b"), rows_per_file=7)
+    for name in "ab":
+        rows = shards.scan_shards(spark, str(tmp_path / name))
+        assert {(r.text, r.shard_id) for r in rows.collect()} == {(str(i), i % 2) for i in range(100)} and rows.count() == 100
+        assert len(list((tmp_path / name).glob("shard_00000*.parquet"))) > 2
+        assert [r.shard_id for r in shards.shard_ids(spark, str(tmp_path / name)).collect()] == [0, 1]
+    # A file that is there already is an error and stays.
+    with pytest.raises(FileExistsError):
+        shards.export_shards(df.limit(1), str(tmp_path / "a"))
+    assert shards.scan_shards(spark, str(tmp_path / "a")).count() == 100
+
+
+def test_row_groups_are_the_unit(spark, tmp_path):
+    for i, n in ((1, 50), (12, 7), (3, 20)):
+        rows = pa.table({"text": [f"{i}-{k}" for k in range(n)], "k": list(range(n)), "extra": [0.5] * n})
+        pq.write_table(rows, tmp_path / f"shard_{i:05d}.parquet", row_group_size=10)
+    (tmp_path / "shard_00099.parquet.tmp").write_bytes(b"half")
+    path = str(tmp_path)
+    every = rg.scan_row_groups(spark, path, ["text", "k"], world_size=2)
+    assert every.rdd.getNumPartitions() == 8 and every.columns == ["text", "k", "file_name", "row_group", "rank"]
+    want = {(f"{i}-{k}", k, f"shard_{i:05d}.parquet", k // 10, k // 10 % 2) for i, n in ((1, 50), (12, 7), (3, 20)) for k in range(n)}
+    assert {tuple(r) for r in every.collect()} == want
+    for rank in (0, 1):
+        mine = rg.scan_row_groups(spark, path, ["text", "k"], rank, 2)
+        assert {tuple(r) for r in mine.collect()} == {w for w in want if w[4] == rank}
+    # Statistics leave groups out before they are read; all rows that meet the filter come.
+    some = rg.scan_row_groups(spark, path).where("k >= 33")
+    assert some.rdd.getNumPartitions() == 2 and some.count() == 17 and "extra" in some.columns
+    assert rg.scan_row_groups(spark, path).where("k > 1000").count() == 0
+    with pytest.raises(Exception, match="no column"):
+        rg.scan_row_groups(spark, path, ["nope"])
+    with pytest.raises(Exception, match="no shards"):
+        rg.scan_row_groups(spark, str(tmp_path / "none"))
+    with pytest.raises(ValueError):
+        rg.scan_row_groups(spark, path, rank=2, world_size=2)
+
+
 def test_json_lines_round_trip(spark, tmp_path):
     parts = F.array(*[F.struct(F.lit(k).alias("type"), F.lit(t).alias("text")) for k, t in (("text", 'a "quoted"\n'), ("python", "1+1"), ("python_output", "2"))])
     messages = F.array(cs.plain_message("user", F.lit("hé \\ there")), cs.parts_message("assistant", parts))
