@@ -6,12 +6,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shardloom.functions.text import split_pieces
+from shardloom.operators.ordered import running
 from shardloom.operators.tokens import piece_encoder
 from shardloom.operators.vocabulary import Tokenizer
+from shardloom.session import materialize
 from shardloom.sources.conversations import plain_message
 
 # Longest rendered conversation; known part types.
 MAX_TOKENS = 2048
+_NO_TURN = -(1 << 62)  # order key of a turn without number: before all others
 PART_TYPES = ("text", "python", "python_output")
 
 
@@ -27,49 +30,84 @@ def assemble(turns: DataFrame, conv: str = "conv_id") -> DataFrame:
 
 
 def positions(turns: DataFrame, conv: str = "conv_id", out: str = "position") -> DataFrame:
-    """Place of every turn in its conversation, counted from 0 in turn order.
+    """Place of every turn in its conversation, counted from 0 in order of turn, role and text.
 
-    Turn numbers may start anywhere and have gaps. The window carries one
-    counter, so a long conversation costs time but no memory.
+    Turn numbers may start anywhere, repeat and have gaps. Only counts by turn number are summed in
+    order (``ordered.running``, by key ranges), and rows of one turn number are numbered
+    among themselves, so a conversation of any size is spread over tasks and its
+    texts are shuffled once, by conversation and turn.
     """
-    order = Window.partitionBy(conv).orderBy("turn", "role", "text")
-    return turns.withColumn(out, (F.row_number().over(order) - 1).cast("bigint"))
+    return _placed(turns, _turn_starts(turns, conv), conv, out)
+
+
+def _turn_starts(turns: DataFrame, conv: str) -> DataFrame:
+    """``conv, turn, _rows, _before``: rows of each turn number and of all smaller ones. A written table."""
+    counts = turns.groupBy(conv, "turn").agg(F.count("*").alias("_rows"))
+    return materialize(running(materialize(counts, "turns"), "turn", F.col("_rows"), "_before", by=[conv]), "starts")
+
 
+def _placed(turns: DataFrame, starts: DataFrame, conv: str, out: str) -> DataFrame:
+    same = Window.partitionBy(conv, "turn").orderBy("role", "text")
+    numbered = turns.join(starts, [conv, "turn"]).withColumn(out, F.col("_before") + F.row_number().over(same) - 1)
+    return numbered.withColumn(out, F.col(out).cast("bigint")).drop("_rows", "_before")
 
-def first_turns(turns: DataFrame, max_tokens: int = MAX_TOKENS, conv: str = "conv_id") -> DataFrame:
+
+def first_turns(turns: DataFrame, max_tokens: int = MAX_TOKENS, conv: str = "conv_id", longest: int | None = None) -> DataFrame:
     """Turns that can reach the rendered result.
 
     Every turn renders to two tokens at least, and a system turn joins the next
     one, so turns after that many lie past ``max_tokens`` for certain. Turns are
-    counted in order, whatever their numbers; the limit on the counter lets every
-    task drop later turns before the shuffle.
+    counted in order, whatever their numbers; the literal limit on the counter makes every
+    task drop later turns before the shuffle. With ``longest``, the bytes of the longest token, the
+    texts so far bound the tokens from below too. The session's threshold for limits of this kind is raised to the limit.
     """
-    placed = positions(turns, conv, "_position")
-    return placed.where(F.col("_position") <= max_tokens // 2 + 1).drop("_position")
+    limit = max_tokens // 2 + 2
+    conf, threshold = turns.sparkSession.conf, "spark.sql.optimizer.windowGroupLimitThreshold"
+    if int(conf.get(threshold)) < limit:
+        conf.set(threshold, str(limit))
+    order = Window.partitionBy(conv).orderBy("turn", "role", "text")
+    first = turns.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= limit)
+    if longest is not None:
+        least = 2 + F.ceil(F.coalesce(F.octet_length("text"), F.lit(0)) / longest)
+        # The first turn may be a system text, which has no tokens of its own around it.
+        before = F.sum(least).over(order.rowsBetween(Window.unboundedPreceding, -1))
+        first = first.withColumn("_least", F.coalesce(before, F.lit(0))).where(F.col("_least") <= max_tokens + 2).drop("_least")
+    return first.drop("_place")
 
 
 def validate_turns(turns: DataFrame, conv: str = "conv_id") -> DataFrame:
     """Validity and reasons per conversation, from plain sums over its turns.
 
     The expected role follows from the parity of the turn's place in the
-    conversation, counted with and without a leading system turn.
+    conversation, counted with and without a leading system turn. Where turn numbers are
+    distinct and without gaps, the place is the number less the smallest one, so sums by parity of the number do, and no row
+    is ordered. Only turns of other conversations are numbered, on rows without texts.
     """
-    turns = positions(turns, conv, "_position")
-
-    def misplaced(first_user_turn: int) -> Column:
-        user_turn = F.pmod(F.col("_position") - first_user_turn, F.lit(2)) == 0
-        expected = F.when(user_turn, "user").otherwise("assistant")
-        counted = F.col("_position") >= first_user_turn
-        return F.sum((counted & ~F.col("role").eqNullSafe(expected)).cast("int"))
-
-    sums = turns.groupBy(conv).agg(
-        F.count("*").alias("n"),
-        F.max((F.col("_position") == 0) & F.col("role").eqNullSafe(F.lit("system"))).alias("has_system"),
-        misplaced(0).alias("bad_plain"),
-        misplaced(1).alias("bad_system"),
+    slim = turns.select(conv, "turn", "role", F.col("text").isNull().alias("no_text"))
+    by_turn = slim.groupBy(conv, "turn").agg(F.count("*").alias("c"))
+    shape = by_turn.groupBy(conv).agg(F.min("turn").alias("low"), F.max("turn").alias("high"), F.sum("c").alias("n"), F.max("c").alias("most"), F.count("turn").alias("known"))
+    dense = (F.col("most") == 1) & (F.col("known") == F.col("n")) & (F.col("high") - F.col("low") + 1 == F.col("n"))
+    gapped = materialize(shape.where(~F.coalesce(dense, F.lit(False))).select(conv), "gapped")
+    rows = slim.withColumn("place", F.col("turn"))
+    if not gapped.isEmpty():
+        some = materialize(slim.join(gapped, conv, "left_semi").withColumn("text", F.lit(None).cast("string")), "gapped-turns")
+        known = some.withColumn("turn", F.coalesce("turn", F.lit(_NO_TURN)))
+        placed = positions(known, conv, "place").select(conv, "turn", "role", "no_text", "place")
+        rows = rows.join(gapped, conv, "left_anti").unionByName(placed)
+    odd = lambda parity, role: F.sum(((F.pmod("place", F.lit(2)) == parity) & ~F.col("role").eqNullSafe(role)).cast("int"))
+    first = F.min(F.struct("place", F.col("role").isNull().alias("none"), "role"))
+    sums = rows.groupBy(conv).agg(
+        F.count("*").alias("n"), first.alias("first"),
+        odd(0, "user").alias("u0"), odd(1, "user").alias("u1"), odd(0, "assistant").alias("a0"), odd(1, "assistant").alias("a1"),
         F.sum(F.col("role").isNull().cast("int")).alias("no_role"),
-        F.sum(F.col("text").isNull().cast("int")).alias("no_content"),
+        F.sum(F.col("no_text").cast("int")).alias("no_content"),
     )
+    even = F.pmod("first.place", F.lit(2)) == 0
+    opening = F.col("first.role")
+    # With a system turn the user speaks at odd places and the first turn is not counted.
+    plain = F.when(even, F.col("u0") + F.col("a1")).otherwise(F.col("u1") + F.col("a0"))
+    after_system = F.when(even, F.col("u1") + F.col("a0")).otherwise(F.col("u0") + F.col("a1")) - 1
+    sums = sums.withColumn("has_system", opening.eqNullSafe("system")).withColumn("bad_plain", plain).withColumn("bad_system", after_system)
     rest = F.col("n") - F.col("has_system").cast("int")
     bad = F.when(F.col("has_system"), F.col("bad_system")).otherwise(F.col("bad_plain"))
     reasons = F.array_compact(
@@ -148,19 +186,20 @@ def merge_system(messages: Column) -> Column:
 def merge_system_turns(turns: DataFrame, conv: str = "conv_id") -> DataFrame:
     """System merge on turn rows: only the first two turns of a conversation meet.
 
-    Turns are counted in order; the result numbers them from 0.
+    Turns are counted in order; the result numbers them from 0. The system text is the least row of a
+    conversation, by a partial aggregate, and travels with the start of the second turn's number, so
+    all turns are shuffled once, by conversation and turn.
     """
-    turns = positions(turns, conv).withColumn("turn", F.col("position"))
-    is_system = F.coalesce((F.col("turn") == 0) & (F.col("role") == "system"), F.lit(False))
-    system = turns.where(is_system).select(conv, F.col("text").alias("system_text"))
-    merged = turns.where(~is_system).join(system, conv, "left")
-    has_system = F.col("system_text").isNotNull()
-    text = F.when(
-        has_system & (F.col("turn") == 1), F.concat("system_text", F.lit("\n\n"), "text")
-    ).otherwise(F.col("text"))
-    return merged.select(
-        conv, (F.col("turn") - has_system.cast("int")).alias("turn"), "role", text.alias("text")
-    )
+    head = turns.groupBy(conv).agg(F.min(F.struct("turn", "role", "text")).alias("head"))
+    # The text follows only where there is one; without it nothing is merged.
+    system = head.where("head.role = 'system' AND head.text IS NOT NULL").select(conv, F.col("head.text").alias("_system"))
+    starts = _turn_starts(turns, conv).join(system, conv, "left").withColumn("_merged", F.col("_system").isNotNull())
+    holds_second = (F.col("_before") <= 1) & (F.col("_before") + F.col("_rows") > 1)
+    starts = starts.withColumn("_system", F.when(holds_second, F.col("_system")))
+    placed = _placed(turns, starts, conv, "_position")
+    text = F.when(F.col("_merged") & (F.col("_position") == 1), F.concat("_system", F.lit("\n\n"), "text")).otherwise(F.col("text"))
+    rows = placed.where(~((F.col("_position") == 0) & F.coalesce(F.col("role") == "system", F.lit(False))))
+    return rows.select(conv, (F.col("_position") - F.col("_merged").cast("int")).alias("turn"), "role", text.alias("text"))
 
 
 # --- rendering ---------------------------------------------------------------
@@ -264,7 +303,7 @@ def completion_prompts_of_turns(
         F.max("turn").alias("_last"), F.max_by("role", "turn").alias("_last_role")
     )
     kept = (
-        first_turns(turns, max_tokens, conv)
+        first_turns(turns, max_tokens, conv, max(map(len, tok.token_bytes())))
         .join(closing.where(F.col("_last_role") == "assistant"), conv)
         .where(F.col("turn") < F.col("_last"))
     )
