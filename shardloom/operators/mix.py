@@ -2,23 +2,52 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shardloom.functions.text import seeded_hash
-from shardloom.operators.corpus import slice_view
 from shardloom.operators.ordered import shuffled_positions
+from shardloom.session import materialize
 
 # Fixed value: the shuffle seed of every mixture and benchmark.
 SEED = 42
 
 
+@dataclass(frozen=True)
+class Placed:
+    """A table whose rows have not been moved yet: ``places`` maps ``key`` to the dense ``idx`` of each row."""
+
+    rows: DataFrame
+    key: str
+    places: DataFrame
+
+    def table(self) -> DataFrame:
+        """The rows with their ``idx`` instead of the key."""
+        return self.rows.join(self.places, self.key).drop(self.key)
+
+
+def shuffled(rows: DataFrame, key: str, seed: int = SEED) -> Placed:
+    """A reproducible random order of ``rows``; only the key column is read for it. ``places`` is a written table."""
+    return Placed(rows, key, materialize(shuffled_positions(rows.select(key), seeded_hash(seed, F.col(key)), "idx"), "places"))
+
+
+def _is_wide(df: DataFrame, *keys: str) -> bool:
+    """Whether rows hold more than numbers besides their keys and names of tasks."""
+    plain = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)
+    return any(not isinstance(f.dataType, plain) for f in df.schema if f.name not in (*keys, "task"))
+
+
 def seeded_shuffle(df: DataFrame, key: str, seed: int = SEED, out: str = "idx") -> DataFrame:
-    """Dense index in a reproducible random order."""
-    return shuffled_positions(df, seeded_hash(seed, F.col(key)), out)
+    """Dense index in a reproducible random order. Keys are unique; only keys are ordered, rows are joined to their place."""
+    digest = seeded_hash(seed, F.col(key))
+    if not _is_wide(df, key):
+        return shuffled_positions(df, digest, out)
+    return df.join(shuffled_positions(df.select(key), digest, out), key)
 
 
 def _members(tasks: list[DataFrame]) -> DataFrame:
@@ -27,13 +56,34 @@ def _members(tasks: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), numbered)
 
 
-def mixture(tasks: list[DataFrame], seed: int = SEED) -> DataFrame:
+def mixture(tasks: list[DataFrame | Placed], seed: int = SEED, stops: Sequence[int | None] = ()) -> DataFrame:
     """Members mixed by a reproducible shuffle, with dense ``pos``.
 
-    A member listed twice counts twice. Members have a unique ``idx`` each.
+    A member listed twice counts twice. Members have a unique ``idx`` each; of a member with a stop only rows with a smaller
+    ``idx`` take part.
+
+    Late materialisation: positions are found on (member, key, idx) alone, then
+    each table is read once and joined to its places, however often it is listed. Rows
+    that are no wider than their places are ordered as they are.
     """
+    stops = [*stops, *[None] * (len(tasks) - len(stops))]
+    within = lambda df, stop: df if stop is None else df.where(F.col("idx") < stop)
     digest = seeded_hash(seed, F.col("member"), F.col("idx"))
-    return shuffled_positions(_members(tasks), digest)
+    if not any(isinstance(t, Placed) or _is_wide(t, "idx") for t in tasks):
+        return shuffled_positions(_members([within(t, stop) for t, stop in zip(tasks, stops)]), digest)
+    placed = [t if isinstance(t, Placed) else Placed(t, "idx", t.select("idx")) for t in tasks]
+    slim = [within(t.places, stop).select(F.col(t.key).cast("string").alias("_key"), "idx") for t, stop in zip(placed, stops)]
+    places = materialize(shuffled_positions(_members(slim), digest), "mixed")
+    sources: dict[int, list[int]] = {}
+    for i, t in enumerate(placed):
+        sources.setdefault(id(t.rows), []).append(i)
+    parts = []
+    for members in sources.values():
+        t = placed[members[0]]
+        own = places.where(F.col("member").isin(members)).withColumnRenamed("idx", "_idx")
+        joined = t.rows.join(own, t.rows[t.key].cast("string") == own["_key"]).drop("_key", t.key)
+        parts.append(joined.withColumnRenamed("_idx", "idx"))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def oversample(df: DataFrame, times: int) -> DataFrame:
@@ -109,11 +159,14 @@ PRESETS: dict[tuple[str, str, str], tuple[Member, ...]] = {
 
 
 def preset_mixture(
-    tables: dict[tuple[str, str], DataFrame], stage: str, tier: str, split: str, seed: int = SEED
+    tables: dict[tuple[str, str], DataFrame | Placed], stage: str, tier: str, split: str, seed: int = SEED
 ) -> DataFrame:
-    """Mixture of a preset; ``tables`` maps (task, split) to conversation rows."""
+    """Mixture of a preset; ``tables`` maps (task, split) to conversation rows, or to rows and their places.
+
+    A row limit is a filter on the dense ``idx``, applied before any conversation is moved.
+    """
     members = PRESETS[(stage, tier, split)]
-    return mixture([slice_view(tables[(m.task, m.split)], stop=m.stop) for m in members], seed)
+    return mixture([tables[(m.task, m.split)] for m in members], seed, [m.stop for m in members])
 
 
 def dataset_info(df: DataFrame, split: str = "split", task: str = "task") -> DataFrame:

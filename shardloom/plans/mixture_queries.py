@@ -67,16 +67,13 @@ def sequence(spark, sf_dir):
 
 
 def _conversation_tables(spark, sf_dir, members):
-    """The task tables that ``members`` name, each shuffled and with dense idx.
+    """The task tables that ``members`` name, each with its rows' places in a shuffle of its own.
 
-    A shuffled benchmark is written once: mixtures read it more than once.
+    Places come from row keys; conversations are built where the mixture reads them.
     """
-    def shuffled(rows):
-        placed = mix.seeded_shuffle(rows.withColumnRenamed("idx", "_row"), "_row").drop("_row")
-        return materialize(placed, "benchmark")
-
-    def half(rows, rest):
-        return shuffled(rows.where(F.col("idx") % 2 == rest))
+    def half(rows, rest, adapt, *name):
+        chosen = rows.where(F.col("idx") % 2 == rest)
+        return mix.shuffled(adapt(chosen, *name).withColumnRenamed("idx", "_row"), "_row")
 
     @lru_cache(maxsize=1)
     def words():
@@ -84,19 +81,20 @@ def _conversation_tables(spark, sf_dir, members):
 
     def generated(make, salt):
         n = inputs.documents(spark, sf_dir).agg(F.count("*")).first()[0]
-        return make(spark, tasks.index_words(words(), salt), n, "train")
+        rows = make(spark, tasks.index_words(words(), salt), n, "train").withColumnRenamed("idx", "_row")
+        return mix.Placed(rows, "_row", spark.range(n).select(F.col("id").alias("_row"), F.col("id").alias("idx")))
 
     gsm = lambda: inputs.gsm8k(spark, sf_dir).drop("a", "b", "kind")
     makers = {
-        ("SmolTalk", "train"): lambda: tasks.chat_conversations(half(inputs.chat(spark, sf_dir), 0)),
-        ("SmolTalk", "test"): lambda: tasks.chat_conversations(half(inputs.chat(spark, sf_dir), 1)),
-        ("CustomJSON", "train"): lambda: tasks.chat_conversations(half(inputs.chat(spark, sf_dir), 1), "CustomJSON"),
-        ("MMLU", "auxiliary_train"): lambda: tasks.mmlu_conversations(half(inputs.mmlu(spark, sf_dir), 0)),
-        ("MMLU", "test"): lambda: tasks.mmlu_conversations(half(inputs.mmlu(spark, sf_dir), 1)),
-        ("GSM8K", "train"): lambda: tasks.gsm8k_conversations(half(gsm(), 0)),
-        ("GSM8K", "test"): lambda: tasks.gsm8k_conversations(half(gsm(), 1)),
-        ("ARC-Easy", "train"): lambda: tasks.arc_conversations(half(inputs.arc(spark, sf_dir), 0)),
-        ("ARC-Challenge", "train"): lambda: tasks.arc_conversations(half(inputs.arc(spark, sf_dir), 1), "ARC-Challenge"),
+        ("SmolTalk", "train"): lambda: half(inputs.chat(spark, sf_dir), 0, tasks.chat_conversations),
+        ("SmolTalk", "test"): lambda: half(inputs.chat(spark, sf_dir), 1, tasks.chat_conversations),
+        ("CustomJSON", "train"): lambda: half(inputs.chat(spark, sf_dir), 1, tasks.chat_conversations, "CustomJSON"),
+        ("MMLU", "auxiliary_train"): lambda: half(inputs.mmlu(spark, sf_dir), 0, tasks.mmlu_conversations),
+        ("MMLU", "test"): lambda: half(inputs.mmlu(spark, sf_dir), 1, tasks.mmlu_conversations),
+        ("GSM8K", "train"): lambda: half(gsm(), 0, tasks.gsm8k_conversations),
+        ("GSM8K", "test"): lambda: half(gsm(), 1, tasks.gsm8k_conversations),
+        ("ARC-Easy", "train"): lambda: half(inputs.arc(spark, sf_dir), 0, tasks.arc_conversations),
+        ("ARC-Challenge", "train"): lambda: half(inputs.arc(spark, sf_dir), 1, tasks.arc_conversations, "ARC-Challenge"),
         ("SimpleSpelling", "train"): lambda: generated(tasks.spelling_conversations, "spell"),
         ("SpellingBee", "train"): lambda: generated(tasks.letter_count_conversations, "bee"),
     }
@@ -239,7 +237,8 @@ SELECT batch_id, row_in_batch, md5({sq.joined('inputs')}) AS inputs, md5({sq.joi
 )
 def pack_mid(spark, sf_dir):
     """Rendered conversations in mixture order, read twice."""
-    convs = materialize(mix.seeded_shuffle(rendered(spark, sf_dir).select("conv_id", "ids"), "conv_id", out="pos"), "rendered")
+    whole = materialize(rendered(spark, sf_dir).select("conv_id", "ids"), "rendered")
+    convs = materialize(mix.seeded_shuffle(whole, "conv_id", out="pos"), "shuffled")
     packed = pack.pack_epochs(convs, "pos", convs.count(), 2, 128, epochs=2)
     return packed.select(
         "batch_id", "row_in_batch", F.md5(_JOIN("inputs")).alias("inputs"), F.md5(_JOIN("targets")).alias("targets"),
