@@ -74,7 +74,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 @contextmanager
 def session_conf(spark: SparkSession, **settings: str) -> Iterator[None]:
-    """Settings that hold inside the block only; underscores stand for dots."""
+    """Settings that hold inside the block only; underscores stand for dots.
+
+    A plan that is built inside and run outside does not see them.
+    """
     names = {name.replace("_", "."): value for name, value in settings.items()}
     before = {name: spark.conf.get(name, None) for name in names}
     try:
