@@ -27,30 +27,33 @@ def fewshot_pairs(
 ) -> DataFrame:
     """``k`` other items of the task for every item: ``(task, idx, shot, shot_idx)``.
 
-    Items of a task lie on a ring in hash order. An item takes k different
-    places of the ring, counted from a start drawn from its number; it never
-    meets itself. Places are found by an equi-join, so the work is k rows per
+    Items of a task have dense places in hash order. Every item draws k places of its own from the others, without
+    putting back and in random order: the i-th draw is one of n - 1 - i numbers, raised by one for each
+    smaller place drawn before, and places from its own on are raised by one too. So sets of different items overlap as by
+    chance. Places become items by an equi-join: k rows per
     item, whatever the size of a task. Items of a task with fewer than k others
     take all of them (``short_tasks`` lists such tasks); ``strict`` fails instead.
     """
     digest = seeded_hash("ring", F.col(task), F.col(idx))
-    ring = materialize(shuffled_positions(items.select(task, idx), digest, "place", [task]), "ring")
-    sizes = ring.groupBy(task).agg(F.count("*").alias("n"))
-    seats = ring.join(sizes, task)
-    start = draw(seeded_hash(FEWSHOT_SEED, F.col(idx)), F.greatest(F.col("n") - 1, F.lit(1)))
+    places = materialize(shuffled_positions(items.select(task, idx), digest, "place", [task]), "places")
+    seats = places.join(F.broadcast(places.groupBy(task).agg(F.count("*").alias("n"))), task)  # a row a task
     few = F.concat(F.lit("too few examples in task "), F.col(task).cast("string"))
-    fewer = F.raise_error(few).cast("int") if strict else (F.col("n") - 2).cast("int")
-    shots = F.sequence(F.lit(0), F.when(F.col("n") > k, F.lit(k - 1)).otherwise(fewer))
+    others = F.col("n") - 1
+    fewer = F.raise_error(few).cast("int") if strict else others.cast("int")
+    count = F.when(others >= k, F.lit(k)).otherwise(fewer)
+
+    def next_place(drawn: Column, i: Column) -> Column:
+        number = draw(seeded_hash(FEWSHOT_SEED, F.col(idx), i), others - i)
+        free = F.aggregate(F.array_sort(drawn), number, lambda at, taken: at + (at >= taken).cast("bigint"))
+        return F.concat(drawn, F.array(free))
+
+    drawn = F.aggregate(F.sequence(F.lit(0), count - 1), F.array().cast("array<bigint>"), next_place)
     wanted = (
         seats.where((F.lit(strict) | (F.col("n") > 1)) & (F.lit(k) > 0))
-        .withColumn("start", start)
-        .select("*", F.explode(shots).alias("shot"))
-        .select(
-            task, idx, F.col("shot").cast("int").alias("shot"),
-            F.pmod(F.col("place") + 1 + F.pmod(F.col("start") + F.col("shot"), F.col("n") - 1), F.col("n")).alias("place"),
-        )
+        .select(task, idx, F.col("place").alias("own"), F.posexplode(drawn).alias("shot", "drawn"))
+        .select(task, idx, F.col("shot").cast("int").alias("shot"), (F.col("drawn") + (F.col("drawn") >= F.col("own")).cast("bigint")).alias("place"))
     )
-    found = ring.select(task, F.col(idx).alias("shot_idx"), "place")
+    found = places.select(task, F.col(idx).alias("shot_idx"), "place")
     return wanted.join(found, [task, "place"]).drop("place")
 
 

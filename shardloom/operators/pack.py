@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -218,6 +218,32 @@ def write_batches(df: DataFrame, path: str, *partitions: str) -> None:
     df.write.partitionBy(*partitions).parquet(path)
 
 
+def write_rank_batches(packed: DataFrame, path: str, split: str, batch: int, world_size: int, rows_per_file: int = 1 << 16) -> None:
+    """Batches for ``world_size`` workers in files of ``rows_per_file`` rows, in folders ``split``, ``rank`` and ``file``.
+
+    Batch ``i`` is step ``i div world_size`` of worker ``i mod world_size``, so a row's position in its worker's stream, and with it
+    its file, follow from ``batch_id`` and ``row_in_batch``. A task writes whole files, in order of position.
+    """
+    step = F.expr(f"batch_id div {world_size}")
+    placed = packed.select(
+        F.lit(split).alias("split"), F.pmod("batch_id", F.lit(world_size)).cast("int").alias("rank"),
+        (step * batch + F.col("row_in_batch")).cast("bigint").alias("position"), "batch_id", "row_in_batch", "inputs", "targets",
+    ).withColumn("file", F.expr(f"cast(position div {rows_per_file} as int)"))
+    dealt = placed.repartition("split", "rank", "file").sortWithinPartitions("rank", "file", "position")
+    dealt.write.mode("append").partitionBy("split", "rank", "file").parquet(path)
+
+
+def read_rank_batches(spark: SparkSession, path: str, split: str, rank: int, first: int = 0, rows_per_file: int | None = None) -> DataFrame:
+    """The rows of one worker in order of ``position``, from position ``first`` on.
+
+    Folders of other workers are not opened; with ``rows_per_file``, neither are files that end before ``first``.
+    """
+    rows = spark.read.parquet(path).where((F.col("split") == split) & (F.col("rank") == rank) & (F.col("position") >= first))
+    if rows_per_file:
+        rows = rows.where(F.col("file") >= first // rows_per_file)
+    return rows.drop("file").orderBy("position")
+
+
 def collate(
     rendered: DataFrame,
     pad_id: int,

@@ -51,11 +51,15 @@ def format_value(kind: Column, value: Column) -> Column:
 def section_text(metrics: DataFrame, section: str = "section") -> DataFrame:
     """Markdown of every section from rows ``section, ts, ord, key, kind, value``.
 
-    Rows without a value are skipped. A section is one document of metric
+    An item of kind ``raw`` is text that goes in as it is, without key and line end; an empty one is skipped. A
+    metric without a value shows ``None``. A section is one document of metric
     lines, so its lines meet in one row.
     """
-    line = F.concat(F.lit("- "), "key", F.lit(": "), format_value(F.col("kind"), F.col("value")), F.lit("\n"))
-    lines = F.array_sort(F.collect_list(F.when(F.col("value").isNotNull(), F.struct("ord", line.alias("line")))))
+    shown = F.coalesce(format_value(F.col("kind"), F.col("value")), F.lit("None"))  # fixed value: the text of no value
+    line = F.concat(F.lit("- "), "key", F.lit(": "), shown, F.lit("\n"))
+    is_raw = F.col("kind").eqNullSafe("raw")
+    item = F.when(is_raw, F.nullif("value", F.lit(""))).otherwise(line)
+    lines = F.array_sort(F.collect_list(F.when(item.isNotNull(), F.struct("ord", item.alias("line")))))
     body = F.array_join(F.transform(lines, lambda l: l["line"]), "")
     stamp = F.date_format(F.max("ts"), "yyyy-MM-dd HH:mm:ss")
     text = F.concat(F.lit("## "), F.col(section), F.lit("\ntimestamp: "), "_stamp", F.lit("\n\n"), "_body", F.lit("\n"))

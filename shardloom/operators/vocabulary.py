@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shardloom.functions.text import (
@@ -219,6 +219,16 @@ def merge_table(spark: SparkSession, tok: Tokenizer) -> DataFrame:
     return spark.createDataFrame(rows, "rank int, l int, r int, token_id int, cnt bigint")
 
 
+def rule_checks(rules: DataFrame) -> DataFrame:
+    """``rules`` with what must hold of greedy training: parts are older tokens, no pair comes twice, counts never rise."""
+    order = Window.partitionBy().orderBy("rank")  # a row a rule: bounded by the vocabulary
+    again = F.count("*").over(Window.partitionBy("l", "r"))
+    return rules.select(
+        "*", (F.greatest("l", "r") < F.col("token_id")).alias("older_parts"), (again == 1).alias("once"),
+        (F.col("cnt") <= F.coalesce(F.lag("cnt").over(order), "cnt")).alias("falling"),
+    )
+
+
 def vocabulary_table(spark: SparkSession, tok: Tokenizer) -> DataFrame:
     rows = [
         (i, bytearray(token), len(token) if i < tok.base_size else 0, i >= tok.base_size)

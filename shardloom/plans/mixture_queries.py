@@ -12,7 +12,8 @@ from shardloom.plans import inputs
 from shardloom.plans import sqltext as sq
 from shardloom.plans.chat_queries import _MC_SQL, _RENDERED_SQL, BASE, BEE_SQL, rendered
 from shardloom.plans.registry import query, table
-from shardloom.session import materialize
+from shardloom.session import materialize, scratch_path
+from shardloom.sources import conversations as conv_source
 from shardloom.sources.shards import assign_ranks
 
 _JOIN = lambda c: F.array_join(F.col(c).cast("array<string>"), " ")
@@ -180,6 +181,38 @@ _register_preset("sft_small_val", "sft", "small", "val", [("talk_test", 100)])
 _register_preset("sft_val", "sft", "full", "val", [("talk_test", 1000)])
 
 
+_LINES_SQL = lambda split, members: (
+    f"SELECT '{split}' AS split, m.pos, m.task, m.first, CASE m.task WHEN 'SpellingBee' THEN 5 WHEN 'GSM8K' THEN 3 * CASE g.kind WHEN 1 THEN 2 WHEN 4 THEN 0 ELSE 1 END + 1 ELSE 1 END AS n_parts, "
+    "CASE WHEN m.task LIKE 'ARC%' THEN 4 ELSE 0 END AS n_letters "
+    f"FROM ({_preset_sql(members)}) m LEFT JOIN (SELECT kind, question, md5(question) AS q FROM "
+    f"(WITH {inputs.GSM8K_SQL} SELECT kind, question FROM gsm8k)) g ON m.task = 'GSM8K' AND g.q = m.first"
+)
+_SFT_SMALL = [("arc0", 50), ("arc1", 30), ("gsm_train", 100), ("talk0", 200), ("talk1", None), ("spell0", 20), ("bee2", 20)]
+
+
+@query("jsonl_mixture", f"SELECT split, pos, first, n_parts::INT AS n_parts, n_letters::INT AS n_letters FROM ({_LINES_SQL('train', _SFT_SMALL)} UNION ALL {_LINES_SQL('val', [('talk_test', 100)])})")
+def jsonl_mixture(spark, sf_dir):
+    """Both splits of a preset written as JSON lines in mixture order and read back by place, with parts and letters."""
+    root, parts = scratch_path(spark, "mixture"), []
+    for split in ("train", "val"):
+        members = mix.PRESETS[("sft", "small", split)]
+        rows = materialize(mix.preset_mixture(_conversation_tables(spark, sf_dir, members), "sft", "small", split), "mixture")
+        path = conv_source.write_jsonl(rows, root, "sft", "d4", split, order="pos", rows_per_file=64)
+        lines = conv_source.scan_jsonl_in_order(spark, path, rows_per_file=64)
+        # A line must be the one that was written for its place.
+        read = lines.join(rows.select("pos", F.md5(conv_source.line_of()).alias("told")), "pos")
+        same = F.when(F.md5("value") == F.col("told"), F.col("value")).otherwise(F.raise_error(F.lit("another line")).cast("string"))
+        parsed = conv_source.parse_lines(read.select("pos", same.alias("value")), "pos")
+        last = F.element_at("messages", -1)
+        parts.append(
+            parsed.select(
+                F.lit(split).alias("split"), "pos", F.md5(F.col("messages")[0]["parts"][0]["text"]).alias("first"),
+                F.size(last["parts"]).alias("n_parts"), F.coalesce(F.size("letters"), F.lit(0)).alias("n_letters"),
+            )
+        )
+    return parts[0].unionByName(parts[1])
+
+
 # --- packing -----------------------------------------------------------------
 
 _ENC_DOCS_SQL = f"""{sq.train()},
@@ -212,6 +245,24 @@ def pack_pretrain(spark, sf_dir):
     )
 
 
+@query(
+    "batch_sink",
+    f"""WITH {_ENC_DOCS_SQL}, s AS (SELECT doc_id, [{BASE}] || {sq.ids('syms')} AS ids FROM enc), {_packed_sql('s', BATCH, LENGTH, 'doc_id')}
+SELECT 'train' AS split, (batch_id % 3)::INT AS rank, (batch_id // 3 * {BATCH} + row_in_batch)::BIGINT AS position, md5({sq.joined('inputs')}) AS inputs, md5({sq.joined('targets')}) AS targets FROM packed""",
+)
+def batch_sink(spark, sf_dir):
+    """Packed batches written for three workers; every worker reads its own rows back in order."""
+    docs = inputs.heavy_documents(spark, sf_dir).select("doc_id", "text")
+    encoded = encode_corpus(docs, inputs.tokenizer(spark, sf_dir), prepend="<|bos|>")
+    stored = materialize(encoded.select("doc_id", "ids", F.size("ids").alias("n_tokens")), "encoded")
+    path = scratch_path(spark, "batches")
+    pack.write_rank_batches(pack.pack(stored, "doc_id", BATCH, LENGTH, sizes="n_tokens"), path, "train", BATCH, 3, rows_per_file=256)
+    parts = [pack.read_rank_batches(spark, path, "train", rank) for rank in range(3)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select(
+        "split", "rank", "position", F.md5(_JOIN("inputs")).alias("inputs"), F.md5(_JOIN("targets")).alias("targets")
+    )
+
+
 @query(
     "pack_pretrain_ranks",
     f"""WITH {_ENC_DOCS_SQL}, s AS (SELECT doc_id, doc_id // 16 % 2 AS rank, [{BASE}] || {sq.ids('syms')} AS ids FROM enc),

@@ -13,7 +13,7 @@ def _events(spark, sf_dir):
 
 
 def _metrics(spark, sf_dir):
-    """Metric rows per run: a count, a large sum, a float, a text and an absent value."""
+    """Metric rows per run: a count, a large sum, a float, a text, an absent value and plain text."""
     runs = _events(spark, sf_dir).groupBy("user_id").agg(
         F.max("ts").alias("ts"), F.count("*").alias("n"), F.sum("event_id").alias("total"),
         F.max("value").alias("top"), F.max("event_type").alias("kind_name"),
@@ -27,6 +27,8 @@ def _metrics(spark, sf_dir):
         entry(2, "top value", "float", F.col("top").cast("string")),
         entry(3, "last kind", "str", F.col("kind_name")),
         entry(4, "notes", "str", F.lit(None).cast("string")),
+        entry(5, "", "raw", F.concat(F.lit("ended as: "), F.col("kind_name"), F.lit("\n"))),
+        entry(6, "", "raw", F.lit("")),
     )
     section = F.concat(F.lit("Run Log "), F.col("user_id").cast("string"))
     return runs.select(section.alias("section"), "ts", F.explode(entries).alias("e")).select("section", "ts", "e.*")
@@ -35,7 +37,7 @@ def _metrics(spark, sf_dir):
 _SECTION_SQL = """r AS (SELECT user_id, max(ts) AS ts, count(*) AS n, sum(event_id)::BIGINT AS total, max(value) AS top, max(event_type) AS kind FROM events GROUP BY 1),
 sec AS (SELECT user_id, 'run-log-' || user_id AS slug, 'Run Log ' || user_id AS section, '## Run Log ' || user_id || chr(10) || 'timestamp: ' || strftime(ts, '%Y-%m-%d %H:%M:%S') || chr(10) || chr(10)
 || '- events: ' || CASE WHEN n >= 10000 THEN format('{:,}', n) ELSE n::VARCHAR END || chr(10) || '- id total: ' || CASE WHEN total >= 10000 THEN format('{:,}', total) ELSE total::VARCHAR END || chr(10)
-|| '- top value: ' || printf('%.4f', top) || chr(10) || '- last kind: ' || kind || chr(10) || chr(10) AS text FROM r)"""
+|| '- top value: ' || printf('%.4f', top) || chr(10) || '- last kind: ' || kind || chr(10) || '- notes: None' || chr(10) || 'ended as: ' || kind || chr(10) || chr(10) AS text FROM r)"""
 
 
 @query("report_section", f"WITH {_SECTION_SQL} SELECT slug, section, text FROM sec")

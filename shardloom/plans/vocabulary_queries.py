@@ -10,13 +10,14 @@ from shardloom.operators import vocabulary as vb
 from shardloom.plans import inputs
 from shardloom.plans import sqltext as sq
 from shardloom.plans.registry import query
-from shardloom.session import scratch_path
+from shardloom.session import materialize, scratch_path
 from shardloom.sources import artifacts
 
 _JOIN_IDS = lambda c: F.array_join(F.col(c).cast("array<string>") if isinstance(c, str) else c.cast("array<string>"), " ")
 _SPECIALS_SQL = ", ".join(f"({i}, '{name}')" for i, name in enumerate(vb.SPECIAL_TOKENS))
 _ENCODED_DOCS = f"enc AS MATERIALIZED (SELECT doc_id, lang, text, {sq.encoded('text')} AS syms FROM documents)"
 BOS = 256 + sq.N_MERGES
+LONG_RULES = 1000
 
 
 @query(
@@ -58,16 +59,31 @@ def best_pair(spark, sf_dir):
 
 @query(
     "merge_once",
-    f"WITH {sq.train(1)} SELECT piece, cnt, replace({sq.symbols('piece')}, (SELECT ab FROM m1), chr(20224)) AS syms FROM piece_counts",
+    f"""WITH {sq.train(1)}, spelled AS MATERIALIZED (SELECT piece, cnt, {sq.symbols('piece')} AS syms FROM piece_counts)
+SELECT piece, spelled.cnt, replace(syms, ab, chr(20224)) AS syms FROM spelled CROSS JOIN m1""",
 )
 def merge_once(spark, sf_dir):
     """The best pair merged in every word."""
-    words = _words(spark, sf_dir)
+    words = materialize(_words(spark, sf_dir), "words")
     best = vb.best_pairs(vb.pair_counts(words), 1).first()
     rule = (vb.id_to_symbol(best.l) + vb.id_to_symbol(best.r), vb.id_to_symbol(256))
     return words.withColumn("syms", vb.merge_symbols(F.col("syms"), [rule]))
 
 
+@query(
+    "bpe_train_long",
+    f"WITH {sq.train()} SELECT rank, l, r, token_id, cnt, {LONG_RULES}::BIGINT AS n_rules, {LONG_RULES}::BIGINT AS n_older, {LONG_RULES}::BIGINT AS n_once, {LONG_RULES}::BIGINT AS n_falling FROM merges",
+)
+def bpe_train_long(spark, sf_dir):
+    """The first of a thousand rules, with how many of all keep what holds of greedy training."""
+    tok = vb.train_tokenizer(inputs.heavy_documents(spark, sf_dir), 256 + LONG_RULES, "doc_id")
+    rules = vb.rule_checks(vb.merge_table(spark, tok))
+    kept = [F.sum(F.col(c).cast("bigint")).alias(f"n_{name}") for c, name in (("older_parts", "older"), ("once", "once"), ("falling", "falling"))]
+    told = rules.agg(F.count("*").alias("n_rules"), *kept)
+    first = rules.where(F.col("rank") < sq.N_MERGES).select("rank", "l", "r", "token_id", "cnt")
+    return first.join(F.broadcast(told))
+
+
 @query("bpe_train", f"WITH {sq.train()} SELECT rank, l, r, token_id, cnt FROM merges")
 def bpe_train(spark, sf_dir):
     """Merge rules learnt from all documents; trains anew on every call."""

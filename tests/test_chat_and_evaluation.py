@@ -1,13 +1,17 @@
 """Rendering, packing, collation, grading and streaming on small fixtures."""
 
 import math
+import random
+from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from shardloom.operators import audit, chat, evaluation as ev, pack, reports, requests, tasks
 from shardloom.operators import tokens as tk
 from shardloom.operators.vocabulary import Tokenizer
+from shardloom.session import materialize
 from shardloom.sources.conversations import parts_message, plain_message
 from shardloom.streaming import streams
 
@@ -111,6 +115,52 @@ def test_windows_are_the_stream(spark, lengths):
     assert flat == list(range(total // 7 * 7)) and all(len(r.tokens) == 7 for r in rows)
 
 
+def random_stream(spark, seed, n=400):
+    rng = random.Random(seed)
+    rows, token = [], 0
+    for key in rng.sample(range(10**6), n):
+        rows.append([key, rng.choice([0, 1, 5, 40, 900]) if seed else 3, rng.randint(0, 2)])
+    for row in sorted(rows):
+        row[1] = list(range(token, token := token + row[1]))
+    return spark.createDataFrame([tuple(r) for r in rows], "k bigint, ids array<int>, rank int").repartition(5), sorted(rows)
+
+
+@pytest.mark.parametrize("seed, width", [(0, 7), (1, 7), (2, 250), (3, 5000)])
+def test_windows_over_many_ranges(spark, seed, width):
+    """Ranges shorter and longer than a window, documents longer than both, groups."""
+    df, rows = random_stream(spark, seed)
+    for rank in (None, 0, 1, 2):
+        mine = [r for r in rows if rank is None or r[2] == rank]
+        tokens = [(t, r[0]) for r in mine for t in r[1]]
+        want = [tokens[i : i + width] for i in range(0, len(tokens), width)]
+        found = pack.windows(df, "k", width, [] if rank is None else ["rank"], keep_rest=True)
+        found = (found if rank is None else found.where(F.col("rank") == rank)).orderBy("window_id").collect()
+        assert [r.tokens for r in found] == [[t for t, _ in w] for w in want]
+        assert [(r.window_id, r.last_key) for r in found] == [(i, w[-1][1]) for i, w in enumerate(want)]
+
+
+def test_epochs_are_cut_without_repeating_rows(spark):
+    df, rows = random_stream(spark, 4, 60)
+    order = {r[0]: i for i, r in enumerate(rows)}
+    places = spark.createDataFrame(list(order.items()), "k bigint, pos bigint")
+    tokens = [(t, e * 60 + order[r[0]]) for e in range(3) for r in rows for t in r[1]]
+    found = pack.windows(df.join(places, "k"), "pos", 77, epochs=3, size=60).orderBy("window_id").collect()
+    want = [tokens[i : i + 77] for i in range(0, len(tokens) - 76, 77)]
+    assert [(r.tokens, r.last_key) for r in found] == [([t for t, _ in w], w[-1][1]) for w in want]
+
+
+def test_token_arrays_move_once(spark, monkeypatch):
+    """One exchange holds token arrays; what is shuffled after it are the pieces at the ends of ranges."""
+    df, _ = stream_rows(spark, [30] * 200)
+    seen = []
+    monkeypatch.setattr(pack, "materialize", lambda table, name: seen.append(table) or materialize(table, name))
+    found = pack.windows(df, "k", 50)
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 1 and "Window" not in plan.split("RepartitionByExpression")[0]
+    pieces = spark.read.parquet(*[p for p in seen and found.inputFiles()])
+    assert pieces.where(F.size("tokens") < 50).count() <= 2 * 4 * 8 < found.count()
+
+
 def test_pack_shapes(spark):
     df, _ = stream_rows(spark, [5, 9, 11, 2])
     rows = pack.pack(df, "k", 2, 3).orderBy("batch_id", "row_in_batch").collect()
@@ -147,6 +197,21 @@ def test_fewshot_never_draws_itself(spark):
     assert [r.shot_idx for r in rows if r.task == "v"] in ([0, 1], [1, 0]) and not [r for r in rows if r.task == "u"]
 
 
+def test_fewshot_sets_overlap_as_by_chance(spark):
+    n, k = 60, 4
+    items = spark.createDataFrame([("t", i) for i in range(n)], "task string, idx bigint")
+    sets = {}
+    for r in ev.fewshot_pairs(items, k).collect():
+        sets.setdefault(r.idx, {})[r.shot] = r.shot_idx
+    pairs = [(a, b) for a in sets for b in sets if a < b]
+    common = sum(len(set(sets[a].values()) & set(sets[b].values())) for a, b in pairs) / len(pairs)
+    assert abs(common - k * k / n) < 0.05  # a ring of neighbours has the same mean, but
+    spread = sum(len(set(sets[a].values()) & set(sets[b].values())) >= 2 for a, b in pairs) / len(pairs)
+    assert spread < 0.045  # sets of neighbours would share two or more in 0.08 of all pairs
+    used = [i for s in sets.values() for i in s.values()]
+    assert max(used.count(i) for i in range(n)) < 14 and len({s[0] for s in sets.values()}) > n // 2
+
+
 def test_prompts_without_examples(spark):
     item = spark.createDataFrame([("t", 0, " q \n", ["x", "y"], 1, "end")], "task string, idx bigint, query string, choices array<string>, gold int, continuation string")
     assert [r.prompt for r in ev.prompts_mc(item, F.lit("=")).orderBy("option").collect()] == [" q \n=x", " q \n=y"]
@@ -228,6 +293,13 @@ def test_requests(spark):
     assert (rows[0].max_tokens, rows[0].temperature, rows[0].top_k) == (256, 1.0, 3)
 
 
+def test_sections_hold_plain_text_and_none(spark):
+    rows = [("S", 0, "a", "int", "12345"), ("S", 1, "b", "str", None), ("S", 2, None, "raw", "as it is"), ("S", 3, None, "raw", ""), ("S", 4, None, "raw", None), ("S", 5, "c", "float", "2")]
+    metrics = spark.createDataFrame(rows, "section string, ord int, key string, kind string, value string").withColumn("ts", F.lit("2024-01-02 03:04:05").cast("timestamp"))
+    text = reports.section_text(metrics).first().text
+    assert text == "## S\ntimestamp: 2024-01-02 03:04:05\n\n- a: 12,345\n- b: None\nas it is- c: 2.0000\n\n"
+
+
 def test_report_values(spark):
     df = spark.createDataFrame([("float", "1.5"), ("int", "12345"), ("int", "9999"), ("str", "x")], "k string, v string")
     assert [r[0] for r in df.select(reports.format_value(F.col("k"), F.col("v"))).collect()] == ["1.5000", "12,345", "9999", "x"]
@@ -254,6 +326,28 @@ def test_stream_pack_carries_the_remainder(spark, tmp_path):
     assert shown(result) == shown(batch) and len(shown(batch)) == 9
 
 
+def test_batches_of_a_rank_come_back_in_order(spark, tmp_path):
+    df, _ = stream_rows(spark, [5] * 300)
+    packed = pack.pack(df, "k", 2, 3)
+    path = str(tmp_path / "b")
+    pack.write_rank_batches(packed, path, "train", 2, 3, rows_per_file=20)
+    pack.write_rank_batches(packed.where("batch_id < 3"), path, "val", 2, 3, rows_per_file=20)
+    rows = packed.collect()
+    for rank in range(3):
+        mine = sorted((r.batch_id, r.row_in_batch, r.inputs, r.targets) for r in rows if r.batch_id % 3 == rank)
+        read = pack.read_rank_batches(spark, path, "train", rank).collect()
+        assert [(r.batch_id, r.row_in_batch, r.inputs, r.targets) for r in read] == mine
+        assert [r.position for r in read] == list(range(len(mine)))
+        later = pack.read_rank_batches(spark, path, "train", rank, 45, 20)
+        assert [r.position for r in later.collect()] == list(range(45, len(mine)))
+        filters = later._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+        assert "split" in filters and "rank" in filters and "file" in filters
+    # A file holds the rows of its positions, as many as were asked for.
+    sizes = {f.parent.name: pq.read_table(f, columns=["position"]).num_rows for f in (tmp_path / "b" / "split=train" / "rank=0").rglob("*.parquet")}
+    assert sizes["file=0"] == sizes["file=1"] == 20
+    assert pack.read_rank_batches(spark, path, "val", 1).count() == 2
+
+
 def test_written_batches(spark, tmp_path):
     df, _ = stream_rows(spark, [20])
     packed = pack.pack(df, "k", 2, 3).withColumn("split", F.lit("train")).withColumn("rank", F.col("batch_id") % 2)
@@ -273,6 +367,65 @@ def test_turns_count_in_order_whatever_their_numbers(spark):
     assert merged == {(1, 0): "system1\n\nuser2", (1, 1): "assistant3"}
 
 
+def brute_turns(rows):
+    """Places, validity and merged texts of (conv, turn, role, text) rows, a conversation at a time."""
+    convs, merged, checked = {}, [], {}
+    none_first = lambda x: (x is not None, x)
+    for r in rows:
+        convs.setdefault(r[0], []).append(r)
+    for conv, turns in convs.items():
+        turns.sort(key=lambda r: [none_first(x) for x in r[1:]])
+        has_system = turns[0][2] == "system"
+        rest = turns[has_system:]
+        reasons = ["too_few_messages"] if len(rest) < 2 else []
+        reasons += ["role_order"] if any(r[2] != ("user", "assistant")[i % 2] for i, r in enumerate(rest)) else []
+        reasons += ["missing_role"] if any(r[2] is None for r in turns) else []
+        reasons += ["missing_content"] if any(r[3] is None for r in turns) else []
+        checked[conv] = (len(turns), reasons)
+        system = turns[0][3] if has_system else None
+        for i, r in enumerate(rest):
+            text = f"{system}\n\n{r[3]}" if system is not None and i == 0 and r[3] is not None else r[3]
+            merged.append((conv, i + (has_system and system is None), r[2], text))
+    return checked, merged
+
+
+@pytest.mark.parametrize("numbers", ["dense", "gapped", "repeated", "one conversation"])
+def test_turn_windows_equal_plain_loops(spark, numbers):
+    rng = random.Random(numbers)
+    rows = []
+    for conv in range(40):
+        n = rng.randint(1, 9)
+        if numbers == "one conversation" and conv == 7:
+            n = 700  # most of all turns
+        start = rng.randint(-3, 5)
+        step = {"dense": lambda i: i, "gapped": lambda i: 3 * i + i % 2, "repeated": lambda i: i // 2, "one conversation": lambda i: i * (1 + conv % 2)}[numbers]
+        for i in range(n):
+            role = ("user", "assistant")[(i + conv % 2) % 2] if i or conv % 3 else "system"
+            rows.append((conv, start + step(i), rng.choice([role] * 12 + [None, "user"]), rng.choice([f"t{i}"] * 9 + [None])))
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(4)
+    checked, merged = brute_turns(rows)
+    assert {r.conv_id: (r.n_messages, r.reasons) for r in chat.validate_turns(df).collect()} == checked
+    assert Counter(tuple(r) for r in chat.merge_system_turns(df).select("conv_id", "turn", "role", "text").collect()) == Counter(merged)
+
+
+def test_rank_limit_is_below_the_shuffle(spark):
+    df = spark.createDataFrame([(0, 0, "user", "a")], "conv_id bigint, turn bigint, role string, text string")
+    for longest in (None, 6):
+        plan = chat.first_turns(df, longest=longest)._jdf.queryExecution().executedPlan().toString()
+        below = plan[plan.index("Exchange hashpartitioning") :]
+        assert "WindowGroupLimit" in below
+
+
+def test_texts_bound_the_turns_that_are_gathered(spark):
+    rows = [(0, i, ("user", "assistant")[i % 2], "x" * 100) for i in range(300)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    longest = max(map(len, TOK.token_bytes()))
+    first = chat.first_turns(df, 200, longest=longest)
+    assert first.count() < chat.first_turns(df, 200).count()
+    a, b = (chat.render(chat.assemble(t), TOK, 200).first().ids for t in (first, df))
+    assert a == b and len(a) == 200
+
+
 def test_too_few_examples_fail(spark):
     items = spark.createDataFrame([("t", 0), ("t", 1)], "task string, idx bigint")
     assert ev.fewshot_pairs(items, 1, strict=True).count() == 2

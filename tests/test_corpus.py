@@ -212,6 +212,42 @@ def test_json_lines_round_trip(spark, tmp_path):
     }
 
 
+def test_lines_come_in_order_of_positions(spark, tmp_path):
+    messages = F.array(cs.plain_message("user", F.col("text")))
+    extras = ("letters array<string>", "subject string", "entry_point string", "test string")
+    rows = spark.range(25).select(F.col("id").alias("pos"), F.concat(F.lit("t"), F.col("id")).alias("text"))
+    rows = rows.select("pos", messages.alias("messages"), *(F.lit(None).cast(e.split()[1]).alias(e.split()[0]) for e in extras)).repartition(4)
+    path = cs.write_jsonl(rows, str(tmp_path), "sft", "d4", "val", order="pos", rows_per_file=10)
+    assert path.endswith("datasets/sft/d4/val")
+    written = sorted((tmp_path / "datasets" / "sft" / "d4" / "val").glob("part-*"))
+    assert [len(f.read_text().splitlines()) for f in written] == [10, 10, 5]
+    lines = [line for f in written for line in f.read_text().splitlines()]
+    assert [f'"content":"t{i}"' in line for i, line in enumerate(lines)] == [True] * 25
+    read = {r.pos: r.value for r in cs.scan_jsonl_in_order(spark, path, rows_per_file=10).collect()}
+    assert read == dict(enumerate(lines))
+    with pytest.raises(ValueError, match="are not 0 to"):
+        cs.write_jsonl(rows.withColumn("pos", F.col("pos") * 2), str(tmp_path), "sft", "d4", "gaps", order="pos")
+    empty = cs.write_jsonl(rows.limit(0), str(tmp_path), "sft", "d4", "none", order="pos")
+    assert spark.read.text(empty).count() == 0
+
+
+def test_mixtures_move_conversations_once(spark, monkeypatch):
+    rows = [spark.range(30).select((F.col("id") * 7).alias("key"), F.array(F.col("id")).alias("messages"), F.lit(f"t{k}").alias("task")) for k in range(2)]
+    placed = [mix.shuffled(r, "key") for r in rows]
+    mixed = mix.mixture([placed[0], placed[1], placed[0]], stops=[10, None, 5])
+    found = mixed.collect()
+    assert sorted(r.pos for r in found) == list(range(45))
+    # Equal to mixing whole rows.
+    tables = [p.table() for p in placed]
+    plain = ordered.shuffled_positions(
+        mix._members([tables[0].where("idx < 10"), tables[1], tables[0].where("idx < 5")]), tx.seeded_hash(mix.SEED, F.col("member"), F.col("idx"))
+    )
+    key = lambda r: (r.pos, r.member, r.idx, r.task, r.messages)
+    assert sorted(map(key, found)) == sorted(map(key, plain.collect()))
+    plan = mixed._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("Join") == 2
+
+
 def test_bad_lines_are_quarantined(spark):
     lines = ['[{"role":"user","content":"q"},{"role":"assistant","content":"a"}]', "   ", "not json",
              '[{"role":"user","content":"q"}]', '[{"role":"assistant","content":"q"},{"role":"user","content":"a"}]',
