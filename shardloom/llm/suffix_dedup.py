@@ -7,12 +7,11 @@ only need to be compared within an owner's group. A run of starts with one owner
 is a region; regions equal in bytes are one representative with a count, so exact copies and the
 insides of near copies cost one row.
 
-Where a group has several different regions, the suffixes at equal distance from the
-owner are put in order, and the longest previous factor of each start follows from the nearest smaller positions before
+Where a group has several different regions, their suffixes are put in order by prefix doubling, which also
+gives what neighbours share, and the longest previous factor of each start follows from the nearest smaller positions before
 and after it in that order: a start with a factor of ``min_len`` has an earlier
 match, and its source has a later one. ``keep="first"`` removes later copies only and keeps
-the first (documents in order of id, then position); ``keep="none"`` removes every copy. Lengths below
-``min_len`` count as none. Groups of more than ``HOT`` different regions are settled
+the first (documents in order of id, then position); ``keep="none"`` removes every copy. Groups of more than ``HOT`` different regions are settled
 by counting 128-bit digests of all their strings instead: a sum that Spark splits, with the same result.
 
 Strings are judged on the input, never across documents; overlaps count. A null
@@ -31,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shardloom.llm.common import STEP_BYTES, Rolling, if_small, mix, steps, text_buffer
+from shardloom.llm.common import STEP_BYTES, Rolling, if_small, key_filter, may_hold, mix, steps, text_buffer
 from shardloom.session import materialize, session_conf
 
 MIN_LEN = 400
@@ -39,6 +38,7 @@ MIN_LEN = 400
 GRAM_SHARE = 0.36
 #: Different regions of a group that are put in suffix order together.
 HOT = 16_384
+_BLOCK = 64  # bytes that are compared at a time
 
 ANCHORS = "doc_id bigint, k1 bigint, k2 bigint, h bigint, g bigint, lo bigint, hi bigint, at int"
 
@@ -130,29 +130,68 @@ def longest_previous_factors(order: list[int], lcp: list[int]) -> tuple[list[int
     return length, source
 
 
-def group_marks(regions: list[bytes], owners: list[int], min_len: int) -> tuple[list[set[int]], list[set[int]]]:
-    """For each region (in document order) its starts with an earlier match, and those with any.
+def suffix_order(regions: list[bytes], min_len: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes of all regions in order, and what each shares with the one before it (0 if less than ``min_len``).
 
-    ``owners`` are the places of the common owner in the regions: only starts at
-    equal distance from it can match, so suffixes are put in order distance by distance.
+    Prefix doubling: places are ranked by their first 1, 2, 4 .. bytes; two ranks make the next. A region's
+    end is smaller than any byte and unlike any other end, so no overlap runs past it. Two neighbours share ``min_len``
+    bytes if the ranks by the largest power of two in it are equal at both ends of that stretch; how much
+    more they share is compared block by block. Places count over the regions laid end to end.
     """
+    data = np.frombuffer(b"".join(regions), np.uint8)
+    n, sizes = len(data), np.array([len(r) for r in regions])
+    region = np.repeat(np.arange(len(regions)), sizes)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(n)  # bytes from a place to its region's end
+    # Ranks begin above the numbers of the regions, which stand for their ends.
+    ends, step = len(regions), 1
+    ranks = np.unique(data, return_inverse=True)[1] + ends
+    kept, reach = ranks, 1
+    while step < sizes.max():
+        after = np.where(left > step, ranks[np.minimum(np.arange(n) + step, n - 1)], region)
+        ranks = np.unique(ranks * (int(ranks.max()) + 1) + after, return_inverse=True)[1] + ends
+        step *= 2
+        if step <= min_len:
+            kept, reach = ranks, step
+    order = np.argsort(ranks, kind="stable")
+    x, y = order[:-1], order[1:]
+    pairs = np.flatnonzero((left[x] >= min_len) & (left[y] >= min_len))
+    x, y = x[pairs], y[pairs]
+    rest = min_len - reach
+    same = (kept[x] == kept[y]) & (kept[x + rest] == kept[y + rest])
+    pairs, x, y = pairs[same], x[same], y[same]
+    shared = np.zeros(n, np.int64)
+    shared[pairs + 1] = min_len
+    room, at = np.minimum(left[x], left[y]), min_len
+    while len(pairs):
+        block = np.arange(at, at + _BLOCK)
+        fits = block < room[:, None]
+        alike = fits & (data[np.minimum(x[:, None] + block, n - 1)] == data[np.minimum(y[:, None] + block, n - 1)])
+        more = np.where(alike.all(1), _BLOCK, (~alike).argmax(1))
+        shared[pairs + 1] += more
+        on = more == _BLOCK
+        pairs, x, y, room, at = pairs[on], x[on], y[on], room[on], at + _BLOCK
+    return order, shared
+
+
+def group_marks(regions: list[bytes], min_len: int) -> tuple[list[set[int]], list[set[int]]]:
+    """For each region (in document order) its starts with an earlier match, and those with any."""
     later: list[set[int]] = [set() for _ in regions]
     every: list[set[int]] = [set() for _ in regions]
-    lasts = [len(text) - min_len for text in regions]
-    for distance in range(min(o - last for o, last in zip(owners, lasts)), max(owners) + 1):
-        held = [(k, o - distance) for k, (o, last) in enumerate(zip(owners, lasts)) if 0 <= o - distance <= last]
-        suffixes = [regions[k][s : s + min_len] for k, s in held]
-        order = sorted(range(len(held)), key=suffixes.__getitem__)
-        equal = [i > 0 and suffixes[order[i - 1]] == suffixes[order[i]] for i in range(len(order))]
-        # Suffixes that share min_len bytes with no neighbour have no factor of that length.
-        near = [i for i in range(len(order)) if equal[i] or (i + 1 < len(order) and equal[i + 1])]
-        length, source = longest_previous_factors([order[i] for i in near], [min_len if equal[i] else 0 for i in near])
-        for i, n, earlier in zip(near, length, source):
-            if n >= min_len:
-                (k, s), (first, t) = held[order[i]], held[earlier]
-                later[k].add(s)
-                every[k].add(s)
-                every[first].add(t)
+    order, shared = suffix_order(regions, min_len)
+    # Suffixes that share min_len bytes with no neighbour have no factor of that length.
+    long = shared >= min_len
+    near = np.flatnonzero(long | np.append(long[1:], False))
+    lengths = np.where(long[near], shared[near], 0)
+    length, source = longest_previous_factors(order[near].tolist(), lengths.tolist())
+    begins = np.concatenate(([0], np.cumsum([len(r) for r in regions])))
+    at = order[near]
+    known = np.array([n >= min_len for n in length], bool)
+    ones, others = at[known], np.array(source, np.int64)[known] if len(near) else at
+    for places, into in ((ones, (later, every)), (others, (every,))):
+        owners = np.searchsorted(begins, places, "right") - 1
+        for k, s in zip(owners.tolist(), (places - begins[owners]).tolist()):
+            for marks in into:
+                marks[k].add(s)
     return later, every
 
 
@@ -175,7 +214,7 @@ def _suffix_marks(regions: DataFrame, min_len: int) -> DataFrame:
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def settle(h: int, held: dict[int, tuple]) -> list[tuple]:
             ranked = sorted(held.items(), key=lambda x: x[1][0])
-            later, every = group_marks([v[1] for _, v in ranked], [v[2] for _, v in ranked], min_len)
+            later, every = group_marks([v[1] for _, v in ranked], min_len)
             return [
                 (h, g, kind, a, b)
                 for (g, _), early, all_ in zip(ranked, later, every)
@@ -236,10 +275,27 @@ def _digest_marks(regions: DataFrame, min_len: int) -> DataFrame:
     return every.union(later)
 
 
+def _picked(texts: DataFrame, held: np.ndarray, hit: bool) -> DataFrame:
+    """The rows of ``texts`` (``keyed``) whose ``k1`` a filter may hold, or the others."""
+    shared = texts.sparkSession.sparkContext.broadcast(held)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(batch.schema.get_field_index("k1")).to_numpy().view(np.uint64)
+            some = batch.filter(pa.array(may_hold(shared.value, keys) == hit))
+            if some.num_rows:
+                yield some
+
+    return texts.mapInArrow(pick, texts.schema)
+
+
 def _cut_regions(docs: DataFrame, wanted: DataFrame, min_len: int) -> DataFrame:
     """``h, g, place, hot, at, bytes`` of the wanted regions (``doc_id, k1, k2, lo, hi, h, g, place, hot, at``)."""
     asked = wanted.groupBy("doc_id", "k1", "k2").agg(F.collect_list(F.struct("h", "g", "place", "hot", "at", "lo", "hi")).alias("asked"))
-    asked = if_small(materialize(asked, "asked"), values="asked")
+    asked = materialize(asked, "asked")
+    # Texts are large: only those that may be asked for reach the join.
+    docs = _picked(docs, key_filter(asked, "k1"), True)
+    asked = if_small(asked, values="asked")
     same = docs["doc_id"].eqNullSafe(asked["doc_id"]) & (docs["k1"] == asked["k1"]) & (docs["k2"] == asked["k2"])
     found = docs.join(asked, same).select("text", "asked")
 
@@ -316,12 +372,15 @@ def remove_repeats(docs: DataFrame, min_len: int = MIN_LEN, keep: str = "none",
     texts = keyed(docs)
     with session_conf(docs.sparkSession, spark_sql_execution_arrow_maxRecordsPerBatch="2000"):
         marks = repeat_marks(texts, min_len, keep)
+    held = key_filter(marks, "k1")
     marks = if_small(marks, 200_000, values="marks").alias("m")
-    t = texts.alias("t")
+    # Only texts that may have marks meet them; all others are done where they are read.
+    t = _picked(texts, held, True).alias("t")
     same = (F.col("t.k1") == F.col("m.k1")) & (F.col("t.k2") == F.col("m.k2"))
     if keep == "first":
         same = same & F.col("t.doc_id").eqNullSafe(F.col("m.doc_id"))
     joined = t.join(marks, same, "left").select("t.doc_id", "t.text", "m.marks")
+    rest = _picked(texts, held, False).select("doc_id", "text", F.lit(None).cast(joined.schema["marks"].dataType).alias("marks"))
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), span, pa.binary()]
     names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"]
@@ -350,4 +409,4 @@ def remove_repeats(docs: DataFrame, min_len: int = MIN_LEN, keep: str = "none",
                 yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", *names[:wanted]])
 
     schema = "doc_id bigint, " + RESULT + ", spans array<struct<start: bigint, end: bigint>>" + (", kept binary" if text else "")
-    return joined.mapInArrow(cut, schema)
+    return joined.mapInArrow(cut, schema).union(rest.mapInArrow(cut, schema))

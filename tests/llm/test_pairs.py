@@ -135,6 +135,24 @@ def test_repeats_keep_the_first(spark):
     assert all(len(r["kept"]) == r["n_bytes"] - r["n_removed"] for r in result)
 
 
+def test_suffix_order_by_sorting():
+    rng = random.Random(9)
+    for _ in range(150):
+        letters = rng.choice(["a", "ab", "abcd"])
+        regions = ["".join(rng.choices(letters, k=rng.randint(1, 200))).encode() for _ in range(rng.randint(1, 6))]
+        regions += [regions[0][: rng.randint(1, 200)], regions[-1]]
+        min_len = rng.randint(1, 70)
+        order, shared = suffix_dedup.suffix_order(regions, min_len)
+        suffixes = [(r[s:], k) for k, r in enumerate(regions) for s in range(len(r))]
+        # An end comes before all bytes, the ends in order of their regions.
+        want = sorted(range(len(suffixes)), key=lambda i: ([*(b + 1 for b in suffixes[i][0])], suffixes[i][1]))
+        assert order.tolist() == want
+        for i in range(1, len(want)):
+            a, b = suffixes[want[i - 1]][0], suffixes[want[i]][0]
+            n = next((j for j, (p, q) in enumerate(zip(a, b)) if p != q), min(len(a), len(b)))
+            assert shared[i] == (n if n >= min_len else 0)
+
+
 def test_longest_previous_factors_by_brute_force():
     rng = random.Random(2)
     for _ in range(300):
