@@ -69,7 +69,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._written_to = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that :func:`materialize` wrote, once all that is made of them is written too."""
+    for table in tables:
+        spark, path = table.sparkSession, getattr(table, "_written_to", None)
+        if path is not None:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 @contextmanager
