@@ -3,9 +3,10 @@
 Patterns give the base spans (``assign``, ``access``, ``hex``). Every other run of
 ``MIN_TOKEN`` or more base64-like characters is a candidate, as is what base spans leave
 of one: its alphabet is the smallest of ``NARROW`` or else of the encodings that holds
-all its characters, and three tests ask whether it could be random in that alphabet: chi-squared uniformity, the runs test about the alphabet's middle,
-and the lag-1 serial correlation. Their p-values are combined by Fisher's method.
-Natural words fail the battery. In each length class the Benjamini-Hochberg step-up
+all its characters, and tests ask whether it could be random in that alphabet: chi-squared uniformity, the runs test about the alphabet's middle,
+the lag-1 serial correlation and, where enough letters follow each other, a serial test on their pairs: the likelihood
+of the pairs by the counts of all documents, against what random letters have. Their p-values are combined by Fisher's method.
+Natural words fail the battery; those of 20 letters and more mostly by their pairs. In each length class the Benjamini-Hochberg step-up
 rule over all candidates of the corpus decides which of them are declared
 not random, so that at most ``FDR`` of those dismissed are random; what is left is
 a span of kind ``random``. The rule works on a histogram of bounded size.
@@ -46,6 +47,8 @@ TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_TOKEN)
 FDR = 0.01
 #: Lower limits of the length classes.
 LENGTHS = (20, 24, 32, 48, 64, 128, 512)
+#: Letter pairs that a serial test of them needs.
+MIN_PAIRS = 8
 #: p-values are binned by tenths of a power of ten.
 BINS = 400
 
@@ -93,8 +96,61 @@ def _two_sided(z: float) -> float:
     return max(math.erfc(abs(z) / math.sqrt(2)), 1e-300)
 
 
-def battery(symbols: list[int], size: int) -> float:
-    """Combined p-value of three tests that ``symbols`` are random in an alphabet of ``size``."""
+class PairTable:
+    """How much likelier each pair of small letters is in the documents than among random ones (log), by their counts."""
+
+    def __init__(self, counts: np.ndarray) -> None:
+        # One more of each: a pair that never occurs is rare, not impossible.
+        self.scores = np.log((counts + 1.0) / (counts.sum() + counts.size) * counts.size)
+        self.random = {len(letters): self._moments(len(letters)) for letters in ("abcdef", _UPPER)}
+
+    def _moments(self, n: int) -> tuple[float, float, float]:
+        """Mean, variance and covariance of neighbours for pairs of random letters among the first ``n``."""
+        some = self.scores[:n, :n]
+        left, right = some.mean(0), some.mean(1)
+        return float(some.mean()), float(some.var()), float(((left - left.mean()) * (right - right.mean())).mean())
+
+    def p_value(self, token: str, size: int) -> float | None:
+        """Chance that random letters have pairs as likely as those of ``token``; None with fewer than MIN_PAIRS."""
+        letters = np.frombuffer(token.lower().encode(), np.uint8).astype(np.int64) - 97
+        inside = (letters >= 0) & (letters < 26)
+        both = np.flatnonzero(inside[1:] & inside[:-1])
+        m = len(both)
+        mean, variance, shared = self.random[6 if size == 16 else 26]
+        spread = m * variance + 2 * max(0, int((np.diff(both) == 1).sum())) * shared
+        if m < MIN_PAIRS or spread <= 0:
+            return None
+        z = (float(self.scores[letters[both], letters[both + 1]].sum()) - m * mean) / math.sqrt(spread)
+        return max(0.5 * math.erfc(z / math.sqrt(2)), 1e-300)
+
+
+def pair_table(docs: DataFrame) -> PairTable:
+    """Counts of neighbouring letters (A-Z as a-z) of all texts: 676 numbers reach the driver."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros(26 * 26, np.int64)
+        for batch in batches:
+            data, limits = text_buffer(batch.column(0))
+            for lo, hi in steps(limits):
+                for at in range(int(limits[lo]), int(limits[hi]), 1 << 22):  # a long text in parts
+                    part = data[at : min(at + (1 << 22) + 1, int(limits[hi]))]
+                    # Setting the sixth bit lowers A-Z; what is no letter stays outside.
+                    letters = (part | 0x20).astype(np.int32) - 97
+                    inside = (letters >= 0) & (letters < 26) & (part >= 65)
+                    pair = inside[1:] & inside[:-1]
+                    totals += np.bincount((letters[:-1] * 26 + letters[1:])[pair], minlength=26 * 26)
+        found = np.flatnonzero(totals)
+        yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(totals[found])], names=["k", "n"])
+
+    counted = docs.select(F.col("text").cast("string")).mapInArrow(count, "k int, n bigint")
+    out = np.zeros(26 * 26, np.int64)
+    for k, n in counted.groupBy("k").agg(F.sum("n")).collect():
+        out[k] = n
+    return PairTable(out.reshape(26, 26))
+
+
+def battery(symbols: list[int], size: int, p_pairs: float | None = None) -> float:
+    """Combined p-value of the tests that ``symbols`` are random in an alphabet of ``size``, with that of their letter pairs."""
     n = len(symbols)
     if n < 3:
         return 1.0
@@ -108,8 +164,13 @@ def battery(symbols: list[int], size: int) -> float:
     p_runs = _two_sided((runs - (n - 1) / 2) / math.sqrt((n - 1) / 4))
     x = (x - (size - 1) / 2) / math.sqrt((size * size - 1) / 12)
     p_serial = _two_sided(float((x[1:] * x[:-1]).sum()) / math.sqrt(n - 1))
-    half = -(math.log(p_chi) + math.log(p_runs) + math.log(p_serial))
-    return max(math.exp(-half) * (1 + half + half * half / 2), 1e-300)
+    found = [p_chi, p_runs, p_serial] + ([] if p_pairs is None else [p_pairs])
+    # Fisher: minus the sum of logs has a gamma distribution of as many degrees.
+    half, term, total = -sum(math.log(p) for p in found), 1.0, 0.0
+    for i in range(len(found)):
+        total += term
+        term *= half / (i + 1)
+    return max(math.exp(-half) * total, 1e-300)
 
 
 def length_class(n: int) -> int:
@@ -131,12 +192,13 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def candidates(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int, int]]:
+def candidates(text: str, base: list[tuple[int, int, int]], pairs: PairTable | None = None) -> Iterator[tuple[int, int, int, int]]:
     """``(start, end, length class, p bin)`` of tokens, without the base spans in them."""
     for m in TOKEN.finditer(text):
         for start, end in _outside(text, m.start(), m.end(), base):
             size, symbols = smallest_alphabet(text[start:end])
-            yield start, end, length_class(end - start), p_bin(battery(symbols, size))
+            p_pairs = pairs.p_value(text[start:end], size) if pairs else None
+            yield start, end, length_class(end - start), p_bin(battery(symbols, size, p_pairs))
 
 
 def _outside(text: str, start: int, end: int, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
@@ -172,7 +234,7 @@ def _rows_with_tokens(column: pa.Array) -> np.ndarray:
     return rows
 
 
-def _scan(column: pa.Array) -> Iterator[tuple[int, list, list]]:
+def _scan(column: pa.Array, pairs: PairTable) -> Iterator[tuple[int, list, list]]:
     """Row number, base spans and candidates of the rows that have any."""
     long_run = _rows_with_tokens(column)
     for i, value in enumerate(column):
@@ -181,16 +243,16 @@ def _scan(column: pa.Array) -> Iterator[tuple[int, list, list]]:
         if not (long_run[i] or ":" in text or "=" in text or "AKIA" in text):
             continue
         base = base_spans(text)
-        yield i, base, list(candidates(text, base)) if long_run[i] else []
+        yield i, base, list(candidates(text, base, pairs)) if long_run[i] else []
 
 
-def p_histogram(docs: DataFrame) -> list[tuple[int, int, int]]:
+def p_histogram(docs: DataFrame, pairs: PairTable) -> list[tuple[int, int, int]]:
     """``(length class, p bin, tokens)`` over all documents: at most classes times bins rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((len(LENGTHS), BINS), np.int64)
         for batch in batches:
-            for _, _, found in _scan(batch.column(0)):
+            for _, _, found in _scan(batch.column(0), pairs):
                 for _, _, k, b in found:
                     totals[k, b] += 1
         k, b = np.nonzero(totals)
@@ -222,10 +284,11 @@ def step_up(histogram: list[tuple[int, int, int]], fdr: float = FDR) -> list[int
 def scan_spans(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     """The columns of ``docs`` without clashing ones, and ``_spans``: array of (start, kind, end).
 
-    Kinds are numbers in KINDS. Reads the texts twice: for the histogram of
-    p-values and for the spans.
+    Kinds are numbers in KINDS. Reads the texts three times: for the counts of letter pairs, the histogram of
+    p-values and the spans.
     """
-    cuts = step_up(p_histogram(docs), fdr)
+    pairs = pair_table(docs)
+    cuts = step_up(p_histogram(docs, pairs), fdr)
     docs = docs.drop("_spans")
     at = docs.columns.index("text")
     spans_type = "array<struct<start: int, kind: int, end: int>>"
@@ -235,7 +298,7 @@ def scan_spans(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in range(batch.num_rows)]
-            for i, base, found in _scan(batch.column(at)):
+            for i, base, found in _scan(batch.column(at), pairs):
                 random = [(s, 3, e) for s, e, k, b in found if b < cuts[k]]
                 out[i] = [{"start": s, "kind": k, "end": e} for s, k, e in sorted(base + random)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, arrow_type)], names=[*batch.schema.names, "_spans"])

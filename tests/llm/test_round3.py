@@ -8,11 +8,11 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from conftest import SCHEMA, edge_rows, prose
 from pyspark.sql import functions as F
 
 from shardloom.llm import collocations as col
 from shardloom.llm import common, embedding_dedup, fill_in_middle
-from tests.llm.conftest import SCHEMA, edge_rows, prose
 
 # -- fill in middle -------------------------------------------------------------------
 

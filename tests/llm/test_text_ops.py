@@ -9,7 +9,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import edge_rows, prose
+from conftest import SCHEMA, edge_rows, prose
 from pyspark.sql import functions as F
 
 from shardloom.llm import common, license_scan, secret_scan, toxicity
@@ -281,5 +281,35 @@ def test_long_texts_are_pooled_in_parts(monkeypatch):
     assert np.allclose(whole, model.logits(hashes, limits), atol=1e-5)
 
 
+def test_random_tokens_are_found_and_long_words_are_not(spark):
+    """Of random tokens of 24 characters and more 0.95 are found in every alphabet; of long words none is marked."""
+    rng = random.Random(12)
+    syllables = ["".join(rng.choices("bcdfghklmnprstvw", k=1) + rng.choices("aeiou", k=1) + rng.choices(["", "n", "r", "s", "st"])) for _ in range(60)]
+    word = lambda k: "".join(rng.choices(syllables, k=k))
+    words = [word(9)[: rng.randint(20, 30)] for _ in range(400)] + [word(9).upper() for _ in range(100)] + [f"{word(4).title()}{word(4).title()}{word(3)}" for _ in range(100)]
+    words = [w for w in words if len(w) >= 20]
+    rows = [(i, " ".join(word(rng.randint(1, 4)) for _ in range(60)) + " " + w, None, None, None) for i, w in enumerate(words)]
+    tokens = [(n, "".join(rng.choices(alphabet, k=n))) for alphabet in secret_scan.NARROW[3:] for n in (24, 32, 48) for _ in range(40)]
+    rows += [(10_000 + i, f"{word(3)} {t} {word(3)}", None, None, None) for i, (_, t) in enumerate(tokens)]
+    found = {r.doc_id: r.n_random for r in find_secrets(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert sum(found[i] for i in range(len(words))) == 0
+    for k in range(len(secret_scan.NARROW) - 3):
+        mine = [found[10_000 + i] for i in range(120 * k, 120 * (k + 1))]
+        assert sum(mine) >= 0.95 * len(mine), secret_scan.NARROW[3 + k]
+
+
+def test_pair_test_is_uniform_on_random_letters():
+    rng = random.Random(3)
+    counts = np.zeros((26, 26), np.int64)
+    text = "".join(rng.choices("etaoinshrdlu", weights=range(12, 0, -1), k=20_000))
+    for a, b in zip(text, text[1:]):
+        counts[ord(a) - 97, ord(b) - 97] += 1
+    table = secret_scan.PairTable(counts)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    p = sorted(table.p_value("".join(rng.choices(letters, k=30)), 26) for _ in range(4000))
+    assert all(abs(p[int(q * 4000)] - q) < 0.05 for q in (0.05, 0.25, 0.5, 0.75, 0.95))
+    assert table.p_value(text[:30], 26) < 1e-6 and table.p_value("ab1c2d", 36) is None
+
+
 def test_secret_scan_digest_helper():
     assert secret_scan.spans_digest([]) == hashlib.sha256(b"").hexdigest()
