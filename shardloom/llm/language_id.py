@@ -9,9 +9,10 @@ the rest) is fitted on the mapped training texts in closed form. Landmarks and w
 multiplied once, so a batch of texts is scored by one matrix product.
 
 Training reads up to ``PER_LANG`` labelled texts of every language with the smallest hash
-of their ids, the first ``LANDMARKS`` of them landmarks, so the sample grows with the
-number of languages and not with the rows. Texts of over ``MAX_CHARS`` are taken after
-all others of their language, and only their first ``MAX_CHARS``. Prediction covers all documents and whole texts. Null
+of their ids, the first ``LANDMARKS`` of them landmarks, and of longer texts, which are taken after
+all others of their language, the first ``MAX_CHARS`` characters. Where languages are many, each has its share of ``MOST_TEXTS``
+texts, ``MOST_CHARS`` characters and ``MOST_LANDMARKS`` landmarks (at least 8, 200 and 1), so the driver's sample and
+the kernel of the landmarks stay bounded and every language is learned. Prediction covers all documents and whole texts. Null
 texts and texts without letters are ``und`` with score 0, as is everything when there
 is nothing to learn from; rows without an id are not learned from.
 """
@@ -34,6 +35,7 @@ DIM = 1 << 14
 PER_LANG = 160
 LANDMARKS = 24
 MAX_CHARS = 20_000
+MOST_TEXTS, MOST_CHARS, MOST_LANDMARKS = 16_000, 1 << 25, 1200
 RIDGE = 1e-2
 SHARPNESS = 8.0
 UNKNOWN = "und"
@@ -123,19 +125,27 @@ def fit(texts: list[bytes], langs: list[str], landmarks: int = LANDMARKS, ridge:
     return Model(names, marks.T @ (root @ beta).astype(np.float32))
 
 
-def training_sample(docs: DataFrame, usable: Column, per_lang: int = PER_LANG) -> list[tuple[bytes, str]]:
-    """Texts and languages of the sample, in a fixed order: ``per_lang`` for every language.
+def shares(langs: int) -> tuple[int, int, int]:
+    """Texts, characters of each and landmarks that a language has among ``langs``."""
+    texts = max(8, min(PER_LANG, MOST_TEXTS // max(1, langs)))
+    chars = max(200, min(MAX_CHARS, MOST_CHARS // (max(1, langs) * texts)))
+    return texts, chars, max(1, min(LANDMARKS, MOST_LANDMARKS // max(1, langs)))
+
+
+def training_sample(docs: DataFrame, usable: Column, per_lang: int | None = None) -> list[tuple[bytes, str]]:
+    """Texts and languages of the sample, in a fixed order: ``per_lang`` for every language, its share if not given.
 
     The ids are chosen on slim rows (``row_number`` with a limit keeps only the
     first rows of each language before the shuffle); their texts are fetched after.
     """
-    long = F.length("text") > MAX_CHARS
     held = docs.where(usable & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.length("text") >= 1))
-    held = held.select("doc_id", "lang", "text", long.alias("long"))
+    texts, chars, _ = shares(held.select("lang").distinct().count())
+    per_lang = texts if per_lang is None else per_lang
+    held = held.select("doc_id", "lang", "text", (F.length("text") > chars).alias("long"))
     order = Window.partitionBy("lang").orderBy("long", F.xxhash64("doc_id"), "doc_id")
     ranked = held.drop("text").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_lang)
     rows = held.join(F.broadcast(ranked.drop("rank").distinct()), ["doc_id", "lang", "long"], "left_semi")
-    rows = rows.select("doc_id", "lang", F.substring("text", 1, MAX_CHARS).alias("text"))
+    rows = rows.select("doc_id", "lang", F.substring("text", 1, chars).alias("text"))
     # An id may stand in several rows; the sample stays bounded and in a fixed order.
     found = sorted(rows.dropDuplicates(["doc_id", "lang"]).collect(), key=lambda r: (r["doc_id"], r["lang"]))
     return [(r["text"].encode(), r["lang"]) for r in found]
@@ -145,7 +155,8 @@ def train(docs: DataFrame, usable: Column) -> Model | None:
     sample = training_sample(docs, usable)
     if not sample:
         return None
-    return fit([t for t, _ in sample], [lang for _, lang in sample])
+    langs = [lang for _, lang in sample]
+    return fit([t for t, _ in sample], langs, shares(len(set(langs)))[2])
 
 
 def classify(docs: DataFrame, model: Model | None) -> DataFrame:

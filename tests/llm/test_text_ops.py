@@ -12,7 +12,7 @@ import pytest
 from conftest import SCHEMA, edge_rows, prose
 from pyspark.sql import functions as F
 
-from shardloom.llm import common, license_scan, secret_scan, toxicity
+from shardloom.llm import common, language_id, license_scan, secret_scan, toxicity
 from shardloom.llm.language_id import identify, presence
 from shardloom.llm.license_scan import SuffixAutomaton, scan_licenses
 from shardloom.llm.secret_scan import KINDS, base_spans, battery, candidates, find_secrets, infer_encoding, redact, step_up
@@ -281,6 +281,15 @@ def test_long_texts_are_pooled_in_parts(monkeypatch):
     assert np.allclose(whole, model.logits(hashes, limits), atol=1e-5)
 
 
+def test_the_language_sample_is_bounded():
+    for langs in (0, 1, 4, 40, 100, 200, 1000, 2000):
+        texts, chars, marks = language_id.shares(langs)
+        assert texts * langs <= language_id.MOST_TEXTS and texts >= 8
+        assert texts * chars * langs <= language_id.MOST_CHARS and chars >= 200
+        assert marks * langs <= max(language_id.MOST_LANDMARKS, langs) and marks >= 1
+    assert language_id.shares(4) == (language_id.PER_LANG, language_id.MAX_CHARS, language_id.LANDMARKS)
+
+
 def test_random_tokens_are_found_and_long_words_are_not(spark):
     """Of random tokens of 24 characters and more 0.95 are found in every alphabet; of long words none is marked."""
     rng = random.Random(12)
