@@ -36,6 +36,7 @@ SPECIAL_TOKENS = (
 N_BYTES = 256
 _TOP_PAIRS = 512
 _MAX_BATCH = 64
+_DENSE_RULES = 64
 
 
 @dataclass(frozen=True)
@@ -157,26 +158,35 @@ def train_merges(
 ) -> tuple[tuple[int, int, int], ...]:
     """Greedy merge rules from a written word table (``syms``, ``cnt``).
 
-    All rules that a round can prove are applied together; a round reads only
+    All rules that a round can prove are applied together. The first rules stand in most words, so
+    their rounds go over all of them, with the rules so far applied in compiled code; after ``_DENSE_RULES`` a round reads only
     words that hold one of its pairs (``merge_index``).
     """
     if N_BYTES + n_merges > MAX_TOKEN_ID:
         raise ValueError(f"at most {MAX_TOKEN_ID - N_BYTES} merges")
     merges: list[tuple[int, int, int]] = []
-    if n_merges <= 0:
-        return ()
-    index = MergeIndex(words, _pair_totals(words))
+    rules: list[tuple[str, str]] = []
+
+    def take(ranked: list[tuple[str, int]]) -> list[tuple[str, str]]:
+        run = independent_prefix(ranked, min(max_batch, n_merges - len(merges)))
+        chosen = [(pair, id_to_symbol(N_BYTES + len(merges) + i)) for i, (pair, _) in enumerate(run)]
+        merges.extend((symbol_to_id(pair[0]), symbol_to_id(pair[1]), count) for pair, count in run)
+        rules.extend(chosen)
+        return chosen
+
+    merged = lambda: words.withColumn("syms", merge_symbols(F.col("syms"), rules))
     with plain_rounds(words.sparkSession):
-        while len(merges) < n_merges:
-            run = independent_prefix(index.ranked(_TOP_PAIRS), min(max_batch, n_merges - len(merges)))
-            if not run:
-                break
-            chosen = []
-            for pair, count in run:
-                chosen.append((pair, id_to_symbol(N_BYTES + len(merges))))
-                merges.append((symbol_to_id(pair[0]), symbol_to_id(pair[1]), count))
-            if len(merges) < n_merges:
-                index.merge(chosen)
+        while len(merges) < min(n_merges, _DENSE_RULES):
+            top = _pair_totals(merged()).orderBy(F.desc("cnt"), "pair").limit(_TOP_PAIRS).collect()
+            if not take([(r.pair, r.cnt) for r in top]):
+                return tuple(merges)
+    if len(merges) < n_merges:
+        current = materialize(merged().where(F.length("syms") > 1), "words")
+        index = MergeIndex(current, _pair_totals(current))
+        with plain_rounds(words.sparkSession):
+            while len(merges) < n_merges and (chosen := take(index.ranked(_TOP_PAIRS))):
+                if len(merges) < n_merges:
+                    index.merge(chosen)
     return tuple(merges)
 
 

@@ -83,10 +83,12 @@ def spark_rules(spark, words, n):
     return found
 
 
+@pytest.mark.parametrize("dense", [0, 3, 64])
 @pytest.mark.parametrize("words", [
     [("aaaa", 1), ("aaaaa", 2)], [("abab", 3), ("bab", 1)], [("a", 5)], [("ab", 1), ("cd", 1), ("abcd", 2)],
 ])
-def test_training_on_spark_equals_greedy(spark, words):
+def test_training_on_spark_equals_greedy(spark, monkeypatch, words, dense):
+    monkeypatch.setattr(vb, "_DENSE_RULES", dense)
     want = []
     for left, right, count in greedy(words, 6):
         number = lambda s: ord(s) if ord(s) < 256 else ord(s) - 1000 + 256
@@ -109,6 +111,7 @@ def expected_rules(words, n):
 def test_long_training_equals_greedy(spark, monkeypatch, window, fan_in):
     """Segments are rewritten over several levels; a small window is filled again and again."""
     monkeypatch.setattr(merge_index, "WINDOW", window)
+    monkeypatch.setattr(vb, "_DENSE_RULES", 0 if fan_in < 12 else 5)
     monkeypatch.setattr(merge_index, "FAN_IN", fan_in)
     words = random_words(3, 150)
     n = 60 if window > 6 else 14
