@@ -38,7 +38,9 @@ MIN_LEN = 400
 GRAM_SHARE = 0.36
 #: Different regions of a group that are put in suffix order together.
 HOT = 16_384
-_BLOCK = 64  # bytes that are compared at a time
+_BLOCK, _PAIRS = 64, 1 << 13  # bytes, and pairs of suffixes, that are compared at a time
+#: Ranks that the factors of are found at a time, and more up to the next that shares nothing.
+LPF_STEP = 1 << 16
 
 ANCHORS = "doc_id bigint, k1 bigint, k2 bigint, h bigint, g bigint, lo bigint, hi bigint, at int"
 
@@ -130,6 +132,19 @@ def longest_previous_factors(order: list[int], lcp: list[int]) -> tuple[list[int
     return length, source
 
 
+def _ranked(values: np.ndarray, first: int) -> np.ndarray:
+    """Ranks of values among the different ones, from ``first``; takes little more than the order itself."""
+    order = np.argsort(values)
+    some = values[order]
+    new = np.empty(len(some), np.int32)
+    new[:1] = first
+    np.cumsum(some[1:] != some[:-1], out=new[1:])
+    new[1:] += first
+    out = np.empty_like(new)
+    out[order] = new
+    return out
+
+
 def suffix_order(regions: list[bytes], min_len: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes of all regions in order, and what each shares with the one before it (0 if less than ``min_len``).
 
@@ -140,15 +155,17 @@ def suffix_order(regions: list[bytes], min_len: int) -> tuple[np.ndarray, np.nda
     """
     data = np.frombuffer(b"".join(regions), np.uint8)
     n, sizes = len(data), np.array([len(r) for r in regions])
-    region = np.repeat(np.arange(len(regions)), sizes)
-    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(n)  # bytes from a place to its region's end
+    region = np.repeat(np.arange(len(regions), dtype=np.int32), sizes)
+    left = np.repeat(np.cumsum(sizes), sizes).astype(np.int32) - np.arange(n, dtype=np.int32)  # bytes from a place to its region's end
     # Ranks begin above the numbers of the regions, which stand for their ends.
     ends, step = len(regions), 1
-    ranks = np.unique(data, return_inverse=True)[1] + ends
+    ranks = data.astype(np.int32) + np.int32(ends)
     kept, reach = ranks, 1
     while step < sizes.max():
-        after = np.where(left > step, ranks[np.minimum(np.arange(n) + step, n - 1)], region)
-        ranks = np.unique(ranks * (int(ranks.max()) + 1) + after, return_inverse=True)[1] + ends
+        pairs = ranks * (np.int64(ranks.max()) + 1)
+        pairs[: n - step] += np.where(left[: n - step] > step, ranks[step:], region[: n - step])
+        pairs[n - step :] += region[n - step :]
+        ranks = _ranked(pairs, ends)
         step *= 2
         if step <= min_len:
             kept, reach = ranks, step
@@ -161,48 +178,56 @@ def suffix_order(regions: list[bytes], min_len: int) -> tuple[np.ndarray, np.nda
     pairs, x, y = pairs[same], x[same], y[same]
     shared = np.zeros(n, np.int64)
     shared[pairs + 1] = min_len
-    room, at = np.minimum(left[x], left[y]), min_len
-    while len(pairs):
+    for a in range(0, len(pairs), _PAIRS):
+        some = slice(a, a + _PAIRS)
+        _extend(data, shared, pairs[some] + 1, x[some], y[some], np.minimum(left[x[some]], left[y[some]]), min_len)
+    return order, shared
+
+
+def _extend(data: np.ndarray, shared: np.ndarray, ranks: np.ndarray, x: np.ndarray, y: np.ndarray, room: np.ndarray, at: int) -> None:
+    """Adds to ``shared`` what the places ``x`` and ``y`` share from ``at`` on, ``room`` at most in all."""
+    while len(ranks):
         block = np.arange(at, at + _BLOCK)
         fits = block < room[:, None]
-        alike = fits & (data[np.minimum(x[:, None] + block, n - 1)] == data[np.minimum(y[:, None] + block, n - 1)])
+        alike = fits & (data[np.minimum(x[:, None] + block, len(data) - 1)] == data[np.minimum(y[:, None] + block, len(data) - 1)])
         more = np.where(alike.all(1), _BLOCK, (~alike).argmax(1))
-        shared[pairs + 1] += more
+        shared[ranks] += more
         on = more == _BLOCK
-        pairs, x, y, room, at = pairs[on], x[on], y[on], room[on], at + _BLOCK
-    return order, shared
+        ranks, x, y, room, at = ranks[on], x[on], y[on], room[on], at + _BLOCK
 
 
-def group_marks(regions: list[bytes], min_len: int) -> tuple[list[set[int]], list[set[int]]]:
-    """For each region (in document order) its starts with an earlier match, and those with any."""
-    later: list[set[int]] = [set() for _ in regions]
-    every: list[set[int]] = [set() for _ in regions]
+def group_marks(regions: list[bytes], min_len: int) -> list[tuple[int, bool, int, int]]:
+    """Runs of starts (region, kind, first, last) of regions in document order.
+
+    Kind is true for starts with an earlier match, false for those with any.
+    """
     order, shared = suffix_order(regions, min_len)
     # Suffixes that share min_len bytes with no neighbour have no factor of that length.
     long = shared >= min_len
     near = np.flatnonzero(long | np.append(long[1:], False))
     lengths = np.where(long[near], shared[near], 0)
-    length, source = longest_previous_factors(order[near].tolist(), lengths.tolist())
+    later, every = np.zeros(len(order), bool), np.zeros(len(order), bool)
+    # Nothing is shared across a length of 0, so the order is worked through in parts that begin with one.
+    cuts = np.flatnonzero(lengths == 0)
+    at = 0
+    while at < len(near):
+        k = np.searchsorted(cuts, at + LPF_STEP)
+        to = int(cuts[k]) if k < len(cuts) else len(near)
+        length, source = longest_previous_factors(order[near[at:to]].tolist(), lengths[at:to].tolist())
+        known = np.array(length) >= min_len
+        mine = order[near[at:to]][known]
+        later[mine] = every[mine] = True
+        every[np.array(source)[known]] = True
+        at = to
     begins = np.concatenate(([0], np.cumsum([len(r) for r in regions])))
-    at = order[near]
-    known = np.array([n >= min_len for n in length], bool)
-    ones, others = at[known], np.array(source, np.int64)[known] if len(near) else at
-    for places, into in ((ones, (later, every)), (others, (every,))):
-        owners = np.searchsorted(begins, places, "right") - 1
-        for k, s in zip(owners.tolist(), (places - begins[owners]).tolist()):
-            for marks in into:
-                marks[k].add(s)
-    return later, every
-
-
-def _runs(starts: set[int]) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for s in sorted(starts):
-        if out and s == out[-1][1] + 1:
-            out[-1][1] = s
-        else:
-            out.append([s, s])
-    return [(a, b) for a, b in out]
+    out = []
+    for kind, marked in ((True, later), (False, every)):
+        # The last start of a region is min_len before its end, so runs never touch.
+        edges = np.flatnonzero(np.diff(np.concatenate(([0], marked.view(np.int8), [0]))))
+        first, last = edges[::2], edges[1::2] - 1
+        owner = np.searchsorted(begins, first, "right") - 1
+        out += zip(owner.tolist(), [kind] * len(owner), (first - begins[owner]).tolist(), (last - begins[owner]).tolist())
+    return out
 
 
 MARKS = "h bigint, g bigint, later boolean, first bigint, last bigint"
@@ -214,13 +239,7 @@ def _suffix_marks(regions: DataFrame, min_len: int) -> DataFrame:
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def settle(h: int, held: dict[int, tuple]) -> list[tuple]:
             ranked = sorted(held.items(), key=lambda x: x[1][0])
-            later, every = group_marks([v[1] for _, v in ranked], min_len)
-            return [
-                (h, g, kind, a, b)
-                for (g, _), early, all_ in zip(ranked, later, every)
-                for kind, starts in ((True, early), (False, all_))
-                for a, b in _runs(starts)
-            ]
+            return [(h, ranked[k][0], kind, a, b) for k, kind, a, b in group_marks([v[1] for _, v in ranked], min_len)]
 
         def rows() -> Iterator[list[tuple]]:
             last, held = None, {}
@@ -295,7 +314,7 @@ def _cut_regions(docs: DataFrame, wanted: DataFrame, min_len: int) -> DataFrame:
     asked = materialize(asked, "asked")
     # Texts are large: only those that may be asked for reach the join.
     docs = _picked(docs, key_filter(asked, "k1"), True)
-    asked = if_small(asked, values="asked")
+    asked = asked.hint("shuffle_hash")  # the same plan at every size, and no text is sorted
     same = docs["doc_id"].eqNullSafe(asked["doc_id"]) & (docs["k1"] == asked["k1"]) & (docs["k2"] == asked["k2"])
     found = docs.join(asked, same).select("text", "asked")
 
@@ -373,7 +392,7 @@ def remove_repeats(docs: DataFrame, min_len: int = MIN_LEN, keep: str = "none",
     with session_conf(docs.sparkSession, spark_sql_execution_arrow_maxRecordsPerBatch="2000"):
         marks = repeat_marks(texts, min_len, keep)
     held = key_filter(marks, "k1")
-    marks = if_small(marks, 200_000, values="marks").alias("m")
+    marks = marks.hint("shuffle_hash").alias("m")  # the same plan at every size, and no text is sorted
     # Only texts that may have marks meet them; all others are done where they are read.
     t = _picked(texts, held, True).alias("t")
     same = (F.col("t.k1") == F.col("m.k1")) & (F.col("t.k2") == F.col("m.k2"))
