@@ -176,7 +176,7 @@ def key_filter(keys: DataFrame, column: str) -> np.ndarray:
 
     ``may_hold`` is true for every key and for few others: a false hit costs work, never a result.
     """
-    wanted = max(1, keys.count() // 4)
+    wanted = max(1, keys.count() // 8)  # 8 to 16 bits a key
     bits = min(max(10, wanted.bit_length()), FILTER_WORDS.bit_length() - 1)
     key = F.col(column)
     one = F.lit(1).cast("bigint")

@@ -3,16 +3,20 @@
 A text is the set of its word n-grams, kept as 64-bit hashes. Two sets with
 ``100 * common >= percent * union`` share an n-gram among the first
 ``n - ceil(percent * n / 100) + 1`` of each in any common order; the order here
-is rare first: an n-gram is as frequent as its rarest word at most, and as its own hash
-bin, by counts over all texts in ``WORD_BINS`` and ``GRAM_BINS`` bins (ties by hash).
+is rare first. A fixed share of all n-grams, chosen by hash, comes before all others, by the exact
+number of texts that hold it (counted by partial sums; ties by hash); the others follow by hash
+and are only needed where a text has few of the first kind. N-grams that one text holds for itself
+come first of all and join nothing. A filter of those that several hold
+(``common.key_filter``, a false hit is found out by the join) keeps all others from being shuffled with their texts.
 Sets that are equal are one representative.
 
 Prefix n-grams held by several representatives give candidate pairs in two steps, so that a
 group of near copies never becomes all its pairs. First every member is
 compared with two of the pivots of its n-grams (the smallest member of an n-gram and
 length class is its pivot), and the links found are contracted to components. Then only members whose components still
-differ are paired, where length, position and the pivot's distance (a metric:
-two texts differ at least by the difference of their distances) leave a link possible. Pairs are
+differ are paired, where length, position, the pivot's distance (a metric:
+two texts differ at least by the difference of their distances) and parity sketches of the sets (a bit that differs is an n-gram
+that one side has alone) leave a link possible, so texts that share no more than passages are never paired. Pairs are
 made distinct, pass a suffix filter on set profiles (counts by ``PROFILE`` hash
 ranges bound the overlap), and are verified once, exactly, on the whole sets.
 
@@ -34,20 +38,18 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shardloom.llm.common import hashed_words, if_small, mix, not_white
+from shardloom.llm.common import hashed_words, if_small, key_filter, may_hold, mix, not_white
 from shardloom.llm.components import components
-from shardloom.session import materialize, session_conf
+from shardloom.session import discard, materialize, session_conf
 
-WORD_BINS = 1 << 18
-GRAM_BINS = 1 << 16
+#: Share of all n-grams that is counted; at least twice as large as a prefix.
+COUNTED = 0.5
 PROFILE = 64
+#: 64-bit words of a sketch: for each of their bits, whether the set has an odd number of n-grams there.
+SKETCH = 8
 _STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
-def _bins(hashes: np.ndarray, bins: int) -> np.ndarray:
-    return (hashes >> np.uint64(64 - bins.bit_length() + 1)).astype(np.int64)
-
-
 def _gram_runs(column: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """Rows, word limits, word hashes and the n-gram hash that starts at each word, by row range."""
     for lo, hi, limits, hashes in hashed_words(column, not_white()):
@@ -57,50 +59,22 @@ def _gram_runs(column: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray, np.n
         yield hi - lo, limits, hashes, grams
 
 
-def gram_sets(column: pa.Array, n: int, counts: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For every row of a text column its sorted distinct n-gram hashes and, with counts, how frequent each can be."""
+def gram_sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
+    """For every row of a text column its sorted distinct n-gram hashes."""
     for rows, limits, hashes, grams in _gram_runs(column, n):
-        most = np.zeros(len(hashes), np.int64) if counts is None else counts[_bins(hashes, WORD_BINS)]
-        least = most[: len(grams)]
-        for i in range(1, n):
-            least = np.minimum(least, most[i : len(grams) + i])
-        if counts is not None:
-            least = np.minimum(least, counts[WORD_BINS + _bins(grams, GRAM_BINS)])
         for a, b in zip(limits[:rows].tolist(), limits[1:].tolist()):
-            if b - a >= n and counts is None:
-                yield np.unique(grams[a : b - n + 1]), most[:0]
-            elif b - a >= n:
-                found, first = np.unique(grams[a : b - n + 1], return_index=True)
-                yield found, least[a + first]
+            if b - a >= n:
+                yield np.unique(grams[a : b - n + 1])
             elif b > a:
                 whole = np.array([b - a], np.uint64)
                 for h in hashes[a:b]:
                     whole = mix(whole * _STEPS[1] + h)
-                yield whole, most[a:b].min(keepdims=True)
+                yield whole
             else:
-                yield hashes[:0], most[:0]
+                yield hashes[:0]
 
 
-def bin_counts(docs: DataFrame, n: int) -> np.ndarray:
-    """How many words and n-grams of all texts fall into each hash bin (words first)."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(WORD_BINS + GRAM_BINS, np.int64)
-        for batch in batches:
-            for _, limits, hashes, grams in _gram_runs(batch.column(0), n):
-                total[:WORD_BINS] += np.bincount(_bins(hashes, WORD_BINS), minlength=WORD_BINS)
-                # N-grams that cross texts only raise what is an upper bound.
-                total[WORD_BINS:] += np.bincount(_bins(grams, GRAM_BINS), minlength=GRAM_BINS)
-        full = np.flatnonzero(total)
-        for at in range(0, len(full), 1 << 16):
-            part = full[at : at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], names=["bin", "n"])
-
-    counted = docs.select(F.col("text").cast("string")).mapInArrow(count, "bin bigint, n bigint")
-    out = np.zeros(WORD_BINS + GRAM_BINS, np.int64)
-    found = counted.groupBy("bin").agg(F.sum("n").alias("n")).toArrow()
-    out[found["bin"].to_numpy()] = found["n"].to_numpy()
-    return out
+_WORDS = [f"s{k}" for k in range(SKETCH)]
 
 
 def _digests(grams: np.ndarray) -> tuple[int, int]:
@@ -109,43 +83,99 @@ def _digests(grams: np.ndarray) -> tuple[int, int]:
     return int(a.sum(dtype=np.uint64).view(np.int64)), int(b.sum(dtype=np.uint64).view(np.int64))
 
 
-PREFIX_SCHEMA = "row bigint, doc_id bigint, text_key bigint, n bigint, d1 bigint, d2 bigint, class int, profile binary, prefix array<bigint>"
+FACTS = "row bigint, doc_id bigint, text_key bigint, n bigint, d1 bigint, d2 bigint, class int, profile binary, counted array<bigint>, rest array<bigint>, " + ", ".join(f"s{k} bigint" for k in range(SKETCH))
 
 
-def prefixes(docs: DataFrame, n: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """One row per text: set size, digest, length class, profile and rare-first prefix."""
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
+def facts_of(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """One row per text: set size, digest, length class, profile, n-grams that are counted, and as many others as a prefix may need."""
     ratio = math.log(100 / percent)
+    share = min(1.0, max(COUNTED, 2 * (100 - percent) / 100))
+    limit = np.uint64(min(int(share * 2**64), 2**64 - 1))
+
+    def lists(arrays: list[np.ndarray]) -> pa.Array:
+        ends = np.concatenate(([0], np.cumsum([len(x) for x in arrays]))).astype(np.int32)
+        flat = np.concatenate(arrays) if arrays else np.zeros(0, np.uint64)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            sizes, digests, classes, profiles, cuts = [], [], [], [], []
-            for grams, rarity in gram_sets(batch.column(1), n, shared.value):
+            sizes, digests, classes, profiles, counted, rest = [], [], [], [], [], []
+            sketches = np.zeros((batch.num_rows, SKETCH), np.int64)
+            for grams in gram_sets(batch.column(1), n):
                 size = len(grams)
+                bits = np.bincount((mix(grams ^ _STEPS[0]) % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) % 2
+                sketches[len(sizes)] = np.packbits(bits.astype(np.uint8)).view(np.int64)
                 sizes.append(size)
                 digests.append(_digests(grams))
                 classes.append(int(math.log(size) / ratio) if size else -1)
                 spread = np.bincount((grams >> np.uint64(64 - PROFILE.bit_length() + 1)).astype(np.int64), minlength=PROFILE)
                 profiles.append(spread.astype(np.uint32).tobytes())
-                keep = size - -(-percent * size // 100) + 1 if size else 0
-                order = np.lexsort((grams, rarity))[:keep]
-                cuts.append(grams[order].view(np.int64))
+                first = mix(grams ^ _STEPS[2]) <= limit
+                counted.append(grams[first])
+                missing = max(0, size - -(-percent * size // 100) + 1 - len(counted[-1])) if size else 0
+                rest.append(grams[~first][:missing])
             rows = np.arange(row, row + batch.num_rows)
             row += batch.num_rows
-            ends = np.concatenate(([0], np.cumsum([len(c) for c in cuts]))).astype(np.int32)
-            flat = np.concatenate(cuts) if cuts else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(rows), batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array([d[0] for d in digests], pa.int64()),
                     pa.array([d[1] for d in digests], pa.int64()), pa.array(classes, pa.int32()),
-                    pa.array(profiles, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                    pa.array(profiles, pa.binary()), lists(counted), lists(rest), *(pa.array(sketches[:, k]) for k in range(SKETCH)),
                 ],
-                names=["row", "doc_id", "text_key", "n", "d1", "d2", "class", "profile", "prefix"],
+                names=["row", "doc_id", "text_key", "n", "d1", "d2", "class", "profile", "counted", "rest", *_WORDS],
             )
 
     slim = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), F.xxhash64("text").alias("text_key"))
-    return slim.mapInArrow(cut, PREFIX_SCHEMA)
+    return slim.mapInArrow(cut, FACTS)
+
+
+def _held_by_several(facts: DataFrame, held: np.ndarray) -> DataFrame:
+    """``row, gram, late``: n-grams of the rows that a filter may hold; ``late`` is the place among those not counted, else null."""
+    shared = facts.sparkSession.sparkContext.broadcast(held)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in ("counted", "rest"):
+                lists = batch.column(batch.schema.get_field_index(name))
+                grams = lists.flatten().to_numpy(zero_copy_only=False)
+                sizes = np.diff(lists.offsets.to_numpy())
+                hit = np.flatnonzero(may_hold(shared.value, grams.view(np.uint64)))
+                of = np.repeat(np.arange(len(sizes)), sizes)
+                place = np.arange(len(grams)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                late = pa.array(place[hit], pa.int64(), mask=np.full(len(hit), name == "counted"))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of[hit])), pa.array(grams[hit]), late], names=["row", "gram", "late"])
+
+    return facts.select("row", "counted", "rest").mapInArrow(pick, "row bigint, gram bigint, late bigint")
+
+
+def prefix_members(facts: DataFrame, percent: int) -> DataFrame:
+    """``gram, row, n, class, pos, before, own``: prefix n-grams that several rows hold. A written table.
+
+    ``own`` is how many n-grams are known to be held by this row alone, ``before`` how many of its
+    shared ones come before this. Hot n-grams are counted by partial sums.
+    """
+    every = facts.select("row", F.explode(F.concat("counted", "rest")).alias("gram"))
+    shared = every.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
+    shared = materialize(shared, "shared")
+    found = materialize(_held_by_several(facts, key_filter(shared, "gram")).join(shared, "gram"), "found")
+    discard(shared)
+    sizes = facts.select("row", "n", "class", F.size("counted").cast("bigint").alias("c"))
+    rows = found.groupBy("row").agg(F.count("*").alias("several"), F.count("late").alias("several_late"))
+    # All counted n-grams of all rows were counted; of the others only those that a prefix may need.
+    sizes = sizes.join(rows, "row").withColumn("alone", F.col("c") - (F.col("several") - F.col("several_late")))
+    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    # Rows whose prefix holds only n-grams of their own have no partner.
+    open_ = sizes.where(F.col("alone") < length).withColumn("length", length).select("row", "n", "class", "c", "alone", "length")
+    # A row has no more n-grams than its text has words.
+    mine = Window.partitionBy("row").orderBy(F.col("late").isNotNull(), "late", "df", "gram")
+    placed = found.join(open_, "row").withColumn("before", F.row_number().over(mine) - 1)
+    pos = F.when(F.col("late").isNull(), F.col("alone") + F.col("before")).otherwise(F.col("c") + F.col("late"))
+    placed = placed.withColumn("pos", pos.cast("bigint")).where(F.col("pos") < F.col("length"))
+    members = placed.select("gram", "row", "n", "class", "pos", F.col("before").cast("bigint").alias("before"), F.col("alone").alias("own"))
+    members = materialize(members, "members")
+    discard(found)
+    return members
 
 
 def _lengths_fit(a: Column, b: Column, percent: int) -> Column:
@@ -164,6 +194,13 @@ def _overlap_fits(x: dict[str, Column], y: dict[str, Column], percent: int) -> C
     return (here * (100 + percent) >= both * percent) & (apart * (100 + percent) >= both * percent * 2)
 
 
+def _sketches_fit(x: str, y: str, percent: int) -> Column:
+    """Every bit in which two sketches differ takes an n-gram that one side has alone."""
+    apart = sum((F.bit_count(F.col(f"{x}.{s}").bitwiseXOR(F.col(f"{y}.{s}"))) for s in _WORDS), F.lit(0)).cast("bigint")
+    both = F.col(f"{x}.n") + F.col(f"{y}.n")
+    return (both - apart) * 100 >= (both + apart) * percent
+
+
 def suffix_bound(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
     """``a, b`` -> the same with sizes and ``least_far``, a lower bound of the Jaccard distance.
 
@@ -199,7 +236,7 @@ def gram_table(docs: DataFrame, rows: DataFrame, n: int) -> DataFrame:
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [grams for grams, _ in gram_sets(batch.column(1), n)]
+            found = list(gram_sets(batch.column(1), n))
             digests = [_digests(g) for g in found]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -247,7 +284,9 @@ def _checked(docs: DataFrame, pairs: DataFrame, facts: DataFrame, n: int, percen
     sets = materialize(gram_table(docs, wanted, n), "sets")
     exact = verify(hopeful, sets, percent)
     rest = bounded.where(~F.col("possible")).select("a", "b", F.col("least_far").alias("least"), F.lit(1.0).alias("most"), F.lit(False).alias("linked"))
-    return materialize(exact.select("a", "b", F.col("far").alias("least"), F.col("far").alias("most"), "linked").union(rest).distinct(), "checked")
+    checked = materialize(exact.select("a", "b", F.col("far").alias("least"), F.col("far").alias("most"), "linked").union(rest).distinct(), "checked")
+    discard(bounded, wanted, sets)
+    return checked
 
 
 def similar_groups(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
@@ -258,19 +297,17 @@ def similar_groups(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     spark = docs.sparkSession
     # Binary columns of whole sets: few rows go to a worker at once.
     with session_conf(spark, spark_sql_execution_arrow_maxRecordsPerBatch="1000"):
-        counts = bin_counts(docs, n)
-        table = materialize(prefixes(docs, n, percent, counts), "prefixes")
+        whole = materialize(facts_of(docs, n, percent), "facts")
+        table = materialize(whole.drop("counted", "rest"), "rows")
         key = ["n", "d1", "d2"]
         heads = table.where("n > 0").groupBy(*key).agg(F.min("row").alias("rep"), F.count("*").alias("copies"))
         heads = materialize(heads, "heads")
         several = if_small(materialize(heads.where("copies > 1").select(*key, "rep"), "several"))
         copies = table.select("row", *key).join(several, key).where("row <> rep").select("row")
-        facts = table.where("n > 0").join(if_small(materialize(copies, "copies")), "row", "left_anti")
-        slim = facts.select("row", "doc_id", "n", "d1", "d2", "profile")
-        # One shuffle of the prefixes; n-grams with a single holder go at once.
-        grams = facts.select("row", "n", "class", F.posexplode("prefix").alias("pos", "gram"))
-        held = grams.withColumn("held", F.count("*").over(Window.partitionBy("gram"))).where("held > 1").drop("held")
-        members = materialize(_with_own(held, percent), "members")
+        copies = if_small(materialize(copies, "copies"))
+        slim = table.where("n > 0").join(copies, "row", "left_anti").select("row", "doc_id", "n", "d1", "d2", "profile")
+        members = prefix_members(whole.where("n > 0").join(copies, "row", "left_anti"), percent)
+        discard(whole)
         # The pivot is the member with the fewest n-grams of its own: the likeliest centre.
         best = F.struct("own", "row")
         pivots = members.groupBy("gram", "class").agg(F.min_by("row", best).alias("pivot"), F.min_by("n", best).alias("pivot_n"))
@@ -278,7 +315,7 @@ def similar_groups(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
         first = materialize(_first_pairs(members, pivots, percent), "first")
         checked = _checked(docs, first, slim, n, percent)
         found = materialize(components(checked.where("linked").select("a", "b")), "components")
-        left = _second_pairs(members, checked, found, percent)
+        left = _second_pairs(members, checked, found, table.select("row", *_WORDS), percent)
         left = materialize(left.join(first, ["a", "b"], "left_anti"), "left")
         more = _checked(docs, left, slim, n, percent).where("linked").select("a", "b")
         if not more.isEmpty():
@@ -286,16 +323,9 @@ def similar_groups(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
             found = materialize(components(stars.union(more)), "components")
         roots = heads.join(found, heads["rep"] == found["node"], "left")
         roots = roots.select(*key, F.coalesce("root", "rep").alias("root"))
-        return materialize(table.join(roots, key, "left").select("row", "doc_id", "text_key", "n", "root"), "groups")
-
-
-def _with_own(held: DataFrame, percent: int) -> DataFrame:
-    """Adds ``own``, how many prefix n-grams of the row no other row holds, and ``before``, its held ones before this."""
-    mine = Window.partitionBy("row")
-    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    return held.withColumn("own", length - F.count("*").over(mine)).withColumn(
-        "before", F.row_number().over(mine.orderBy("pos")) - 1
-    )
+        groups = materialize(table.join(roots, key, "left").select("row", "doc_id", "text_key", "n", "root"), "groups")
+        discard(table, heads, members, pivots, first, checked, left)
+        return groups
 
 
 def _first_pairs(members: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
@@ -313,12 +343,12 @@ def _first_pairs(members: DataFrame, pivots: DataFrame, percent: int) -> DataFra
     return stars.union(ordered).distinct()
 
 
-def _second_pairs(members: DataFrame, checked: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+def _second_pairs(members: DataFrame, checked: DataFrame, found: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     # What is known of each row's distance to its smallest partner, a centre it may share with others.
     # The centre that gathers most rows is the one whose distances say most.
     both = checked.select("a", "b", "least", "most").union(checked.select("b", "a", "least", "most"))
-    size = Window.partitionBy("a")
-    known = both.withColumn("size", F.count("*").over(size)).groupBy(F.col("b").alias("row"))
+    size = both.groupBy("a").agg(F.count("*").alias("size"))
+    known = both.join(size, "a").groupBy(F.col("b").alias("row"))
     best = F.struct("size", "a")
     known = known.agg(F.max_by("a", best).alias("centre"), F.max_by("least", best).alias("least"), F.max_by("most", best).alias("most"))
     alone = F.col("centre").isNull()
@@ -331,11 +361,10 @@ def _second_pairs(members: DataFrame, checked: DataFrame, found: DataFrame, perc
         )
     )
     told = materialize(told, "told")
-    # N-grams whose holders are all in one component have nothing left to find. Window
-    # and join are both by n-gram: one shuffle serves both sides.
-    every = Window.partitionBy("gram")
-    low, high = F.min("root").over(every), F.max("root").over(every)
-    open_ = told.withColumn("low", low).withColumn("high", high).where("low < high").drop("low", "high")
+    # N-grams whose holders are all in one component have nothing left to find.
+    ends = told.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    open_ = told.join(if_small(materialize(ends.where("low < high").select("gram"), "open")), "gram").join(sketches, "row")
+    open_ = materialize(open_, "open-members")
     x, y = open_.alias("x"), open_.alias("y")
     limit = F.lit((100 - percent) / 100 + 1e-9)
     col = lambda side, name: F.col(f"{side}.{name}")
@@ -349,7 +378,8 @@ def _second_pairs(members: DataFrame, checked: DataFrame, found: DataFrame, perc
         & (col("x", "root") != col("y", "root"))
         & _lengths_fit(col("x", "n"), col("y", "n"), percent)
         & _overlap_fits(*({name: col(side, name) for name in ("n", "pos", "before", "own")} for side in "xy"), percent)
-        & ~apart,
+        & ~apart
+        & _sketches_fit("x", "y", percent),
     )
     return pairs.select(col("x", "row").alias("a"), col("y", "row").alias("b")).distinct()
 
