@@ -267,3 +267,23 @@ def test_tokenizer_check_failures(spark, tok):
     assert "smaller" in verdict(small, 10).description
     gate = checks.check_gate(checks.union_checks(checks.check_tokenizer(gap, 1))).first()
     assert gate.stop and gate.n_failed == 1
+
+
+def test_pieces_and_pairs_are_counted_by_batches(spark, monkeypatch):
+    texts = ["aaaa aaaaa é 12345", None, "", "ab ab abab  \n\n x", "aaaa aaaaa " * 30] + [f"w{i} aaab" for i in range(40)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)
+    plain = df.select(F.explode(vb.split_pieces(F.col("text"))).alias("piece")).groupBy("piece").agg(F.count("*").alias("cnt"))
+    want = {(r.piece, r.cnt) for r in plain.collect()}
+    monkeypatch.setattr(vb, "_HELD_PIECES", 3)
+    counts = vb.piece_counts(df)
+    assert {(r.piece, r.cnt) for r in counts.collect()} == want
+    # No row for each piece of the corpus.
+    assert "Generate" not in counts._jdf.queryExecution().optimizedPlan().toString()
+    words = vb.with_symbols(counts).where(F.length("syms") > 1).select("syms", "cnt")
+    a, b, e = 97, 98, 257
+    rules = [(a, a, 256), (256, a, e), (e, b, 258), (32, 256, 259)]
+    symbols = [(vb.id_to_symbol(l) + vb.id_to_symbol(r), vb.id_to_symbol(n)) for l, r, n in rules]
+    for k in range(len(rules) + 1):
+        merged = words.withColumn("syms", vb.merge_symbols(F.col("syms"), symbols[:k]))
+        assert sorted(vb._merged_totals(words, rules[:k]).collect()) == sorted(vb._pair_totals(merged).collect())
+    assert vb._merged_totals(words.limit(0), rules).count() == 0
