@@ -1,74 +1,19 @@
-"""Packing as a stateful operator: rows wait in state until the watermark has passed their place in the order."""
+"""Packing of rows that come in any order: they wait in written tables until the watermark has passed their place."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from shardloom.session import session_conf
+from shardloom.operators.pack import windows
+from shardloom.streaming.streams import remove_folder
 
 WINDOWS = "rank int, window_id bigint, tokens array<int>"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-class Packer(StatefulProcessor):
-    """The token stream of one rank.
-
-    State is the next window number with less than one window of tokens, and the rows that wait by their order key.
-    When the watermark passes rows they are taken in order, however they came and wherever micro-batches end, and
-    the full windows come out.
-    """
-
-    def __init__(self, width: int) -> None:
-        self.width = width
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.stream = handle.getValueState("stream", "next_window bigint, left array<int>")
-        self.waiting = handle.getMapState("waiting", "order bigint", "ids array<int>")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last = None
-        for some in rows:
-            for order, ids in zip(some["order"], some["ids"]):
-                if self.waiting.containsKey((int(order),)):
-                    raise ValueError(f"order key {order} comes twice in rank {key[0]}")
-                self.waiting.updateValue((int(order),), ([int(i) for i in ids],))
-                last = order if last is None else max(last, order)
-        if last is not None:
-            # One timer for the newest row: by then all before it have been passed too.
-            self.handle.registerTimer(int(last) + 1)
-        yield from self._release(key, timerValues.getCurrentWatermarkInMs())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._release(key, timerValues.getCurrentWatermarkInMs())
-
-    def _release(self, key, watermark: int) -> Iterator[pd.DataFrame]:
-        passed = sorted(order for (order,) in self.waiting.keys() if order < watermark)
-        if not passed:
-            return
-        number, left = self.stream.get() if self.stream.exists() else (0, [])
-        held, size = [np.asarray(left, np.int32)], len(left)
-        for order in passed:
-            ids = np.asarray(self.waiting.getValue((order,))[0], np.int32)
-            self.waiting.removeKey((order,))
-            held.append(ids)
-            size += len(ids)
-            if size >= self.width:
-                tokens = np.concatenate(held)
-                full = size // self.width
-                windows = tokens[: full * self.width].reshape(full, self.width)
-                yield pd.DataFrame({"rank": key[0], "window_id": range(number, number + full), "tokens": list(windows)})
-                number, held, size = number + full, [tokens[full * self.width :]], size - full * self.width
-        self.stream.update((int(number), [int(t) for t in np.concatenate(held)]))
-
-    def close(self) -> None:
-        pass
+_WAITING = "rank int, key bigint, n int, ids array<int>"
+#: What a trigger hands on: the mark, the tables that wait (id: trigger, number: newest key) or are done with, the
+#: ranks (number: next window) with less than one window of tokens.
+_STATE = "kind string, id bigint, number bigint, left array<int>"
+_FIRST_KEY = -(2**62)  # order key of carried tokens: before every row
 
 
 def end_mark(spark: SparkSession, order: int, delay: int) -> DataFrame:
@@ -76,31 +21,76 @@ def end_mark(spark: SparkSession, order: int, delay: int) -> DataFrame:
     return spark.createDataFrame([(None, order + delay + 1, [])], "rank int, order bigint, ids array<int>")
 
 
+def _release(waiting: DataFrame, ranks: DataFrame, width: int, path: str) -> DataFrame:
+    """Packs rows after what their ranks carry, writes the windows, and gives the state of the ranks."""
+    again = waiting.groupBy("rank", "key").agg(F.count("*").alias("n")).where("n > 1").first()
+    if again is not None:
+        raise ValueError(f"order key {again['key']} comes twice in rank {again['rank']}")
+    carried = ranks.select(F.col("id").cast("int").alias("rank"), F.col("number").alias("_next"), "left")
+    left = carried.where(F.size("left") > 0).select("rank", F.lit(_FIRST_KEY).cast("bigint").alias("key"), F.size("left").alias("n"), F.col("left").alias("ids"))
+    cut = windows(left.unionByName(waiting), "key", width, ["rank"], keep_rest=True, sizes="n")
+    number = F.col("window_id") + F.coalesce("_next", F.lit(0))
+    numbered = cut.select("rank", "window_id", "tokens").join(F.broadcast(carried.select("rank", "_next")), "rank", "left")  # a row per rank
+    numbered.select("rank", number.alias("window_id"), "tokens").write.mode("overwrite").parquet(path)
+    written = waiting.sparkSession.read.schema(WINDOWS).parquet(path)
+    short = F.size("tokens") < width
+    ends = written.groupBy("rank").agg((F.max("window_id") + 1).alias("end"), F.max(F.when(short, F.struct("window_id", "tokens"))).alias("rest"))
+    now = ends.select(
+        F.lit("rank").alias("kind"), F.col("rank").cast("bigint").alias("id"), F.coalesce(F.col("rest")["window_id"], "end").alias("number"),
+        F.coalesce(F.col("rest")["tokens"], F.array().cast("array<int>")).alias("left"),
+    )
+    return now.unionByName(ranks.join(now.select("id"), "id", "left_anti").select("kind", "id", "number", "left"))
+
+
 def pack_in_order(
     encoded: DataFrame, rank: str, order: str, width: int, delay: int, out: str, progress: str, ids: str = "ids"
 ) -> DataFrame:
     """Windows per rank of a stream whose rows come out of order by at most ``delay`` in their order key.
 
-    The order key (not negative, distinct in a rank) is event time in milliseconds, one later, as a watermark begins at 0. Rows wait until a key larger by
+    The order key is not negative and distinct in a rank. Rows wait until a key larger by
     ``delay`` has been seen, so the last ones come out with later runs or an ``end_mark``. A row
-    later than that cannot be packed any more: Spark leaves it out, and the run fails. Rows without
-    a rank only move the watermark. State lives in RocksDB, changes are checkpointed, so a run
-    that ended anywhere goes on with the same ``out`` and ``progress``. A rank is one stream, and its rows
-    pass one task; ``streams.pack_stream`` spreads a rank whose rows come in order.
+    later than that cannot be packed any more: it is left out, and the run fails. Rows without
+    a rank only move the watermark.
+
+    A trigger writes its rows to a table that waits; those that the watermark has now passed are packed by the batch plan of
+    ``windows``, so a rank is spread over tasks. Tables are named by trigger: a repeated trigger overwrites its own, and a run
+    that ended anywhere goes on with the same ``out`` and ``progress``.
     """
-    rows = encoded.select(
-        F.col(rank).cast("int").alias("rank"), F.col(order).cast("bigint").alias("order"), F.col(ids).alias("ids"),
-        F.timestamp_millis(F.col(order).cast("bigint") + 1).alias("_time"),
-    ).withWatermark("_time", f"{delay} milliseconds")
-    packed = rows.groupBy("rank").transformWithStateInPandas(
-        statefulProcessor=Packer(width), outputStructType=WINDOWS, outputMode="Append", timeMode="EventTime"
-    )
-    packed = packed.where("rank IS NOT NULL")
-    writer = packed.writeStream.option("checkpointLocation", progress).trigger(availableNow=True)
-    with session_conf(encoded.sparkSession, spark_sql_streaming_stateStore_providerClass=_ROCKSDB):
-        query = writer.format("parquet").option("path", out).outputMode("append").start()
-        query.awaitTermination()
-    late = sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
-    if late:
-        raise RuntimeError(f"{late} rows came later than the delay of {delay} allows")
-    return encoded.sparkSession.read.schema(WINDOWS).parquet(out)
+    spark = encoded.sparkSession
+    late_rows: list[int] = []
+
+    def pack_trigger(df: DataFrame, trigger: int) -> None:
+        key = F.col(order).cast("bigint")
+        rows = df.select(F.col(rank).cast("int").alias("rank"), key.alias("key"), F.size(ids).alias("n"), F.col(ids).alias("ids"))
+        rows.write.mode("overwrite").parquet(f"{out}/waiting/{trigger}")
+        state = spark.read.schema(_STATE).parquet(f"{out}/state/{trigger - 1}") if trigger else spark.createDataFrame([], _STATE)
+        held = state.where("kind <> 'rank'").collect()  # a row for each table that waits
+        mark = max((r.number for r in held if r.kind == "mark"), default=0)
+        tables = {r.id: r.number for r in held if r.kind == "waiting"}
+        for r in held:  # the trigger that was done with them is itself over
+            if r.kind == "done":
+                remove_folder(spark, f"{out}/waiting/{r.id}")
+        new = spark.read.schema(_WAITING).parquet(f"{out}/waiting/{trigger}")
+        late = F.count(F.when((F.col("key") < mark) & F.col("rank").isNotNull(), 1))
+        newest, n_late = new.agg(F.max("key"), late).first()
+        late_rows.append(n_late)
+        if newest is not None:
+            tables[trigger] = newest
+        passed = max(mark, max(tables.values(), default=0) + 1 - delay)
+        ranks = state.where("kind = 'rank'")
+        if passed > mark:
+            waiting = spark.read.schema(_WAITING).parquet(*[f"{out}/waiting/{t}" for t in sorted(tables)])
+            waiting = waiting.where(F.col("rank").isNotNull() & (F.col("key") >= mark) & (F.col("key") < passed))
+            ranks = _release(waiting, ranks, width, f"{out}/windows/{trigger}")
+        told = [("mark", 0, passed, None)] + [("waiting" if last >= passed else "done", t, last, None) for t, last in tables.items()]
+        spark.createDataFrame(told, _STATE).unionByName(ranks).write.mode("overwrite").parquet(f"{out}/state/{trigger}")
+
+    writer = encoded.writeStream.option("checkpointLocation", progress).trigger(availableNow=True)
+    writer.foreachBatch(pack_trigger).start().awaitTermination()
+    if sum(late_rows):
+        raise RuntimeError(f"{sum(late_rows)} rows came later than the delay of {delay} allows")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/windows")
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], WINDOWS)
+    every = spark.read.schema(WINDOWS).option("recursiveFileLookup", "true").parquet(f"{out}/windows")
+    return every.where(F.size("tokens") == width)

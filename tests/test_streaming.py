@@ -86,3 +86,19 @@ def test_rows_later_than_the_delay_fail(spark, tmp_path):
         else:
             found = ordered_pack.pack_in_order(stream, "rank", "order", 3, 5, out, progress)
     assert [r.tokens for r in found.collect()] == [[1, 2, 1]]
+
+
+def test_a_rank_that_waits_is_packed_by_many_tasks(spark, tmp_path):
+    rows = [(0, k, [k] * 3) for k in range(200)]
+    source, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    spark.createDataFrame(rows[::-1], PACKED).repartition(3).write.parquet(source)
+    ordered_pack.end_mark(spark, 199, 200).coalesce(1).write.mode("append").parquet(source)
+    stream = streams.shard_stream(spark, source, PACKED, files_per_trigger=1)
+    found = ordered_pack.pack_in_order(stream, "rank", "order", 7, 200, out, progress)
+    want = [k for k in range(200) for _ in range(3)]
+    assert {(r.window_id, tuple(r.tokens)) for r in found.collect()} == {(i, tuple(want[7 * i : 7 * i + 7])) for i in range(600 // 7)}
+    assert len([f for f in found.inputFiles()]) > 1
+    twice = str(tmp_path / "twice")
+    spark.createDataFrame([(0, 1, [1]), (0, 1, [2]), (None, 9, [])], PACKED).coalesce(1).write.parquet(twice)
+    with pytest.raises(Exception, match="comes twice"):
+        ordered_pack.pack_in_order(streams.shard_stream(spark, twice, PACKED), "rank", "order", 3, 5, str(tmp_path / "o2"), str(tmp_path / "p2"))
