@@ -1,11 +1,14 @@
-"""Row groups of parquet shards as the unit of work: one input partition for each.
+"""Row groups of parquet shards as the unit of work: an input partition for each, or for several small ones.
 
-A Python data source. The driver reads the footers of the shard files, in order of their names, and plans a
-partition for every row group that belongs to the wanted worker (group ``i`` of a file
-goes to worker ``i mod step``) and that the filters of the query can meet by
-its column statistics; a task then reads the columns asked for, batch by batch. Groups keep
+A Python data source. A row group is read if it belongs to the wanted worker (group ``i`` of a file
+goes to worker ``i mod step``) and the filters of the query can meet it by
+its column statistics; a task reads the columns asked for, batch by batch. Groups keep
 their number, so each worker sees the same rows whatever the cluster looks like.
 
+Of few files the driver reads the footers, in order of the file names, and plans a partition for every row group, or,
+past ``MAX_PARTITIONS`` of them, for runs of neighbours. Of more than ``MAX_FOOTERS`` files it plans runs of files by their
+bytes, and the tasks read the footers.
+
 The files must lie where pyarrow can open them (local, s3, gs, hdfs); of a store that only Spark reads use
 ``shards.scan_shards``.
 """
@@ -38,6 +41,11 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 #: Footers that the driver reads at the same time.
 FOOTER_THREADS = 16
+#: Files whose footers the driver reads; of more the tasks do.
+MAX_FOOTERS = 256
+#: Partitions that single row groups are planned for, and bytes of files that a task reads otherwise.
+MAX_PARTITIONS = 256
+RUN_BYTES = 16 << 20
 UNIT_FIELDS = [StructField("file_name", StringType()), StructField("row_group", IntegerType())]
 
 
@@ -47,17 +55,34 @@ def _store(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.LocalFileSystem(), path
 
 
-def shard_files(path: str) -> tuple[pafs.FileSystem, list[str]]:
-    """Parquet files of a folder in order of their names; half-written ones have other endings."""
+def sized_files(path: str) -> tuple[pafs.FileSystem, list[tuple[str, int]]]:
+    """Parquet files of a folder in order of their names, with their bytes; half-written ones have other endings."""
     store, folder = _store(path)
     found = store.get_file_info(pafs.FileSelector(folder, allow_not_found=True))
-    return store, sorted(f.path for f in found if f.is_file and f.base_name.endswith(".parquet"))
+    return store, sorted((f.path, f.size) for f in found if f.is_file and f.base_name.endswith(".parquet"))
+
+
+def shard_files(path: str) -> tuple[pafs.FileSystem, list[str]]:
+    store, files = sized_files(path)
+    return store, [file for file, _ in files]
 
 
 @dataclass
-class RowGroup(InputPartition):
-    file: str
-    number: int
+class RowGroups(InputPartition):
+    """Files with the numbers of their wanted row groups; None where the task is to find them."""
+
+    files: list[tuple[str, list[int] | None]]
+
+
+def runs_of(sizes: list[int], limit: int) -> list[tuple[int, int]]:
+    """Runs of neighbours (start, end) whose sizes add up to ``limit``, a larger one alone."""
+    runs, start, filled = [], 0, 0
+    for k, size in enumerate(sizes):
+        if k > start and filled + size > limit:
+            runs.append((start, k))
+            start, filled = k, 0
+        filled += size
+    return [*runs, (start, len(sizes))] if sizes else []
 
 
 def can_hold(low, high, condition: Filter) -> bool:
@@ -105,29 +130,41 @@ class RowGroupReader(DataSourceReader):
             can_hold(*bounds[condition.attribute[0]], condition) for condition in self.filters if condition.attribute[0] in bounds
         )
 
-    def partitions(self) -> list[RowGroup]:
-        store, files = shard_files(self.path)
-
-        def plan(file: str) -> list[RowGroup]:
-            meta = pq.read_metadata(file, filesystem=store)
-            base = file.rsplit("/", 1)[-1]
-            every = range(self.start, meta.num_row_groups, self.step)
-            return [RowGroup(file, k) for k in every if self._wanted(meta, k, base)]
-
+    def _numbers(self, store: pafs.FileSystem, file: str) -> list[tuple[int, int]]:
+        """Numbers and bytes of the wanted row groups of a file."""
+        meta = pq.read_metadata(file, filesystem=store)
+        base = file.rsplit("/", 1)[-1]
+        every = range(self.start, meta.num_row_groups, self.step)
+        return [(k, meta.row_group(k).total_byte_size) for k in every if self._wanted(meta, k, base)]
+
+    def partitions(self) -> list[RowGroups]:
+        store, files = sized_files(self.path)
+        if len(files) > MAX_FOOTERS:
+            return [RowGroups([(file, None) for file, _ in files[a:b]]) for a, b in runs_of([size for _, size in files], RUN_BYTES)]
+        names = [file for file, _ in files]
         with ThreadPoolExecutor(FOOTER_THREADS) as pool:
-            return [part for parts in pool.map(plan, files) for part in parts]
+            found = [(file, k, size) for file, some in zip(names, pool.map(lambda f: self._numbers(store, f), names)) for k, size in some]
+        limit = RUN_BYTES if len(found) > MAX_PARTITIONS else 0
+        return [RowGroups([(file, [k]) for file, k, _ in found[a:b]]) for a, b in runs_of([size for *_, size in found], limit)]
 
-    def read(self, partition: RowGroup) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: RowGroups) -> Iterator[pa.RecordBatch]:
         if partition is None:  # no row group is wanted
             return
         store, _ = _store(self.path)
-        with store.open_input_file(partition.file) as source:
-            base = partition.file.rsplit("/", 1)[-1]
-            for batch in pq.ParquetFile(source).iter_batches(row_groups=[partition.number], columns=self.names):
-                n = batch.num_rows
-                unit = [pa.array([base] * n, pa.string()), pa.array([partition.number] * n, pa.int32())]
-                columns = [batch.column(batch.schema.get_field_index(name)) for name in self.names]
-                yield pa.RecordBatch.from_arrays([*columns, *unit], names=[*self.names, "file_name", "row_group"])
+        for file, numbers in partition.files:
+            if numbers is None:
+                numbers = [k for k, _ in self._numbers(store, file)]
+            if not numbers:
+                continue
+            base = file.rsplit("/", 1)[-1]
+            with store.open_input_file(file) as source:
+                held = pq.ParquetFile(source)
+                for number in numbers:
+                    for batch in held.iter_batches(row_groups=[number], columns=self.names):
+                        n = batch.num_rows
+                        unit = [pa.array([base] * n, pa.string()), pa.array([number] * n, pa.int32())]
+                        columns = [batch.column(batch.schema.get_field_index(name)) for name in self.names]
+                        yield pa.RecordBatch.from_arrays([*columns, *unit], names=[*self.names, "file_name", "row_group"])
 
 
 class RowGroupSource(DataSource):

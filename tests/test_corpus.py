@@ -337,3 +337,22 @@ def test_rows_out_of_order_fail_the_packing(spark, tmp_path):
     assert land([4, 6]).count() == 3
     with pytest.raises(Exception, match="out of order"):
         land([5])
+
+
+def test_small_shards_and_row_groups_share_tasks(spark, tmp_path, monkeypatch):
+    rows = spark.range(600).select("id", F.expr("cast(id div 2 as int)").alias("shard_id"))
+    counts = rows.groupBy("shard_id").agg(F.count("*").alias("n_rows"))
+    assert shards._deal(rows, counts, 1000).rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    assert shards._deal(rows, counts, 1).rdd.getNumPartitions() == 600
+    for i in range(12):
+        pq.write_table(pa.table({"k": [10 * i + k for k in range(9)]}), tmp_path / f"shard_{i:05d}.parquet", row_group_size=2)
+    want = {(10 * i + k, f"shard_{i:05d}.parquet", k // 2) for i in range(12) for k in range(9)}
+    for name in ("MAX_FOOTERS", "MAX_PARTITIONS"):
+        with monkeypatch.context() as limited:
+            limited.setattr(rg, name, 4)
+            reader = rg.RowGroupReader({"path": str(tmp_path), "start": "0", "step": "1"}, ["k"])
+            parts = reader.partitions()
+            read = [(k, f, g) for p in parts for b in reader.read(p) for k, f, g in zip(*(c.to_pylist() for c in b.columns))]
+            assert len(parts) == 1 and len(read) == len(want) and set(read) == want
+    assert rg.runs_of([3, 3, 9, 1, 1], 6) == [(0, 2), (2, 3), (3, 5)] and rg.runs_of([], 6) == []
+    assert rg.runs_of([0, 2, 2], 0) == [(0, 1), (1, 2), (2, 3)]
