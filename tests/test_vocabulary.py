@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -202,6 +203,21 @@ def test_encode_decode_roundtrip_and_naive_encoder(spark, tok):
     assert [back[i] for i in range(len(texts))] == texts
 
 
+def test_the_encoder_holds_few_bytes(spark, tok, monkeypatch):
+    """Batches are bounded by bytes, and the cache by tokens."""
+    monkeypatch.setattr(tk, "_CACHE_TOKENS", 40)
+    encode = tk.piece_encoder(spark, tok)
+    rows = spark.range(40, numPartitions=1).select(F.array_repeat(F.lit("x" * 1000), 1000).alias("pieces"))
+    size = F.arrow_udf(lambda a: pa.array([len(a)] * len(a), pa.int32()), "int")
+    assert rows.select(size("pieces").alias("n")).agg(F.max("n")).first()[0] <= 10
+    names, cells = encode.func.__code__.co_freevars, encode.func.__closure__
+    known = dict(zip(names, cells))["known"].cell_contents
+    for i in range(30):
+        words = [f"{i}a{j}" for j in range(8)]
+        assert encode.func(pa.array([words])).to_pylist() == [[b for w in words for b in tk.encode_piece(w, {})]]
+    assert sum(map(len, known.values())) <= 40 + 8 * 4
+
+
 def test_encoder_agrees_with_a_second_library(spark, tok):
     tiktoken = pytest.importorskip("tiktoken")
     ranks = {t: i for i, t in enumerate(tok.token_bytes()[: tok.base_size])}
