@@ -88,25 +88,20 @@ def top_k(block: Block, query: np.ndarray, own_row: int, k: int) -> tuple[np.nda
     ranked = np.sort(impact[impact >= 0])[::-1]
     cuts = np.unique(ranked[np.linspace(0, len(ranked) - 1, ROUNDS + 1).astype(int)[1:]])[::-1]
     unit = float(1 << int(impact.clip(0).max(1).sum() + 1).bit_length())
-    score, seen = np.zeros(n), np.zeros(n)
+    both, weights = np.zeros(n), impact + unit  # accumulators of both sums: scores and numbers of postings
     bar, above, best = -np.inf, np.inf, None
     for cut in cuts:
         now = (impact >= cut) & (impact < above)
         above = cut
         # Impacts rise or fall with the level, so a round's segments of a dimension lie side by side.
         first, last = now.argmax(1), LEVELS - 1 - now[:, ::-1].argmax(1)
-        places, weights = [], []
         for j in np.flatnonzero(now.any(1)).tolist():
             segment = slice(block.starts[j, last[j] + 1], block.starts[j, first[j]])
-            places.append(block.postings[j, segment])
-            weights.append(impact[j][block.levels[j, segment]])
-        if places:
-            touched = np.concatenate(places)
-            # One pass for both sums: whole multiples of ``unit`` count the postings.
-            both = np.bincount(touched, np.concatenate(weights) + unit, n)
-            count = np.floor(both / unit)
-            seen += count
-            score += both - count * unit
+            # A vector has one posting a dimension, so places in a segment are distinct.
+            both[block.postings[j, segment]] += weights[j].take(block.levels[j, segment])
+        # Whole multiples of ``unit`` count the postings.
+        seen = np.floor(both / unit)
+        score = both - seen * unit
         rest = np.where(impact < cut, impact, 0).max(1)  # the next impact of each dimension
         bound = base + score + slack + np.minimum((dims - seen) * rest.max(), rest.sum())
         lead = np.argpartition(-score, 8 * k)[: 8 * k] if n > 8 * k else np.arange(n)
