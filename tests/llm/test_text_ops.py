@@ -268,6 +268,21 @@ def test_words_of_abuse_of_a_small_language_are_learned(spark):
         assert np.mean([got[i]["predicted"] for i in part if i // 8 % 3 != 0]) < 0.05
 
 
+def test_every_labelled_text_trains(spark, monkeypatch):
+    """Long texts and rows beyond any sample take part; the number of shards changes no count."""
+    rng = random.Random(9)
+    rows = [(i, prose(rng, 4500) + (" nasty" if i % 3 == 0 else " fine"), "aa") for i in range(150)]
+    rows += [(i, "short", None) for i in range(150, 8000)]
+    labels = [(i, 1, int(i % 3 == 0 and i < 150)) for i in range(8000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    told = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    assert toxicity.coded_texts(docs, told).count() == sum(not is_held_out(i) for i in range(8000))
+    monkeypatch.setattr(toxicity, "SHARD_WORDS", 100_000)
+    got = {r["doc_id"]: r["predicted"] for r in detect(docs, told).where("doc_id < 150").collect()}
+    assert min(len(rows[0][1]), len(rows[1][1])) > 20_000
+    assert np.mean([p == int(i % 3 == 0) for i, p in got.items()]) > 0.9
+
+
 def test_long_texts_are_pooled_in_parts(monkeypatch):
     rng = np.random.default_rng(0)
     words = [rng.integers(0, 1 << 63, 30, dtype=np.uint64) for _ in range(40)]
