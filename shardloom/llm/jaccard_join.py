@@ -16,7 +16,8 @@ compared with two of the pivots of its n-grams (the smallest member of an n-gram
 length class is its pivot), and the links found are contracted to components. Then only members whose components still
 differ are paired, where length, position, the pivot's distance (a metric:
 two texts differ at least by the difference of their distances) and parity sketches of the sets (a bit that differs is an n-gram
-that one side has alone) leave a link possible, so texts that share no more than passages are never paired. Pairs are
+that one side has alone) leave a link possible, so texts that share no more than passages are never paired. The first
+n-gram that two members hold in common makes their pair, where the rest of both sets leaves the overlap possible. Pairs are
 made distinct, pass a suffix filter on set profiles (counts by ``PROFILE`` hash
 ranges bound the overlap), and are verified once, exactly, on the whole sets.
 
@@ -45,6 +46,8 @@ from shardloom.session import discard, materialize, session_conf
 #: Share of all n-grams that is counted; at least twice as large as a prefix.
 COUNTED = 0.5
 PROFILE = 64
+#: First open n-grams of a row that tell which n-gram makes a pair.
+FIRST = 16
 #: 64-bit words of a sketch: for each of their bits, whether the set has an odd number of n-grams there.
 SKETCH = 8
 _STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -150,10 +153,9 @@ def _held_by_several(facts: DataFrame, held: np.ndarray) -> DataFrame:
 
 
 def prefix_members(facts: DataFrame, percent: int) -> DataFrame:
-    """``gram, row, n, class, pos, before, own``: prefix n-grams that several rows hold. A written table.
+    """``gram, row, n, class, pos, own``: prefix n-grams that several rows hold. A written table.
 
-    ``own`` is how many n-grams are known to be held by this row alone, ``before`` how many of its
-    shared ones come before this. Hot n-grams are counted by partial sums.
+    ``own`` is how many n-grams are known to be held by this row alone. Hot n-grams are counted by partial sums.
     """
     every = facts.select("row", F.explode(F.concat("counted", "rest")).alias("gram"))
     shared = every.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
@@ -172,7 +174,7 @@ def prefix_members(facts: DataFrame, percent: int) -> DataFrame:
     placed = found.join(open_, "row").withColumn("before", F.row_number().over(mine) - 1)
     pos = F.when(F.col("late").isNull(), F.col("alone") + F.col("before")).otherwise(F.col("c") + F.col("late"))
     placed = placed.withColumn("pos", pos.cast("bigint")).where(F.col("pos") < F.col("length"))
-    members = placed.select("gram", "row", "n", "class", "pos", F.col("before").cast("bigint").alias("before"), F.col("alone").alias("own"))
+    members = placed.select("gram", "row", "n", "class", "pos", F.col("alone").alias("own"))
     members = materialize(members, "members")
     discard(found)
     return members
@@ -185,11 +187,11 @@ def _lengths_fit(a: Column, b: Column, percent: int) -> Column:
 def _overlap_fits(x: dict[str, Column], y: dict[str, Column], percent: int) -> Column:
     """What is known of two prefixes leaves the overlap that a link needs.
 
-    Common are at most the n-grams from this one on and those that anyone shares
-    before it; n-grams that a row has for itself are all in the symmetric difference.
+    If this is the first n-gram that both have, common are at most those from this one
+    on; n-grams that a row has for itself are all in the symmetric difference.
     """
     both = x["n"] + y["n"]
-    here = F.least(x["n"] - x["pos"], y["n"] - y["pos"]) + F.least(x["before"], y["before"])
+    here = F.least(x["n"] - x["pos"], y["n"] - y["pos"])
     apart = both - x["own"] - y["own"]
     return (here * (100 + percent) >= both * percent) & (apart * (100 + percent) >= both * percent * 2)
 
@@ -356,16 +358,24 @@ def _second_pairs(members: DataFrame, checked: DataFrame, found: DataFrame, sket
         members.alias("members").join(known, "row", "left")
         .join(found.withColumnRenamed("node", "row"), "row", "left")
         .select(
-            "gram", "row", "n", "pos", "before", F.col("members.own").alias("own"), F.coalesce("root", "row").alias("root"), F.coalesce("centre", "row").alias("centre"),
+            "gram", "row", "n", "pos", F.col("members.own").alias("own"), F.coalesce("root", "row").alias("root"), F.coalesce("centre", "row").alias("centre"),
             F.when(alone, 0.0).otherwise(F.col("least")).alias("least"), F.when(alone, 0.0).otherwise(F.col("most")).alias("most"),
         )
     )
     told = materialize(told, "told")
     # N-grams whose holders are all in one component have nothing left to find.
     ends = told.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    open_ = told.join(if_small(materialize(ends.where("low < high").select("gram"), "open")), "gram").join(sketches, "row")
-    open_ = materialize(open_, "open-members")
-    x, y = open_.alias("x"), open_.alias("y")
+    open_ = materialize(told.join(if_small(materialize(ends.where("low < high").select("gram"), "open")), "gram"), "open-told")
+    discard(told)
+    # Places of shared n-grams follow one order in all rows: by the count of holders, then by hash.
+    mine = Window.partitionBy("row").orderBy("pos")
+    firsts = open_.select("row", "pos", "gram").withColumn("k", F.row_number().over(mine)).where(F.col("k") <= FIRST)
+    firsts = firsts.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("k", "gram")))["gram"].alias("firsts"))
+    whole = materialize(open_.join(sketches.join(firsts, "row"), "row"), "open-members")
+    discard(open_)
+    # A pair is made by the first n-gram that both hold, not by each: it is the first in both lists of
+    # firsts, if any is (all before it are in them too). Other pairs are made distinct.
+    x, y = whole.alias("x"), whole.alias("y")
     limit = F.lit((100 - percent) / 100 + 1e-9)
     col = lambda side, name: F.col(f"{side}.{name}")
     apart = (col("x", "centre") == col("y", "centre")) & (
@@ -377,9 +387,10 @@ def _second_pairs(members: DataFrame, checked: DataFrame, found: DataFrame, sket
         & (col("x", "row") < col("y", "row"))
         & (col("x", "root") != col("y", "root"))
         & _lengths_fit(col("x", "n"), col("y", "n"), percent)
-        & _overlap_fits(*({name: col(side, name) for name in ("n", "pos", "before", "own")} for side in "xy"), percent)
+        & _overlap_fits(*({name: col(side, name) for name in ("n", "pos", "own")} for side in "xy"), percent)
         & ~apart
-        & _sketches_fit("x", "y", percent),
+        & _sketches_fit("x", "y", percent)
+        & (F.coalesce(F.get(F.array_intersect(col("x", "firsts"), col("y", "firsts")), F.lit(0)), col("x", "gram")) == col("x", "gram")),
     )
     return pairs.select(col("x", "row").alias("a"), col("y", "row").alias("b")).distinct()
 

@@ -9,7 +9,7 @@ import pytest
 from conftest import edge_rows, prose
 from pyspark.sql import functions as F
 
-from shardloom.llm import suffix_dedup
+from shardloom.llm import jaccard_join, suffix_dedup
 from shardloom.llm.components import components
 from shardloom.llm.decontaminate import best_segment, contaminated, remove_contaminated
 from shardloom.llm.jaccard_join import join_components, keep_first
@@ -53,6 +53,33 @@ def order(rows):
     return sorted(rows, key=repr)
 
 
+@pytest.mark.parametrize("n,percent,words", [(3, 80, 120), (2, 50, 20), (3, 90, 600)])
+def test_a_pair_is_made_by_its_first_common_ngram_alone(spark, monkeypatch, n, percent, words):
+    """Near copies share many n-grams of their prefixes; no link is lost and pairs are not made by each of them."""
+    rng = random.Random(31)
+    base, rows = prose(rng, words).split(" "), []
+    for i in range(40):
+        own = list(base)
+        for at in rng.sample(range(words), rng.randint(1, max(2, words // 40))):
+            own[at] = f"w{rng.randrange(3)}"
+        rows.append((i, " ".join(own[: words - rng.randrange(3)])))
+    rows = list({t: (i, t) for i, t in rows}.values())
+    facts = jaccard_join.facts_of(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1), n, percent).cache()
+    members = jaccard_join.prefix_members(facts.where("n > 0"), percent)
+    checked = spark.createDataFrame([], "a bigint, b bigint, least double, most double, linked boolean")
+    found = spark.createDataFrame([], "node bigint, root bigint")
+    with monkeypatch.context() as patch:
+        patch.setattr(type(facts), "distinct", lambda self: self)  # what the join makes
+        made = jaccard_join._second_pairs(members, checked, found, facts.select("row", *jaccard_join._WORDS), percent).collect()
+    ids = {r["row"]: r["doc_id"] for r in facts.select("row", "doc_id").collect()}
+    pairs = [tuple(sorted((ids[r["a"]], ids[r["b"]]))) for r in made]
+    sets = {i: shingles(t, n) for i, t in rows}
+    links = {(i, j) for i in sets for j in sets if i < j and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])}
+    assert len(links) > 20 and links <= set(pairs)
+    assert len(pairs) <= 1.5 * len(set(pairs))
+    facts.unpersist()
+
+
 @pytest.mark.parametrize("n,percent", [(3, 90), (2, 50)])
 def test_components_on_edges(edge_docs, n, percent):
     got = [tuple(r) for r in join_components(edge_docs, n, percent).collect()]
