@@ -248,6 +248,57 @@ def test_choice_ties_take_the_first(spark):
     assert row.predicted == 1 and row.correct
 
 
+def brute_grade_lm(predictions, spans):
+    """Grades of (key, pos, target, predicted) rows by (key, start, end) rows, a position at a time."""
+    seen = {}
+    for key, pos, target, predicted in predictions:
+        for k, start, end in spans:
+            if None not in (key, pos, start, end) and k == key and start - 1 <= pos < end - 1:
+                seen.setdefault(key, set()).add(None if None in (target, predicted) else target == predicted)
+    return {key: False if False in found else True if True in found else None for key, found in seen.items()}
+
+
+def test_grade_lm_equals_plain_loops(spark):
+    rng = random.Random(5)
+    predictions, spans = [], []
+    for key in range(120):
+        wrong = rng.choice([0, 0, 0.005, 0.2])
+        unknown = rng.choice([0, 0.1, 1])
+        for pos in range(rng.choice([-70, 0]), rng.choice([3, 63, 64, 65, 128, 400])):
+            target = rng.choice([0, 7, None]) if rng.random() < unknown else 7
+            predictions.append((key, pos, target, rng.choice([8, None]) if rng.random() < wrong else target))
+        for _ in range(rng.choice([0, 1, 1, 1, 2])):
+            start = rng.choice([-64, 0, 1, 2, 60, 64, 65, 66, 129])
+            spans.append((key, start, start + rng.choice([-1, 0, 1, 2, 63, 64, 65, 300])))
+    predictions += predictions[::5] + [(3, None, 7, 8), (None, 1, 7, 8)]
+    spans += [(4, None, 9), (5, 1, None), (None, 0, 9), (6, -(1 << 31) + 1, (1 << 31) - 1)]
+    rng.shuffle(predictions)
+    df = spark.createDataFrame(predictions, "k bigint, pos int, target_id int, pred_id int").repartition(3)
+    graded = ev.grade_lm(df, spark.createDataFrame(spans, "k bigint, start int, end int"), ["k"])
+    want = brute_grade_lm(predictions, spans)
+    assert {True, False, None} <= set(want.values()) and graded.columns == ["k", "correct"]
+    assert Counter((r.k, r.correct) for r in graded.collect()) == Counter(want.items())
+
+
+def test_grade_lm_joins_blocks_of_positions(spark):
+    from shardloom.session import session_conf
+
+    rows = spark.range(20, numPartitions=2).select(F.col("id").alias("k"), F.explode(F.sequence(F.lit(0), F.lit(999))).alias("pos"))
+    df = rows.select("*", F.lit(1).alias("target_id"), F.lit(1).alias("pred_id"))
+    spans = spark.range(20, numPartitions=2).select(F.col("id").alias("k"), F.lit(1).alias("start"), F.lit(1001).alias("end"))
+    with session_conf(spark, spark_sql_adaptive_enabled="false", spark_sql_autoBroadcastJoinThreshold="-1"):
+        graded = ev.grade_lm(df, spans, ["k"])
+        plan = graded._jdf.queryExecution().executedPlan()
+        assert plan.executeCollect() and graded.count() == 20
+
+    def shuffled(node):
+        metric = node.metrics().get("shuffleRecordsWritten")
+        below = sum(shuffled(node.children().apply(i)) for i in range(node.children().size()))
+        return below + (metric.get().value() if metric.isDefined() else 0)
+
+    assert 0 < shuffled(plan) < 1000  # of 20,000 positions
+
+
 def test_answers_and_programs(spark):
     texts = {"#### 1,234": "1234", "#### -5.5 and #### 6": "-5.5", "none": None, "####7": None}
     df = spark.createDataFrame([(k,) for k in texts], "t string")
