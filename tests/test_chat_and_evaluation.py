@@ -502,6 +502,28 @@ def test_long_pieces_encode_quickly():
     assert ids == [257] * 250_000 and time.perf_counter() - start < 30
 
 
+def test_few_rules_go_over_many_pieces(monkeypatch):
+    monkeypatch.setattr(tk, "_RULE_BYTES", 50)  # several rounds
+    rng = random.Random(2)
+    ranks = {(97, 98): 256, (97, 97): 257, (256, 256): 258, (257, 97): 259, (258, 97): 260, (195, 164): 261, (261, 98): 262}
+    pieces = ["", "a", "ä" * 60] + ["".join(rng.choice("aaabbä c") for _ in range(rng.choice([0, 1, 2, 7, 30, 200]))) for _ in range(300)]
+    rules = [(*pair, new) for pair, new in ranks.items()]
+    assert tk.encode_pieces(pieces, rules).to_pylist() == [tk.encode_piece(p, ranks) for p in pieces]
+    assert tk.encode_pieces([], rules).to_pylist() == [] and tk.encode_pieces(["", "é"], []).to_pylist() == [[], [195, 169]]
+
+
+def test_encoders_of_few_and_many_rules_agree(spark):
+    later = tuple((0, 1 + i, 0) for i in range(80))  # rules that no text here needs
+    many = Tokenizer(TOK.merges + later)
+    rows = [("the theory", 0), ("", 1), (None, 2), ("th the bathe \n" * 50, 3)]
+    df = spark.createDataFrame(rows, "text string, i int").repartition(2)
+    few_ids, many_ids = ({r.i: r.ids for r in tk.encode_corpus(df, t).collect()} for t in (TOK, many))
+    assert few_ids == many_ids and few_ids[2] is None and few_ids[1] == []
+    # A rule with a part that is younger than its token makes work for one before it.
+    young = Tokenizer(((257, 101, 1), (116, 104, 2)))
+    assert tk.encode_corpus(df.where("i = 0").select(F.lit("the").alias("text")), young).first().ids == [256]
+
+
 def test_unknown_subjects_are_listed(spark):
     rows = spark.createDataFrame([("anatomy",), ("x",), ("x",), (None,)], "subject string")
     assert {(r.subject, r.n) for r in tasks.unknown_subjects(rows).collect()} == {("x", 2), (None, 1)}
