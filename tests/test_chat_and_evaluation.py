@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -524,6 +525,16 @@ def test_encoders_of_few_and_many_rules_agree(spark):
     assert tk.encode_corpus(df.where("i = 0").select(F.lit("the").alias("text")), young).first().ids == [256]
 
 
+def test_the_cache_of_many_rules_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(tk, "_CACHE_TOKENS", 40)
+    encode = tk.piece_encoder(spark, Tokenizer(TOK.merges + tuple((0, 1 + i, 0) for i in range(80)))).func
+    known = dict(zip(encode.__code__.co_freevars, encode.__closure__))["known"].cell_contents
+    for i in range(30):
+        words = [f"{i}a{j}" for j in range(8)]
+        assert encode(pa.array([words])).to_pylist() == [[b for w in words for b in w.encode()]]
+        assert 0 < sum(map(len, known.values())) <= 40 + 8 * 4
+
+
 def test_unknown_subjects_are_listed(spark):
     rows = spark.createDataFrame([("anatomy",), ("x",), ("x",), (None,)], "subject string")
     assert {(r.subject, r.n) for r in tasks.unknown_subjects(rows).collect()} == {("x", 2), (None, 1)}
